@@ -74,14 +74,23 @@ def parse_iso_ts(text, fallback=None) -> Column:
     return F.coalesce(parsed, fallback if fallback is not None else F.current_timestamp())
 
 
+def fixed(x, places: int) -> Column:
+    """Fixed-point text with ``places`` decimals, rounded from the exact
+    binary value with ties to even, as C and Python ``%.nf`` do (so 2.675
+    gives 2.67 and 81.25 gives 81.2). ``format_string`` would round the
+    shortest decimal form half-up instead. A pattern keeps out grouping."""
+    pattern = "0." + "0" * places if places else "0"
+    return F.call_function("format_number", _col(x), F.lit(pattern))
+
+
 def fmt_money(x) -> Column:
     """``$12.50``."""
-    return F.format_string("$%.2f", _col(x))
+    return F.concat(F.lit("$"), fixed(x, 2))
 
 
 def fmt_percent(x) -> Column:
     """``12.5%``."""
-    return F.format_string("%.1f%%", _col(x))
+    return F.concat(fixed(x, 1), F.lit("%"))
 
 
 def fmt_time(ts) -> Column:

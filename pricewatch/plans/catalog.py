@@ -1,8 +1,10 @@
 """Registered queries over the driver's tables, and their SQL twins.
 
 Every entry reads whole tables; limits appear only where a top-k is the
-feature. The SQL strings are plain ANSI SQL that DuckDB runs over the same
-Parquet files and serve as the correctness oracle.
+feature (newest N, top 5, cheapest 100 per event). The SQL strings are plain
+SQL that DuckDB runs over the same Parquet files; they are the oracle.
+Computed doubles that are sums or means are rounded to 6 places on both
+sides, since the two engines add in different orders.
 """
 
 from __future__ import annotations
@@ -12,8 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.operators import changes
-from pricewatch.plans.driver import KEYS, ORDER, PRICE, table
+from pricewatch.functions.columns import listing_key, since
+from pricewatch.operators import (changes, dashboard, history, metrics, normalize, notify,
+                                  thresholds, validate)
+from pricewatch.plans.driver import (AS_OF, AS_OF_SQL, KEYS, ONE_EVENT, ONE_EVENT_NAME, ORDER,
+                                     PRICE, table)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,32 +33,603 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _classified(spark, sf_dir, price=None, baseline="max"):
-    ev = table(spark, sf_dir, "events")
+# -- driver tables in the price model (see plans/driver.py) --------------------
+
+def _events(spark, sf):
+    return table(spark, sf, "events")
+
+
+def _history(spark, sf):
+    """``events`` as price history."""
+    return _events(spark, sf).select(
+        F.col("user_id").alias("event_id"), F.col("event_type").alias("source"),
+        F.col(PRICE).alias("price"), F.col("ts").alias("timestamp"),
+        F.col("event_id").alias("listing_id"))
+
+
+_PH = ("(SELECT user_id AS event_id, event_type AS source, value AS price, "
+       "ts AS timestamp, event_id AS listing_id FROM events)")
+
+
+def _price_events(spark, sf):
+    """``events`` as full price events (text ids, absent fields null)."""
+    null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+    return _events(spark, sf).select(
+        F.col("user_id").cast("string").alias("event_id"), F.col("event_type").alias("source"),
+        null_s.alias("section"), null_s.alias("row"), null_s.alias("seat"),
+        F.col(PRICE).alias("price"), null_d.alias("fees"), null_d.alias("total_price"),
+        F.col("ts").alias("timestamp"), F.col("event_id").cast("string").alias("listing_id"),
+        null_s.alias("listing_url"), F.lit(None).cast("int").alias("quantity"))
+
+
+def _dimension(spark, sf):
+    """Event dimension: customer joined to nation."""
+    c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
+        F.col("c_custkey").alias("event_id"), F.col("c_name").alias("event_name"),
+        F.col("n_name").alias("venue"))
+
+
+_DIM = ("(SELECT c_custkey AS event_id, c_name AS event_name, n_name AS venue "
+        "FROM customer JOIN nation ON c_nationkey = n_nationkey)")
+
+
+def _tracked(spark, sf):
+    """Events already known to the store: customers in good standing."""
+    return (table(spark, sf, "customer").where(F.col("c_acctbal") >= 0)
+            .select(F.col("c_custkey").alias("event_id")))
+
+
+_TRACKED = "(SELECT c_custkey AS event_id FROM customer WHERE c_acctbal >= 0)"
+
+
+def _dated_events(spark, sf):
+    """Dated event dimension: orders with their customer's name and nation."""
+    o, c, n = (table(spark, sf, t) for t in ("orders", "customer", "nation"))
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+            .select(F.col("o_orderkey").alias("event_id"), F.col("c_name").alias("event_name"),
+                    F.col("n_name").alias("venue"), F.col("o_orderdate").alias("event_date")))
+
+
+_DATED = ("(SELECT o_orderkey AS event_id, c_name AS event_name, n_name AS venue, "
+          "o_orderdate AS event_date FROM orders JOIN customer ON o_custkey = c_custkey "
+          "JOIN nation ON c_nationkey = n_nationkey)")
+
+
+def _classified(spark, sf, price=None, baseline="max"):
+    ev = _events(spark, sf)
     if price is not None:
         ev = ev.withColumn(PRICE, price)
     return changes.classify_changes(ev, KEYS, PRICE, ORDER, baseline=baseline)
 
 
-# -- SQL building blocks ------------------------------------------------------
-_VALID = "(value > 0 AND NOT isnan(value))"
-_BASE_SQL = f"""
+def _alerts(spark, sf):
+    """Drop alerts in the stored alert layout; the alert time is the time of
+    the price that dropped (processing time is not reproducible)."""
+    a = changes.drop_alerts(_classified(spark, sf), PRICE, alert_time=F.col("ts"))
+    return a.select(F.col("user_id").alias("event_id"), F.col("event_type").alias("source"),
+                    "old_price", "new_price", "drop_amount", "drop_percent",
+                    "alert_timestamp", F.col("event_id").alias("listing_id"))
+
+
+# -- SQL building blocks ---------------------------------------------------------
+
+def _valid(v="value"):
+    return f"coalesce({v} > 0 AND NOT isnan({v}), false)"
+
+
+def _base(src="events"):
+    return f"""
   SELECT event_id, user_id, event_type, ts, value,
-         max(CASE WHEN {_VALID} THEN value END) OVER (
+         max(CASE WHEN {_valid()} THEN value END) OVER (
              PARTITION BY user_id, event_type ORDER BY ts, event_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS base
-  FROM events"""
+  FROM {src}"""
 
 
+_KIND = (f"CASE WHEN NOT {_valid()} THEN 'invalid' WHEN base IS NULL THEN 'new' "
+         "WHEN value < base THEN 'drop' WHEN value > base THEN 'increase' ELSE 'same' END")
+
+_ALERTS = f"""(
+  SELECT user_id AS event_id, event_type AS source, base AS old_price, value AS new_price,
+         base - value AS drop_amount, abs((value - base) / base * 100) AS drop_percent,
+         ts AS alert_timestamp, event_id AS listing_id
+  FROM ({_base()}) b WHERE {_valid()} AND value < base)"""
+
+_SHIFTED = "(SELECT event_id, user_id, event_type, ts, value - 10 AS value FROM events)"
+
+
+def _metrics_sql(src):
+    return f"""
+WITH c AS (SELECT {_KIND} AS t FROM ({_base(src)}) b)
+SELECT count(*) AS events_processed,
+       count_if(t IN ('drop', 'increase')) AS price_changes,
+       count_if(t = 'drop') AS price_drops, count_if(t = 'increase') AS price_increases,
+       count_if(t = 'same') AS unchanged, count_if(t = 'new') AS new_listings,
+       count_if(t = 'invalid') AS invalid_prices, count_if(false) AS errors
+FROM c"""
+
+
+# == change detection ==============================================================
+
 @register("price_drop_alerts", f"""
-WITH b AS ({_BASE_SQL})
+WITH b AS ({_base()})
 SELECT event_id, user_id, event_type, ts,
        base AS old_price, value AS new_price,
        base - value AS drop_amount,
        abs((value - base) / base * 100) AS drop_percent,
        'price_drop' AS alert_type
-FROM b WHERE {_VALID} AND value < base""")
-def price_drop_alerts(spark, sf_dir):
-    alerts = changes.drop_alerts(_classified(spark, sf_dir), PRICE)
+FROM b WHERE {_valid()} AND value < base""")
+def price_drop_alerts(spark, sf):
+    alerts = changes.drop_alerts(_classified(spark, sf), PRICE)
     return alerts.select("event_id", "user_id", "event_type", "ts", "old_price", "new_price",
                          "drop_amount", "drop_percent", "alert_type")
+
+
+@register("price_changes", f"""
+WITH b AS ({_base()})
+SELECT event_id, user_id, event_type, ts, base AS old_price, value AS new_price,
+       value - base AS price_change, (value - base) / base * 100 AS change_percent,
+       CASE WHEN value < base THEN 'drop' ELSE 'increase' END AS change_type
+FROM b WHERE {_valid()} AND base IS NOT NULL AND value <> base""")
+def price_changes(spark, sf):
+    return changes.price_changes(_classified(spark, sf)).select(
+        "event_id", "user_id", "event_type", "ts", "old_price",
+        F.col(PRICE).alias("new_price"), "price_change", "change_percent", "change_type")
+
+
+@register("price_events_classified", f"""
+WITH b AS ({_base()})
+SELECT event_id, user_id, event_type, ts, value,
+       CASE WHEN {_valid()} AND base IS NOT NULL THEN base END AS old_price,
+       {_KIND} AS change_type
+FROM b""")
+def price_events_classified(spark, sf):
+    """Every event passes through, classified (the processed-events output)."""
+    return _classified(spark, sf).select("event_id", "user_id", "event_type", "ts", PRICE,
+                                         "old_price", "change_type")
+
+
+@register("new_listings", f"""
+WITH b AS ({_base()})
+SELECT event_id, user_id, event_type, ts, value AS price
+FROM b WHERE {_valid()} AND base IS NULL""")
+def new_listings(spark, sf):
+    return changes.new_listings(_classified(spark, sf)).select(
+        "event_id", "user_id", "event_type", "ts", F.col(PRICE).alias("price"))
+
+
+@register("change_metrics", _metrics_sql("events"))
+def change_metrics(spark, sf):
+    return changes.change_metrics(_classified(spark, sf))
+
+
+@register("change_metrics_shifted", _metrics_sql(_SHIFTED))
+def change_metrics_shifted(spark, sf):
+    """Same counters with every price lowered by 10, so that invalid prices
+    (<= 0) occur and must be skipped by the baseline."""
+    return changes.change_metrics(_classified(spark, sf, price=F.col(PRICE) - 10))
+
+
+@register("price_drop_alerts_shifted", f"""
+WITH b AS ({_base(_SHIFTED)})
+SELECT event_id, user_id, event_type, ts, base AS old_price, value AS new_price
+FROM b WHERE {_valid()} AND value < base""")
+def price_drop_alerts_shifted(spark, sf):
+    a = changes.drop_alerts(_classified(spark, sf, price=F.col(PRICE) - 10), PRICE)
+    return a.select("event_id", "user_id", "event_type", "ts", "old_price", "new_price")
+
+
+@register("listing_baselines", f"""
+SELECT user_id, event_type, value AS baseline_price, ts AS baseline_ts,
+       event_id AS baseline_event_id
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+                                   ORDER BY value DESC, ts DESC, event_id DESC) AS rn
+      FROM events WHERE {_valid()}) WHERE rn = 1""")
+def listing_baselines(spark, sf):
+    return changes.listing_baselines(_events(spark, sf), KEYS, PRICE, ORDER)
+
+
+@register("price_drops_vs_previous", f"""
+WITH v AS (SELECT event_id, user_id, event_type, ts, value,
+                  lag(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev
+           FROM events WHERE {_valid()})
+SELECT event_id, user_id, event_type, ts, prev AS old_price, value AS new_price,
+       prev - value AS drop_amount, abs((value - prev) / prev * 100) AS drop_percent
+FROM v WHERE value < prev""")
+def price_drops_vs_previous(spark, sf):
+    a = changes.drop_alerts(_classified(spark, sf, baseline="previous"), PRICE)
+    return a.select("event_id", "user_id", "event_type", "ts", "old_price", "new_price",
+                    "drop_amount", "drop_percent")
+
+
+# == validation and ingest ==========================================================
+
+@register("valid_prices", f"""
+SELECT event_id, user_id, event_type, ts, value - 10 AS price
+FROM events WHERE {_valid('value - 10')}""")
+def valid_prices(spark, sf):
+    ev = _events(spark, sf).select("event_id", "user_id", "event_type", "ts",
+                                   (F.col(PRICE) - 10).alias("price"))
+    return validate.valid_prices(ev, "price")
+
+
+@register("listing_key", """
+SELECT DISTINCT CAST(user_id AS VARCHAR) || '_' || event_type || '___' AS listing_key
+FROM events""")
+def listing_key_q(spark, sf):
+    none = F.lit(None).cast("string")
+    return (_events(spark, sf)
+            .select(listing_key("user_id", "event_type", none, none, none).alias("listing_key"))
+            .distinct())
+
+
+@register("price_history_typed", """
+SELECT CAST(user_id AS VARCHAR) AS event_id, event_type AS source,
+       CAST(NULL AS VARCHAR) AS section, CAST(NULL AS VARCHAR) AS "row",
+       CAST(NULL AS VARCHAR) AS seat, CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS price,
+       CAST(NULL AS DOUBLE) AS fees, CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS total_price,
+       ts AS timestamp, CAST(event_id AS VARCHAR) AS listing_id, '' AS listing_url,
+       CAST(1 AS INTEGER) AS quantity
+FROM events""")
+def price_history_typed(spark, sf):
+    """Typed history rows. Money is quantised to DECIMAL(10,2) by the ingest
+    and shown here as double, so both engines print the same text."""
+    good, _ = history.ingest(_price_events(spark, sf))
+    return _money_as_double(good.drop("created_at"), ["price", "fees", "total_price"])
+
+
+def _money_as_double(df, cols):
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
+@register("reject_reasons", f"""
+SELECT 'unknown_event' AS reject_reason, count(*) AS n
+FROM {_ALERTS} a
+WHERE NOT EXISTS (SELECT 1 FROM {_TRACKED} t WHERE t.event_id = a.event_id)
+GROUP BY 1""")
+def reject_reasons(spark, sf):
+    """Storing drop alerts: alerts of events the store does not know are
+    rejects (the alert path does not create events)."""
+    _, rejects = validate.split_known(_alerts(spark, sf), _tracked(spark, sf), ["event_id"])
+    return validate.reject_counts(rejects)
+
+
+@register("fk_valid", f"""
+SELECT * FROM {_PH} p WHERE EXISTS (SELECT 1 FROM {_TRACKED} t WHERE t.event_id = p.event_id)""")
+def fk_valid(spark, sf):
+    return validate.with_known_keys(_history(spark, sf), _tracked(spark, sf), ["event_id"],
+                                    "left_semi")
+
+
+@register("fk_orphans", f"""
+SELECT * FROM {_PH} p WHERE NOT EXISTS (SELECT 1 FROM {_TRACKED} t WHERE t.event_id = p.event_id)""")
+def fk_orphans(spark, sf):
+    return validate.with_known_keys(_history(spark, sf), _tracked(spark, sf), ["event_id"],
+                                    "left_anti")
+
+
+@register("dedup_prices", f"""
+SELECT DISTINCT * FROM (SELECT * FROM {_PH} UNION ALL SELECT * FROM {_PH})""")
+def dedup_prices(spark, sf):
+    """A replayed feed (every price delivered twice) stored once."""
+    h = _history(spark, sf)
+    return validate.dedup(h.unionByName(h), ["listing_id", "timestamp"])
+
+
+@register("event_dimension", """
+SELECT event_id, event_name, created_at, last_updated FROM (
+  SELECT user_id AS event_id, event_type AS event_name,
+         min(ts) OVER (PARTITION BY user_id) AS created_at,
+         max(ts) OVER (PARTITION BY user_id) AS last_updated,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events) WHERE rn = 1""")
+def event_dimension(spark, sf):
+    """Per event: the name of its first sighting (stand-in: the first event
+    type), first and last sighting."""
+    ev = _events(spark, sf).select(F.col("user_id").alias("event_id"),
+                                   F.col("event_type").alias("event_name"),
+                                   F.col("ts").alias("timestamp"),
+                                   F.col("event_id").alias("listing_id"))
+    return history.event_dimension(ev, "event_id", ("event_name",))
+
+
+@register("new_events", f"""
+SELECT event_id, min(timestamp) AS first_seen FROM {_PH} p
+WHERE NOT EXISTS (SELECT 1 FROM {_TRACKED} t WHERE t.event_id = p.event_id)
+GROUP BY event_id""")
+def new_events(spark, sf):
+    return history.new_events(_history(spark, sf), _tracked(spark, sf))
+
+
+@register("ingest_metrics", f"""
+SELECT 'messages_received' AS metric_name, count(*) AS metric_value FROM events
+UNION ALL SELECT 'prices_stored', count(*) FROM events
+UNION ALL SELECT 'errors', CAST(0 AS BIGINT)
+UNION ALL SELECT 'events_created', count(DISTINCT event_id) FROM {_PH} p
+  WHERE NOT EXISTS (SELECT 1 FROM {_TRACKED} t WHERE t.event_id = p.event_id)""")
+def ingest_metrics(spark, sf):
+    """Storage counters for ingesting all events against the tracked events:
+    unknown events are created (not rejected) before their prices are
+    stored."""
+    events = _price_events(spark, sf)
+    stored, rejects = history.ingest(events)
+    known = _tracked(spark, sf).select(F.col("event_id").cast("string").alias("event_id"))
+    created = history.new_events(stored, known)
+    return metrics.ingest_metrics(events, stored, rejects, created)
+
+
+@register("retention_filter", f"""
+SELECT * FROM {_PH} p WHERE timestamp >= {AS_OF_SQL} - INTERVAL 7 DAYS""")
+def retention_filter(spark, sf):
+    return _history(spark, sf).where(since("timestamp", 7 * 24, AS_OF))
+
+
+@register("latest_per_key", """
+SELECT user_id, value, ts, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""")
+def latest_per_key(spark, sf):
+    return metrics.latest_per_key(_events(spark, sf), ["user_id"], ORDER,
+                                  [PRICE, "ts", "event_type"])
+
+
+# == dashboard ======================================================================
+
+@register("price_history_recent", f"""
+SELECT p.event_id, p.price, p.source, p.timestamp, p.listing_id, d.event_name, d.venue
+FROM {_PH} p JOIN {_DIM} d ON p.event_id = d.event_id
+WHERE p.timestamp >= {AS_OF_SQL} - INTERVAL 48 HOURS
+ORDER BY p.timestamp DESC, p.listing_id DESC LIMIT 10000""")
+def price_history_recent(spark, sf):
+    return dashboard.recent_prices(_history(spark, sf), _dimension(spark, sf), hours=48,
+                                   as_of=AS_OF)
+
+
+@register("price_history_recent_event", f"""
+SELECT p.event_id, p.price, p.source, p.timestamp, p.listing_id, d.event_name, d.venue
+FROM {_PH} p JOIN {_DIM} d ON p.event_id = d.event_id
+WHERE p.timestamp >= {AS_OF_SQL} - INTERVAL 168 HOURS AND p.event_id = {ONE_EVENT}
+ORDER BY p.timestamp DESC, p.listing_id DESC LIMIT 10000""")
+def price_history_recent_event(spark, sf):
+    return dashboard.recent_prices(_history(spark, sf), _dimension(spark, sf), hours=168,
+                                   as_of=AS_OF, event_id=ONE_EVENT)
+
+
+def _stats_sql(where=""):
+    return f"""
+SELECT count(*) AS total_listings, round(coalesce(avg(price), 0), 6) AS avg_price,
+       coalesce(min(price), 0) AS min_price, coalesce(max(price), 0) AS max_price,
+       count(DISTINCT source) AS num_sources
+FROM {_PH} p WHERE timestamp >= {AS_OF_SQL} - INTERVAL 48 HOURS {where}"""
+
+
+def _round_avg(df, col="avg_price"):
+    return df.withColumn(col, F.round(col, 6))
+
+
+@register("price_stats", _stats_sql())
+def price_stats(spark, sf):
+    return _round_avg(dashboard.price_stats(_history(spark, sf), 48, AS_OF))
+
+
+@register("price_stats_event", _stats_sql(f"AND event_id = {ONE_EVENT}"))
+def price_stats_event(spark, sf):
+    return _round_avg(dashboard.price_stats(_history(spark, sf), 48, AS_OF, ONE_EVENT))
+
+
+_RECENT_ALERTS = f"""
+SELECT a.event_id, d.event_name, d.venue, a.old_price, a.new_price, a.drop_amount,
+       a.drop_percent, a.source, a.alert_timestamp, a.listing_id
+FROM {_ALERTS} a JOIN {_DIM} d ON a.event_id = d.event_id
+ORDER BY a.alert_timestamp DESC, a.listing_id DESC LIMIT 20"""
+
+
+@register("recent_alerts", _RECENT_ALERTS)
+def recent_alerts(spark, sf):
+    return dashboard.recent_alerts(_alerts(spark, sf), _dimension(spark, sf), 20)
+
+
+@register("recent_alerts_event", f"""
+SELECT * FROM ({_RECENT_ALERTS}) r WHERE event_id = 128""")
+def recent_alerts_event(spark, sf):
+    """The event filter runs after the top 20, as on the dashboard."""
+    return dashboard.recent_alerts(_alerts(spark, sf), _dimension(spark, sf), 20, event_id=128)
+
+
+@register("list_events", f"""
+SELECT DISTINCT event_id, event_name, venue, event_date FROM {_DATED} e""")
+def list_events(spark, sf):
+    return dashboard.list_events(_dated_events(spark, sf))
+
+
+@register("event_lookup", f"SELECT * FROM {_DIM} d WHERE event_id = {ONE_EVENT}")
+def event_lookup(spark, sf):
+    return dashboard.event_lookup(_dimension(spark, sf), ONE_EVENT)
+
+
+@register("event_by_name", f"""
+SELECT * FROM {_DATED} e WHERE event_name = '{ONE_EVENT_NAME}'
+ORDER BY event_date DESC, event_id LIMIT 1""")
+def event_by_name(spark, sf):
+    return dashboard.event_by_name(_dated_events(spark, sf), ONE_EVENT_NAME)
+
+
+@register("avg_price_by_time_source", f"""
+SELECT date_trunc('day', timestamp) AS timestamp, source,
+       round(avg(price), 6) AS avg_price, count(*) AS n
+FROM {_PH} p GROUP BY 1, 2""")
+def avg_price_by_time_source(spark, sf):
+    return _round_avg(dashboard.avg_price_by_time_source(_history(spark, sf), unit="day"))
+
+
+@register("source_summary", f"""
+SELECT source, round(avg(price), 6) AS avg_price, min(price) AS min_price,
+       max(price) AS max_price
+FROM {_PH} p GROUP BY source""")
+def source_summary(spark, sf):
+    return _round_avg(dashboard.source_summary(_history(spark, sf)))
+
+
+@register("price_histogram", f"""
+WITH bounds AS (SELECT min(price) AS lo, max(price) AS hi FROM {_PH} p),
+     binned AS (SELECT source, lo, hi,
+                       least(CAST(floor((price - lo) / (hi - lo) * 30) AS BIGINT) + 1, 30) AS bin
+                FROM {_PH} p, bounds WHERE price IS NOT NULL)
+SELECT source, bin, lo + (bin - 1) * ((hi - lo) / 30) AS bin_start,
+       lo + bin * ((hi - lo) / 30) AS bin_end, count(*) AS n
+FROM binned GROUP BY source, bin, lo, hi""")
+def price_histogram(spark, sf):
+    return dashboard.price_histogram(_history(spark, sf), 30, "source")
+
+
+@register("alerts_per_hour", f"""
+SELECT date_trunc('hour', alert_timestamp) AS hour, count(*) AS alerts
+FROM {_ALERTS} a GROUP BY 1""")
+def alerts_per_hour(spark, sf):
+    return dashboard.alerts_per_hour(_alerts(spark, sf))
+
+
+@register("top_events_by_prices", f"""
+SELECT d.event_name, count(*) AS price_count, min(p.price) AS min_price,
+       max(p.price) AS max_price
+FROM {_PH} p JOIN {_DIM} d ON p.event_id = d.event_id
+GROUP BY d.event_name ORDER BY price_count DESC, d.event_name LIMIT 5""")
+def top_events_by_prices(spark, sf):
+    return dashboard.top_events_by_prices(_history(spark, sf), _dimension(spark, sf), 5)
+
+
+@register("table_counts", f"""
+SELECT 'price_history' AS table_name, count(*) AS row_count FROM events
+UNION ALL SELECT 'events', count(*) FROM {_DIM} d
+UNION ALL SELECT 'price_drop_alerts', count(*) FROM {_ALERTS} a
+UNION ALL SELECT 'tracked_events', count(*) FROM {_TRACKED} t""")
+def table_counts(spark, sf):
+    return dashboard.table_counts({
+        "price_history": _history(spark, sf), "events": _dimension(spark, sf),
+        "price_drop_alerts": _alerts(spark, sf), "tracked_events": _tracked(spark, sf)})
+
+
+@register("latest_update", "SELECT max(ts) AS latest_update FROM events")
+def latest_update(spark, sf):
+    return dashboard.latest_update(_history(spark, sf))
+
+
+@register("cheapest_per_event", f"""
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY price, listing_id) AS price_rank
+  FROM {_PH} p WHERE price IS NOT NULL) WHERE price_rank <= 100""")
+def cheapest_per_event(spark, sf):
+    return dashboard.cheapest_per_event(_history(spark, sf), 100)
+
+
+@register("union_sources", f"SELECT * FROM {_PH} p")
+def union_sources(spark, sf):
+    """Each source arrives as its own feed; all are unioned into one."""
+    h = _history(spark, sf)
+    names = ["click", "error", "purchase", "signup", "view"]
+    feeds = [h.where(F.col("source") == s) for s in names]
+    feeds.append(h.where(~F.col("source").isin(*names) | F.col("source").isNull()))
+    return normalize.union_sources(feeds)
+
+
+@register("alerts_display", f"""
+SELECT d.event_name AS "Event", d.venue AS "Venue", CAST(NULL AS VARCHAR) AS "Section",
+       CAST(NULL AS VARCHAR) AS "Row", CAST(NULL AS VARCHAR) AS "Seat",
+       printf('$%.2f', a.old_price) AS "Old Price", printf('$%.2f', a.new_price) AS "New Price",
+       printf('$%.2f', a.drop_amount) AS "Drop ($)", printf('%.1f%%', a.drop_percent) AS "Drop (%)",
+       a.source AS "Source", strftime(a.alert_timestamp, '%Y-%m-%d %H:%M:%S') AS "Time"
+FROM {_ALERTS} a JOIN {_DIM} d ON a.event_id = d.event_id""")
+def alerts_display(spark, sf):
+    none = F.lit(None).cast("string")
+    a = (_alerts(spark, sf).join(_dimension(spark, sf), "event_id")
+         .withColumns({"section": none, "row": none, "seat": none}))
+    return dashboard.alerts_display(a)
+
+
+@register("notification_text", f"""
+SELECT a.listing_id, '**' || d.event_name || '**' AS msg_description, d.venue AS msg_venue,
+       'Unknown Row N/A Seat N/A' AS msg_seat,
+       printf('$%.2f → **$%.2f**', a.old_price, a.new_price) AS msg_price,
+       printf('$%.2f (%.1f%%)', a.drop_amount, a.drop_percent) AS msg_drop,
+       upper(a.source) AS msg_source
+FROM {_ALERTS} a JOIN {_DIM} d ON a.event_id = d.event_id""")
+def notification_text(spark, sf):
+    a = _alerts(spark, sf).join(_dimension(spark, sf), "event_id")
+    none = F.lit(None).cast("string")
+    a = a.withColumns({"section": none, "row": none, "seat": none})
+    return notify.message_texts(a).select("listing_id", "msg_description", "msg_venue",
+                                          "msg_seat", "msg_price", "msg_drop", "msg_source")
+
+
+# == thresholds and metrics =========================================================
+
+def _rules(spark, sf):
+    """One threshold rule per customer: target = whole dollars of
+    |balance| / 20, any section and row, active for a non-negative balance."""
+    c = table(spark, sf, "customer")
+    return c.select(
+        F.col("c_custkey").alias("id"), F.lit("default_user").alias("user_id"),
+        F.col("c_custkey").alias("event_id"),
+        F.floor(F.abs("c_acctbal") / 20).cast("decimal(10,2)").alias("target_price"),
+        F.lit(None).cast("string").alias("section"), F.lit(None).cast("int").alias("max_row"),
+        F.lit("discord").alias("notification_method"),
+        (F.col("c_acctbal") >= 0).alias("active"))
+
+
+@register("threshold_triggers", """
+SELECT c.c_custkey AS alert_id, e.user_id AS event_id,
+       CAST(CAST(e.value AS DECIMAL(10,2)) AS DOUBLE) AS price,
+       e.event_type AS source, e.event_id AS listing_id, e.ts AS triggered_at
+FROM events e JOIN customer c ON e.user_id = c.c_custkey
+WHERE c.c_acctbal >= 0 AND e.value <= CAST(floor(abs(c.c_acctbal) / 20) AS DECIMAL(10,2))""")
+def threshold_triggers(spark, sf):
+    h = _history(spark, sf).withColumns({
+        "section": F.lit(None).cast("string"), "row": F.lit(None).cast("string"),
+        "seat": F.lit(None).cast("string"), "listing_url": F.lit(None).cast("string")})
+    t = thresholds.match_thresholds(h, _rules(spark, sf))
+    t = t.select("alert_id", "event_id", "price", "source", "listing_id", "triggered_at")
+    return _money_as_double(t, ["price"])
+
+
+@register("ewma_by_source", """
+WITH r AS (SELECT event_type, value,
+                  row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i,
+                  count(*) OVER (PARTITION BY event_type) AS n
+           FROM events)
+SELECT event_type,
+       round(sum(CASE WHEN i = 1 THEN pow(0.9::DOUBLE, n - 1)
+                      ELSE 0.1 * pow(0.9::DOUBLE, n - i) END * value), 6) AS ewma,
+       max(n) AS n
+FROM r GROUP BY event_type""")
+def ewma_by_source(spark, sf):
+    e = metrics.ewma(_events(spark, sf), ["event_type"], ORDER, PRICE, alpha=0.1)
+    return e.withColumn("ewma", F.round("ewma", 6))
+
+
+@register("throughput_5min", f"""
+SELECT time_bucket(INTERVAL 5 minutes, timestamp) AS window_start, count(*) AS messages,
+       count(*) / 5.0 AS per_minute
+FROM {_PH} p GROUP BY 1""")
+def throughput_5min(spark, sf):
+    return metrics.throughput(_history(spark, sf), "timestamp", "5 minutes")
+
+
+@register("wire_roundtrip", """
+SELECT CAST(user_id AS VARCHAR) AS event_id, event_type AS source, value AS price,
+       ts AS timestamp, CAST(event_id AS VARCHAR) AS listing_id
+FROM events""")
+def wire_roundtrip(spark, sf):
+    """Price events written as JSON text and read back give the same values."""
+    wire = normalize.to_wire(_price_events(spark, sf))
+    back, _ = normalize.from_wire(wire)
+    return back.select("event_id", "source", "price",
+                       F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "listing_id")
+
+
+@register("props_json", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+def props_json(spark, sf):
+    """Nested JSON field of a record, read with a declared schema."""
+    e = _events(spark, sf)
+    return e.select("event_id", F.from_json("props", "k INT").getField("k").alias("k"))
