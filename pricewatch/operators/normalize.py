@@ -37,7 +37,7 @@ def _number(c: Column, default) -> tuple[Column, Column]:
 
 
 def parse_listings(listings: DataFrame, tracked: DataFrame, source: str,
-                   default_delivery: str, date_fallback: Column | None = None,
+                   default_delivery: str, date_fallback_days: int = 0,
                    scrape_time: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(price events, rejects). A listing whose price, fee, total or
     quantity text is not a number is rejected (``bad_number``); the rest of
@@ -49,7 +49,7 @@ def parse_listings(listings: DataFrame, tracked: DataFrame, source: str,
     total_ok = F.col("total_price").isNull() | total_raw.isNotNull()
     qty_raw = F.col("quantity").try_cast("double")
     qty_ok = F.col("quantity").isNull() | qty_raw.isNotNull()
-    fallback = date_fallback if date_fallback is not None else F.current_timestamp()
+    fallback = F.current_timestamp() + F.make_dt_interval(days=F.lit(date_fallback_days))
 
     ev = tracked.select("event_id", F.col("name").alias("event_name"), "venue",
                         F.coalesce(F.try_to_timestamp("date"), fallback).alias("event_date"))
@@ -81,7 +81,7 @@ def parse_listings(listings: DataFrame, tracked: DataFrame, source: str,
 ADAPTERS = {
     "seatgeek": partial(parse_listings, source="seatgeek", default_delivery="unknown"),
     "mock": partial(parse_listings, source="mock", default_delivery="mobile",
-                    date_fallback=F.current_timestamp() + F.expr("INTERVAL 30 DAYS")),
+                    date_fallback_days=30),
 }
 
 
