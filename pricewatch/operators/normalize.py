@@ -119,7 +119,7 @@ def from_wire(records: DataFrame, value: str = "value",
            else F.col(f"e.{f.name}").try_cast(f.dataType)).alias(f.name)
           for f in PRICE_EVENT.fields],
         F.col("e.price").alias("_raw_price"),
-        F.col("e").isNotNull().alias("_is_object"))
+        F.json_object_keys("_raw").isNotNull().alias("_is_object"))
     good, rejects = validate.split(typed, [("malformed_json", F.col("_is_object")),
                                            ("null_event_id", F.col("event_id").isNotNull())])
     return good.drop("_raw", "_is_object"), rejects.drop("_is_object")
