@@ -29,7 +29,7 @@ EVENT_ORDER = ("timestamp", "listing_id")
 
 def classify_changes(df: DataFrame, keys: Sequence[str] = LISTING_KEYS, price: str = "price",
                      order: Sequence[str] = EVENT_ORDER, baseline: str = "max",
-                     raw_price: str | None = None, chunk: str = "hour") -> DataFrame:
+                     raw_price: str | None = None, chunk: str = "minute") -> DataFrame:
     """Add ``old_price``, ``change_type``, ``price_change``, ``change_percent``."""
     order = list(order)
     ts = order[0]

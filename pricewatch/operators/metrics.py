@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def ewma(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
-         alpha: float = 0.1, chunk: str = "hour", out: str = "ewma") -> DataFrame:
+         alpha: float = 0.1, chunk: str = "minute", out: str = "ewma") -> DataFrame:
     """Exponentially weighted mean of ``value`` per ``group`` in ``order``,
     seeded with the first value: ``m = x1``, then ``m = (1-a)*m + a*x``.
 

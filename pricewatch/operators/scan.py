@@ -17,6 +17,13 @@ is done in two levels instead:
    over as many tasks as it has chunks. No join is needed.
 
 The result is exact: it equals the single window over the whole key.
+
+Choosing ``chunk``: a key's rows within one chunk are scanned by one task,
+and a key's chunks are ordered by one task in level 2. The default
+``minute`` keeps both small: a listing updated 100,000 times a second has
+6M rows per chunk, and a month of it is 43,200 summary rows. Listings with
+sparse updates get one chunk per update whatever the unit, so a finer unit
+costs nothing for them.
 """
 
 from __future__ import annotations
@@ -34,7 +41,7 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
 
 
 def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-               out: str, ts: str, how: str = "max", chunk: str = "hour") -> DataFrame:
+               out: str, ts: str, how: str = "max", chunk: str = "minute") -> DataFrame:
     """Add ``out``: over the earlier rows of the same ``keys`` (by ``order``,
     ascending), the ``max`` of ``value`` or the ``last`` non-null ``value``.
     Nulls in ``value`` are skipped. ``ts`` must be the first ``order`` column;

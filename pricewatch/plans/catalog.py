@@ -525,12 +525,14 @@ def cheapest_per_event(spark, sf):
 
 @register("union_sources", f"SELECT * FROM {_PH} p")
 def union_sources(spark, sf):
-    """Each source arrives as its own feed; all are unioned into one."""
+    """Sources arrive as separate feeds and are unioned into one stream.
+    Stand-in: two feeds cut from ``events`` by source (the second with its
+    columns in another order, matched by name)."""
     h = _history(spark, sf)
-    names = ["click", "error", "purchase", "signup", "view"]
-    feeds = [h.where(F.col("source") == s) for s in names]
-    feeds.append(h.where(~F.col("source").isin(*names) | F.col("source").isNull()))
-    return normalize.union_sources(feeds)
+    web = F.col("source").isin("click", "view")
+    feed_a = h.where(web)
+    feed_b = h.where(~web | F.col("source").isNull()).select(*reversed(h.columns))
+    return normalize.union_sources([feed_a, feed_b])
 
 
 @register("alerts_display", f"""

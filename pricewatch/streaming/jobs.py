@@ -58,9 +58,10 @@ def start_detector(events: DataFrame, processed_path: str, alerts_path: str, che
 def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimension_path: str,
                   checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """The storage side: typed history and rejects per batch, and the event
-    dimension merged batch by batch (stored attributes win, ``last_updated``
-    moves). The dimension is written as a new version per batch id; readers
-    take the newest version (see ``read_dimension``)."""
+    dimension. The dimension is kept as append-only deltas, one per batch
+    (that batch's first sighting of each event), so a batch writes only
+    what it saw; ``read_dimension`` folds the deltas (first write wins,
+    ``last_updated`` is the latest)."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -68,11 +69,7 @@ def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimen
             good, rejects = history.ingest(batch)
             write_batch(good, history_path, batch_id)
             write_batch(rejects, rejects_path, batch_id)
-            spark = batch.sparkSession
-            current = read_dimension(spark, dimension_path, before=batch_id)
-            incoming = history.event_dimension(batch)
-            merged = incoming if current is None else history.merge_dimension(current, incoming)
-            write_batch(merged, dimension_path, batch_id)
+            write_batch(history.event_dimension(batch), dimension_path, batch_id)
         finally:
             batch.unpersist()
 
@@ -81,19 +78,19 @@ def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimen
     return w.start()
 
 
-def read_dimension(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest dimension version (below ``before`` when given), or None."""
-    try:
-        all_versions = spark.read.parquet(path)
-    except Exception:  # no version written yet
-        return None
-    versions = all_versions.select("batch_id").distinct()
-    if before is not None:
-        versions = versions.where(F.col("batch_id") < before)
-    newest = versions.agg(F.max("batch_id")).first()[0]
-    if newest is None:
-        return None
-    return all_versions.where(F.col("batch_id") == newest).drop("batch_id")
+def read_dimension(spark: SparkSession, path: str,
+                   attrs=("event_name", "venue", "event_date")) -> DataFrame:
+    """The event dimension from its per-batch deltas: attributes of the
+    earliest sighting (by batch, then time), first and last sighting. One
+    aggregation that combines map-side."""
+    deltas = spark.read.parquet(path)
+    first = F.min_by(F.struct(*[F.col(a) for a in attrs]),
+                     F.struct(F.col("batch_id"), F.col("created_at")))
+    return (deltas.groupBy("event_id")
+            .agg(first.alias("_f"), F.min("created_at").alias("created_at"),
+                 F.max("last_updated").alias("last_updated"))
+            .select("event_id", *[F.col(f"_f.{a}").alias(a) for a in attrs],
+                    "created_at", "last_updated"))
 
 
 def throughput_stream(events: DataFrame, ts: str = "timestamp", every: str = "5 minutes",

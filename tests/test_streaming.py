@@ -105,6 +105,7 @@ def test_storage_stream_dimension_merge(spark, scratch):
     hist = spark.read.parquet(f"{root}/history")
     assert hist.count() == df.count()
     dim = jobs.read_dimension(spark, f"{root}/dimension")
+    assert spark.read.parquet(f"{root}/dimension").select("batch_id").distinct().count() == 3
     want = df.groupBy("event_id").agg(F.min("timestamp").alias("c"), F.max("timestamp").alias("u"))
     got = {r.event_id: (r.created_at, r.last_updated) for r in dim.collect()}
     assert got == {r.event_id: (r.c, r.u) for r in want.collect()}
