@@ -87,3 +87,41 @@ def new_events(batch: DataFrame, known: DataFrame, key: str = "event_id",
     """Events of ``batch`` not yet in ``known``, with their first sighting."""
     firsts = batch.groupBy(key).agg(F.min(ts).alias("first_seen"))
     return firsts.join(known.select(key), key, "left_anti")
+
+
+def typed_alerts(alerts: DataFrame, stored_at: Column | None = None) -> DataFrame:
+    """Drop alerts in the stored layout: money as DECIMAL(10,2), percent as
+    DECIMAL(5,2) (null when it does not fit, which the range check rejects)."""
+    created = stored_at if stored_at is not None else F.current_timestamp()
+    return alerts.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.coalesce(F.col("alert_type"), F.lit("price_drop")).alias("alert_type"),
+        F.coalesce(F.col("alert_timestamp"), created).alias("alert_timestamp"),
+        try_money("old_price").alias("old_price"), try_money("new_price").alias("new_price"),
+        try_money("drop_amount").alias("drop_amount"),
+        F.col("drop_percent").try_cast("decimal(5,2)").alias("drop_percent"),
+        "section", "row", "seat", "source",
+        F.col("listing_id").cast("string").alias("listing_id"), "listing_url",
+        created.alias("created_at"),
+        *[F.col(c).alias(f"_raw_{c}") for c in ("old_price", "new_price", "drop_amount",
+                                                "drop_percent")])
+
+
+def store_alerts(alerts: DataFrame, dimension: DataFrame | None = None,
+                 stored_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(stored alerts, rejects). The alert path does not create events: an
+    alert for an event the store does not know is a reject
+    (``unknown_event``) and can be joined again once the event exists."""
+    typed = typed_alerts(alerts, stored_at)
+    raw = [c for c in typed.columns if c.startswith("_raw_")]
+    checks = validate.not_null_checks(["event_id", "source"])
+    checks += [(f"null_{c}", F.col(f"_raw_{c}").isNotNull()) for c in ("old_price", "new_price")]
+    checks += validate.range_checks({c[len("_raw_"):]: c for c in raw})
+    checks += validate.length_checks(present=typed.columns)
+    good, rejects = validate.split(typed, checks)
+    good, rejects = good.drop(*raw), rejects.drop(*raw)
+    if dimension is not None:
+        good, orphans = validate.split_known(good, dimension.select(
+            F.col("event_id").cast("string").alias("event_id")), ["event_id"])
+        rejects = rejects.unionByName(orphans)
+    return good, rejects

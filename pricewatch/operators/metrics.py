@@ -91,3 +91,9 @@ def ingest_metrics(received: DataFrame, stored: DataFrame, rejects: DataFrame,
     if duplicates is not None:
         parts["duplicates_skipped"] = duplicates
     return counters(parts)
+
+
+def alert_metrics(alerts: DataFrame, stored: DataFrame, rejects: DataFrame) -> DataFrame:
+    """The alert side's counters: alerts processed, stored, errors. Nothing is
+    posted from Spark, so there is no "sent" counter."""
+    return counters({"alerts_processed": alerts, "alerts_stored": stored, "errors": rejects})

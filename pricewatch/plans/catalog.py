@@ -284,14 +284,38 @@ def _money_as_double(df, cols):
 
 
 @register("reject_reasons", f"""
-SELECT 'unknown_event' AS reject_reason, count(*) AS n
-FROM {_ALERTS} a
-WHERE NOT EXISTS (SELECT 1 FROM {_TRACKED} t WHERE t.event_id = a.event_id)
-GROUP BY 1""")
+WITH a AS (SELECT *, CAST(event_id AS VARCHAR) AS eid, CAST(listing_id AS VARCHAR) AS lid
+           FROM {_ALERTS}),
+r AS (
+  SELECT CASE
+    WHEN eid IS NULL THEN 'null_event_id'
+    WHEN source IS NULL THEN 'null_source'
+    WHEN old_price IS NULL THEN 'null_old_price'
+    WHEN new_price IS NULL THEN 'null_new_price'
+    WHEN TRY_CAST(old_price AS DECIMAL(10,2)) IS NULL THEN 'out_of_range_old_price'
+    WHEN TRY_CAST(new_price AS DECIMAL(10,2)) IS NULL THEN 'out_of_range_new_price'
+    WHEN drop_amount IS NOT NULL AND TRY_CAST(drop_amount AS DECIMAL(10,2)) IS NULL
+      THEN 'out_of_range_drop_amount'
+    WHEN drop_percent IS NOT NULL AND TRY_CAST(drop_percent AS DECIMAL(5,2)) IS NULL
+      THEN 'out_of_range_drop_percent'
+    WHEN length(eid) > 255 THEN 'too_long_event_id'
+    WHEN length(source) > 50 THEN 'too_long_source'
+    WHEN length(lid) > 255 THEN 'too_long_listing_id'
+    WHEN NOT EXISTS (SELECT 1 FROM {_TRACKED} t WHERE t.event_id = a.event_id)
+      THEN 'unknown_event'
+  END AS reject_reason
+  FROM a)
+SELECT reject_reason, count(*) AS n FROM r WHERE reject_reason IS NOT NULL
+GROUP BY reject_reason""")
 def reject_reasons(spark, sf):
-    """Storing drop alerts: alerts of events the store does not know are
-    rejects (the alert path does not create events)."""
-    _, rejects = validate.split_known(_alerts(spark, sf), _tracked(spark, sf), ["event_id"])
+    """Storing drop alerts: constraint failures first, then alerts of events
+    the store does not know (the alert path does not create events)."""
+    none = F.lit(None).cast("string")
+    alerts = _alerts(spark, sf).withColumns(
+        {"section": none, "row": none, "seat": none, "listing_url": none,
+         "alert_type": F.lit("price_drop")})
+    _, rejects = history.store_alerts(alerts, _tracked(spark, sf),
+                                      stored_at=F.lit(AS_OF).cast("timestamp"))
     return validate.reject_counts(rejects)
 
 
