@@ -94,18 +94,22 @@ def source_summary(history: DataFrame) -> DataFrame:
 def price_histogram(history: DataFrame, bins: int = 30, by: str = "source") -> DataFrame:
     """``bins`` equal-width bins between the overall min and max price, counted
     per ``by``; the maximum falls in the last bin, empty bins are omitted.
-    The bounds are scalar subqueries (one small aggregation each), so there
-    is no join and no collect."""
-    lo = history.select(F.min("price")).scalar()
-    hi = history.select(F.max("price")).scalar()
+
+    Both bounds come from one scalar subquery (a single small aggregation,
+    no join, no collect). It is projected once as a column, so the table is
+    read once for the bounds and once for the counts."""
+    bounds = history.select(F.struct(F.min("price").alias("lo"),
+                                     F.max("price").alias("hi")).alias("b")).scalar()
+    lo, hi = F.col("_b.lo"), F.col("_b.hi")
+    pos = F.try_divide(F.col("price") - lo, hi - lo) * bins
+    b = F.least(F.coalesce(F.floor(pos) + 1, F.lit(1)), F.lit(bins)).cast("long")
+    counted = (history.where(F.col("price").isNotNull())
+               .select(by, "price", bounds.alias("_b"))
+               .groupBy(F.col(by), b.alias("bin"), F.col("_b"))
+               .agg(F.count(F.lit(1)).alias("n")))
     width = (hi - lo) / bins
-    raw = F.floor((F.col("price") - lo) / (hi - lo) * bins) + 1
-    b = F.least(F.coalesce(raw, F.lit(1)), F.lit(bins)).cast("long")
-    return (history.where(F.col("price").isNotNull())
-            .groupBy(F.col(by), b.alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(by, "bin", (lo + (F.col("bin") - 1) * width).alias("bin_start"),
-                    (lo + F.col("bin") * width).alias("bin_end"), "n"))
+    return counted.select(by, "bin", (lo + (F.col("bin") - 1) * width).alias("bin_start"),
+                          (lo + F.col("bin") * width).alias("bin_end"), "n")
 
 
 def alerts_per_hour(alerts: DataFrame, ts: str = "alert_timestamp") -> DataFrame:

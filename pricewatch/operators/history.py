@@ -41,14 +41,22 @@ def typed_history(events: DataFrame, ingest_time: Column | None = None,
     return out if keep_raw else out.drop("_raw_price", "_raw_fees", "_raw_total_price")
 
 
+def tag_history(events: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+    """Typed history rows, each with ``reject_reason`` (null when the row
+    meets every constraint)."""
+    typed = typed_history(events, ingest_time, keep_raw=True)
+    tagged = typed.withColumn(validate.REASON,
+                              validate.reason_column(validate.history_checks(typed.columns)))
+    return tagged.drop("_raw_price", "_raw_fees", "_raw_total_price")
+
+
 def ingest(events: DataFrame, dimension: DataFrame | None = None,
            ingest_time: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(history rows, rejects). Rejects keep the typed columns and a reason:
     constraint failures first, then events unknown to ``dimension``."""
-    typed = typed_history(events, ingest_time, keep_raw=True)
-    good, rejects = validate.split(typed, validate.history_checks(typed.columns))
-    raw = ["_raw_price", "_raw_fees", "_raw_total_price"]
-    good, rejects = good.drop(*raw), rejects.drop(*raw)
+    tagged = tag_history(events, ingest_time)
+    reason = F.col(validate.REASON)
+    good, rejects = tagged.where(reason.isNull()).drop(validate.REASON), tagged.where(reason.isNotNull())
     if dimension is not None:
         good, orphans = validate.split_known(good, dimension, ["event_id"])
         rejects = rejects.unionByName(orphans)

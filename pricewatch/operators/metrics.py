@@ -82,15 +82,23 @@ def counters(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def ingest_metrics(received: DataFrame, stored: DataFrame, rejects: DataFrame,
-                   created: DataFrame, duplicates: DataFrame | None = None) -> DataFrame:
+def ingest_metrics(tagged: DataFrame, created: DataFrame,
+                   duplicates: DataFrame | None = None) -> DataFrame:
     """The storage side's counters: messages received, prices stored, errors
-    (rejects), events created and, when deduplicating, duplicates skipped."""
-    parts = {"messages_received": received, "prices_stored": stored, "errors": rejects,
-             "events_created": created}
+    (rejects), events created and, when deduplicating, duplicates skipped.
+    ``tagged`` is the ingest frame with its ``reject_reason`` column, so the
+    first three come from one pass."""
+    reason = F.col("reject_reason")
+    one_pass = tagged.agg(F.count(F.lit(1)).alias("messages_received"),
+                          F.count_if(reason.isNull()).alias("prices_stored"),
+                          F.count_if(reason.isNotNull()).alias("errors"))
+    rows = one_pass.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric_name"), F.col(n).alias("metric_value"))
+        for n in ("messages_received", "prices_stored", "errors")])).alias("m")).select("m.*")
+    parts = {"events_created": created}
     if duplicates is not None:
         parts["duplicates_skipped"] = duplicates
-    return counters(parts)
+    return rows.unionByName(counters(parts))
 
 
 def alert_metrics(alerts: DataFrame, stored: DataFrame, rejects: DataFrame) -> DataFrame:

@@ -377,10 +377,9 @@ def ingest_metrics(spark, sf):
     unknown events are created (not rejected) before their prices are
     stored."""
     events = _price_events(spark, sf)
-    stored, rejects = history.ingest(events)
     known = _tracked(spark, sf).select(F.col("event_id").cast("string").alias("event_id"))
-    created = history.new_events(stored, known)
-    return metrics.ingest_metrics(events, stored, rejects, created)
+    created = history.new_events(events, known)
+    return metrics.ingest_metrics(history.tag_history(events), created)
 
 
 @register("retention_filter", f"""
@@ -599,7 +598,7 @@ def _rules(spark, sf):
         F.col("c_custkey").alias("event_id"),
         F.floor(F.abs("c_acctbal") / 20).cast("decimal(10,2)").alias("target_price"),
         F.lit(None).cast("string").alias("section"), F.lit(None).cast("int").alias("max_row"),
-        F.lit("discord").alias("notification_method"),
+        F.lit("webhook").alias("notification_method"),
         (F.col("c_acctbal") >= 0).alias("active"))
 
 
