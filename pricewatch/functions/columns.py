@@ -96,3 +96,10 @@ def fmt_percent(x) -> Column:
 def fmt_time(ts) -> Column:
     """``2024-01-31 12:00:00``."""
     return F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss")
+
+
+def trunc_time(df, unit: str, ts: str) -> Column:
+    """``date_trunc`` that keeps the column's own timestamp type (Spark's
+    returns a zoned timestamp even for ``timestamp_ntz`` input)."""
+    kind = df.schema[ts].dataType.simpleString()
+    return F.date_trunc(unit, F.col(ts)).cast(kind)

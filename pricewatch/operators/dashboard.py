@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewatch.functions.columns import fmt_money, fmt_percent, fmt_time, since
+from pricewatch.functions.columns import fmt_money, fmt_percent, fmt_time, since, trunc_time
 
 
 def _for_event(df: DataFrame, event_id, key: str = "event_id") -> DataFrame:
@@ -79,7 +79,7 @@ def event_by_name(events: DataFrame, name: str) -> DataFrame:
 def avg_price_by_time_source(history: DataFrame, unit: str | None = None) -> DataFrame:
     """Mean price per (time, source), ascending time. ``unit`` (e.g. ``hour``,
     ``day``) truncates the time first; None groups on the exact timestamp."""
-    t = F.col("timestamp") if unit is None else F.date_trunc(unit, "timestamp")
+    t = F.col("timestamp") if unit is None else trunc_time(history, unit, "timestamp")
     return (history.groupBy(t.alias("timestamp"), "source")
             .agg(F.avg("price").alias("avg_price"), F.count(F.lit(1)).alias("n"))
             .orderBy("timestamp", "source"))
@@ -113,7 +113,7 @@ def price_histogram(history: DataFrame, bins: int = 30, by: str = "source") -> D
 
 
 def alerts_per_hour(alerts: DataFrame, ts: str = "alert_timestamp") -> DataFrame:
-    return (alerts.groupBy(F.date_trunc("hour", ts).alias("hour"))
+    return (alerts.groupBy(trunc_time(alerts, "hour", ts).alias("hour"))
             .agg(F.count(F.lit(1)).alias("alerts")).orderBy("hour"))
 
 

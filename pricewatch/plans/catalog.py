@@ -143,10 +143,13 @@ def _metrics_sql(src):
     return f"""
 WITH c AS (SELECT {_KIND} AS t FROM ({_base(src)}) b)
 SELECT count(*) AS events_processed,
-       count_if(t IN ('drop', 'increase')) AS price_changes,
-       count_if(t = 'drop') AS price_drops, count_if(t = 'increase') AS price_increases,
-       count_if(t = 'same') AS unchanged, count_if(t = 'new') AS new_listings,
-       count_if(t = 'invalid') AS invalid_prices, count_if(false) AS errors
+       CAST(count_if(t IN ('drop', 'increase')) AS BIGINT) AS price_changes,
+       CAST(count_if(t = 'drop') AS BIGINT) AS price_drops,
+       CAST(count_if(t = 'increase') AS BIGINT) AS price_increases,
+       CAST(count_if(t = 'same') AS BIGINT) AS unchanged,
+       CAST(count_if(t = 'new') AS BIGINT) AS new_listings,
+       CAST(count_if(t = 'invalid') AS BIGINT) AS invalid_prices,
+       CAST(count_if(false) AS BIGINT) AS errors
 FROM c"""
 
 
@@ -540,7 +543,8 @@ def latest_update(spark, sf):
 
 @register("cheapest_per_event", f"""
 SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY price, listing_id) AS price_rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY price, listing_id)
+              AS INTEGER) AS price_rank
   FROM {_PH} p WHERE price IS NOT NULL) WHERE price_rank <= 100""")
 def cheapest_per_event(spark, sf):
     return dashboard.cheapest_per_event(_history(spark, sf), 100)
