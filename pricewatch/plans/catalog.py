@@ -223,6 +223,25 @@ def price_drop_alerts_shifted(spark, sf):
     return a.select("event_id", "user_id", "event_type", "ts", "old_price", "new_price")
 
 
+@register("source_drop_alerts", f"""
+WITH b AS (
+  SELECT event_id, event_type, ts, value,
+         max(CASE WHEN {_valid()} THEN value END) OVER (
+             PARTITION BY event_type ORDER BY ts, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS base
+  FROM events)
+SELECT event_id, event_type, ts, base AS old_price, value AS new_price,
+       base - value AS drop_amount, abs((value - base) / base * 100) AS drop_percent
+FROM b WHERE {_valid()} AND value < base""")
+def source_drop_alerts(spark, sf):
+    """Drops against a whole source's running peak: the same detector keyed
+    by source only, so each key holds about a fifth of all rows (the hot-key
+    case of the two-level scan)."""
+    c = changes.classify_changes(_events(spark, sf), ["event_type"], PRICE, ORDER)
+    return changes.drop_alerts(c, PRICE).select("event_id", "event_type", "ts", "old_price",
+                                                "new_price", "drop_amount", "drop_percent")
+
+
 @register("listing_baselines", f"""
 SELECT user_id, event_type, value AS baseline_price, ts AS baseline_ts,
        event_id AS baseline_event_id

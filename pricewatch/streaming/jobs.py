@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pricewatch.operators import changes, history
-from pricewatch.sources.feeds import write_batch
+from pricewatch.functions.columns import listing_key
+from pricewatch.operators import changes, history, normalize
+from pricewatch.sources.feeds import read_responses, write_batch
 from pricewatch.streaming.detector import detect_changes_stream
 
 # Names of the observed metrics of the detector query.
@@ -55,6 +56,36 @@ def start_detector(events: DataFrame, processed_path: str, alerts_path: str, che
     return w.start()
 
 
+def start_normalizer(spark: SparkSession, responses_path: str, tracked: DataFrame, source: str,
+                     out_path: str, rejects_path: str, checkpoint: str,
+                     trigger: dict | None = None, max_files_per_trigger: int | None = None,
+                     kafka_options: dict | None = None) -> StreamingQuery:
+    """The producer side: landed API responses of one source are parsed by
+    its adapter, joined to the tracked events and published as price-event
+    JSON keyed by listing; listings that do not parse go to rejects. With
+    ``kafka_options`` the events go to Kafka instead of JSON text files."""
+    listings = read_responses(spark, responses_path, stream=True,
+                              max_files_per_trigger=max_files_per_trigger)
+    adapter = normalize.ADAPTERS[source]
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good, rejects = adapter(batch, tracked)
+            wire = normalize.to_wire(good, key=listing_key(*changes.LISTING_KEYS))
+            if kafka_options:
+                wire.write.format("kafka").options(**kafka_options).save()
+            else:
+                write_batch(wire.select("value"), out_path, batch_id, fmt="text")
+            write_batch(rejects, rejects_path, batch_id)
+        finally:
+            batch.unpersist()
+
+    w = listings.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
+    return w.start()
+
+
 def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimension_path: str,
                   checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """The storage side: typed history and rejects per batch, and the event

@@ -125,3 +125,48 @@ def test_throughput_stream(spark, scratch):
     # windows ending within the lateness of the newest record are not final yet
     assert got and all(want[k] == v for k, v in got.items())
     assert len(got) >= len(want) - 5
+
+
+def test_normalizer_stream(spark, scratch):
+    import json
+    from pricewatch.schemas import TRACKED_EVENT
+    src = os.path.join(scratch, "responses")
+    os.makedirs(src)
+    batches = [
+        {"event_id": "ev_a", "listings": [{"id": "1", "price": 100, "section": "101", "row": 5},
+                                          {"id": "2", "price": "abc"}]},
+        {"event_id": "ev_a", "listings": [{"id": "1", "price": 90, "section": "101", "row": 5},
+                                          {"id": "3", "price": "75.5", "fees": {"total": 5}}]},
+    ]
+    for i, b in enumerate(batches):
+        with open(os.path.join(src, f"r{i}.json"), "w") as fh:
+            fh.write(json.dumps(b) + "\n")
+    tracked = spark.createDataFrame([("ev_a", "Alpha", "North", "2025-05-15T19:00:00Z")],
+                                    TRACKED_EVENT)
+    q = jobs.start_normalizer(spark, src, tracked, "seatgeek", f"{scratch}/wire",
+                              f"{scratch}/rejects", f"{scratch}/ckpt", max_files_per_trigger=1)
+    q.awaitTermination()
+    events, bad = read_price_events(spark, f"{scratch}/wire")
+    got = sorted((r.listing_id, r.price, r.total_price, r.event_name) for r in events.collect())
+    assert got == [("seatgeek_1", 90.0, 90.0, "Alpha"), ("seatgeek_1", 100.0, 100.0, "Alpha"),
+                   ("seatgeek_3", 75.5, 80.5, "Alpha")]
+    assert bad.count() == 0
+    rejects = spark.read.parquet(f"{scratch}/rejects").collect()
+    assert [(r.listing_id, r.reject_reason) for r in rejects] == [("seatgeek_2", "bad_number")]
+
+
+def test_two_consumers_one_source(spark, scratch):
+    df = with_num(price_events(spark))
+    src = os.path.join(scratch, "src")
+    land(spark, df, src, 2)
+    detector_in, _ = read_price_events(spark, f"{src}/*/", stream=True)
+    storage_in, _ = read_price_events(spark, f"{src}/*/", stream=True)
+    q1 = jobs.start_detector(detector_in, f"{scratch}/processed", f"{scratch}/alerts",
+                             f"{scratch}/ckpt_detector")
+    q2 = jobs.start_storage(storage_in, f"{scratch}/history", f"{scratch}/rejects",
+                            f"{scratch}/dimension", f"{scratch}/ckpt_storage")
+    q1.awaitTermination()
+    q2.awaitTermination()
+    n = df.count()
+    assert spark.read.parquet(f"{scratch}/processed").count() == n
+    assert spark.read.parquet(f"{scratch}/history").count() == n
