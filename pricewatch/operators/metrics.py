@@ -105,3 +105,17 @@ def alert_metrics(alerts: DataFrame, stored: DataFrame, rejects: DataFrame) -> D
     """The alert side's counters: alerts processed, stored, errors. Nothing is
     posted from Spark, so there is no "sent" counter."""
     return counters({"alerts_processed": alerts, "alerts_stored": stored, "errors": rejects})
+
+
+def as_system_metrics(counts: DataFrame, at=None) -> DataFrame:
+    """``(metric_name, metric_value)`` rows as system-metrics records: value
+    as DECIMAL(15,2), stamped with ``at`` (default now)."""
+    stamp = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    return counts.select("metric_name", F.col("metric_value").cast("decimal(15,2)").alias("metric_value"),
+                         stamp.alias("timestamp"))
+
+
+def latest_metrics(system_metrics: DataFrame) -> DataFrame:
+    """The compacted view: the newest value of every metric."""
+    return latest_per_key(system_metrics, ["metric_name"], ["timestamp"],
+                          ["metric_value", "timestamp"])

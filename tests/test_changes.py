@@ -118,3 +118,28 @@ def test_error_when_price_text_is_junk(spark):
     got = {r.listing_id: r.change_type
            for r in changes.classify_changes(df, raw_price="raw").collect()}
     assert got == {"a": "new", "b": "error"}
+
+
+@pytest.mark.parametrize("chunk", ["second", "minute", "day"])
+@pytest.mark.parametrize("baseline", ["max", "previous"])
+def test_hot_keys(spark, chunk, baseline):
+    """Keyed by source only, each key holds about a fifth of all rows."""
+    from conftest import SF_MID
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet").withColumn("value", F.col("value") - 10)
+    rows = sorted(ev.select("event_type", "ts", "event_id", "value").collect(),
+                  key=lambda r: (r.ts, r.event_id))
+    if baseline == "max":
+        want, _ = state_machine([(r.event_type, r.value, r.event_id) for r in rows])
+    else:
+        want, last = {}, {}
+        for r in rows:
+            if r.value is None or math.isnan(r.value) or r.value <= 0:
+                want[r.event_id] = ("invalid", None)
+                continue
+            old = last.get(r.event_type)
+            want[r.event_id] = ("new", None) if old is None else (
+                ("drop" if r.value < old else "increase" if r.value > old else "same"), old)
+            last[r.event_type] = r.value
+    got = changes.classify_changes(ev, ("event_type",), "value", ("ts", "event_id"),
+                                   baseline=baseline, chunk=chunk)
+    assert {r.event_id: (r.change_type, r.old_price) for r in got.collect()} == want

@@ -130,3 +130,12 @@ def test_payload(spark):
     assert [f["value"] for f in second["fields"]] == [
         "Unknown Venue", "Unknown Row N/A Seat N/A", "$2.67 → **$1.00**", "$1.68 (62.6%)", "UNKNOWN"]
     assert second["description"] == "**Unknown Event**"
+
+
+def test_system_metrics_latest(spark):
+    a = spark.createDataFrame([("errors", 1), ("stored", 5)], "metric_name string, metric_value long")
+    b = spark.createDataFrame([("errors", 3)], "metric_name string, metric_value long")
+    rows = metrics.as_system_metrics(a, "2024-01-01 00:00:00").unionByName(
+        metrics.as_system_metrics(b, "2024-01-02 00:00:00"))
+    got = {r.metric_name: str(r.metric_value) for r in metrics.latest_metrics(rows).collect()}
+    assert got == {"errors": "3.00", "stored": "5.00"}
