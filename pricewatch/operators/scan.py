@@ -3,56 +3,102 @@
 The detector needs, for every row, an aggregate over the *earlier* rows of
 its key (the running maximum of valid prices, or the previous valid price).
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so a
-listing that holds a third of the data would run on one core. Here the scan
-is done in two levels instead:
-
-1. Rows are cut into chunks of (key, time bucket). A small summary table with
-   one row per chunk (its max, or its last value) is built with an ordinary
-   aggregation, which combines map-side before the shuffle.
-2. A window over the summary (one row per chunk, so tiny even for a hot key)
-   gives each chunk the carry-in from all earlier chunks of the key.
+listing that holds a third of the data would run on one core.
+
+The key distribution is therefore checked first, and only hot keys are
+scanned in two levels:
+
+0. One aggregation counts rows per key (it combines map-side) and returns the
+   largest keys holding more than ``hot_rows`` rows, at most
+   ``max_hot_keys`` of them, so the list has a proven bound: it is fetched
+   and broadcast. Keys beyond that list are still scanned exactly, by the
+   plain window. With no hot key (the usual case) the scan is one window,
+   one shuffle.
+1. Rows of hot keys are cut into chunks of (key, ``date_trunc(chunk, ts)``);
+   a summary with one row per chunk (its max, or its last value) is built by
+   an aggregation.
+2. A window over the summary (one row per chunk, so small even for a hot key)
+   gives each chunk the carry-in from the earlier chunks of its key.
 3. The carry-in rows are unioned into the data as a marker row that sorts
    first in its chunk, and one window partitioned by (key, chunk) finishes the
-   scan. The data is shuffled once, on (key, chunk), and a hot key is spread
-   over as many tasks as it has chunks. No join is needed.
+   scan. Other keys form a single chunk each and need no marker.
 
-The result is exact: it equals the single window over the whole key.
+The data is shuffled once, on (key, chunk); a hot key is spread over as many
+tasks as it has chunks; no join of the data to the summary is needed. The
+result is exact: it equals the single window over the whole key.
 
-Choosing ``chunk``: a key's rows within one chunk are scanned by one task,
-and a key's chunks are ordered by one task in level 2. The default
-``minute`` keeps both small: a listing updated 100,000 times a second has
-6M rows per chunk, and a month of it is 43,200 summary rows. Listings with
-sparse updates get one chunk per update whatever the unit, so a finer unit
-costs nothing for them.
+Choosing ``chunk``: one chunk of one hot key is scanned by one task. With
+``minute`` a key updated 100,000 times a second still makes 6M-row chunks,
+and a month of it is 43,200 summary rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CHUNK, _V, _MARK, _CARRY = "_pw_chunk", "_pw_v", "_pw_marker", "_pw_carry"
+_CHUNK, _V, _MARK, _CARRY, _HOT, _N = ("_pw_chunk", "_pw_v", "_pw_marker", "_pw_carry",
+                                       "_pw_hot", "_pw_n")
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = 1_000_000,
+             max_hot_keys: int = 10_000) -> DataFrame | None:
+    """The largest keys with more than ``hot_rows`` rows (at most
+    ``max_hot_keys``, a top-k in one job) as a small local DataFrame, or
+    None when no key is that large."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
+    rows = (counts.where(F.col(_N) > hot_rows).orderBy(F.col(_N).desc())
+            .limit(max_hot_keys).select(*keys).collect())
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema)
+
+
+def _mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Add ``_pw_hot`` (true for rows of hot keys); the bounded list is
+    broadcast, so the data is not shuffled for this."""
+    renamed = hot.select(*[F.col(k).alias(f"_pw_h{i}") for i, k in enumerate(keys)],
+                         F.lit(True).alias(_HOT))
+    cond = reduce(lambda a, b: a & b,
+                  [df[k].eqNullSafe(renamed[f"_pw_h{i}"]) for i, k in enumerate(keys)])
+    out = df.join(F.broadcast(renamed), cond, "left")
+    return out.drop(*[f"_pw_h{i}" for i in range(len(keys))]).withColumn(
+        _HOT, F.coalesce(F.col(_HOT), F.lit(False)))
+
+
 def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-               out: str, ts: str, how: str = "max", chunk: str = "minute") -> DataFrame:
+               out: str, ts: str, how: str = "max", chunk: str = "minute",
+               hot_rows: int = 1_000_000, max_hot_keys: int = 10_000) -> DataFrame:
     """Add ``out``: over the earlier rows of the same ``keys`` (by ``order``,
     ascending), the ``max`` of ``value`` or the ``last`` non-null ``value``.
-    Nulls in ``value`` are skipped. ``ts`` must be the first ``order`` column;
-    ``chunk`` is the ``date_trunc`` unit that cuts a key into chunks."""
+    Nulls in ``value`` are skipped. ``ts`` must be the first ``order`` column.
+    ``hot_rows=0`` chunks every key."""
     if how not in ("max", "last"):
         raise ValueError(f"how must be 'max' or 'last', not {how!r}")
     keys, order = list(keys), list(order)
-    tagged = df.withColumn(_CHUNK, F.date_trunc(chunk, F.col(ts))).withColumn(_V, value)
+    hot = hot_keys(df, keys, hot_rows, max_hot_keys)
+    if hot is None:
+        w = (Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
+             .rowsBetween(Window.unboundedPreceding, -1))
+        agg = F.max(value) if how == "max" else F.last(value, ignorenulls=True)
+        return df.withColumn(out, agg.over(w))
+    marked = _mark_hot(df, keys, hot)
+    # Hot rows get a chunk (rows without a time sort first, so they share the
+    # earliest chunk); other rows keep a null chunk: one group per key.
+    first = F.lit("0001-01-01 00:00:00").cast("timestamp")
+    cut = F.coalesce(F.date_trunc(chunk, F.col(ts)), first)
+    tagged = (marked.withColumn(_CHUNK, F.when(F.col(_HOT), cut)).drop(_HOT)
+              .withColumn(_V, value))
 
-    # Level 1: one summary row per (key, chunk).
-    present = tagged.where(F.col(_V).isNotNull())
+    # Level 1: one summary row per chunk of a hot key.
+    present = tagged.where(F.col(_CHUNK).isNotNull() & F.col(_V).isNotNull())
     if how == "max":
         summary = present.groupBy(*keys, _CHUNK).agg(F.max(_V).alias(_CARRY))
         per_chunk = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(
@@ -64,7 +110,8 @@ def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         carry = F.lag(_CARRY).over(Window.partitionBy(*keys).orderBy(_CHUNK))
 
     # Level 2: carry-in of each chunk from the chunks before it.
-    markers = summary.select(*keys, _CHUNK, carry.alias(_V)).withColumn(_MARK, F.lit(True))
+    markers = (summary.select(*keys, _CHUNK, carry.alias(_V))
+               .where(F.col(_V).isNotNull()).withColumn(_MARK, F.lit(True)))
     data = tagged.withColumn(_MARK, F.lit(False))
     both = data.unionByName(markers, allowMissingColumns=True)
 

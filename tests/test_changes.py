@@ -89,7 +89,7 @@ def test_window_equals_state_machine(spark, chunk):
                   key=lambda r: (r.ts, r.event_id))
     want, _ = state_machine([((r.user_id, r.event_type), r.value, r.event_id) for r in rows])
     got = changes.classify_changes(ev, ("user_id", "event_type"), "value", ("ts", "event_id"),
-                                   chunk=chunk)
+                                   chunk=chunk, hot_rows=0)
     got = {r.event_id: (r.change_type, r.old_price) for r in got.collect()}
     assert got == want
     assert any(v[0] == "invalid" for v in want.values())
@@ -120,9 +120,10 @@ def test_error_when_price_text_is_junk(spark):
     assert got == {"a": "new", "b": "error"}
 
 
-@pytest.mark.parametrize("chunk", ["second", "minute", "day"])
+@pytest.mark.parametrize("chunk,hot_rows", [("second", 0), ("minute", 1000), ("day", 0),
+                                            ("minute", 10 ** 9)])
 @pytest.mark.parametrize("baseline", ["max", "previous"])
-def test_hot_keys(spark, chunk, baseline):
+def test_hot_keys(spark, chunk, hot_rows, baseline):
     """Keyed by source only, each key holds about a fifth of all rows."""
     from conftest import SF_MID
     ev = spark.read.parquet(f"{SF_MID}/events.parquet").withColumn("value", F.col("value") - 10)
@@ -141,5 +142,5 @@ def test_hot_keys(spark, chunk, baseline):
                 ("drop" if r.value < old else "increase" if r.value > old else "same"), old)
             last[r.event_type] = r.value
     got = changes.classify_changes(ev, ("event_type",), "value", ("ts", "event_id"),
-                                   baseline=baseline, chunk=chunk)
+                                   baseline=baseline, chunk=chunk, hot_rows=hot_rows)
     assert {r.event_id: (r.change_type, r.old_price) for r in got.collect()} == want
