@@ -54,13 +54,15 @@ def ingest(events: DataFrame, dimension: DataFrame | None = None,
            ingest_time: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(history rows, rejects). Rejects keep the typed columns and a reason:
     constraint failures first, then events unknown to ``dimension``."""
-    tagged = tag_history(events, ingest_time)
-    reason = F.col(validate.REASON)
-    good, rejects = tagged.where(reason.isNull()).drop(validate.REASON), tagged.where(reason.isNotNull())
+    typed = typed_history(events, ingest_time, keep_raw=True)
+    checks = validate.history_checks(typed.columns)
     if dimension is not None:
-        good, orphans = validate.split_known(good, dimension, ["event_id"])
-        rejects = rejects.unionByName(orphans)
-    return good, rejects
+        typed = validate.with_known_flag(typed, dimension, ["event_id"])
+        checks.append(validate.known_check())
+    good, rejects = validate.split(typed, checks)
+    extra = ["_raw_price", "_raw_fees", "_raw_total_price", validate.KNOWN]
+    return (good.drop(*[c for c in extra if c in good.columns]),
+            rejects.drop(*[c for c in extra if c in rejects.columns]))
 
 
 def event_dimension(events: DataFrame, key: str = "event_id",
@@ -126,10 +128,10 @@ def store_alerts(alerts: DataFrame, dimension: DataFrame | None = None,
     checks += [(f"null_{c}", F.col(f"_raw_{c}").isNotNull()) for c in ("old_price", "new_price")]
     checks += validate.range_checks({c[len("_raw_"):]: c for c in raw})
     checks += validate.length_checks(present=typed.columns)
-    good, rejects = validate.split(typed, checks)
-    good, rejects = good.drop(*raw), rejects.drop(*raw)
     if dimension is not None:
-        good, orphans = validate.split_known(good, dimension.select(
+        typed = validate.with_known_flag(typed, dimension.select(
             F.col("event_id").cast("string").alias("event_id")), ["event_id"])
-        rejects = rejects.unionByName(orphans)
-    return good, rejects
+        checks.append(validate.known_check())
+        raw.append(validate.KNOWN)
+    good, rejects = validate.split(typed, checks)
+    return good.drop(*raw), rejects.drop(*raw)

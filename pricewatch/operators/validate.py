@@ -79,11 +79,28 @@ def with_known_keys(df: DataFrame, dim: DataFrame, on: Sequence[str],
     return df.join(dim.select(*on), list(on), how)
 
 
+KNOWN = "_pw_known"
+
+
+def with_known_flag(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Add ``_pw_known``: whether the row's key exists in ``dim``. One left
+    join to the dimension's distinct keys, so rows are never duplicated and
+    the known/unknown split needs no second pass."""
+    keys = dim.select(*on).distinct().withColumn(KNOWN, F.lit(True))
+    return df.join(keys, list(on), "left").withColumn(
+        KNOWN, F.coalesce(F.col(KNOWN), F.lit(False)))
+
+
+def known_check(reason: str = "unknown_event") -> tuple[str, Column]:
+    """The check for rows tagged by ``with_known_flag``."""
+    return reason, F.col(KNOWN)
+
+
 def split_known(df: DataFrame, dim: DataFrame, on: Sequence[str],
                 reason: str = "unknown_event") -> tuple[DataFrame, DataFrame]:
-    good = with_known_keys(df, dim, on, "left_semi")
-    orphans = with_known_keys(df, dim, on, "left_anti").withColumn(REASON, F.lit(reason))
-    return good, orphans
+    """(rows whose key is in ``dim``, orphans with a reject reason)."""
+    good, orphans = split(with_known_flag(df, dim, on), [known_check(reason)])
+    return good.drop(KNOWN), orphans.drop(KNOWN)
 
 
 def dedup(df: DataFrame, keys: Sequence[str] = ("listing_id", "timestamp")) -> DataFrame:
