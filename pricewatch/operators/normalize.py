@@ -13,6 +13,7 @@ from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricewatch.operators import validate
 from pricewatch.schemas import PRICE_EVENT, PRICE_EVENT_WIRE
@@ -111,15 +112,17 @@ def from_wire(records: DataFrame, value: str = "value",
     times are ISO-8601 with ``Z`` or an offset. Text that is not a JSON
     object, or has no event id, is rejected as ``malformed_json``; other
     fields that do not parse become null."""
+    schema = T.StructType(PRICE_EVENT_WIRE.fields + [T.StructField("_corrupt", T.StringType())])
     parsed = records.select(*keep, F.col(value).cast("string").alias("_raw"),
-                            F.from_json(F.col(value).cast("string"), PRICE_EVENT_WIRE).alias("e"))
+                            F.from_json(F.col(value).cast("string"), schema,
+                                        {"columnNameOfCorruptRecord": "_corrupt"}).alias("e"))
     typed = parsed.select(
         *keep, "_raw",
         *[(F.try_to_timestamp(F.col(f"e.{f.name}")) if f.name in ("event_date", "timestamp")
            else F.col(f"e.{f.name}").try_cast(f.dataType)).alias(f.name)
           for f in PRICE_EVENT.fields],
         F.col("e.price").alias("_raw_price"),
-        F.json_object_keys("_raw").isNotNull().alias("_is_object"))
+        (F.col("e").isNotNull() & F.col("e._corrupt").isNull()).alias("_is_object"))
     good, rejects = validate.split(typed, [("malformed_json", F.col("_is_object")),
                                            ("null_event_id", F.col("event_id").isNotNull())])
     return good.drop("_raw", "_is_object"), rejects.drop("_is_object")
