@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricewatch import fixed
 from pricewatch.functions.columns import valid_price
 from pricewatch.operators.scan import prior_scan
 
@@ -71,7 +72,7 @@ def drop_alerts(classified: DataFrame, price: str = "price",
                 "drop_amount": F.col("old_price") - F.col(price),
                 "drop_percent": F.abs(F.col("change_percent")),
                 "alert_timestamp": alert_time if alert_time is not None else F.current_timestamp(),
-                "alert_type": F.lit("price_drop"),
+                "alert_type": F.lit(fixed.ALERT_TYPE),
             }))
 
 

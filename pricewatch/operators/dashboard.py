@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricewatch import fixed
 from pricewatch.functions.columns import fmt_money, fmt_percent, fmt_time, since, trunc_time
 
 
@@ -21,8 +22,8 @@ def _for_event(df: DataFrame, event_id, key: str = "event_id") -> DataFrame:
     return df if event_id is None else df.where(F.col(key) == F.lit(event_id))
 
 
-def recent_prices(history: DataFrame, events: DataFrame, hours: int = 24, as_of=None,
-                  event_id=None, limit: int = 10000,
+def recent_prices(history: DataFrame, events: DataFrame, hours: int = fixed.DEFAULT_HOURS,
+                  as_of=None, event_id=None, limit: int = fixed.HISTORY_LIMIT,
                   cols: Sequence[str] = ("event_id", "section", "row", "seat", "price",
                                          "fees", "total_price", "source", "timestamp",
                                          "listing_id", "listing_url")) -> DataFrame:
@@ -37,7 +38,7 @@ def recent_prices(history: DataFrame, events: DataFrame, hours: int = 24, as_of=
             .limit(limit))
 
 
-def price_stats(history: DataFrame, hours: int = 48, as_of=None, event_id=None) -> DataFrame:
+def price_stats(history: DataFrame, hours: int = fixed.DEFAULT_HOURS, as_of=None, event_id=None) -> DataFrame:
     """Count, mean, min, max price and number of sources; empty input gives
     zeros, not nulls."""
     ph = _for_event(history.where(since("timestamp", hours, as_of)), event_id)
@@ -49,7 +50,7 @@ def price_stats(history: DataFrame, hours: int = 48, as_of=None, event_id=None)
         F.count_distinct("source").alias("num_sources"))
 
 
-def recent_alerts(alerts: DataFrame, events: DataFrame, limit: int = 20,
+def recent_alerts(alerts: DataFrame, events: DataFrame, limit: int = fixed.ALERTS_LIMIT,
                   event_id=None) -> DataFrame:
     """Newest ``limit`` alerts with their event; an event filter applies to
     those ``limit`` rows, after the limit, as the dashboard does."""
@@ -91,7 +92,7 @@ def source_summary(history: DataFrame) -> DataFrame:
                  F.max("price").alias("max_price")))
 
 
-def price_histogram(history: DataFrame, bins: int = 30, by: str = "source") -> DataFrame:
+def price_histogram(history: DataFrame, bins: int = fixed.HISTOGRAM_BINS, by: str = "source") -> DataFrame:
     """``bins`` equal-width bins between the overall min and max price, counted
     per ``by``; the maximum falls in the last bin, empty bins are omitted.
 
@@ -117,7 +118,7 @@ def alerts_per_hour(alerts: DataFrame, ts: str = "alert_timestamp") -> DataFrame
             .agg(F.count(F.lit(1)).alias("alerts")).orderBy("hour"))
 
 
-def top_events_by_prices(history: DataFrame, events: DataFrame, k: int = 5) -> DataFrame:
+def top_events_by_prices(history: DataFrame, events: DataFrame, k: int = fixed.TOP_EVENTS) -> DataFrame:
     """Events with the most stored prices: count, min and max price. The
     aggregation runs before the join, so the join sees one row per event."""
     per_event = history.groupBy("event_id").agg(
@@ -144,7 +145,7 @@ def latest_update(history: DataFrame) -> DataFrame:
     return history.agg(F.max("timestamp").alias("latest_update"))
 
 
-def cheapest_per_event(history: DataFrame, k: int = 100, key: str = "event_id",
+def cheapest_per_event(history: DataFrame, k: int = fixed.CHEAPEST_PER_EVENT, key: str = "event_id",
                        tie: str = "listing_id") -> DataFrame:
     """The ``k`` cheapest listings of every event. Spark inserts a partial
     window-group limit before the shuffle, so each map task forwards at most

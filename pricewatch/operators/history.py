@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricewatch import fixed
 from pricewatch.functions.columns import try_money
 from pricewatch.operators import validate
 
@@ -26,7 +27,7 @@ def typed_history(events: DataFrame, ingest_time: Column | None = None,
     total = F.coalesce(F.col("total_price"), price)
     out = events.select(
         F.col("event_id"),
-        F.coalesce(F.col("source"), F.lit("unknown")).alias("source"),
+        F.coalesce(F.col("source"), F.lit(fixed.UNKNOWN_SOURCE)).alias("source"),
         "section", "row", "seat",
         try_money(price).alias("price"),
         try_money(fees).alias("fees"),
@@ -105,7 +106,7 @@ def typed_alerts(alerts: DataFrame, stored_at: Column | None = None) -> DataFram
     created = stored_at if stored_at is not None else F.current_timestamp()
     return alerts.select(
         F.col("event_id").cast("string").alias("event_id"),
-        F.coalesce(F.col("alert_type"), F.lit("price_drop")).alias("alert_type"),
+        F.coalesce(F.col("alert_type"), F.lit(fixed.ALERT_TYPE)).alias("alert_type"),
         F.coalesce(F.col("alert_timestamp"), created).alias("alert_timestamp"),
         try_money("old_price").alias("old_price"), try_money("new_price").alias("new_price"),
         try_money("drop_amount").alias("drop_amount"),

@@ -8,9 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricewatch import fixed
+
 
 def ewma(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
-         alpha: float = 0.1, chunk: str = "minute", out: str = "ewma") -> DataFrame:
+         alpha: float = fixed.EWMA_ALPHA, chunk: str = "minute", out: str = "ewma") -> DataFrame:
     """Exponentially weighted mean of ``value`` per ``group`` in ``order``,
     seeded with the first value: ``m = x1``, then ``m = (1-a)*m + a*x``.
 
@@ -56,7 +58,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in cols]))
 
 
-def throughput(df: DataFrame, ts: str, every: str = "5 minutes") -> DataFrame:
+def throughput(df: DataFrame, ts: str, every: str = fixed.THROUGHPUT_WINDOW) -> DataFrame:
     """Messages per tumbling window and per minute within it."""
     minutes = _minutes(every)
     return (df.groupBy(F.window(ts, every).start.alias("window_start"))

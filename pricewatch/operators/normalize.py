@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 from pricewatch.operators import validate
 from pricewatch.schemas import PRICE_EVENT, PRICE_EVENT_WIRE
 
-# Defaults of the listing fields.
-UNKNOWN = "Unknown"
-DEFAULT_QUANTITY = 1
+from pricewatch import fixed
+
+UNKNOWN, DEFAULT_QUANTITY = fixed.UNKNOWN, fixed.DEFAULT_QUANTITY
 
 
 def explode_listings(responses: DataFrame) -> DataFrame:
@@ -78,11 +78,11 @@ def parse_listings(listings: DataFrame, tracked: DataFrame, source: str,
     return good.drop("_numbers_ok", "_tracked"), rejects.drop("_numbers_ok", "_tracked")
 
 
-# Per-source adapters. The mock source dates unknown events 30 days ahead.
+# Per-source adapters; they differ in delivery default and date fallback.
 ADAPTERS = {
-    "seatgeek": partial(parse_listings, source="seatgeek", default_delivery="unknown"),
-    "mock": partial(parse_listings, source="mock", default_delivery="mobile",
-                    date_fallback_days=30),
+    src: partial(parse_listings, source=src, default_delivery=fixed.DELIVERY_DEFAULT[src],
+                 date_fallback_days=fixed.DATE_FALLBACK_DAYS[src])
+    for src in fixed.DELIVERY_DEFAULT
 }
 
 

@@ -10,16 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricewatch import fixed
 from pricewatch.functions.columns import fmt_money, fmt_percent
 
-# Fixed values of the message layout.
-TITLE = "🚨 Price Drop Alert!"
-COLOR = 0x00FF00
-FIELD_VENUE = "📍 Venue"
-FIELD_SECTION = "🎫 Section"
-FIELD_PRICE = "💰 Price Change"
-FIELD_DROP = "📉 Drop"
-FIELD_SOURCE = "🔗 Source"
+TITLE, COLOR = fixed.MSG_TITLE, fixed.MSG_COLOR
 DEFAULT_FOOTER = "Price Monitor"
 
 
@@ -34,15 +28,16 @@ def _num(c: str) -> Column:
 def message_texts(alerts: DataFrame) -> DataFrame:
     """The formatted text pieces of the message, one column each."""
     return alerts.withColumns({
-        "msg_description": F.concat(F.lit("**"), _or("event_name", "Unknown Event"), F.lit("**")),
-        "msg_venue": _or("venue", "Unknown Venue"),
-        "msg_seat": F.format_string("%s Row %s Seat %s", _or("section", "Unknown"),
-                                    _or("row", "N/A"), _or("seat", "N/A")),
+        "msg_description": F.concat(F.lit("**"), _or("event_name", fixed.MSG_UNKNOWN_EVENT), F.lit("**")),
+        "msg_venue": _or("venue", fixed.MSG_UNKNOWN_VENUE),
+        "msg_seat": F.format_string("%s Row %s Seat %s", _or("section", fixed.MSG_UNKNOWN_SECTION),
+                                    _or("row", fixed.MSG_NO_ROW_OR_SEAT),
+                                    _or("seat", fixed.MSG_NO_ROW_OR_SEAT)),
         "msg_price": F.concat(fmt_money(_num("old_price")), F.lit(" → **"),
                               fmt_money(_num("new_price")), F.lit("**")),
         "msg_drop": F.concat(fmt_money(_num("drop_amount")), F.lit(" ("),
                              fmt_percent(_num("drop_percent")), F.lit(")")),
-        "msg_source": F.upper(_or("source", "unknown")),
+        "msg_source": F.upper(_or("source", fixed.MSG_UNKNOWN_SOURCE)),
     })
 
 
@@ -60,9 +55,11 @@ def with_payload(alerts: DataFrame, footer: str = DEFAULT_FOOTER, out: str = "pa
         F.lit(TITLE).alias("title"),
         F.col("msg_description").alias("description"),
         F.lit(COLOR).alias("color"),
-        F.array(field(FIELD_VENUE, "msg_venue", True), field(FIELD_SECTION, "msg_seat", True),
-                field(FIELD_PRICE, "msg_price", False), field(FIELD_DROP, "msg_drop", True),
-                field(FIELD_SOURCE, "msg_source", True)).alias("fields"),
+        F.array(field(fixed.MSG_FIELD_VENUE, "msg_venue", True),
+                field(fixed.MSG_FIELD_SECTION, "msg_seat", True),
+                field(fixed.MSG_FIELD_PRICE, "msg_price", False),
+                field(fixed.MSG_FIELD_DROP, "msg_drop", True),
+                field(fixed.MSG_FIELD_SOURCE, "msg_source", True)).alias("fields"),
         F.date_format("alert_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         F.struct(F.lit(footer).alias("text")).alias("footer"),
         F.when(url.isNotNull() & (url != "") & (url != "#"), url).alias("url"),

@@ -54,3 +54,12 @@ def append_dated(df: DataFrame, root: str, table: str) -> None:
 
 def read_dated(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{table}")
+
+
+def retain(df: DataFrame, ts: str, stream: str, as_of=None) -> DataFrame:
+    """Rows still inside the retention period of ``stream`` (see
+    ``fixed.RETENTION_DAYS``); on a dated table the filter prunes whole
+    day partitions."""
+    from pricewatch import fixed
+    from pricewatch.functions.columns import since
+    return df.where(since(ts, fixed.RETENTION_DAYS[stream] * 24, as_of))

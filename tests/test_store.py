@@ -42,3 +42,12 @@ def test_store_alerts(spark):
         [("b", "unknown_event"), ("c", "out_of_range_drop_percent")]
     m = {r.metric_name: r.metric_value for r in metrics.alert_metrics(alerts, stored, rejects).collect()}
     assert m == {"alerts_processed": 3, "alerts_stored": 1, "errors": 2}
+
+
+def test_retention_prunes_days(spark, scratch):
+    cols = "source string, timestamp timestamp"
+    rows = [("m", datetime(2024, 1, d)) for d in range(1, 31)]
+    df = spark.createDataFrame(rows, cols)
+    kept = store.retain(df, "timestamp", "raw_prices", as_of="2024-01-31 00:00:00")
+    assert kept.count() == 7
+    assert store.retain(df, "timestamp", "price_alerts", as_of="2024-01-31 00:00:00").count() == 1
