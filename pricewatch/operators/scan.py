@@ -8,12 +8,14 @@ listing that holds a third of the data would run on one core.
 The key distribution is therefore checked first, and only hot keys are
 scanned in two levels:
 
-0. One aggregation counts rows per key (it combines map-side) and returns the
-   largest keys holding more than ``hot_rows`` rows, at most
-   ``max_hot_keys`` of them, so the list has a proven bound: it is fetched
-   and broadcast. Keys beyond that list are still scanned exactly, by the
-   plain window. With no hot key (the usual case) the scan is one window,
-   one shuffle.
+0. A probe counts rows per key hash on a small seeded sample (an aggregation
+   that combines map-side) and returns the hashes of the largest keys likely
+   to hold more than ``hot_rows`` rows, at most ``max_hot_keys`` of them, so
+   the list has a proven bound. It is fetched and used as an ``IN`` set of
+   longs (a hash-set lookup per row, no join). The probe only decides *how* a
+   key is scanned; both ways are exact, so a key it misses or adds (or a hash
+   collision) costs time, never correctness. With no hot key (the usual case)
+   the scan is one window, one shuffle.
 1. Rows of hot keys are cut into chunks of (key, ``date_trunc(chunk, ts)``);
    a summary with one row per chunk (its max, or its last value) is built by
    an aggregation.
@@ -35,7 +37,6 @@ and a month of it is 43,200 summary rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,28 +50,18 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = 1_000_000,
-             max_hot_keys: int = 10_000) -> DataFrame | None:
-    """The largest keys with more than ``hot_rows`` rows (at most
-    ``max_hot_keys``, a top-k in one job) as a small local DataFrame, or
-    None when no key is that large."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-    rows = (counts.where(F.col(_N) > hot_rows).orderBy(F.col(_N).desc())
-            .limit(max_hot_keys).select(*keys).collect())
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema)
-
-
-def _mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Add ``_pw_hot`` (true for rows of hot keys); the bounded list is
-    broadcast, so the data is not shuffled for this."""
-    renamed = hot.select(*[F.col(k).alias(f"_pw_h{i}") for i, k in enumerate(keys)],
-                         F.lit(True).alias(_HOT))
-    cond = reduce(lambda a, b: a & b,
-                  [df[k].eqNullSafe(renamed[f"_pw_h{i}"]) for i, k in enumerate(keys)])
-    out = df.join(F.broadcast(renamed), cond, "left")
-    return out.drop(*[f"_pw_h{i}" for i in range(len(keys))]).withColumn(
-        _HOT, F.coalesce(F.col(_HOT), F.lit(False)))
+             max_hot_keys: int = 10_000, fraction: float = 0.01,
+             seed: int = 17) -> list[int]:
+    """``xxhash64`` of the keys likely to hold more than ``hot_rows`` rows,
+    judged on a ``fraction`` sample with half the scaled threshold as margin;
+    the largest ``max_hot_keys`` at most. ``fraction=1`` counts exactly."""
+    h = df.select(F.xxhash64(*keys).alias(_N))
+    sample = h if fraction >= 1 else h.sample(fraction=fraction, seed=seed)
+    threshold = hot_rows * min(fraction, 1.0) / (1 if fraction >= 1 else 2)
+    counts = sample.groupBy(_N).agg(F.count(F.lit(1)).alias("_pw_count"))
+    rows = (counts.where(F.col("_pw_count") > threshold).orderBy(F.col("_pw_count").desc())
+            .limit(max_hot_keys).select(_N).collect())
+    return [r[0] for r in rows]
 
 
 def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
@@ -84,12 +75,12 @@ def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         raise ValueError(f"how must be 'max' or 'last', not {how!r}")
     keys, order = list(keys), list(order)
     hot = hot_keys(df, keys, hot_rows, max_hot_keys)
-    if hot is None:
+    if not hot:
         w = (Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
              .rowsBetween(Window.unboundedPreceding, -1))
         agg = F.max(value) if how == "max" else F.last(value, ignorenulls=True)
         return df.withColumn(out, agg.over(w))
-    marked = _mark_hot(df, keys, hot)
+    marked = df.withColumn(_HOT, F.xxhash64(*keys).isin(hot))
     # Hot rows get a chunk (rows without a time sort first, so they share the
     # earliest chunk); other rows keep a null chunk: one group per key.
     first = F.lit("0001-01-01 00:00:00").cast("timestamp")
