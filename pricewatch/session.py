@@ -20,12 +20,24 @@ BASE_CONF = {
 }
 
 
+# Streaming state kept in RocksDB (off-heap, spills to local disk, snapshots to
+# the checkpoint) rather than in the executor heap: the detector holds one
+# baseline per listing ever seen.
+STREAMING_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "pricewatch", extra: dict | None = None) -> SparkSession:
+              app_name: str = "pricewatch", extra: dict | None = None,
+              streaming: bool = False) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if streaming:
+        conf.update(STREAMING_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -52,7 +52,8 @@ def classify_rows(pdf: pd.DataFrame, price: str, baseline: float | None):
     return old, kind, (None if end == -np.inf else float(end))
 
 
-def _state_fn(keys: Sequence[str], price: str, order: Sequence[str], out_cols: list[str]):
+def _state_fn(keys: Sequence[str], price: str, order: Sequence[str], out_cols: list[str],
+              raw_price: str | None = None):
     order = list(order)
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
@@ -65,6 +66,10 @@ def _state_fn(keys: Sequence[str], price: str, order: Sequence[str], out_cols: l
         pdf = pdf.sort_values(order, kind="mergesort", na_position="first").reset_index(drop=True)
         baseline = state.get[0] if state.exists else None
         old, kind, new_base = classify_rows(pdf, price, baseline)
+        if raw_price is not None:
+            raw = pdf[raw_price]
+            bad = (raw.notna() & pd.to_numeric(raw, errors="coerce").isna()).to_numpy()
+            kind = np.where(bad, "error", kind)
         changed = np.isin(kind, ["drop", "increase"])
         delta = np.where(changed, pdf[price].to_numpy(dtype="float64", na_value=np.nan) - old, np.nan)
         pdf["old_price"] = old
@@ -81,8 +86,11 @@ def _state_fn(keys: Sequence[str], price: str, order: Sequence[str], out_cols: l
 
 def detect_changes_stream(stream: DataFrame, keys: Sequence[str] = LISTING_KEYS,
                           price: str = "price", order: Sequence[str] = EVENT_ORDER,
-                          idle_timeout: str | None = None) -> DataFrame:
+                          idle_timeout: str | None = None,
+                          raw_price: str | None = None) -> DataFrame:
     """Classify every record of a price-event stream (append mode).
+    ``raw_price`` names the price as received (``from_wire`` keeps it as
+    ``_raw_price``): text that is not a number is classified ``error``.
 
     ``idle_timeout`` (e.g. ``"30 days"``) drops the state of listings not
     seen for that long; the default keeps state for ever, as the detector
@@ -90,7 +98,7 @@ def detect_changes_stream(stream: DataFrame, keys: Sequence[str] = LISTING_KEYS,
     out_schema = T.StructType(list(stream.schema.fields) + ADDED)
     timeout = GroupStateTimeout.NoTimeout if idle_timeout is None \
         else GroupStateTimeout.ProcessingTimeTimeout
-    fn = _state_fn(keys, price, order, out_schema.fieldNames())
+    fn = _state_fn(keys, price, order, out_schema.fieldNames(), raw_price)
     if idle_timeout is not None:
         inner = fn
 

@@ -170,3 +170,39 @@ def test_two_consumers_one_source(spark, scratch):
     n = df.count()
     assert spark.read.parquet(f"{scratch}/processed").count() == n
     assert spark.read.parquet(f"{scratch}/history").count() == n
+
+
+def test_stream_error_for_junk_price(spark, scratch):
+    from pricewatch.streaming.detector import detect_changes_stream
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    lines = ['{"event_id": "e", "source": "m", "price": "10", "timestamp": "2024-01-01T00:00:00Z", "listing_id": "a"}',
+             '{"event_id": "e", "source": "m", "price": "abc", "timestamp": "2024-01-01T01:00:00Z", "listing_id": "b"}',
+             '{"event_id": "e", "source": "m", "price": 8, "timestamp": "2024-01-01T02:00:00Z", "listing_id": "c"}']
+    with open(os.path.join(src, "p.json"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    events, _ = read_price_events(spark, src, stream=True)
+    q = (detect_changes_stream(events, raw_price="_raw_price").writeStream.format("memory")
+         .queryName("pw_err").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.listing_id: (r.change_type, r.old_price) for r in spark.table("pw_err").collect()}
+    assert got == {"a": ("new", None), "b": ("error", None), "c": ("drop", 10.0)}
+
+
+def test_stream_with_rocksdb_state(spark, scratch):
+    from pricewatch.session import STREAMING_CONF
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, STREAMING_CONF[key])
+    try:
+        src = os.path.join(scratch, "src")
+        land(spark, with_num(price_events(spark)), src, 2)
+        run_detector(spark, f"{src}/*/", f"{scratch}/out", f"{scratch}/ckpt")
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+    processed = spark.read.parquet(f"{scratch}/out/processed")
+    got = {r.listing_id: (r.change_type, r.old_price) for r in processed.collect()}
+    assert got == batch_truth(spark)
