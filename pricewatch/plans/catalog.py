@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pricewatch.functions.columns import listing_key, since
 from pricewatch.operators import (changes, dashboard, history, metrics, normalize, notify,
                                   thresholds, validate)
-from pricewatch.plans.driver import (AS_OF, AS_OF_SQL, KEYS, ONE_EVENT, ONE_EVENT_NAME, ORDER,
-                                     PRICE, table)
+from pricewatch.plans.driver import (ALERT_EVENT, AS_OF, AS_OF_SQL, KEYS, ONE_EVENT,
+                                     ONE_EVENT_NAME, ORDER, PRICE, table)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -279,7 +279,7 @@ def valid_prices(spark, sf):
 @register("listing_key", """
 SELECT DISTINCT CAST(user_id AS VARCHAR) || '_' || event_type || '___' AS listing_key
 FROM events""")
-def listing_key_q(spark, sf):
+def distinct_listing_keys(spark, sf):
     none = F.lit(None).cast("string")
     return (_events(spark, sf)
             .select(listing_key("user_id", "event_type", none, none, none).alias("listing_key"))
@@ -476,10 +476,11 @@ def recent_alerts(spark, sf):
 
 
 @register("recent_alerts_event", f"""
-SELECT * FROM ({_RECENT_ALERTS}) r WHERE event_id = 128""")
+SELECT * FROM ({_RECENT_ALERTS}) r WHERE event_id = {ALERT_EVENT}""")
 def recent_alerts_event(spark, sf):
     """The event filter runs after the top 20, as on the dashboard."""
-    return dashboard.recent_alerts(_alerts(spark, sf), _dimension(spark, sf), 20, event_id=128)
+    return dashboard.recent_alerts(_alerts(spark, sf), _dimension(spark, sf), 20,
+                                   event_id=ALERT_EVENT)
 
 
 @register("list_events", f"""

@@ -25,6 +25,7 @@ AS_OF = "2024-01-31 00:00:00"
 AS_OF_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 ONE_EVENT = 7                 # the event picked in single-event views
 ONE_EVENT_NAME = "Customer#000000007"
+ALERT_EVENT = 128             # an event among the newest alerts, for the filter-after-limit view
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

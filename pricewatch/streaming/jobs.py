@@ -109,19 +109,63 @@ def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimen
     return w.start()
 
 
-def read_dimension(spark: SparkSession, path: str,
-                   attrs=("event_name", "venue", "event_date")) -> DataFrame:
-    """The event dimension from its per-batch deltas: attributes of the
-    earliest sighting (by batch, then time), first and last sighting. One
-    aggregation that combines map-side."""
-    deltas = spark.read.parquet(path)
+_DIM_ATTRS = ("event_name", "venue", "event_date")
+
+
+def _fold(rows: DataFrame, attrs=_DIM_ATTRS) -> DataFrame:
     first = F.min_by(F.struct(*[F.col(a) for a in attrs]),
                      F.struct(F.col("batch_id"), F.col("created_at")))
-    return (deltas.groupBy("event_id")
+    return (rows.groupBy("event_id")
             .agg(first.alias("_f"), F.min("created_at").alias("created_at"),
-                 F.max("last_updated").alias("last_updated"))
+                 F.max("last_updated").alias("last_updated"), F.max("batch_id").alias("_b"))
             .select("event_id", *[F.col(f"_f.{a}").alias(a) for a in attrs],
-                    "created_at", "last_updated"))
+                    "created_at", "last_updated", F.col("_b").alias("batch_id")))
+
+
+def _newest_base(spark: SparkSession, base_path: str) -> DataFrame | None:
+    """Rows of the newest compacted base version, or None when none exists."""
+    try:
+        versions = spark.read.parquet(base_path)
+    except Exception:  # nothing compacted yet
+        return None
+    newest = versions.agg(F.max("through_batch")).scalar()
+    return versions.where(F.col("through_batch") == newest)
+
+
+def read_dimension(spark: SparkSession, path: str, base_path: str | None = None,
+                   attrs=_DIM_ATTRS) -> DataFrame:
+    """The event dimension: the newest compacted base (when given) plus the
+    per-batch deltas written after it, folded by one aggregation that
+    combines map-side: attributes of the earliest sighting (by batch, then
+    time), first and last sighting."""
+    rows = spark.read.parquet(path)
+    base = _newest_base(spark, base_path) if base_path is not None else None
+    if base is not None:
+        rows = base.drop("through_batch").unionByName(
+            rows.where(F.col("batch_id") > base.agg(F.max("through_batch")).scalar()))
+    return _fold(rows, attrs).drop("batch_id")
+
+
+def compact_dimension(spark: SparkSession, path: str, base_path: str,
+                      attrs=_DIM_ATTRS) -> int | None:
+    """Fold the newest base and the deltas after it into a new base version
+    ``through_batch=<last batch>``. Versions are never rewritten, so a failed
+    compaction leaves the previous one current; readers then fold fewer
+    deltas. Returns the batch id covered."""
+    deltas = spark.read.parquet(path)
+    through = deltas.agg(F.max("batch_id")).first()[0]
+    if through is None:
+        return None
+    base = _newest_base(spark, base_path)
+    rows = deltas
+    if base is not None:
+        prev = base.agg(F.max("through_batch")).first()[0]
+        if prev >= through:
+            return prev
+        rows = base.drop("through_batch").unionByName(deltas.where(F.col("batch_id") > prev))
+    (_fold(rows, attrs).write.mode("overwrite")
+     .parquet(f"{base_path.rstrip('/')}/through_batch={through}"))
+    return through
 
 
 def throughput_stream(events: DataFrame, ts: str = "timestamp", every: str = "5 minutes",

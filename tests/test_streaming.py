@@ -206,3 +206,33 @@ def test_stream_with_rocksdb_state(spark, scratch):
     processed = spark.read.parquet(f"{scratch}/out/processed")
     got = {r.listing_id: (r.change_type, r.old_price) for r in processed.collect()}
     assert got == batch_truth(spark)
+
+
+def test_dimension_compaction(spark, scratch):
+    df = with_num(price_events(spark))
+    src = os.path.join(scratch, "src")
+    staged = os.path.join(scratch, "staged")
+    land(spark, df, staged, 4)
+    os.makedirs(src)
+    root, base = f"{scratch}/store", f"{scratch}/store/dimension_base"
+
+    def run():
+        events, _ = read_price_events(spark, f"{src}/*/", stream=True, max_files_per_trigger=1)
+        jobs.start_storage(events, f"{root}/history", f"{root}/rejects", f"{root}/dimension",
+                           f"{scratch}/ckpt").awaitTermination()
+
+    for i in range(2):
+        os.symlink(os.path.join(staged, f"part{i:02d}"), os.path.join(src, f"part{i:02d}"))
+    run()
+    assert jobs.compact_dimension(spark, f"{root}/dimension", base) == 1
+    for i in range(2, 4):
+        os.symlink(os.path.join(staged, f"part{i:02d}"), os.path.join(src, f"part{i:02d}"))
+    run()
+    plain = {r.event_id: tuple(r) for r in jobs.read_dimension(spark, f"{root}/dimension").collect()}
+    with_base = {r.event_id: tuple(r)
+                 for r in jobs.read_dimension(spark, f"{root}/dimension", base).collect()}
+    assert plain == with_base and len(plain) == df.select("event_id").distinct().count()
+    assert jobs.compact_dimension(spark, f"{root}/dimension", base) == 3
+    again = {r.event_id: tuple(r)
+             for r in jobs.read_dimension(spark, f"{root}/dimension", base).collect()}
+    assert again == plain
