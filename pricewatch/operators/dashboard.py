@@ -113,7 +113,12 @@ def price_histogram(history: DataFrame, bins: int = fixed.HISTOGRAM_BINS, by: st
                           (lo + F.col("bin") * width).alias("bin_end"), "n")
 
 
-def alerts_per_hour(alerts: DataFrame, ts: str = "alert_timestamp") -> DataFrame:
+def alerts_per_hour(alerts: DataFrame, ts: str = "alert_timestamp",
+                    limit: int | None = None) -> DataFrame:
+    """Alerts per hour. With ``limit``, only the newest ``limit`` alerts are
+    counted (the dashboard charts the 20 it lists)."""
+    if limit is not None:
+        alerts = alerts.orderBy(F.col(ts).desc(), F.col("listing_id").desc()).limit(limit)
     return (alerts.groupBy(trunc_time(alerts, "hour", ts).alias("hour"))
             .agg(F.count(F.lit(1)).alias("alerts")).orderBy("hour"))
 

@@ -1,29 +1,49 @@
 """The drop detector as a stateful Structured Streaming query.
 
-State per listing is one number, the baseline (the highest valid price seen
-so far). Within a micro-batch a listing's rows are sorted by (time, tie) and
+State is the baseline (the highest valid price seen so far) of every
+listing. A running ``max().over()`` is not allowed on a stream, hence the
+state. Within a micro-batch a listing's rows are sorted by (time, tie) and
 scanned with numpy; across micro-batches arrival order stands, so a late
 record is compared with the baseline it finds. The classification equals the
 batch form in ``operators.changes`` when records arrive in time order.
 
-A running ``max().over()`` is not allowed on a stream, hence the state. The
-rows of one listing in one micro-batch are bounded by the trigger size
-(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), which bounds what one
-group holds in memory.
+Listings are grouped into ``buckets`` by a hash of the listing key, and one
+call of the state function handles a whole bucket with vectorised pandas:
+the per-call overhead of Python is paid per bucket, not per listing. The
+bucket state holds (listing, baseline, last seen) arrays; listings are told
+apart by the exact JSON of their key, so a hash collision only places two
+listings in one bucket. ``buckets=None`` groups by listing instead (one state
+row per listing). The rows of one bucket in one micro-batch are bounded by
+the trigger size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+
+Sizing ``buckets``: a touched bucket rewrites its state, so aim at about a
+thousand live listings per bucket (100M listings: 100,000 buckets); fewer
+buckets save Python calls on small streams. Keep the number fixed for the
+life of a checkpoint: it decides which state row holds a listing.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pricewatch.operators.changes import EVENT_ORDER, LISTING_KEYS
 
+# The state function runs in Python workers. Shipping this module by value
+# means executors need numpy, pandas and pyspark only, not this package.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: ship the package instead
+    pass
+
 ADDED = [
     T.StructField("old_price", T.DoubleType()),
     T.StructField("change_type", T.StringType()),
@@ -31,6 +51,12 @@ ADDED = [
     T.StructField("change_percent", T.DoubleType()),
 ]
 STATE = T.StructType([T.StructField("baseline", T.DoubleType())])
+BUCKET_STATE = T.StructType([
+    T.StructField("listings", T.ArrayType(T.StringType())),
+    T.StructField("baselines", T.ArrayType(T.DoubleType())),
+    T.StructField("last_seen", T.ArrayType(T.DoubleType())),
+])
+_LK, _BUCKET = "_pw_listing", "_pw_bucket"
 
 
 def classify_rows(pdf: pd.DataFrame, price: str, baseline: float | None):
@@ -42,20 +68,37 @@ def classify_rows(pdf: pd.DataFrame, price: str, baseline: float | None):
     start = -np.inf if baseline is None else baseline
     running = np.maximum.accumulate(np.concatenate(([start], vp)))
     before = running[:-1]
+    kind, old = _kinds(p, valid, before)
+    end = running[-1]
+    return old, kind, (None if end == -np.inf else float(end))
+
+
+def _kinds(p, valid, before):
     has_base = before > -np.inf
     kind = np.where(~valid, "invalid",
                     np.where(~has_base, "new",
                              np.where(p < before, "drop",
                                       np.where(p > before, "increase", "same"))))
-    old = np.where(valid & has_base, before, np.nan)
-    end = running[-1]
-    return old, kind, (None if end == -np.inf else float(end))
+    return kind, np.where(valid & has_base, before, np.nan)
 
 
-def _state_fn(keys: Sequence[str], price: str, order: Sequence[str], out_cols: list[str],
-              raw_price: str | None = None):
-    order = list(order)
+def _finish(pdf, price, old, kind, raw_price):
+    if raw_price is not None:
+        raw = pdf[raw_price]
+        bad = (raw.notna() & pd.to_numeric(raw, errors="coerce").isna()).to_numpy()
+        kind = np.where(bad, "error", kind)
+    changed = np.isin(kind, ["drop", "increase"])
+    p = pdf[price].to_numpy(dtype="float64", na_value=np.nan)
+    delta = np.where(changed, p - old, np.nan)
+    pdf["old_price"] = old
+    pdf["change_type"] = kind
+    pdf["price_change"] = delta
+    with np.errstate(divide="ignore", invalid="ignore"):
+        pdf["change_percent"] = np.where(changed, delta / old * 100, np.nan)
+    return pdf
+
 
+def _listing_fn(price, order, out_cols, raw_price):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         if state.hasTimedOut:
             state.remove()
@@ -64,46 +107,94 @@ def _state_fn(keys: Sequence[str], price: str, order: Sequence[str], out_cols: l
         if pdf.empty:
             return
         pdf = pdf.sort_values(order, kind="mergesort", na_position="first").reset_index(drop=True)
-        baseline = state.get[0] if state.exists else None
-        old, kind, new_base = classify_rows(pdf, price, baseline)
-        if raw_price is not None:
-            raw = pdf[raw_price]
-            bad = (raw.notna() & pd.to_numeric(raw, errors="coerce").isna()).to_numpy()
-            kind = np.where(bad, "error", kind)
-        changed = np.isin(kind, ["drop", "increase"])
-        delta = np.where(changed, pdf[price].to_numpy(dtype="float64", na_value=np.nan) - old, np.nan)
-        pdf["old_price"] = old
-        pdf["change_type"] = kind
-        pdf["price_change"] = delta
-        with np.errstate(divide="ignore", invalid="ignore"):
-            pdf["change_percent"] = np.where(changed, delta / old * 100, np.nan)
+        old, kind, new_base = classify_rows(pdf, price, state.get[0] if state.exists else None)
         if new_base is not None:
             state.update((new_base,))
-        yield pdf[out_cols]
+        yield _finish(pdf, price, old, kind, raw_price)[out_cols]
+    return fn
+
+
+def _bucket_fn(price, order, out_cols, raw_price, ttl_seconds):
+    ts = order[0]
 
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        pdf = pd.concat(list(pdfs), ignore_index=True)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values([_LK] + order, kind="mergesort",
+                              na_position="first").reset_index(drop=True)
+        if state.exists:
+            names, bases, seen = state.get
+            prior = pd.Series(bases, index=names, dtype="float64")
+            last = pd.Series(seen, index=names, dtype="float64")
+        else:
+            prior = pd.Series(dtype="float64")
+            last = pd.Series(dtype="float64")
+        p = pdf[price].to_numpy(dtype="float64", na_value=np.nan)
+        valid = ~np.isnan(p) & (p > 0)
+        vp = pd.Series(np.where(valid, p, -np.inf))
+        groups = pdf[_LK]
+        # max of the earlier rows of the same listing in this batch ...
+        earlier = vp.groupby(groups).cummax().groupby(groups).shift(1).fillna(-np.inf)
+        # ... and the baseline the listing had before the batch
+        start = groups.map(prior).fillna(-np.inf).to_numpy()
+        before = np.maximum(start, earlier.to_numpy())
+        kind, old = _kinds(p, valid, before)
+        # new state: every listing's highest valid price, and when it was seen
+        batch_max = vp.groupby(groups).max()
+        merged = pd.concat([prior, batch_max], axis=1).max(axis=1)
+        times = pd.to_datetime(pdf[ts]).astype("int64").to_numpy() / 1e9 \
+            if ts in pdf else np.zeros(len(pdf))
+        seen_now = pd.Series(times).groupby(groups).max()
+        merged_seen = pd.concat([last, seen_now], axis=1).max(axis=1)
+        keep = merged > -np.inf
+        if ttl_seconds is not None and len(merged_seen):
+            keep &= merged_seen >= merged_seen.max() - ttl_seconds
+        merged, merged_seen = merged[keep], merged_seen[keep]
+        if len(merged):
+            state.update((list(merged.index), merged.tolist(), merged_seen.tolist()))
+        elif state.exists:
+            state.remove()
+        yield _finish(pdf, price, old, kind, raw_price)[out_cols]
     return fn
 
 
 def detect_changes_stream(stream: DataFrame, keys: Sequence[str] = LISTING_KEYS,
                           price: str = "price", order: Sequence[str] = EVENT_ORDER,
-                          idle_timeout: str | None = None,
+                          buckets: int | None = 1024, listing_ttl: str | None = None,
                           raw_price: str | None = None) -> DataFrame:
     """Classify every record of a price-event stream (append mode).
-    ``raw_price`` names the price as received (``from_wire`` keeps it as
-    ``_raw_price``): text that is not a number is classified ``error``.
 
-    ``idle_timeout`` (e.g. ``"30 days"``) drops the state of listings not
-    seen for that long; the default keeps state for ever, as the detector
-    semantics require."""
+    ``order`` sorts rows of one listing within a micro-batch: scrape time and
+    listing id by default; for Kafka input (kafka_timestamp, partition,
+    offset). ``raw_price`` names the price as received (``from_wire`` keeps it
+    as ``_raw_price``): text that is not a number is classified ``error``.
+    ``listing_ttl`` (e.g. ``"30 days"``) forgets listings not seen for that
+    long; by default state is kept for ever, as the semantics require."""
+    order = list(order)
     out_schema = T.StructType(list(stream.schema.fields) + ADDED)
-    timeout = GroupStateTimeout.NoTimeout if idle_timeout is None \
-        else GroupStateTimeout.ProcessingTimeTimeout
-    fn = _state_fn(keys, price, order, out_schema.fieldNames(), raw_price)
-    if idle_timeout is not None:
-        inner = fn
-
-        def fn(key, pdfs, state):  # noqa: F811
-            yield from inner(key, pdfs, state)
-            if not state.hasTimedOut:
-                state.setTimeoutDuration(idle_timeout)
-    return stream.groupBy(*keys).applyInPandasWithState(fn, out_schema, STATE, "append", timeout)
+    out_cols = out_schema.fieldNames()
+    if buckets is None:
+        fn = _listing_fn(price, order, out_cols, raw_price)
+        timeout = GroupStateTimeout.NoTimeout
+        if listing_ttl is not None:
+            inner, timeout = fn, GroupStateTimeout.ProcessingTimeTimeout
+
+            def fn(key, pdfs, state):  # noqa: F811
+                yield from inner(key, pdfs, state)
+                if not state.hasTimedOut:
+                    state.setTimeoutDuration(listing_ttl)
+        return stream.groupBy(*keys).applyInPandasWithState(fn, out_schema, STATE, "append",
+                                                            timeout)
+    ttl = None if listing_ttl is None else _seconds(listing_ttl)
+    keyed = (stream.withColumn(_LK, F.to_json(F.struct(*[F.col(k) for k in keys])))
+             .withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets))))
+    fn = _bucket_fn(price, order, out_cols, raw_price, ttl)
+    return keyed.groupBy(_BUCKET).applyInPandasWithState(
+        fn, out_schema, BUCKET_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def _seconds(text: str) -> float:
+    n, unit = text.split()
+    unit = unit.rstrip("s")
+    return float(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]

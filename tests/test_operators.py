@@ -139,3 +139,11 @@ def test_system_metrics_latest(spark):
         metrics.as_system_metrics(b, "2024-01-02 00:00:00"))
     got = {r.metric_name: str(r.metric_value) for r in metrics.latest_metrics(rows).collect()}
     assert got == {"errors": "3.00", "stored": "5.00"}
+
+
+def test_alerts_per_hour_limit(spark):
+    cols = "alert_timestamp timestamp, listing_id long"
+    rows = [(T0 + timedelta(minutes=20 * i), i) for i in range(9)]     # 3 hours, 3 per hour
+    a = spark.createDataFrame(rows, cols)
+    assert [r.alerts for r in dashboard.alerts_per_hour(a).collect()] == [3, 3, 3]
+    assert [r.alerts for r in dashboard.alerts_per_hour(a, limit=4).collect()] == [1, 3]
