@@ -49,12 +49,25 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
+# Probe results per input plan. The probe only chooses how keys are scanned,
+# so an answer that is out of date after the data changes costs time, never
+# correctness; queries over the same input reuse it.
+_PROBES: dict[tuple, list[int]] = {}
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = 1_000_000,
              max_hot_keys: int = 10_000, fraction: float = 0.01,
              seed: int = 17) -> list[int]:
     """``xxhash64`` of the keys likely to hold more than ``hot_rows`` rows,
     judged on a ``fraction`` sample with half the scaled threshold as margin;
     the largest ``max_hot_keys`` at most. ``fraction=1`` counts exactly."""
+    memo = (df.select(*keys).semanticHash(), tuple(keys), hot_rows, max_hot_keys, fraction, seed)
+    if memo not in _PROBES:
+        _PROBES[memo] = _probe(df, keys, hot_rows, max_hot_keys, fraction, seed)
+    return _PROBES[memo]
+
+
+def _probe(df, keys, hot_rows, max_hot_keys, fraction, seed) -> list[int]:
     h = df.select(F.xxhash64(*keys).alias(_N))
     sample = h if fraction >= 1 else h.sample(fraction=fraction, seed=seed)
     threshold = hot_rows * min(fraction, 1.0) / (1 if fraction >= 1 else 2)

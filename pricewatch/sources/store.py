@@ -63,3 +63,13 @@ def retain(df: DataFrame, ts: str, stream: str, as_of=None) -> DataFrame:
     from pricewatch import fixed
     from pricewatch.functions.columns import since
     return df.where(since(ts, fixed.RETENTION_DAYS[stream] * 24, as_of))
+
+
+def append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
+                num_partitions: int | None = None) -> None:
+    """Append to a database table through Spark's JDBC writer (the database's
+    driver jar must be on the classpath; none is bundled here). Writers per
+    partition are capped with ``num_partitions`` so the database sees a
+    bounded number of connections."""
+    out = df.coalesce(num_partitions) if num_partitions else df
+    out.write.mode("append").jdbc(url, table, properties=properties or {})
