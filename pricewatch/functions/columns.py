@@ -103,3 +103,13 @@ def trunc_time(df, unit: str, ts: str) -> Column:
     returns a zoned timestamp even for ``timestamp_ntz`` input)."""
     kind = df.schema[ts].dataType.simpleString()
     return F.date_trunc(unit, F.col(ts)).cast(kind)
+
+
+def iso_text(ts) -> Column:
+    """ISO-8601 text of a timestamp: ``2024-01-31T12:00:00``, with
+    ``.ffffff`` only when there is a fraction of a second (as Python's
+    ``isoformat`` writes it)."""
+    t = _col(ts)
+    whole = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    frac = F.date_format(t, "SSSSSS")
+    return F.when(frac == "000000", whole).otherwise(F.concat(whole, F.lit("."), frac))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricewatch.functions.columns import iso_text
 from pricewatch.operators import validate
 from pricewatch.schemas import PRICE_EVENT, PRICE_EVENT_WIRE
 
@@ -98,7 +99,7 @@ def to_wire(events: DataFrame, key: Column | None = None) -> DataFrame:
     for f in PRICE_EVENT.fields:
         c = F.col(f.name)
         if f.name in ("event_date", "timestamp"):
-            c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            c = iso_text(c)
         cols.append(c.alias(f.name) if f.name in events.columns else F.lit(None).alias(f.name))
     value = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
     out = events.select((key if key is not None else F.lit(None).cast("string")).alias("key"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewatch import fixed
-from pricewatch.functions.columns import fmt_money, fmt_percent
+from pricewatch.functions.columns import fmt_money, fmt_percent, iso_text
 
 TITLE, COLOR = fixed.MSG_TITLE, fixed.MSG_COLOR
 DEFAULT_FOOTER = "Price Monitor"
@@ -60,7 +60,7 @@ def with_payload(alerts: DataFrame, footer: str = DEFAULT_FOOTER, out: str = "pa
                 field(fixed.MSG_FIELD_PRICE, "msg_price", False),
                 field(fixed.MSG_FIELD_DROP, "msg_drop", True),
                 field(fixed.MSG_FIELD_SOURCE, "msg_source", True)).alias("fields"),
-        F.date_format("alert_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        iso_text("alert_timestamp").alias("timestamp"),
         F.struct(F.lit(footer).alias("text")).alias("footer"),
         F.when(url.isNotNull() & (url != "") & (url != "#"), url).alias("url"),
     )

@@ -127,6 +127,7 @@ def test_payload(spark):
     assert [f["inline"] for f in first["fields"]] == [True, True, False, True, True]
     second = json.loads(out[1].payload)["embeds"][0]
     assert "url" not in second
+    assert first["timestamp"] == "2024-01-30T00:00:00"
     assert [f["value"] for f in second["fields"]] == [
         "Unknown Venue", "Unknown Row N/A Seat N/A", "$2.67 → **$1.00**", "$1.68 (62.6%)", "UNKNOWN"]
     assert second["description"] == "**Unknown Event**"
