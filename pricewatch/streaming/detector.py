@@ -7,19 +7,19 @@ scanned with numpy; across micro-batches arrival order stands, so a late
 record is compared with the baseline it finds. The classification equals the
 batch form in ``operators.changes`` when records arrive in time order.
 
-Listings are grouped into ``buckets`` by a hash of the listing key, and one
-call of the state function handles a whole bucket with vectorised pandas:
-the per-call overhead of Python is paid per bucket, not per listing. The
-bucket state holds (listing, baseline, last seen) arrays; listings are told
-apart by the exact JSON of their key, so a hash collision only places two
-listings in one bucket. ``buckets=None`` groups by listing instead (one state
-row per listing). The rows of one bucket in one micro-batch are bounded by
-the trigger size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
-
-Sizing ``buckets``: a touched bucket rewrites its state, so aim at about a
-thousand live listings per bucket (100M listings: 100,000 buckets); fewer
-buckets save Python calls on small streams. Keep the number fixed for the
-life of a checkpoint: it decides which state row holds a listing.
+By default the stream is grouped by listing: a group's state is one number
+and its rows in a micro-batch are bounded by the trigger size
+(``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), and the Python calls,
+one per touched listing per micro-batch, spread over all executors.
+
+``buckets=n`` groups listings by a hash of their key instead, and one call
+handles a whole bucket with vectorised pandas, which saves Python calls on
+streams with few listings and many updates. The bucket state holds
+(listing, baseline, last seen) arrays; listings are told apart by the exact
+JSON of their key, so a hash collision only places two listings in one
+bucket. A bucket's state grows with its listings, so use it with
+``listing_ttl`` or a known listing population (about a thousand listings per
+bucket), and keep ``n`` fixed for the life of a checkpoint.
 """
 
 from __future__ import annotations
@@ -161,7 +161,7 @@ def _bucket_fn(price, order, out_cols, raw_price, ttl_seconds):
 
 def detect_changes_stream(stream: DataFrame, keys: Sequence[str] = LISTING_KEYS,
                           price: str = "price", order: Sequence[str] = EVENT_ORDER,
-                          buckets: int | None = 1024, listing_ttl: str | None = None,
+                          buckets: int | None = None, listing_ttl: str | None = None,
                           raw_price: str | None = None) -> DataFrame:
     """Classify every record of a price-event stream (append mode).
 

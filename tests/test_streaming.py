@@ -47,7 +47,7 @@ def with_num(df):
 
 def run_detector(spark, source_glob, out, ckpt):
     events, _ = read_price_events(spark, source_glob, stream=True, max_files_per_trigger=1)
-    q = jobs.start_detector(events, f"{out}/processed", f"{out}/alerts", ckpt, buckets=32)
+    q = jobs.start_detector(events, f"{out}/processed", f"{out}/alerts", ckpt)
     q.awaitTermination()
     return q
 
@@ -238,13 +238,13 @@ def test_dimension_compaction(spark, scratch):
     assert again == plain
 
 
-def test_stream_per_listing_mode(spark, scratch):
+def test_stream_bucket_mode(spark, scratch):
     from pricewatch.streaming.detector import detect_changes_stream
     src = os.path.join(scratch, "src")
     land(spark, with_num(price_events(spark)), src, 2)
     events, _ = read_price_events(spark, f"{src}/*/", stream=True, max_files_per_trigger=1)
-    q = (detect_changes_stream(events, buckets=None).writeStream.format("memory")
-         .queryName("pw_per_listing").outputMode("append").trigger(availableNow=True).start())
+    q = (detect_changes_stream(events, buckets=16, listing_ttl="365 days").writeStream
+         .format("memory").queryName("pw_per_listing").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     got = {r.listing_id: (r.change_type, r.old_price) for r in spark.table("pw_per_listing").collect()}
     assert got == batch_truth(spark)
