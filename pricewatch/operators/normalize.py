@@ -15,12 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricewatch import fixed
 from pricewatch.functions.columns import iso_text
 from pricewatch.operators import validate
 from pricewatch.schemas import PRICE_EVENT, PRICE_EVENT_WIRE
 
-from pricewatch import fixed
-
 UNKNOWN, DEFAULT_QUANTITY = fixed.UNKNOWN, fixed.DEFAULT_QUANTITY
 
 
@@ -53,8 +52,10 @@ def parse_listings(listings: DataFrame, tracked: DataFrame, source: str,
     qty_ok = F.col("quantity").isNull() | qty_raw.isNotNull()
     fallback = F.current_timestamp() + F.make_dt_interval(days=F.lit(date_fallback_days))
 
-    ev = tracked.select("event_id", F.col("name").alias("event_name"), "venue",
-                        F.coalesce(F.try_to_timestamp("date"), fallback).alias("event_date"))
+    ev = (tracked.dropDuplicates(["event_id"])
+          .select("event_id", F.col("name").alias("event_name"), "venue",
+                  F.coalesce(F.try_to_timestamp("date"), fallback).alias("event_date"),
+                  F.lit(True).alias("_tracked")))
     joined = listings.join(ev, "event_id", "left")
     shaped = joined.select(
         "event_id", "event_name", "venue", "event_date",
@@ -72,7 +73,7 @@ def parse_listings(listings: DataFrame, tracked: DataFrame, source: str,
         F.coalesce("delivery_method", F.lit(default_delivery)).alias("delivery_method"),
         F.lit(None).cast("string").alias("seller_notes"),
         (price_ok & fees_ok & total_ok & qty_ok).alias("_numbers_ok"),
-        F.col("event_name").isNotNull().alias("_tracked"),
+        F.coalesce(F.col("_tracked"), F.lit(False)).alias("_tracked"),
     )
     good, rejects = validate.split(shaped, [("bad_number", F.col("_numbers_ok")),
                                             ("untracked_event", F.col("_tracked"))])

@@ -83,7 +83,7 @@ def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     """Add ``out``: over the earlier rows of the same ``keys`` (by ``order``,
     ascending), the ``max`` of ``value`` or the ``last`` non-null ``value``.
     Nulls in ``value`` are skipped. ``ts`` must be the first ``order`` column.
-    ``hot_rows=0`` chunks every key."""
+    ``hot_rows=0`` chunks every key the probe's sample sees."""
     if how not in ("max", "last"):
         raise ValueError(f"how must be 'max' or 'last', not {how!r}")
     keys, order = list(keys), list(order)
