@@ -77,22 +77,38 @@ def _probe(df, keys, hot_rows, max_hot_keys, fraction, seed) -> list[int]:
     return [r[0] for r in rows]
 
 
+SEED = "_pw_seed"
+
+
 def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
                out: str, ts: str, how: str = "max", chunk: str = "minute",
-               hot_rows: int = 1_000_000, max_hot_keys: int = 10_000) -> DataFrame:
+               hot_rows: int = 1_000_000, max_hot_keys: int = 10_000,
+               seed: DataFrame | None = None) -> DataFrame:
     """Add ``out``: over the earlier rows of the same ``keys`` (by ``order``,
     ascending), the ``max`` of ``value`` or the ``last`` non-null ``value``.
     Nulls in ``value`` are skipped. ``ts`` must be the first ``order`` column.
-    ``hot_rows=0`` chunks every key the probe's sample sees."""
+    ``hot_rows=0`` chunks every key the probe's sample sees.
+
+    ``seed`` (``keys`` + ``_pw_seed``) gives keys a value from before ``df``
+    (a stream's earlier micro-batches); it counts as the earliest row."""
     if how not in ("max", "last"):
         raise ValueError(f"how must be 'max' or 'last', not {how!r}")
     keys, order = list(keys), list(order)
+    seeds = None if seed is None else seed.select(*keys, F.col(SEED).alias(_V))
     hot = hot_keys(df, keys, hot_rows, max_hot_keys)
+    agg = F.max(_V) if how == "max" else F.last(_V, ignorenulls=True)
     if not hot:
-        w = (Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
+        data = df.withColumn(_V, value)
+        if seeds is not None:
+            data = data.withColumn(_MARK, F.lit(False)).unionByName(
+                seeds.withColumn(_MARK, F.lit(True)), allowMissingColumns=True)
+        first = [F.col(_MARK).desc()] if seeds is not None else []
+        w = (Window.partitionBy(*keys).orderBy(*first, *[F.col(c).asc() for c in order])
              .rowsBetween(Window.unboundedPreceding, -1))
-        agg = F.max(value) if how == "max" else F.last(value, ignorenulls=True)
-        return df.withColumn(out, agg.over(w))
+        scanned = data.withColumn(out, agg.over(w))
+        if seeds is not None:
+            scanned = scanned.where(~F.col(_MARK)).drop(_MARK)
+        return scanned.drop(_V)
     marked = df.withColumn(_HOT, F.xxhash64(*keys).isin(hot))
     # Hot rows get a chunk (rows without a time sort first, so they share the
     # earliest chunk); other rows keep a null chunk: one group per key.
@@ -113,16 +129,28 @@ def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
             F.max_by(_V, F.struct(*_cols(order))).alias(_CARRY))
         carry = F.lag(_CARRY).over(Window.partitionBy(*keys).orderBy(_CHUNK))
 
+    cold_seeds = None
+    if seeds is not None:
+        # A seed is a summary row before every chunk (a null chunk sorts
+        # first) for hot keys, and a leading marker for the other keys.
+        is_hot = F.xxhash64(*keys).isin(hot)
+        summary = summary.unionByName(
+            seeds.where(is_hot).select(*keys, F.lit(None).cast("timestamp").alias(_CHUNK),
+                                       F.col(_V).alias(_CARRY)))
+        cold_seeds = seeds.where(~is_hot).select(
+            *keys, F.lit(None).cast("timestamp").alias(_CHUNK), _V)
+
     # Level 2: carry-in of each chunk from the chunks before it.
-    markers = (summary.select(*keys, _CHUNK, carry.alias(_V))
-               .where(F.col(_V).isNotNull()).withColumn(_MARK, F.lit(True)))
+    markers = summary.select(*keys, _CHUNK, carry.alias(_V))
+    if cold_seeds is not None:
+        markers = markers.unionByName(cold_seeds)
+    markers = markers.where(F.col(_V).isNotNull()).withColumn(_MARK, F.lit(True))
     data = tagged.withColumn(_MARK, F.lit(False))
     both = data.unionByName(markers, allowMissingColumns=True)
 
     w = (Window.partitionBy(*keys, _CHUNK)
          .orderBy(F.col(_MARK).desc(), *[F.col(c).asc() for c in order])
          .rowsBetween(Window.unboundedPreceding, -1))
-    agg = F.max(_V) if how == "max" else F.last(_V, ignorenulls=True)
     return (both.withColumn(out, agg.over(w))
             .where(~F.col(_MARK))
             .drop(_CHUNK, _V, _MARK))

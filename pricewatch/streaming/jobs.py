@@ -58,6 +58,72 @@ def start_detector(events: DataFrame, processed_path: str, alerts_path: str, che
     return w.start()
 
 
+def _null_safe_semi(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_pw_r{i}") for i, k in enumerate(keys)]).distinct()
+    cond = None
+    for i, k in enumerate(keys):
+        c = left[k].eqNullSafe(r[f"_pw_r{i}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "left_semi")
+
+
+def read_baselines(spark: SparkSession, state_path: str, keys, baseline: str = "max",
+                   before: int | None = None) -> DataFrame | None:
+    """Each listing's baseline from the state deltas of batches before
+    ``before``: the highest (``max``) or the latest (``previous``) value.
+    None when no state has been written."""
+    from pricewatch.operators.scan import SEED
+    try:
+        deltas = spark.read.parquet(state_path)
+    except Exception:  # no batch written yet
+        return None
+    if before is not None:
+        deltas = deltas.where(F.col("batch_id") < before)
+    value = (F.max("value") if baseline == "max"
+             else F.max_by("value", F.struct("batch_id", "last_order")))
+    return deltas.groupBy(*keys).agg(value.alias(SEED))
+
+
+def start_detector_tables(events: DataFrame, processed_path: str, alerts_path: str,
+                          state_path: str, checkpoint: str, keys=changes.LISTING_KEYS,
+                          price: str = "price", order=changes.EVENT_ORDER,
+                          baseline: str = "max", trigger: dict | None = None) -> StreamingQuery:
+    """The detector with its state kept as a table instead of in the state
+    store. Each micro-batch runs the batch detector (JVM only, hot listings
+    split as in batch), seeded with the baselines of the listings it
+    touches; it then appends one state row per touched listing (its highest
+    valid price in the batch, or its last one for ``baseline="previous"``)
+    under its batch id. A batch reads only state of earlier batches, so a
+    replayed batch reproduces its output and overwrites its own files."""
+    from pricewatch.functions.columns import valid_price
+    keys, order = list(keys), list(order)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            prior = read_baselines(spark, state_path, keys, baseline, before=batch_id)
+            seed = None if prior is None else _null_safe_semi(prior, batch, keys)
+            classified = changes.classify_changes(batch, keys, price, order, baseline=baseline,
+                                                  seed=seed)
+            classified.persist()
+            write_batch(classified, processed_path, batch_id)
+            write_batch(changes.drop_alerts(classified, price), alerts_path, batch_id)
+            valid = batch.where(valid_price(price))
+            last = F.struct(*[F.col(c) for c in order])
+            delta = valid.groupBy(*keys).agg(
+                (F.max(price) if baseline == "max" else F.max_by(price, last)).alias("value"),
+                F.max(last).alias("last_order"))
+            write_batch(delta, state_path, batch_id)
+            classified.unpersist()
+        finally:
+            batch.unpersist()
+
+    w = events.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
+    return w.start()
+
+
 def start_normalizer(spark: SparkSession, responses_path: str, tracked: DataFrame, source: str,
                      out_path: str, rejects_path: str, checkpoint: str,
                      trigger: dict | None = None, max_files_per_trigger: int | None = None,

@@ -144,3 +144,27 @@ def test_hot_keys(spark, chunk, hot_rows, baseline):
     got = changes.classify_changes(ev, ("event_type",), "value", ("ts", "event_id"),
                                    baseline=baseline, chunk=chunk, hot_rows=hot_rows)
     assert {r.event_id: (r.change_type, r.old_price) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("hot_rows", [10 ** 9, 0])
+@pytest.mark.parametrize("baseline", ["max", "previous"])
+def test_seeded_second_half_equals_whole(spark, hot_rows, baseline):
+    """Classifying the later rows with each listing's value from the earlier
+    rows as seed gives the same answer as classifying everything."""
+    from conftest import SF_MID
+    from pricewatch.functions.columns import valid_price
+    from pricewatch.operators.scan import SEED
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet").withColumn("value", F.col("value") - 10)
+    keys, order = ("user_id", "event_type"), ("ts", "event_id")
+    whole = changes.classify_changes(ev, keys, "value", order, baseline=baseline, hot_rows=hot_rows)
+    cut = F.col("ts") >= F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    early = ev.where(~cut & valid_price("value"))
+    if baseline == "max":
+        seed = early.groupBy(*keys).agg(F.max("value").alias(SEED))
+    else:
+        seed = early.groupBy(*keys).agg(F.max_by("value", F.struct(*order)).alias(SEED))
+    late = changes.classify_changes(ev.where(cut), keys, "value", order, baseline=baseline,
+                                    hot_rows=hot_rows, seed=seed)
+    want = {r.event_id: (r.change_type, r.old_price) for r in whole.where(cut).collect()}
+    got = {r.event_id: (r.change_type, r.old_price) for r in late.collect()}
+    assert got == want

@@ -248,3 +248,42 @@ def test_stream_bucket_mode(spark, scratch):
     q.awaitTermination()
     got = {r.listing_id: (r.change_type, r.old_price) for r in spark.table("pw_per_listing").collect()}
     assert got == batch_truth(spark)
+
+
+def test_table_state_detector_equals_batch(spark, scratch):
+    df = with_num(price_events(spark))
+    staged = os.path.join(scratch, "staged")
+    land(spark, df, staged, 4)
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    out, ckpt = f"{scratch}/out", f"{scratch}/ckpt"
+
+    def run():
+        events, _ = read_price_events(spark, f"{src}/*/", stream=True, max_files_per_trigger=1)
+        jobs.start_detector_tables(events, f"{out}/processed", f"{out}/alerts", f"{out}/state",
+                                   ckpt).awaitTermination()
+
+    for i in range(2):
+        os.symlink(os.path.join(staged, f"part{i:02d}"), os.path.join(src, f"part{i:02d}"))
+    run()
+    for i in range(2, 4):
+        os.symlink(os.path.join(staged, f"part{i:02d}"), os.path.join(src, f"part{i:02d}"))
+    run()
+    processed = spark.read.parquet(f"{out}/processed")
+    got = {r.listing_id: (r.change_type, r.old_price) for r in processed.collect()}
+    assert got == batch_truth(spark)
+    assert processed.select("batch_id").distinct().count() == 4
+
+
+def test_table_state_previous_mode(spark, scratch):
+    df = with_num(price_events(spark))
+    src = os.path.join(scratch, "src")
+    land(spark, df, src, 3)
+    events, _ = read_price_events(spark, f"{src}/*/", stream=True, max_files_per_trigger=1)
+    out = f"{scratch}/out"
+    jobs.start_detector_tables(events, f"{out}/processed", f"{out}/alerts", f"{out}/state",
+                               f"{scratch}/ckpt", baseline="previous").awaitTermination()
+    got = {r.listing_id: (r.change_type, r.old_price)
+           for r in spark.read.parquet(f"{out}/processed").collect()}
+    want = changes.classify_changes(price_events(spark), baseline="previous")
+    assert got == {r.listing_id: (r.change_type, r.old_price) for r in want.collect()}
