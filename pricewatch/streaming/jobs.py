@@ -67,34 +67,77 @@ def _null_safe_semi(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     return left.join(r, cond, "left_semi")
 
 
-def read_baselines(spark: SparkSession, state_path: str, keys, baseline: str = "max",
-                   before: int | None = None) -> DataFrame | None:
-    """Each listing's baseline from the state deltas of batches before
-    ``before``: the highest (``max``) or the latest (``previous``) value.
-    None when no state has been written."""
-    from pricewatch.operators.scan import SEED
+def _fold_baselines(deltas: DataFrame, keys, baseline: str) -> DataFrame:
+    """One row per listing: its baseline, and the batch and order of the
+    row that set it (so folded rows fold again the same way)."""
+    latest = F.max_by(F.struct("value", "batch_id", "last_order"),
+                      F.struct("batch_id", "last_order"))
+    if baseline == "max":
+        best = F.max_by(F.struct("value", "batch_id", "last_order"),
+                        F.struct("value", "batch_id", "last_order"))
+        return deltas.groupBy(*keys).agg(best.alias("_f")).select(*keys, "_f.*")
+    return deltas.groupBy(*keys).agg(latest.alias("_f")).select(*keys, "_f.*")
+
+
+def _state_rows(spark: SparkSession, state_path: str, base_path: str | None,
+                before: int | None) -> DataFrame | None:
     try:
         deltas = spark.read.parquet(state_path)
     except Exception:  # no batch written yet
         return None
     if before is not None:
         deltas = deltas.where(F.col("batch_id") < before)
-    value = (F.max("value") if baseline == "max"
-             else F.max_by("value", F.struct("batch_id", "last_order")))
-    return deltas.groupBy(*keys).agg(value.alias(SEED))
+    base = _newest_base(spark, base_path) if base_path is not None else None
+    if base is None:
+        return deltas
+    through = base.agg(F.max("through_batch")).scalar()
+    return base.drop("through_batch").unionByName(deltas.where(F.col("batch_id") > through))
+
+
+def read_baselines(spark: SparkSession, state_path: str, keys, baseline: str = "max",
+                   before: int | None = None, base_path: str | None = None) -> DataFrame | None:
+    """Each listing's baseline from the compacted base (when given) and the
+    state deltas of batches before ``before``: the highest (``max``) or the
+    latest (``previous``) value. None when no state has been written."""
+    from pricewatch.operators.scan import SEED
+    rows = _state_rows(spark, state_path, base_path, before)
+    if rows is None:
+        return None
+    return _fold_baselines(rows, keys, baseline).select(*keys, F.col("value").alias(SEED))
+
+
+def compact_baselines(spark: SparkSession, state_path: str, base_path: str, keys,
+                      baseline: str = "max") -> int | None:
+    """Fold the newest base and later deltas into a new base version
+    ``through_batch=<last batch>`` (never rewritten; a failed compaction
+    leaves the previous one current). Returns the batch id covered. Run it
+    between micro-batches, or from a separate job with the query stopped."""
+    deltas = spark.read.parquet(state_path)
+    through = deltas.agg(F.max("batch_id")).first()[0]
+    if through is None:
+        return None
+    base = _newest_base(spark, base_path)
+    if base is not None and base.agg(F.max("through_batch")).first()[0] >= through:
+        return through
+    rows = _state_rows(spark, state_path, base_path, None)
+    (_fold_baselines(rows, keys, baseline).write.mode("overwrite")
+     .parquet(f"{base_path.rstrip('/')}/through_batch={through}"))
+    return through
 
 
 def start_detector_tables(events: DataFrame, processed_path: str, alerts_path: str,
                           state_path: str, checkpoint: str, keys=changes.LISTING_KEYS,
                           price: str = "price", order=changes.EVENT_ORDER,
-                          baseline: str = "max", trigger: dict | None = None) -> StreamingQuery:
+                          baseline: str = "max", trigger: dict | None = None,
+                          base_path: str | None = None) -> StreamingQuery:
     """The detector with its state kept as a table instead of in the state
     store. Each micro-batch runs the batch detector (JVM only, hot listings
     split as in batch), seeded with the baselines of the listings it
     touches; it then appends one state row per touched listing (its highest
     valid price in the batch, or its last one for ``baseline="previous"``)
     under its batch id. A batch reads only state of earlier batches, so a
-    replayed batch reproduces its output and overwrites its own files."""
+    replayed batch reproduces its output and overwrites its own files.
+    ``compact_baselines`` folds old deltas into a base at ``base_path``."""
     from pricewatch.functions.columns import valid_price
     keys, order = list(keys), list(order)
 
@@ -102,7 +145,8 @@ def start_detector_tables(events: DataFrame, processed_path: str, alerts_path: s
         spark = batch.sparkSession
         batch.persist()
         try:
-            prior = read_baselines(spark, state_path, keys, baseline, before=batch_id)
+            prior = read_baselines(spark, state_path, keys, baseline, before=batch_id,
+                                   base_path=base_path)
             seed = None if prior is None else _null_safe_semi(prior, batch, keys)
             classified = changes.classify_changes(batch, keys, price, order, baseline=baseline,
                                                   seed=seed)

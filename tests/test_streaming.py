@@ -261,11 +261,18 @@ def test_table_state_detector_equals_batch(spark, scratch):
     def run():
         events, _ = read_price_events(spark, f"{src}/*/", stream=True, max_files_per_trigger=1)
         jobs.start_detector_tables(events, f"{out}/processed", f"{out}/alerts", f"{out}/state",
-                                   ckpt).awaitTermination()
+                                   ckpt, base_path=f"{out}/state_base").awaitTermination()
 
     for i in range(2):
         os.symlink(os.path.join(staged, f"part{i:02d}"), os.path.join(src, f"part{i:02d}"))
     run()
+    keys = list(changes.LISTING_KEYS)
+    before = {tuple(r)[:-1]: r[-1] for r in
+              jobs.read_baselines(spark, f"{out}/state", keys).collect()}
+    assert jobs.compact_baselines(spark, f"{out}/state", f"{out}/state_base", keys) == 1
+    after = {tuple(r)[:-1]: r[-1] for r in jobs.read_baselines(
+        spark, f"{out}/state", keys, base_path=f"{out}/state_base").collect()}
+    assert after == before
     for i in range(2, 4):
         os.symlink(os.path.join(staged, f"part{i:02d}"), os.path.join(src, f"part{i:02d}"))
     run()
@@ -277,12 +284,24 @@ def test_table_state_detector_equals_batch(spark, scratch):
 
 def test_table_state_previous_mode(spark, scratch):
     df = with_num(price_events(spark))
+    staged = os.path.join(scratch, "staged")
+    land(spark, df, staged, 3)
     src = os.path.join(scratch, "src")
-    land(spark, df, src, 3)
-    events, _ = read_price_events(spark, f"{src}/*/", stream=True, max_files_per_trigger=1)
+    os.makedirs(src)
     out = f"{scratch}/out"
-    jobs.start_detector_tables(events, f"{out}/processed", f"{out}/alerts", f"{out}/state",
-                               f"{scratch}/ckpt", baseline="previous").awaitTermination()
+
+    def run():
+        events, _ = read_price_events(spark, f"{src}/*/", stream=True, max_files_per_trigger=1)
+        jobs.start_detector_tables(events, f"{out}/processed", f"{out}/alerts", f"{out}/state",
+                                   f"{scratch}/ckpt", baseline="previous",
+                                   base_path=f"{out}/base").awaitTermination()
+
+    for i in range(3):
+        os.symlink(os.path.join(staged, f"part{i:02d}"), os.path.join(src, f"part{i:02d}"))
+        run()
+        if i == 1:
+            jobs.compact_baselines(spark, f"{out}/state", f"{out}/base",
+                                   list(changes.LISTING_KEYS), baseline="previous")
     got = {r.listing_id: (r.change_type, r.old_price)
            for r in spark.read.parquet(f"{out}/processed").collect()}
     want = changes.classify_changes(price_events(spark), baseline="previous")
