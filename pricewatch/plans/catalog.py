@@ -242,6 +242,28 @@ def source_drop_alerts(spark, sf):
                                                 "new_price", "drop_amount", "drop_percent")
 
 
+@register("incremental_drop_alerts", f"""
+WITH b AS ({_base()})
+SELECT event_id, user_id, event_type, ts, base AS old_price, value AS new_price,
+       base - value AS drop_amount, abs((value - base) / base * 100) AS drop_percent
+FROM b WHERE {_valid()} AND value < base AND ts >= {AS_OF_SQL} - INTERVAL 7 DAYS""")
+def incremental_drop_alerts(spark, sf):
+    """Drops of the last week, found incrementally: only the new week is
+    scanned row by row; the stored history contributes one baseline per
+    listing (an aggregation), used as the seed. Equals the full-history
+    answer for that week."""
+    from pricewatch.functions.columns import valid_price
+    from pricewatch.operators.scan import SEED
+    ev = _events(spark, sf)
+    new = since("ts", 7 * 24, AS_OF)
+    seed = (ev.where(~new & valid_price(PRICE)).groupBy(*KEYS)
+            .agg(F.max(PRICE).alias(SEED)))
+    c = changes.classify_changes(ev.where(new), KEYS, PRICE, ORDER, seed=seed)
+    return changes.drop_alerts(c, PRICE).select(
+        "event_id", "user_id", "event_type", "ts", "old_price", "new_price", "drop_amount",
+        "drop_percent")
+
+
 @register("listing_baselines", f"""
 SELECT user_id, event_type, value AS baseline_price, ts AS baseline_ts,
        event_id AS baseline_event_id
