@@ -67,3 +67,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def sized_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle settings for an input of ``input_bytes``: enough shuffle
+    partitions that each holds about ``partition_bytes`` (AQE coalesces the
+    small ones and splits skewed ones), file splits of at most 256 MB, and
+    the same advisory size for AQE. Pass the result as ``extra`` to
+    ``get_spark`` or set it on a running session."""
+    partitions = max(8, -(-int(input_bytes) // int(partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 256 * 1024 * 1024)),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
