@@ -69,13 +69,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
-def sized_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
-    """Shuffle settings for an input of ``input_bytes``: enough shuffle
-    partitions that each holds about ``partition_bytes`` (AQE coalesces the
-    small ones and splits skewed ones), file splits of at most 256 MB, and
-    the same advisory size for AQE. Pass the result as ``extra`` to
-    ``get_spark`` or set it on a running session."""
-    partitions = max(8, -(-int(input_bytes) // int(partition_bytes)))
+def sized_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+               max_partitions: int = 50_000) -> dict[str, str]:
+    """Shuffle settings for an input of ``input_bytes``: about one shuffle
+    partition per ``partition_bytes`` of input, at most ``max_partitions``
+    (every reducer fetches from every map task, and after column pruning a
+    shuffle is far smaller than its input); AQE coalesces small partitions
+    and splits skewed ones. File splits stay at most 256 MB. Pass the
+    result as ``extra`` to ``get_spark`` or set it on a running session."""
+    partitions = min(max_partitions, max(8, -(-int(input_bytes) // int(partition_bytes))))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
