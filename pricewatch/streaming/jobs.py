@@ -198,25 +198,47 @@ def start_normalizer(spark: SparkSession, responses_path: str, tracked: DataFram
     return w.start()
 
 
+STORAGE_METRICS = "storage"
+
+
 def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimension_path: str,
-                  checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+                  checkpoint: str, trigger: dict | None = None,
+                  metrics_path: str | None = None) -> StreamingQuery:
     """The storage side: typed history and rejects per batch, and the event
     dimension. The dimension is kept as append-only deltas, one per batch
     (that batch's first sighting of each event), so a batch writes only
     what it saw; ``read_dimension`` folds the deltas (first write wins,
-    ``last_updated`` is the latest)."""
+    ``last_updated`` is the latest).
+
+    Messages received are observed per micro-batch under ``storage``; with
+    ``metrics_path`` every batch also writes its counters (received, stored,
+    errors, events created) as system-metrics rows."""
+    from pricewatch.operators import metrics, validate
+    counted = events.observe(STORAGE_METRICS, F.count(F.lit(1)).alias("messages_received"))
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.persist()
         try:
-            good, rejects = history.ingest(batch)
-            write_batch(good, history_path, batch_id)
-            write_batch(rejects, rejects_path, batch_id)
+            tagged = history.tag_history(batch).persist()
+            reason = F.col(validate.REASON)
+            write_batch(tagged.where(reason.isNull()).drop(validate.REASON), history_path, batch_id)
+            write_batch(tagged.where(reason.isNotNull()), rejects_path, batch_id)
+            if metrics_path is not None:
+                try:
+                    known = (spark.read.parquet(dimension_path)
+                             .where(F.col("batch_id") < batch_id).select("event_id"))
+                except Exception:  # first batch: no dimension yet
+                    known = batch.select("event_id").where(F.lit(False))
+                created = history.new_events(batch, known)
+                counters = metrics.as_system_metrics(metrics.ingest_metrics(tagged, created))
+                write_batch(counters, metrics_path, batch_id)
             write_batch(history.event_dimension(batch), dimension_path, batch_id)
+            tagged.unpersist()
         finally:
             batch.unpersist()
 
-    w = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    w = counted.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
     return w.start()
 

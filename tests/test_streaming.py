@@ -100,10 +100,18 @@ def test_storage_stream_dimension_merge(spark, scratch):
     events, _ = read_price_events(spark, f"{src}/*/", stream=True, max_files_per_trigger=1)
     root = f"{scratch}/store"
     q = jobs.start_storage(events, f"{root}/history", f"{root}/rejects", f"{root}/dimension",
-                           f"{scratch}/ckpt")
+                           f"{scratch}/ckpt", metrics_path=f"{root}/metrics")
     q.awaitTermination()
     hist = spark.read.parquet(f"{root}/history")
     assert hist.count() == df.count()
+    m = spark.read.parquet(f"{root}/metrics")
+    sums = {r.metric_name: int(r.s) for r in
+            m.groupBy("metric_name").agg(F.sum("metric_value").alias("s")).collect()}
+    assert sums == {"messages_received": df.count(), "prices_stored": df.count(), "errors": 0,
+                    "events_created": df.select("event_id").distinct().count()}
+    observed = [p["observedMetrics"][jobs.STORAGE_METRICS]["messages_received"]
+                for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(observed) == df.count()
     dim = jobs.read_dimension(spark, f"{root}/dimension")
     assert spark.read.parquet(f"{root}/dimension").select("batch_id").distinct().count() == 3
     want = df.groupBy("event_id").agg(F.min("timestamp").alias("c"), F.max("timestamp").alias("u"))
