@@ -243,6 +243,52 @@ def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimen
     return w.start()
 
 
+ALERT_METRICS = "alerts"
+
+
+def start_alert_store(alerts: DataFrame, stored_path: str, rejects_path: str, outbox_path: str,
+                      checkpoint: str, dimension_path: str | None = None,
+                      metrics_path: str | None = None, trigger: dict | None = None,
+                      footer: str | None = None) -> StreamingQuery:
+    """The alert side: every alert's notification payload goes to the outbox
+    (a sender posts them; nothing is sent from Spark), then the alert is
+    stored with money as decimals. An alert whose event the dimension does
+    not know is a reject (``unknown_event``): the alert path never creates
+    events. Counters (processed, stored, errors) go to ``metrics_path`` as
+    system-metrics rows."""
+    from pricewatch.operators import metrics, notify
+    counted = alerts.observe(ALERT_METRICS, F.count(F.lit(1)).alias("alerts_processed"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            payloads = notify.with_payload(batch, **({"footer": footer} if footer else {}))
+            write_batch(payloads.select("event_id", "listing_id", "alert_timestamp", "payload"),
+                        outbox_path, batch_id)
+            dim = None
+            if dimension_path is not None:
+                try:
+                    dim = read_dimension(spark, dimension_path).select("event_id")
+                except Exception:  # no dimension yet: every alert is unknown
+                    dim = batch.select("event_id").where(F.lit(False))
+            stored, rejects = history.store_alerts(batch, dim)
+            stored, rejects = stored.persist(), rejects.persist()
+            write_batch(stored, stored_path, batch_id)
+            write_batch(rejects, rejects_path, batch_id)
+            if metrics_path is not None:
+                counters = metrics.as_system_metrics(metrics.alert_metrics(batch, stored, rejects))
+                write_batch(counters, metrics_path, batch_id)
+            stored.unpersist()
+            rejects.unpersist()
+        finally:
+            batch.unpersist()
+
+    w = counted.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
+    return w.start()
+
+
 _DIM_ATTRS = ("event_name", "venue", "event_date")
 
 

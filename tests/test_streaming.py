@@ -314,3 +314,43 @@ def test_table_state_previous_mode(spark, scratch):
            for r in spark.read.parquet(f"{out}/processed").collect()}
     want = changes.classify_changes(price_events(spark), baseline="previous")
     assert got == {r.listing_id: (r.change_type, r.old_price) for r in want.collect()}
+
+
+def test_alert_store_stream(spark, scratch):
+    """Detector -> alerts files -> alert store: payloads for all alerts,
+    alerts of unknown events rejected, counters add up."""
+    df = with_num(price_events(spark))
+    src = os.path.join(scratch, "src")
+    land(spark, df, src, 2)
+    out = f"{scratch}/out"
+    run_detector(spark, f"{src}/*/", out, f"{scratch}/ckpt_d")
+    alerts_static = spark.read.parquet(f"{out}/alerts")
+    n_alerts = alerts_static.count()
+    # the store knows every event but one
+    events_seen = df.select("event_id").distinct().orderBy("event_id").collect()
+    missing = events_seen[0].event_id
+    dim_rows = (df.where(F.col("event_id") != missing)
+                .select("event_id", "event_name", "venue", "event_date", "timestamp", "listing_id"))
+    from pricewatch.operators import history
+    (history.event_dimension(dim_rows).withColumn("batch_id", F.lit(0))
+     .write.mode("overwrite").partitionBy("batch_id").parquet(f"{scratch}/dimension"))
+    alerts = spark.readStream.schema(alerts_static.schema).parquet(f"{out}/alerts")
+    q = jobs.start_alert_store(alerts, f"{scratch}/stored", f"{scratch}/rejected",
+                               f"{scratch}/outbox", f"{scratch}/ckpt_a",
+                               dimension_path=f"{scratch}/dimension",
+                               metrics_path=f"{scratch}/metrics")
+    q.awaitTermination()
+    outbox = spark.read.parquet(f"{scratch}/outbox")
+    assert outbox.count() == n_alerts and outbox.where(F.col("payload").isNull()).count() == 0
+    stored = spark.read.parquet(f"{scratch}/stored")
+    rejected = spark.read.parquet(f"{scratch}/rejected")
+    unknown = alerts_static.where(F.col("event_id") == missing).count()
+    assert rejected.count() == unknown > 0
+    assert {r.reject_reason for r in rejected.collect()} == {"unknown_event"}
+    assert stored.count() == n_alerts - unknown
+    assert dict(stored.dtypes)["old_price"] == "decimal(10,2)"
+    m = spark.read.parquet(f"{scratch}/metrics")
+    sums = {r.metric_name: int(r.s) for r in
+            m.groupBy("metric_name").agg(F.sum("metric_value").alias("s")).collect()}
+    assert sums == {"alerts_processed": n_alerts, "alerts_stored": n_alerts - unknown,
+                    "errors": unknown}
