@@ -46,3 +46,19 @@ def test_query_matches_sql(spark, duck, name):
     want = _rows(duck.execute(entry.oracle_sql()[name]).df())
     assert got[0] == want[0]
     assert got[1] == want[1]
+
+
+@pytest.mark.parametrize("name", ["price_history_recent", "alerts_per_hour", "avg_price_by_time_source",
+                                  "throughput_5min", "wire_roundtrip", "retention_filter",
+                                  "price_drop_alerts"])
+def test_time_queries_in_another_zone(spark, duck, name):
+    """Driver timestamps are zone-less; results must not move with the
+    session time zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = _rows(entry.queries()[name](spark, SF_SMALL).toPandas())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    want = _rows(duck.execute(entry.oracle_sql()[name]).df())
+    assert got == want
