@@ -31,7 +31,8 @@ EVENT_ORDER = ("timestamp", "listing_id")
 def classify_changes(df: DataFrame, keys: Sequence[str] = LISTING_KEYS, price: str = "price",
                      order: Sequence[str] = EVENT_ORDER, baseline: str = "max",
                      raw_price: str | None = None, chunk: str = "minute",
-                     hot_rows: int = 1_000_000, seed: DataFrame | None = None) -> DataFrame:
+                     hot_rows: int = 1_000_000, seed: DataFrame | None = None,
+                     probe_fraction: float = 0.01) -> DataFrame:
     """Add ``old_price``, ``change_type``, ``price_change``, ``change_percent``.
     Listings with more than ``hot_rows`` rows are scanned in time chunks
     (see ``operators/scan.py``). ``seed`` (keys + ``_pw_seed``) is each
@@ -41,7 +42,8 @@ def classify_changes(df: DataFrame, keys: Sequence[str] = LISTING_KEYS, price: s
     how = {"max": "max", "previous": "last"}[baseline]
     valid = valid_price(price)
     scanned = prior_scan(df, keys, order, F.when(valid, F.col(price)), "_pw_base", ts,
-                         how=how, chunk=chunk, hot_rows=hot_rows, seed=seed)
+                         how=how, chunk=chunk, hot_rows=hot_rows, seed=seed,
+                         probe_fraction=probe_fraction)
     p, base = F.col(price), F.col("_pw_base")
     kind = (F.when(~valid, F.lit("invalid"))
             .when(base.isNull(), F.lit("new"))

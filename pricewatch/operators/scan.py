@@ -83,11 +83,12 @@ SEED = "_pw_seed"
 def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
                out: str, ts: str, how: str = "max", chunk: str = "minute",
                hot_rows: int = 1_000_000, max_hot_keys: int = 10_000,
-               seed: DataFrame | None = None) -> DataFrame:
+               seed: DataFrame | None = None, probe_fraction: float = 0.01) -> DataFrame:
     """Add ``out``: over the earlier rows of the same ``keys`` (by ``order``,
     ascending), the ``max`` of ``value`` or the ``last`` non-null ``value``.
     Nulls in ``value`` are skipped. ``ts`` must be the first ``order`` column.
-    ``hot_rows=0`` chunks every key the probe's sample sees.
+    ``hot_rows=0`` chunks every key the probe's sample sees
+    (``probe_fraction=1``: every key).
 
     ``seed`` (``keys`` + ``_pw_seed``) gives keys a value from before ``df``
     (a stream's earlier micro-batches); it counts as the earliest row."""
@@ -95,7 +96,7 @@ def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         raise ValueError(f"how must be 'max' or 'last', not {how!r}")
     keys, order = list(keys), list(order)
     seeds = None if seed is None else seed.select(*keys, F.col(SEED).alias(_V))
-    hot = hot_keys(df, keys, hot_rows, max_hot_keys)
+    hot = hot_keys(df, keys, hot_rows, max_hot_keys, fraction=probe_fraction)
     agg = F.max(_V) if how == "max" else F.last(_V, ignorenulls=True)
     if not hot:
         data = df.withColumn(_V, value)

@@ -49,7 +49,8 @@ def test_previous_mode(spark):
     assert [r.old_price for r in got][-1] == 120.0
 
 
-def test_interleaved_ties_and_null_keys(spark):
+@pytest.mark.parametrize("hot_rows", [10 ** 9, 0])
+def test_interleaved_ties_and_null_keys(spark, hot_rows):
     rows = [
         ("ev1", "mock", None, "1", "1", 50.0, T0, "b"),
         ("ev1", "mock", None, "1", "1", 40.0, T0, "a"),       # same time: 'a' comes first
@@ -58,7 +59,8 @@ def test_interleaved_ties_and_null_keys(spark):
         ("ev1", "mock", "B", "1", "1", 5.0, T0 + timedelta(hours=2), "e"),
     ]
     got = {r.listing_id: (r.change_type, r.old_price)
-           for r in changes.classify_changes(events(spark, rows)).collect()}
+           for r in changes.classify_changes(events(spark, rows), hot_rows=hot_rows,
+                                   probe_fraction=1.0 if hot_rows == 0 else 0.01).collect()}
     assert got == {"a": ("new", None), "b": ("increase", 40.0), "c": ("new", None),
                    "d": ("drop", 50.0), "e": ("drop", 10.0)}
 
@@ -89,7 +91,7 @@ def test_window_equals_state_machine(spark, chunk):
                   key=lambda r: (r.ts, r.event_id))
     want, _ = state_machine([((r.user_id, r.event_type), r.value, r.event_id) for r in rows])
     got = changes.classify_changes(ev, ("user_id", "event_type"), "value", ("ts", "event_id"),
-                                   chunk=chunk, hot_rows=0)
+                                   chunk=chunk, hot_rows=0, probe_fraction=1.0)
     got = {r.event_id: (r.change_type, r.old_price) for r in got.collect()}
     assert got == want
     assert any(v[0] == "invalid" for v in want.values())
@@ -142,7 +144,8 @@ def test_hot_keys(spark, chunk, hot_rows, baseline):
                 ("drop" if r.value < old else "increase" if r.value > old else "same"), old)
             last[r.event_type] = r.value
     got = changes.classify_changes(ev, ("event_type",), "value", ("ts", "event_id"),
-                                   baseline=baseline, chunk=chunk, hot_rows=hot_rows)
+                                   baseline=baseline, chunk=chunk, hot_rows=hot_rows,
+                                   probe_fraction=1.0 if hot_rows == 0 else 0.01)
     assert {r.event_id: (r.change_type, r.old_price) for r in got.collect()} == want
 
 
@@ -156,7 +159,8 @@ def test_seeded_second_half_equals_whole(spark, hot_rows, baseline):
     from pricewatch.operators.scan import SEED
     ev = spark.read.parquet(f"{SF_MID}/events.parquet").withColumn("value", F.col("value") - 10)
     keys, order = ("user_id", "event_type"), ("ts", "event_id")
-    whole = changes.classify_changes(ev, keys, "value", order, baseline=baseline, hot_rows=hot_rows)
+    whole = changes.classify_changes(ev, keys, "value", order, baseline=baseline, hot_rows=hot_rows,
+                                   probe_fraction=1.0 if hot_rows == 0 else 0.01)
     cut = F.col("ts") >= F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
     early = ev.where(~cut & valid_price("value"))
     if baseline == "max":
@@ -164,7 +168,8 @@ def test_seeded_second_half_equals_whole(spark, hot_rows, baseline):
     else:
         seed = early.groupBy(*keys).agg(F.max_by("value", F.struct(*order)).alias(SEED))
     late = changes.classify_changes(ev.where(cut), keys, "value", order, baseline=baseline,
-                                    hot_rows=hot_rows, seed=seed)
+                                    hot_rows=hot_rows, seed=seed,
+                                    probe_fraction=1.0 if hot_rows == 0 else 0.01)
     want = {r.event_id: (r.change_type, r.old_price) for r in whole.where(cut).collect()}
     got = {r.event_id: (r.change_type, r.old_price) for r in late.collect()}
     assert got == want

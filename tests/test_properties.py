@@ -51,7 +51,8 @@ def test_batch_detector_matches_machine(spark, drawn, hot_rows):
     ordered = sorted(rows, key=lambda r: (r[1], r[2]))
     want = machine([(r[0], r[2], r[3]) for r in ordered])
     df = spark.createDataFrame(rows, "listing string, ts timestamp, rid long, price double")
-    got = changes.classify_changes(df, ["listing"], "price", ["ts", "rid"], hot_rows=hot_rows)
+    got = changes.classify_changes(df, ["listing"], "price", ["ts", "rid"], hot_rows=hot_rows,
+                                   probe_fraction=1.0 if hot_rows == 0 else 0.01)
     assert {r.rid: (r.change_type, r.old_price) for r in got.collect()} == want
 
 
