@@ -34,3 +34,40 @@ def match_thresholds(prices: DataFrame, rules: DataFrame) -> DataFrame:
             .select("r.alert_id", "p.event_id", money(F.col("p.price")).alias("price"),
                     "p.source", "p.section", "p.row", "p.seat", "p.listing_id",
                     "p.listing_url", F.col("p.timestamp").alias("triggered_at")))
+
+
+def best_offers(prices: DataFrame, rules: DataFrame) -> DataFrame:
+    """One trigger per active rule: its cheapest qualifying listing (ties:
+    smallest listing id), when that price is at or below the target.
+
+    Prices are first reduced to the cheapest listing per (event, section,
+    row), an aggregation that combines map-side; rules are then matched
+    against these offers, whose number per event is bounded by the seats of
+    a venue, not by the number of price updates. No (price, rule) pairs are
+    formed. Same match rules as ``match_thresholds``."""
+    row_num = F.col("row").try_cast("int")
+    offer = F.min_by(F.struct("price", "listing_id", "source", "seat", "listing_url", "timestamp"),
+                     F.struct("price", "listing_id"))
+    offers = (prices.where(F.col("price").isNotNull())
+              .groupBy("event_id", "section", "row", row_num.alias("_row_num"))
+              .agg(offer.alias("o"))
+              .select("event_id", "section", "row", "_row_num", "o.*"))
+    r = (rules.where(F.coalesce(F.col("active"), F.lit(False)))
+         .select(F.col("id").alias("alert_id"), "event_id", "target_price",
+                 F.col("section").alias("_rule_section"), F.col("max_row").alias("_max_row")))
+    o = offers.alias("o")
+    cond = ((F.col("o.event_id") == F.col("r.event_id"))
+            & (F.col("o.price") <= F.col("r.target_price"))
+            & (F.col("r._rule_section").isNull() | (F.col("o.section") == F.col("r._rule_section")))
+            & (F.col("r._max_row").isNull() | (F.col("o._row_num") <= F.col("r._max_row"))))
+    matched = o.join(r.alias("r"), cond, "inner")
+    pick = F.min_by(F.struct("o.price", "o.listing_id", "o.source", "o.section", "o.row",
+                             "o.seat", "o.listing_url", "o.timestamp"),
+                    F.struct("o.price", "o.listing_id"))
+    return (matched.groupBy("r.alert_id", "r.event_id").agg(pick.alias("b"))
+            .select("alert_id", "event_id", money(F.col("b.price")).alias("price"),
+                    F.col("b.source").alias("source"), F.col("b.section").alias("section"),
+                    F.col("b.row").alias("row"), F.col("b.seat").alias("seat"),
+                    F.col("b.listing_id").alias("listing_id"),
+                    F.col("b.listing_url").alias("listing_url"),
+                    F.col("b.timestamp").alias("triggered_at")))

@@ -663,6 +663,26 @@ def threshold_triggers(spark, sf):
     return _money_as_double(t, ["price"])
 
 
+@register("threshold_best_offers", """
+WITH cheapest AS (
+  SELECT user_id, value, event_type, event_id, ts FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS rn
+    FROM events WHERE value IS NOT NULL) WHERE rn = 1)
+SELECT c.c_custkey AS alert_id, p.user_id AS event_id,
+       CAST(CAST(p.value AS DECIMAL(10,2)) AS DOUBLE) AS price, p.event_type AS source,
+       p.event_id AS listing_id, p.ts AS triggered_at
+FROM cheapest p JOIN customer c ON p.user_id = c.c_custkey
+WHERE c.c_acctbal >= 0 AND p.value <= CAST(floor(abs(c.c_acctbal) / 20) AS DECIMAL(10,2))""")
+def threshold_best_offers(spark, sf):
+    """One trigger per active rule with its cheapest qualifying listing."""
+    h = _history(spark, sf).withColumns({
+        "section": F.lit(None).cast("string"), "row": F.lit(None).cast("string"),
+        "seat": F.lit(None).cast("string"), "listing_url": F.lit(None).cast("string")})
+    t = thresholds.best_offers(h, _rules(spark, sf))
+    t = t.select("alert_id", "event_id", "price", "source", "listing_id", "triggered_at")
+    return _money_as_double(t, ["price"])
+
+
 @register("ewma_by_source", """
 WITH r AS (SELECT event_type, value,
                   row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i,

@@ -148,3 +148,23 @@ def test_alerts_per_hour_limit(spark):
     a = spark.createDataFrame(rows, cols)
     assert [r.alerts for r in dashboard.alerts_per_hour(a).collect()] == [3, 3, 3]
     assert [r.alerts for r in dashboard.alerts_per_hour(a, limit=4).collect()] == [1, 3]
+
+
+def test_best_offers(spark):
+    prices = spark.createDataFrame([
+        ("e1", 90.0, "mock", "101", "5", "1", "l1", None, T0),
+        ("e1", 60.0, "mock", "102", "A", "1", "l2", None, T0),
+        ("e1", 80.0, "mock", "101", "3", "1", "l3", None, T0 + timedelta(hours=1)),
+        ("e1", 95.0, "mock", "101", "12", "1", "l5", None, T0),
+        ("e2", 10.0, "mock", "101", "1", "1", "l4", None, T0),
+    ], "event_id string, price double, source string, section string, row string, seat string, "
+       "listing_id string, listing_url string, timestamp timestamp")
+    rules = spark.createDataFrame([
+        (1, "e1", 100.0, None, None, True),      # any seat: cheapest is l2 (row A)
+        (2, "e1", 100.0, "101", 10, True),       # section 101, rows up to 10: l3
+        (3, "e1", 70.0, "101", None, True),      # section 101 under 70: none
+        (4, "e2", 100.0, None, None, False),     # inactive
+    ], "id long, event_id string, target_price double, section string, max_row int, active boolean")
+    got = {r.alert_id: (r.listing_id, float(r.price))
+           for r in thresholds.best_offers(prices, rules).collect()}
+    assert got == {1: ("l2", 60.0), 2: ("l3", 80.0)}
