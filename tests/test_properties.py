@@ -74,3 +74,32 @@ def test_stream_kernel_split_anywhere(prices, cut):
             o = old[j]
             got[lo + j] = (kind[j], None if np.isnan(o) else float(o))
     assert got == want
+
+
+def ewma_loop(values, alpha=0.1):
+    m = 0.0
+    for x in values:
+        m = x if m == 0 else (1 - alpha) * m + alpha * x
+    return m
+
+
+EWMA_ROWS = st.lists(st.tuples(st.integers(0, 1), st.integers(0, 300),
+                               st.one_of(st.just(0.0), st.floats(0.01, 1000, allow_nan=False))),
+                     min_size=1, max_size=50)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(EWMA_ROWS)
+def test_ewma_matches_loop(spark, drawn):
+    from pricewatch.operators import metrics
+    t0 = datetime(2024, 1, 1)
+    rows = [(f"s{g}", t0 + timedelta(seconds=20 * sec), i, x) for i, (g, sec, x) in enumerate(drawn)]
+    want = {}
+    for g in {r[0] for r in rows}:
+        series = [r[3] for r in sorted(rows, key=lambda r: (r[1], r[2])) if r[0] == g]
+        want[g] = ewma_loop(series)
+    df = spark.createDataFrame(rows, "source string, t timestamp, i long, x double")
+    got = {r.source: r.ewma for r in metrics.ewma(df, ["source"], ["t", "i"], "x").collect()}
+    assert got.keys() == want.keys()
+    for g in want:
+        assert math.isclose(got[g], want[g], rel_tol=1e-9, abs_tol=1e-9)
