@@ -531,6 +531,36 @@ def avg_price_by_time_source(spark, sf):
     return _round_avg(dashboard.avg_price_by_time_source(_history(spark, sf), unit="day"))
 
 
+_RECENT_48H = f"""(
+  SELECT p.event_id, p.price, p.source, p.timestamp, p.listing_id
+  FROM {_PH} p JOIN {_DIM} d ON p.event_id = d.event_id
+  WHERE p.timestamp >= {AS_OF_SQL} - INTERVAL 48 HOURS
+  ORDER BY p.timestamp DESC, p.listing_id DESC LIMIT 10000)"""
+
+
+def _recent_48h(spark, sf):
+    return dashboard.recent_prices(_history(spark, sf), _dimension(spark, sf), hours=48,
+                                   as_of=AS_OF)
+
+
+@register("dashboard_price_series", f"""
+SELECT timestamp, source, round(avg(price), 6) AS avg_price, count(*) AS n
+FROM {_RECENT_48H} r GROUP BY timestamp, source""")
+def dashboard_price_series(spark, sf):
+    """The dashboard chart: mean price per exact (timestamp, source) over the
+    prices it shows (newest 10,000 of the last 48 hours)."""
+    return _round_avg(dashboard.avg_price_by_time_source(_recent_48h(spark, sf)))
+
+
+@register("dashboard_source_table", f"""
+SELECT source, round(avg(price), 6) AS avg_price, min(price) AS min_price,
+       max(price) AS max_price
+FROM {_RECENT_48H} r GROUP BY source""")
+def dashboard_source_table(spark, sf):
+    """The dashboard's per-source table over the prices it shows."""
+    return _round_avg(dashboard.source_summary(_recent_48h(spark, sf)))
+
+
 @register("source_summary", f"""
 SELECT source, round(avg(price), 6) AS avg_price, min(price) AS min_price,
        max(price) AS max_price
