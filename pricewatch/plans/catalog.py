@@ -561,6 +561,32 @@ def dashboard_source_table(spark, sf):
     return _round_avg(dashboard.source_summary(_recent_48h(spark, sf)))
 
 
+@register("dashboard_price_histogram", f"""
+WITH r AS {_RECENT_48H},
+     bounds AS (SELECT min(price) AS lo, max(price) AS hi FROM r),
+     binned AS (SELECT source, lo, hi,
+                       least(CAST(floor((price - lo) / (hi - lo) * 30) AS BIGINT) + 1, 30) AS bin
+                FROM r, bounds WHERE price IS NOT NULL)
+SELECT source, bin, lo + (bin - 1) * ((hi - lo) / 30) AS bin_start,
+       lo + bin * ((hi - lo) / 30) AS bin_end, count(*) AS n
+FROM binned GROUP BY source, bin, lo, hi""")
+def dashboard_price_histogram(spark, sf):
+    """The dashboard histogram: 30 bins over the prices it shows."""
+    return dashboard.price_histogram(_recent_48h(spark, sf), 30, "source")
+
+
+@register("dashboard_alerts_chart", f"""
+SELECT date_trunc('hour', alert_timestamp) AS hour, count(*) AS alerts
+FROM (SELECT a.alert_timestamp, a.listing_id FROM {_ALERTS} a JOIN {_DIM} d
+      ON a.event_id = d.event_id
+      ORDER BY a.alert_timestamp DESC, a.listing_id DESC LIMIT 20) t GROUP BY 1""")
+def dashboard_alerts_chart(spark, sf):
+    """The dashboard's alerts-per-hour chart, drawn from the 20 alerts it
+    lists."""
+    return dashboard.alerts_per_hour(
+        dashboard.recent_alerts(_alerts(spark, sf), _dimension(spark, sf), 20))
+
+
 @register("source_summary", f"""
 SELECT source, round(avg(price), 6) AS avg_price, min(price) AS min_price,
        max(price) AS max_price
