@@ -6,6 +6,7 @@ monitoring system, each a Structured Streaming query with its own checkpoint.
     python -m pricewatch store     --events DIR --out DIR
     python -m pricewatch alerts    --alerts DIR --dimension DIR --out DIR
     python -m pricewatch compact   --out DIR
+    python -m pricewatch report    --store DIR --out DIR [--hours 48] [--event NAME]
 
 Every command writes under ``--out`` (outputs, rejects, state, metrics) and
 keeps its checkpoint in ``--out/_checkpoints/<command>``. Without
@@ -96,6 +97,14 @@ def compact(args, spark):
     return None
 
 
+def report(args, spark):
+    from pricewatch.plans.report import dashboard_report, write_report
+    parts = dashboard_report(spark, args.store, hours=args.hours, event_name=args.event,
+                             as_of=args.as_of)
+    write_report(parts, args.out)
+    return None
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="pricewatch")
     p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
@@ -119,6 +128,9 @@ def parser() -> argparse.ArgumentParser:
     add("store", store, (["--events"], {"required": True}))
     add("alerts", alerts, (["--alerts"], {"required": True}), (["--dimension"], {"default": None}))
     add("compact", compact)
+    add("report", report, (["--store"], {"required": True}),
+        (["--hours"], {"type": int, "default": 48}), (["--event"], {"default": None}),
+        (["--as-of"], {"default": None}))
     return p
 
 

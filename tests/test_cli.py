@@ -35,3 +35,13 @@ def test_cli_flow(spark, scratch):
     assert spark.read.parquet(f"{out}/listing_rejects").count() == 1
     assert spark.read.parquet(f"{out}/price_history").count() == 2
     assert spark.read.parquet(f"{out}/notification_outbox").count() == 1
+
+    assert main(["report", "--store", out, "--out", f"{scratch}/report", "--event", "Alpha",
+                 "--as-of", "2100-01-01 00:00:00", "--hours", "1000000"]) == 0
+    stats = spark.read.json(f"{scratch}/report/status").collect()
+    assert {r.table_name: r.row_count for r in stats} == \
+        {"tracked_events": 1, "price_history": 2, "price_drop_alerts": 1}
+    shown = spark.read.json(f"{scratch}/report/recent_alerts").collect()
+    assert [(r["Old Price"], r["New Price"], r["Drop (%)"]) for r in shown] == \
+        [("$100.00", "$80.00", "20.0%")]
+    assert spark.read.json(f"{scratch}/report/recent_prices").count() == 2
