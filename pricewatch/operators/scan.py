@@ -36,6 +36,7 @@ and a month of it is 43,200 summary rows.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,10 +50,12 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
-# Probe results per input plan. The probe only chooses how keys are scanned,
-# so an answer that is out of date after the data changes costs time, never
+# Probe results per input plan, the most recent 256 (a stream makes a new plan
+# every micro-batch). The probe only chooses how keys are scanned, so an
+# answer that is out of date after the data changes costs time, never
 # correctness; queries over the same input reuse it.
-_PROBES: dict[tuple, list[int]] = {}
+_PROBES: OrderedDict[tuple, list[int]] = OrderedDict()
+_PROBES_KEPT = 256
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = 1_000_000,
@@ -62,9 +65,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = 1_000_000,
     judged on a ``fraction`` sample with half the scaled threshold as margin;
     the largest ``max_hot_keys`` at most. ``fraction=1`` counts exactly."""
     memo = (df.select(*keys).semanticHash(), tuple(keys), hot_rows, max_hot_keys, fraction, seed)
-    if memo not in _PROBES:
-        _PROBES[memo] = _probe(df, keys, hot_rows, max_hot_keys, fraction, seed)
-    return _PROBES[memo]
+    if memo in _PROBES:
+        _PROBES.move_to_end(memo)
+        return _PROBES[memo]
+    found = _probe(df, keys, hot_rows, max_hot_keys, fraction, seed)
+    _PROBES[memo] = found
+    while len(_PROBES) > _PROBES_KEPT:
+        _PROBES.popitem(last=False)
+    return found
 
 
 def _probe(df, keys, hot_rows, max_hot_keys, fraction, seed) -> list[int]:
