@@ -75,7 +75,8 @@ def alerts(args, spark):
         stream, _paths(args.out, "price_drop_alerts"), _paths(args.out, "alert_rejects"),
         _paths(args.out, "notification_outbox"), _paths(args.out, "_checkpoints/alerts"),
         dimension_path=args.dimension, metrics_path=_paths(args.out, "system_metrics_alerts"),
-        trigger=_trigger(args))
+        trigger=_trigger(args),
+        dimension_base_path=f"{args.dimension.rstrip('/')}_base" if args.dimension else None)
 
 
 def compact(args, spark):

@@ -249,7 +249,8 @@ ALERT_METRICS = "alerts"
 def start_alert_store(alerts: DataFrame, stored_path: str, rejects_path: str, outbox_path: str,
                       checkpoint: str, dimension_path: str | None = None,
                       metrics_path: str | None = None, trigger: dict | None = None,
-                      footer: str | None = None) -> StreamingQuery:
+                      footer: str | None = None,
+                      dimension_base_path: str | None = None) -> StreamingQuery:
     """The alert side: every alert's notification payload goes to the outbox
     (a sender posts them; nothing is sent from Spark), then the alert is
     stored with money as decimals. An alert whose event the dimension does
@@ -269,7 +270,8 @@ def start_alert_store(alerts: DataFrame, stored_path: str, rejects_path: str, ou
             dim = None
             if dimension_path is not None:
                 try:
-                    dim = read_dimension(spark, dimension_path).select("event_id")
+                    dim = read_dimension(spark, dimension_path,
+                                         dimension_base_path).select("event_id")
                 except Exception:  # no dimension yet: every alert is unknown
                     dim = batch.select("event_id").where(F.lit(False))
             stored, rejects = history.store_alerts(batch, dim)
