@@ -64,7 +64,8 @@ def store(args, spark):
     return jobs.start_storage(
         events, _paths(args.out, "price_history"), _paths(args.out, "price_rejects"),
         _paths(args.out, "events"), _paths(args.out, "_checkpoints/store"),
-        trigger=_trigger(args), metrics_path=_paths(args.out, "system_metrics"))
+        trigger=_trigger(args), metrics_path=_paths(args.out, "system_metrics"),
+        dimension_base_path=_paths(args.out, "events_base"))
 
 
 def alerts(args, spark):

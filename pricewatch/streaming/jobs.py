@@ -203,7 +203,8 @@ STORAGE_METRICS = "storage"
 
 def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimension_path: str,
                   checkpoint: str, trigger: dict | None = None,
-                  metrics_path: str | None = None) -> StreamingQuery:
+                  metrics_path: str | None = None,
+                  dimension_base_path: str | None = None) -> StreamingQuery:
     """The storage side: typed history and rejects per batch, and the event
     dimension. The dimension is kept as append-only deltas, one per batch
     (that batch's first sighting of each event), so a batch writes only
@@ -226,8 +227,8 @@ def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimen
             write_batch(tagged.where(reason.isNotNull()), rejects_path, batch_id)
             if metrics_path is not None:
                 try:
-                    known = (spark.read.parquet(dimension_path)
-                             .where(F.col("batch_id") < batch_id).select("event_id"))
+                    known = read_dimension(spark, dimension_path, dimension_base_path,
+                                           before=batch_id).select("event_id")
                 except Exception:  # first batch: no dimension yet
                     known = batch.select("event_id").where(F.lit(False))
                 created = history.new_events(batch, known)
@@ -315,12 +316,14 @@ def _newest_base(spark: SparkSession, base_path: str) -> DataFrame | None:
 
 
 def read_dimension(spark: SparkSession, path: str, base_path: str | None = None,
-                   attrs=_DIM_ATTRS) -> DataFrame:
+                   attrs=_DIM_ATTRS, before: int | None = None) -> DataFrame:
     """The event dimension: the newest compacted base (when given) plus the
     per-batch deltas written after it, folded by one aggregation that
     combines map-side: attributes of the earliest sighting (by batch, then
     time), first and last sighting."""
     rows = spark.read.parquet(path)
+    if before is not None:
+        rows = rows.where(F.col("batch_id") < before)
     base = _newest_base(spark, base_path) if base_path is not None else None
     if base is not None:
         rows = base.drop("through_batch").unionByName(
