@@ -1,6 +1,7 @@
 """The streaming detector equals the batch detector when records arrive in
 time order, also across a stop and restart on the same checkpoint."""
 
+import json
 import os
 
 from pyspark.sql import functions as F
@@ -354,3 +355,31 @@ def test_alert_store_stream(spark, scratch):
             m.groupBy("metric_name").agg(F.sum("metric_value").alias("s")).collect()}
     assert sums == {"alerts_processed": n_alerts, "alerts_stored": n_alerts - unknown,
                     "errors": unknown}
+
+
+def test_throughput_drops_late_records(spark, scratch):
+    """Records older than the watermark (newest time minus 10 minutes) are
+    not counted in windows that are already final."""
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+
+    def line(ts, lid):
+        return json.dumps({"event_id": "e", "source": "m", "price": "1", "timestamp": ts,
+                           "listing_id": lid})
+
+    batches = [
+        [line("2024-01-01T00:01:00Z", "a"), line("2024-01-01T00:02:00Z", "b")],
+        [line("2024-01-01T01:00:00Z", "c")],                 # moves the watermark to 00:50
+        [line("2024-01-01T00:03:00Z", "late"), line("2024-01-01T01:30:00Z", "d")],
+    ]
+    events, _ = read_price_events(spark, src, stream=True, max_files_per_trigger=1)
+    q = (jobs.throughput_stream(events).writeStream.format("parquet")
+         .option("path", f"{scratch}/tp").outputMode("append")
+         .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True))
+    for i, b in enumerate(batches):
+        with open(os.path.join(src, f"b{i}.json"), "w") as fh:
+            fh.write("\n".join(b) + "\n")
+        q.start().awaitTermination()
+    got = {r.window_start.strftime("%H:%M"): r.messages
+           for r in spark.read.parquet(f"{scratch}/tp").collect()}
+    assert got["00:00"] == 2          # the late 00:03 record is not added
