@@ -383,3 +383,37 @@ def test_throughput_drops_late_records(spark, scratch):
     got = {r.window_start.strftime("%H:%M"): r.messages
            for r in spark.read.parquet(f"{scratch}/tp").collect()}
     assert got["00:00"] == 2          # the late 00:03 record is not added
+
+
+def _fixture_lines(prices, start=0):
+    out = []
+    for i, p in enumerate(prices, start):
+        price = "NaN" if p != p else p
+        out.append(json.dumps({"event_id": "ev_alpha", "source": "mock", "section": "A",
+                               "row": "1", "seat": "1", "price": str(price),
+                               "timestamp": f"2025-01-01T{i:02d}:00:00Z", "listing_id": f"l{i}"}))
+    return out
+
+
+def test_fixture_sequence_with_restart(spark, scratch):
+    """The fixture's eight prices, stopped after the third and restarted."""
+    prices = [100.0, 90.0, 95.0, 100.0, 120.0, 0.0, float("nan"), 119.0]
+    want = [("new", None), ("drop", 100.0), ("drop", 100.0), ("same", 100.0),
+            ("increase", 100.0), ("invalid", None), ("invalid", None), ("drop", 120.0)]
+    for mode in ("store", "table"):
+        src = os.path.join(scratch, mode, "src")
+        os.makedirs(src)
+        out = os.path.join(scratch, mode, "out")
+        for part, (lo, hi) in enumerate(((0, 3), (3, 8))):
+            with open(os.path.join(src, f"p{part}.json"), "w") as fh:
+                fh.write("\n".join(_fixture_lines(prices[lo:hi], lo)) + "\n")
+            events, _ = read_price_events(spark, src, stream=True)
+            if mode == "store":
+                q = jobs.start_detector(events, f"{out}/processed", f"{out}/alerts", f"{out}/ckpt")
+            else:
+                q = jobs.start_detector_tables(events, f"{out}/processed", f"{out}/alerts",
+                                               f"{out}/state", f"{out}/ckpt")
+            q.awaitTermination()
+        rows = sorted(spark.read.parquet(f"{out}/processed").collect(), key=lambda r: r.listing_id)
+        assert [(r.change_type, r.old_price) for r in rows] == want, mode
+        assert spark.read.parquet(f"{out}/processed").select("batch_id").distinct().count() == 2
