@@ -6,8 +6,14 @@ drop, increase, invalid) against the running maximum of earlier valid prices,
 in batch (windows) and as a stateful Structured Streaming query. The dashboard
 questions (recent prices and alerts, statistics, averages, histograms, alerts
 per hour, throughput) are ordinary DataFrame operators.
+
+Entry points: ``operators.changes`` (detector), ``operators.dashboard``,
+``operators.history`` (ingest, dimension, alert store), ``operators.normalize``
+(source adapters, JSON wire format), ``operators.thresholds``,
+``operators.notify``, ``operators.metrics``, ``streaming.jobs`` (streaming
+processes) and ``python -m pricewatch`` (command line).
 """
 
-from pricewatch.session import get_spark, checkpoint_dir
+from pricewatch.session import checkpoint_dir, get_spark, sized_conf
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = ["get_spark", "checkpoint_dir", "sized_conf"]
