@@ -40,13 +40,21 @@ def create_store(spark: SparkSession, root: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables() if t.name in TABLES)
 
 
-def append_dated(df: DataFrame, root: str, table: str) -> None:
-    """Append rows to a dated table, partitioned by day of its time column,
+def append_dated(df: DataFrame, root: str, table: str, replace_days: bool = False) -> None:
+    """Write rows to a dated table, partitioned by day of its time column,
     so ``ts >= as_of - n hours`` reads only the recent partitions; the new
-    partitions are then made known to the catalog table."""
+    partitions are then made known to the catalog table.
+
+    ``replace_days=True`` replaces the days present in ``df`` (dynamic
+    partition overwrite) and leaves other days alone: a daily load that is
+    run again, after a failure for instance, does not duplicate rows."""
     ts = DATED[table]
-    (df.withColumn("date", F.to_date(ts)).write.mode("append").partitionBy("date")
-     .parquet(f"{root.rstrip('/')}/{table}"))
+    w = df.withColumn("date", F.to_date(ts)).write.partitionBy("date")
+    if replace_days:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        w = w.mode("append")
+    w.parquet(f"{root.rstrip('/')}/{table}")
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         spark.catalog.recoverPartitions(table)

@@ -51,3 +51,20 @@ def test_retention_prunes_days(spark, scratch):
     kept = store.retain(df, "timestamp", "raw_prices", as_of="2024-01-31 00:00:00")
     assert kept.count() == 7
     assert store.retain(df, "timestamp", "price_alerts", as_of="2024-01-31 00:00:00").count() == 1
+
+
+def test_replace_days_is_idempotent(spark, scratch):
+    cols = ("event_id string, source string, section string, row string, seat string, "
+            "price double, fees double, total_price double, timestamp timestamp, "
+            "listing_id string, listing_url string, quantity int")
+    day1 = spark.createDataFrame([("e", "m", None, None, None, 1.0, None, None,
+                                   datetime(2024, 1, 1, h), "l", None, 1) for h in range(3)], cols)
+    day2 = spark.createDataFrame([("e", "m", None, None, None, 2.0, None, None,
+                                   datetime(2024, 1, 2, h), "l", None, 1) for h in range(2)], cols)
+    g1, _ = history.ingest(day1)
+    g2, _ = history.ingest(day2)
+    store.append_dated(g1, scratch, "price_history", replace_days=True)
+    store.append_dated(g2, scratch, "price_history", replace_days=True)
+    store.append_dated(g2, scratch, "price_history", replace_days=True)   # run again
+    got = store.read_dated(spark, scratch, "price_history").groupBy("date").count().collect()
+    assert sorted((str(r["date"]), r["count"]) for r in got) == [("2024-01-01", 3), ("2024-01-02", 2)]
