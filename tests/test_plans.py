@@ -6,7 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 
 NAMES = sorted(entry.queries())
 PYTHON = re.compile(r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas|PythonUDF")
@@ -17,7 +17,7 @@ TIME_WINDOWED = ["retention_filter", "price_history_recent", "price_history_rece
 
 
 def _plan(spark, name):
-    return entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    return plan_text(entry.queries()[name](spark, SF_SMALL))
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -20,7 +20,8 @@ def test_store_tables_and_pruning(spark, scratch):
     store.append_dated(good, scratch, "price_history")
     assert spark.table("price_history").count() == 3
     q = spark.table("price_history").where(F.col("date") >= "2024-01-03")
-    plan = q._jdf.queryExecution().executedPlan().toString()
+    from conftest import plan_text
+    plan = plan_text(q)
     assert "PartitionFilters: [isnotnull(date" in plan and q.count() == 1
 
 
