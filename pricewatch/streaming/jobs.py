@@ -103,6 +103,9 @@ def read_baselines(spark: SparkSession, state_path: str, keys, baseline: str = "
     rows = _state_rows(spark, state_path, base_path, before)
     if rows is None:
         return None
+    if baseline == "max":
+        # a plain max folds with a hash aggregation (no struct buffer to sort)
+        return rows.groupBy(*keys).agg(F.max("value").alias(SEED))
     return _fold_baselines(rows, keys, baseline).select(*keys, F.col("value").alias(SEED))
 
 
