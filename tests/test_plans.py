@@ -31,3 +31,15 @@ def test_jvm_only_and_no_pair_joins(spark, name):
 def test_time_window_pushed_to_scan(spark, name):
     plan = _plan(spark, name)
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,", plan), name
+
+
+def test_hot_keys_shuffle_on_key_and_chunk(spark):
+    from pricewatch.operators import changes
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    hot = changes.classify_changes(ev, ["event_type"], "value", ["ts", "event_id"],
+                                   hot_rows=0, probe_fraction=1.0)
+    cold = changes.classify_changes(ev, ["event_type"], "value", ["ts", "event_id"],
+                                    hot_rows=10 ** 9)
+    assert re.search(r"Exchange hashpartitioning\(event_type#\d+, _pw_chunk", plan_text(hot))
+    assert re.search(r"Exchange hashpartitioning\(event_type#\d+, \d+\)", plan_text(cold))
+    assert "_pw_chunk" not in plan_text(cold)
