@@ -159,11 +159,49 @@ def _bucket_fn(price, order, out_cols, raw_price, ttl_seconds):
     return fn
 
 
+try:
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+except ImportError:  # Spark before 4.0
+    StatefulProcessor = object
+
+
+class ListingDetector(StatefulProcessor):
+    """The detector for ``transformWithStateInPandas``: per listing, a value
+    state holding the baseline (with an optional time-to-live)."""
+
+    def __init__(self, price, order, out_cols, raw_price=None, ttl_ms=None, in_cols=None):
+        self.price, self.order, self.out_cols = price, list(order), out_cols
+        self.raw_price, self.ttl_ms, self.in_cols = raw_price, ttl_ms, in_cols
+
+    def init(self, handle) -> None:
+        self.base = handle.getValueState("baseline", STATE, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        if pdf.empty:
+            return
+        if self.in_cols is not None and len(self.in_cols) == len(pdf.columns):
+            pdf.columns = self.in_cols    # names with a leading "_" arrive positional
+        pdf = pdf.sort_values(self.order, kind="mergesort",
+                              na_position="first").reset_index(drop=True)
+        baseline = self.base.get()[0] if self.base.exists() else None
+        old, kind, new_base = classify_rows(pdf, self.price, baseline)
+        if new_base is not None:
+            self.base.update((new_base,))
+        yield _finish(pdf, self.price, old, kind, self.raw_price)[self.out_cols]
+
+    def close(self) -> None:
+        pass
+
+
 def detect_changes_stream(stream: DataFrame, keys: Sequence[str] = LISTING_KEYS,
                           price: str = "price", order: Sequence[str] = EVENT_ORDER,
                           buckets: int | None = None, listing_ttl: str | None = None,
-                          raw_price: str | None = None) -> DataFrame:
+                          raw_price: str | None = None,
+                          engine: str = "pandas_state") -> DataFrame:
     """Classify every record of a price-event stream (append mode).
+    ``engine="transform"`` runs the per-listing form on
+    ``transformWithStateInPandas`` (RocksDB state store required).
 
     ``order`` sorts rows of one listing within a micro-batch: scrape time and
     listing id by default; for Kafka input (kafka_timestamp, partition,
@@ -174,6 +212,13 @@ def detect_changes_stream(stream: DataFrame, keys: Sequence[str] = LISTING_KEYS,
     order = list(order)
     out_schema = T.StructType(list(stream.schema.fields) + ADDED)
     out_cols = out_schema.fieldNames()
+    if engine == "transform":
+        # transformWithStateInPandas: less per-group overhead; needs the
+        # RocksDB state store provider on the session.
+        ttl_ms = None if listing_ttl is None else int(_seconds(listing_ttl) * 1000)
+        proc = ListingDetector(price, order, out_cols, raw_price, ttl_ms, stream.columns)
+        return stream.groupBy(*keys).transformWithStateInPandas(
+            proc, out_schema, "Append", "None" if ttl_ms is None else "ProcessingTime")
     if buckets is None:
         fn = _listing_fn(price, order, out_cols, raw_price)
         timeout = GroupStateTimeout.NoTimeout

@@ -39,11 +39,11 @@ def observe_changes(classified: DataFrame, name: str = DETECTOR_METRICS) -> Data
 def start_detector(events: DataFrame, processed_path: str, alerts_path: str, checkpoint: str,
                    trigger: dict | None = None, keys=changes.LISTING_KEYS, price: str = "price",
                    order=changes.EVENT_ORDER, listing_ttl: str | None = None,
-                   buckets: int | None = None) -> StreamingQuery:
+                   buckets: int | None = None, engine: str = "pandas_state") -> StreamingQuery:
     """Every event goes to ``processed_path`` with its classification, drops
     also go to ``alerts_path`` as alerts. One state store, two outputs."""
     classified = observe_changes(detect_changes_stream(
-        events, keys, price, order, buckets=buckets, listing_ttl=listing_ttl))
+        events, keys, price, order, buckets=buckets, listing_ttl=listing_ttl, engine=engine))
 
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.persist()

@@ -417,3 +417,30 @@ def test_fixture_sequence_with_restart(spark, scratch):
         rows = sorted(spark.read.parquet(f"{out}/processed").collect(), key=lambda r: r.listing_id)
         assert [(r.change_type, r.old_price) for r in rows] == want, mode
         assert spark.read.parquet(f"{out}/processed").select("batch_id").distinct().count() == 2
+
+
+def test_transform_with_state_engine(spark, scratch):
+    from pricewatch.session import STREAMING_CONF
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, STREAMING_CONF[key])
+    try:
+        staged = os.path.join(scratch, "staged")
+        land(spark, with_num(price_events(spark)), staged, 4)
+        src = os.path.join(scratch, "src")
+        os.makedirs(src)
+        out = f"{scratch}/out"
+        for lo, hi in ((0, 2), (2, 4)):           # stop and restart in between
+            for i in range(lo, hi):
+                os.symlink(os.path.join(staged, f"part{i:02d}"), os.path.join(src, f"part{i:02d}"))
+            events, _ = read_price_events(spark, f"{src}/*/", stream=True, max_files_per_trigger=1)
+            jobs.start_detector(events, f"{out}/processed", f"{out}/alerts", f"{scratch}/ckpt",
+                                engine="transform").awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+    got = {r.listing_id: (r.change_type, r.old_price)
+           for r in spark.read.parquet(f"{out}/processed").collect()}
+    assert got == batch_truth(spark)
