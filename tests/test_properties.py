@@ -103,3 +103,35 @@ def test_ewma_matches_loop(spark, drawn):
     assert got.keys() == want.keys()
     for g in want:
         assert math.isclose(got[g], want[g], rel_tol=1e-9, abs_tol=1e-9)
+
+
+PRICE_ROWS = st.lists(st.tuples(st.sampled_from(["e1", "e2"]), st.sampled_from(["101", "102", None]),
+                                st.sampled_from(["1", "5", "12", "A", None]),
+                                st.floats(1, 200, allow_nan=False).map(lambda x: round(x, 2))),
+                      min_size=1, max_size=25)
+RULES = st.lists(st.tuples(st.sampled_from(["e1", "e2"]), st.floats(1, 200, allow_nan=False)
+                           .map(lambda x: round(x, 2)), st.sampled_from(["101", "102", None]),
+                           st.sampled_from([None, 3, 10]), st.booleans()), min_size=1, max_size=6)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(PRICE_ROWS, RULES)
+def test_best_offers_equal_cheapest_match(spark, prices, rules):
+    from pricewatch.operators import thresholds
+    t0 = datetime(2024, 1, 1)
+    p = spark.createDataFrame(
+        [(e, price, "m", sec, row, "1", f"l{i:03d}", None, t0) for i, (e, sec, row, price) in enumerate(prices)],
+        "event_id string, price double, source string, section string, row string, seat string, "
+        "listing_id string, listing_url string, timestamp timestamp")
+    r = spark.createDataFrame([(i, e, t, s, m, a) for i, (e, t, s, m, a) in enumerate(rules)],
+                              "id long, event_id string, target_price double, section string, "
+                              "max_row int, active boolean")
+    pairs = thresholds.match_thresholds(p, r).collect()
+    want = {}
+    for row in pairs:
+        cand = (float(row.price), row.listing_id)
+        if row.alert_id not in want or cand < want[row.alert_id]:
+            want[row.alert_id] = cand
+    got = {row.alert_id: (float(row.price), row.listing_id)
+           for row in thresholds.best_offers(p, r).collect()}
+    assert got == want
