@@ -207,7 +207,8 @@ STORAGE_METRICS = "storage"
 def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimension_path: str,
                   checkpoint: str, trigger: dict | None = None,
                   metrics_path: str | None = None,
-                  dimension_base_path: str | None = None) -> StreamingQuery:
+                  dimension_base_path: str | None = None,
+                  dedup_within: str | None = None) -> StreamingQuery:
     """The storage side: typed history and rejects per batch, and the event
     dimension. The dimension is kept as append-only deltas, one per batch
     (that batch's first sighting of each event), so a batch writes only
@@ -216,8 +217,16 @@ def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimen
 
     Messages received are observed per micro-batch under ``storage``; with
     ``metrics_path`` every batch also writes its counters (received, stored,
-    errors, events created) as system-metrics rows."""
+    errors, events created) as system-metrics rows.
+
+    ``dedup_within`` (e.g. ``"1 hour"``) skips a record whose (listing,
+    scrape time) was already stored within that delay, across micro-batches
+    (``dropDuplicatesWithinWatermark``); off by default, as in the source
+    system, which stores every delivery."""
     from pricewatch.operators import metrics, validate
+    if dedup_within is not None:
+        events = (events.withWatermark("timestamp", dedup_within)
+                  .dropDuplicatesWithinWatermark(["listing_id", "timestamp"]))
     counted = events.observe(STORAGE_METRICS, F.count(F.lit(1)).alias("messages_received"))
 
     def store(batch: DataFrame, batch_id: int) -> None:

@@ -444,3 +444,18 @@ def test_transform_with_state_engine(spark, scratch):
     got = {r.listing_id: (r.change_type, r.old_price)
            for r in spark.read.parquet(f"{out}/processed").collect()}
     assert got == batch_truth(spark)
+
+
+def test_storage_dedup_within_watermark(spark, scratch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    lines = _fixture_lines([100.0, 90.0, 95.0])
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    with open(os.path.join(src, "b.json"), "w") as fh:          # the same feed delivered again
+        fh.write("\n".join(lines[1:]) + "\n")
+    root = f"{scratch}/store"
+    events, _ = read_price_events(spark, src, stream=True, max_files_per_trigger=1)
+    jobs.start_storage(events, f"{root}/history", f"{root}/rejects", f"{root}/dimension",
+                       f"{scratch}/ckpt", dedup_within="1 day").awaitTermination()
+    assert spark.read.parquet(f"{root}/history").count() == 3
