@@ -38,7 +38,8 @@ def recent_prices(history: DataFrame, events: DataFrame, hours: int = fixed.DEFA
             .limit(limit))
 
 
-def price_stats(history: DataFrame, hours: int = fixed.DEFAULT_HOURS, as_of=None, event_id=None) -> DataFrame:
+def price_stats(history: DataFrame, hours: int = fixed.DEFAULT_HOURS, as_of=None,
+                event_id=None) -> DataFrame:
     """Count, mean, min, max price and number of sources; empty input gives
     zeros, not nulls."""
     ph = _for_event(history.where(since("timestamp", hours, as_of)), event_id)
