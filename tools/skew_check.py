@@ -28,7 +28,7 @@ from pricewatch.session import get_spark, scratch_path  # noqa: E402
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 100
-    spark = get_spark("local[8]", 64)
+    spark = get_spark("local[8]", 64, extra={"spark.driver.memory": "16g"})
     out = sys.argv[3] if len(sys.argv) > 3 else scratch_path(spark, f"skew_copy_{copies}")
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     rep = ev.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
