@@ -28,9 +28,8 @@ from pyspark.sql.window import Window
 
 from pricewatch.llm import textscan as ts
 from pricewatch.llm.neardup import near_components
-from pricewatch.llm.settle import settle, table
+from pricewatch.llm.settle import settle, spare, table
 
-NTH = "_nth_of_doc"
 M = 256                 # registers
 BASE = 1.001
 RATE = 20.0
@@ -185,7 +184,8 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     gone = near_duplicates(docs, k, percent).where("not kept").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    return named.withColumn(NTH, F.row_number().over(first)).where(F.col(NTH) == 1) \
+    nth = spare(docs, "_nth")
+    return named.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1) \
         .select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
 
 

@@ -21,3 +21,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added while ``df`` has a column of it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
