@@ -80,10 +80,10 @@ WITH d AS (
     unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2),
                           lambda i: array_to_string(w[i:i + least(13, len(w)) - 1], ' '))) AS s
   FROM b WHERE len(w) > 0
-), at AS (
+), spots AS (
   SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k
 ), hits AS (
-  SELECT doc_id, i, at.k, item_id FROM at JOIN bw ON bw.k = at.k AND bw.s = array_to_string(w[i:i + at.k - 1], ' ')
+  SELECT doc_id, i, spots.k, item_id FROM spots JOIN bw ON bw.k = spots.k AND bw.s = array_to_string(w[i:i + spots.k - 1], ' ')
 ), words AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id
 ), items AS (
