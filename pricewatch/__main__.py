@@ -19,6 +19,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.errors import AnalysisException
+
 from pricewatch.session import get_spark
 
 
@@ -87,13 +89,15 @@ def compact(args, spark):
     try:
         done["events"] = jobs.compact_dimension(spark, _paths(args.out, "events"),
                                                 _paths(args.out, "events_base"))
-    except Exception as exc:  # nothing stored yet
+    except AnalysisException as exc:
+        jobs.only_missing(exc)          # nothing stored yet
         done["events"] = f"skipped: {exc.__class__.__name__}"
     try:
         done["baselines"] = jobs.compact_baselines(
             spark, _paths(args.out, "baselines"), _paths(args.out, "baselines_base"),
             list(LISTING_KEYS), baseline=args.baseline)
-    except Exception as exc:
+    except AnalysisException as exc:
+        jobs.only_missing(exc)
         done["baselines"] = f"skipped: {exc.__class__.__name__}"
     print(done)
     return None

@@ -38,8 +38,13 @@ def typed_history(events: DataFrame, ingest_time: Column | None = None,
         F.coalesce(F.col("quantity"), F.lit(1)).cast("int").alias("quantity"),
         created.alias("created_at"),
         price.alias("_raw_price"), fees.alias("_raw_fees"), total.alias("_raw_total_price"),
+        (F.col("_bad_number") if "_bad_number" in events.columns else F.lit(False)).alias("_bad_number"),
     )
-    return out if keep_raw else out.drop("_raw_price", "_raw_fees", "_raw_total_price")
+    return out if keep_raw else out.drop(*RAW)
+
+
+# Columns that the checks read and the store doesn't keep.
+RAW = ("_raw_price", "_raw_fees", "_raw_total_price", "_bad_number")
 
 
 def tag_history(events: DataFrame, ingest_time: Column | None = None) -> DataFrame:
@@ -48,7 +53,7 @@ def tag_history(events: DataFrame, ingest_time: Column | None = None) -> DataFra
     typed = typed_history(events, ingest_time, keep_raw=True)
     tagged = typed.withColumn(validate.REASON,
                               validate.reason_column(validate.history_checks(typed.columns)))
-    return tagged.drop("_raw_price", "_raw_fees", "_raw_total_price")
+    return tagged.drop(*RAW)
 
 
 def ingest(events: DataFrame, dimension: DataFrame | None = None,
@@ -61,7 +66,7 @@ def ingest(events: DataFrame, dimension: DataFrame | None = None,
         typed = validate.with_known_flag(typed, dimension, ["event_id"])
         checks.append(validate.known_check())
     good, rejects = validate.split(typed, checks)
-    extra = ["_raw_price", "_raw_fees", "_raw_total_price", validate.KNOWN]
+    extra = [*RAW, validate.KNOWN]
     return (good.drop(*[c for c in extra if c in good.columns]),
             rejects.drop(*[c for c in extra if c in rejects.columns]))
 

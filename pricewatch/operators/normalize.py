@@ -48,8 +48,8 @@ def parse_listings(listings: DataFrame, tracked: DataFrame, source: str,
     fees, fees_ok = _number(F.col("fees.total"), 0.0)
     total_raw = F.col("total_price").try_cast("double")
     total_ok = F.col("total_price").isNull() | total_raw.isNotNull()
-    qty_raw = F.col("quantity").try_cast("double")
-    qty_ok = F.col("quantity").isNull() | qty_raw.isNotNull()
+    qty = F.col("quantity").try_cast("double").try_cast("int")      # truncated; null when too large
+    qty_ok = F.col("quantity").isNull() | qty.isNotNull()
     fallback = F.current_timestamp() + F.make_dt_interval(days=F.lit(date_fallback_days))
 
     ev = (tracked.dropDuplicates(["event_id"])
@@ -69,7 +69,7 @@ def parse_listings(listings: DataFrame, tracked: DataFrame, source: str,
         scraped.alias("timestamp"),
         F.concat(F.lit(f"{source}_"), F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("listing_id"),
         F.coalesce("url", F.lit("")).alias("listing_url"),
-        F.coalesce(F.floor(qty_raw), F.lit(DEFAULT_QUANTITY)).cast("int").alias("quantity"),
+        F.coalesce(qty, F.lit(DEFAULT_QUANTITY)).alias("quantity"),
         F.coalesce("delivery_method", F.lit(default_delivery)).alias("delivery_method"),
         F.lit(None).cast("string").alias("seller_notes"),
         (price_ok & fees_ok & total_ok & qty_ok).alias("_numbers_ok"),
@@ -108,22 +108,36 @@ def to_wire(events: DataFrame, key: Column | None = None) -> DataFrame:
     return out
 
 
+NUMBERS = ("price", "fees", "total_price", "quantity")
+
+
+def _field(f: T.StructField) -> Column:
+    """A field of the parsed record ``e``, typed; null where it doesn't parse."""
+    c = F.col(f"e.{f.name}")
+    if f.name in ("event_date", "timestamp"):
+        return F.try_to_timestamp(c)
+    return c.try_cast("double").try_cast("int") if f.name == "quantity" else c.try_cast(f.dataType)
+
+
 def from_wire(records: DataFrame, value: str = "value",
               keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """JSON records -> (typed price events, rejects). Numbers may be quoted;
     times are ISO-8601 with ``Z`` or an offset. Text that is not a JSON
     object, or has no event id, is rejected as ``malformed_json``; other
-    fields that do not parse become null."""
+    fields that do not parse become null. ``_raw_price`` keeps the price's
+    text and ``_bad_number`` says that a price, fee, total or quantity is there
+    but is no number, which the history rejects. A fractional quantity is
+    truncated."""
     schema = T.StructType(PRICE_EVENT_WIRE.fields + [T.StructField("_corrupt", T.StringType())])
     parsed = records.select(*keep, F.col(value).cast("string").alias("_raw"),
                             F.from_json(F.col(value).cast("string"), schema,
                                         {"columnNameOfCorruptRecord": "_corrupt"}).alias("e"))
     typed = parsed.select(
         *keep, "_raw",
-        *[(F.try_to_timestamp(F.col(f"e.{f.name}")) if f.name in ("event_date", "timestamp")
-           else F.col(f"e.{f.name}").try_cast(f.dataType)).alias(f.name)
-          for f in PRICE_EVENT.fields],
+        *[_field(f).alias(f.name) for f in PRICE_EVENT.fields],
         F.col("e.price").alias("_raw_price"),
+        reduce(lambda a, b: a | b, [F.col(f"e.{f.name}").isNotNull() & _field(f).isNull()
+                                    for f in PRICE_EVENT.fields if f.name in NUMBERS]).alias("_bad_number"),
         (F.col("e").isNotNull() & F.col("e._corrupt").isNull()).alias("_is_object"))
     good, rejects = validate.split(typed, [("malformed_json", F.col("_is_object")),
                                            ("null_event_id", F.col("event_id").isNotNull())])

@@ -3,7 +3,8 @@
 A rule matches a price event when the rule is active, names the same event,
 the price is at or below ``target_price``, its ``section`` is null (any
 section) or equal, and its ``max_row`` is null or the row, read as a whole
-number, is at or below it. A lettered row never satisfies ``max_row``.
+number, is at or below it. A lettered row never satisfies ``max_row``. Prices
+that are missing, no number, zero or below never fire.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewatch.functions.columns import money
+from pricewatch.functions.columns import money, valid_price
 
 
 def match_thresholds(prices: DataFrame, rules: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def match_thresholds(prices: DataFrame, rules: DataFrame) -> DataFrame:
     r = (rules.where(F.coalesce(F.col("active"), F.lit(False)))
          .select(F.col("id").alias("alert_id"), "event_id", "target_price",
                  F.col("section").alias("_rule_section"), F.col("max_row").alias("_max_row")))
-    p = prices.alias("p")
+    p = prices.where(valid_price("price")).alias("p")
     cond = ((F.col("p.event_id") == F.col("r.event_id"))
             & (F.col("p.price") <= F.col("r.target_price"))
             & (F.col("r._rule_section").isNull()
@@ -48,7 +49,7 @@ def best_offers(prices: DataFrame, rules: DataFrame) -> DataFrame:
     row_num = F.col("row").try_cast("int")
     offer = F.min_by(F.struct("price", "listing_id", "source", "seat", "listing_url", "timestamp"),
                      F.struct("price", "listing_id"))
-    offers = (prices.where(F.col("price").isNotNull())
+    offers = (prices.where(valid_price("price"))
               .groupBy("event_id", "section", "row", row_num.alias("_row_num"))
               .agg(offer.alias("o"))
               .select("event_id", "section", "row", "_row_num", "o.*"))

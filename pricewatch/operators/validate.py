@@ -62,6 +62,8 @@ def range_checks(pairs: dict[str, str]) -> list[tuple[str, Column]]:
 def history_checks(present: Sequence[str]) -> list[tuple[str, Column]]:
     """Constraints of the price-history table, in the order they are tested."""
     checks = not_null_checks([c for c in ("event_id", "source", "timestamp") if c in present])
+    if "_bad_number" in present:
+        checks.append(("bad_number", ~F.col("_bad_number")))
     checks += range_checks({d: s for d, s in (("price", "_raw_price"), ("fees", "_raw_fees"),
                                               ("total_price", "_raw_total_price"))
                             if d in present and s in present})

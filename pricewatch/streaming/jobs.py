@@ -9,6 +9,7 @@ goes on where it stopped.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -79,15 +80,23 @@ def _fold_baselines(deltas: DataFrame, keys, baseline: str) -> DataFrame:
     return deltas.groupBy(*keys).agg(latest.alias("_f")).select(*keys, "_f.*")
 
 
+def only_missing(e: AnalysisException) -> None:
+    """Raises ``e`` again unless it says that a folder isn't there or is empty;
+    unreadable state is an error, never an empty state."""
+    if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        raise e
+
+
 def _state_rows(spark: SparkSession, state_path: str, base_path: str | None,
                 before: int | None) -> DataFrame | None:
     try:
         deltas = spark.read.parquet(state_path)
-    except Exception:  # no batch written yet
+    except AnalysisException as e:
+        only_missing(e)            # no batch written yet
         return None
     if before is not None:
         deltas = deltas.where(F.col("batch_id") < before)
-    base = _newest_base(spark, base_path) if base_path is not None else None
+    base = _newest_base(spark, base_path, before) if base_path is not None else None
     if base is None:
         return deltas
     through = base.agg(F.max("through_batch")).scalar()
@@ -241,7 +250,8 @@ def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimen
                 try:
                     known = read_dimension(spark, dimension_path, dimension_base_path,
                                            before=batch_id).select("event_id")
-                except Exception:  # first batch: no dimension yet
+                except AnalysisException as e:
+                    only_missing(e)            # first batch: no dimension yet
                     known = batch.select("event_id").where(F.lit(False))
                 created = history.new_events(batch, known)
                 counters = metrics.as_system_metrics(metrics.ingest_metrics(tagged, created))
@@ -285,7 +295,8 @@ def start_alert_store(alerts: DataFrame, stored_path: str, rejects_path: str, ou
                 try:
                     dim = read_dimension(spark, dimension_path,
                                          dimension_base_path).select("event_id")
-                except Exception:  # no dimension yet: every alert is unknown
+                except AnalysisException as e:
+                    only_missing(e)            # no dimension yet: every alert is unknown
                     dim = batch.select("event_id").where(F.lit(False))
             stored, rejects = history.store_alerts(batch, dim)
             stored, rejects = stored.persist(), rejects.persist()
@@ -317,13 +328,20 @@ def _fold(rows: DataFrame, attrs=_DIM_ATTRS) -> DataFrame:
                     "created_at", "last_updated", F.col("_b").alias("batch_id")))
 
 
-def _newest_base(spark: SparkSession, base_path: str) -> DataFrame | None:
-    """Rows of the newest compacted base version, or None when none exists."""
+def _newest_base(spark: SparkSession, base_path: str, before: int | None = None) -> DataFrame | None:
+    """Rows of the newest compacted base version, or None when none exists.
+    With ``before``, only versions that end before that batch count: a batch
+    that is replayed after a compaction sees the state it first saw."""
     try:
         versions = spark.read.parquet(base_path)
-    except Exception:  # nothing compacted yet
+    except AnalysisException as e:
+        only_missing(e)            # nothing compacted yet
+        return None
+    if before is not None:
+        versions = versions.where(F.col("through_batch") < before)
+    newest = versions.agg(F.max("through_batch")).first()[0]
+    if newest is None:
         return None
-    newest = versions.agg(F.max("through_batch")).scalar()
     return versions.where(F.col("through_batch") == newest)
 
 
@@ -336,7 +354,7 @@ def read_dimension(spark: SparkSession, path: str, base_path: str | None = None,
     rows = spark.read.parquet(path)
     if before is not None:
         rows = rows.where(F.col("batch_id") < before)
-    base = _newest_base(spark, base_path) if base_path is not None else None
+    base = _newest_base(spark, base_path, before) if base_path is not None else None
     if base is not None:
         rows = base.drop("through_batch").unionByName(
             rows.where(F.col("batch_id") > base.agg(F.max("through_batch")).scalar()))

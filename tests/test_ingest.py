@@ -140,3 +140,27 @@ def test_wire_roundtrip_and_malformed(spark):
     assert back["e1"].price == 12.5 and back["e1"].timestamp == t
     assert back["e2"].price == 7.25
     assert sorted(r.reject_reason for r in rejects.collect()) == ["malformed_json", "null_event_id"]
+
+
+def test_junk_numbers_are_rejects_not_zeros(spark):
+    from pricewatch.operators import history, normalize
+    good = '"event_id":"e","source":"s","timestamp":"2025-01-01T00:00:00Z"'
+    wire = spark.createDataFrame([
+        ('{%s,"price":"abc"}' % good,), ('{%s,"price":"5","fees":"x"}' % good,),
+        ('{%s,"price":"5","quantity":"many"}' % good,), ('{%s,"price":"5","quantity":"2.7"}' % good,),
+        ('{%s,"price":"5","quantity":"1e12"}' % good,), ('{%s}' % good,)], "value string")
+    events, _ = normalize.from_wire(wire)
+    stored, rejects = history.ingest(events)
+    assert sorted((float(r.price), r.quantity) for r in stored.collect()) == [(0.0, 1), (5.0, 2)]
+    assert [r.reject_reason for r in rejects.collect()] == ["bad_number"] * 4
+
+
+def test_thresholds_ignore_invalid_prices(spark):
+    from pricewatch.operators import thresholds
+    cols = "event_id string, price double, source string, section string, row string, seat string, " \
+           "listing_id string, listing_url string, timestamp string"
+    prices = spark.createDataFrame([("e", p, "s", "A", "1", "1", str(p), "", "t") for p in (0.0, -5.0, 40.0)], cols)
+    rules = spark.createDataFrame([(1, "e", 50.0, None, None, True)],
+                                  "id int, event_id string, target_price double, section string, max_row int, active boolean")
+    assert [float(r.price) for r in thresholds.match_thresholds(prices, rules).collect()] == [40.0]
+    assert [float(r.price) for r in thresholds.best_offers(prices, rules).collect()] == [40.0]
