@@ -12,15 +12,18 @@ collide; no bucket is capped and no bucket is expanded into all its pairs:
 3. The exact rest: in buckets that still hold several components, a pair is
    tried unless a bound rules it out. Shingles that only one open node has
    can't be common to two, so a pair's intersection is at most the smaller
-   count of its shared shingles. In a group of copies with edits of their
-   own, those too far from the text they came from fail that bound without
-   being paired with anything.
+   count of its shared shingles; and it is at most the size less the bits of
+   a bitmap of shingles that the other bitmap lacks. Both bounds are part of
+   the join's condition, so a group of copies with edits of their own yields
+   hardly a pair that is no link.
 
 Links are verified on the full shingle sets.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 import numpy as np
@@ -32,6 +35,7 @@ from pricewatch.llm import textscan as ts
 from pricewatch.llm.graph import connected_components
 from pricewatch.llm.settle import settle
 
+BITS = tuple(f"bits{i}" for i in range(16))
 Estimate = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -109,15 +113,24 @@ def _rest(here: DataFrame, cand: DataFrame, k: int, rule: ts.WordRule, percent:
     shared = grams.join(common, "gram", "left_semi").groupBy("id").agg(F.count("*").alias("shared"))
     # intersection >= percent / (100 + percent) * (n_a + n_b), and the other set
     # has at least percent % of this one's size
+    bits = todo.mapInArrow(_bitmaps(k, rule), "id long, " + ", ".join(f"{c} long" for c in BITS))
     pool = settle(
-        here.join(shared, "id").where(
+        here.join(shared.join(bits, "id"), "id").where(
             F.col("shared") * (100 + percent)
             >= percent * (F.col("n") + F.greatest("least_n", F.ceil(F.col("n") * percent / 100)))),
         "pool")
     a, b = pool.alias("a"), pool.alias("b")
+
+    def most(x, y):
+        """What the bitmaps leave of x in y, at most."""
+        lacks = [F.bit_count(F.col(f"{x}.{c}").bitwiseAND(F.bitwise_not(f"{y}.{c}"))) for c in BITS]
+        return F.col(f"{x}.n") - functools.reduce(operator.add, lacks)
+
     return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") < F.col("b.comp"))
                   & _sizes(F.col("a.n"), F.col("b.n"), percent)
                   & (F.least("a.shared", "b.shared") * (100 + percent)
+                     >= percent * (F.col("a.n") + F.col("b.n")))
+                  & (F.least(most("a", "b"), most("b", "a")) * (100 + percent)
                      >= percent * (F.col("a.n") + F.col("b.n")))) \
         .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
@@ -132,6 +145,22 @@ def _grams(k: int, rule: ts.WordRule):
     return run
 
 
+def _bitmaps(k: int, rule: ts.WordRule):
+    """(id, longs): which of 64 * len(BITS) residues of the shingles occur."""
+    def run(batches):
+        for piece in ts.slices(batches):
+            buf, off = ts.text_buffer(piece.column("text"))
+            sets, edge = ts.shingle_sets(ts.words(buf, off, rule), k)
+            bits = np.zeros((piece.num_rows, len(BITS)), np.uint64)
+            row = np.repeat(np.arange(piece.num_rows), np.diff(edge))
+            np.bitwise_or.at(bits, (row, (sets >> np.uint64(6)).astype(np.int64) % len(BITS)),
+                             np.uint64(1) << (sets & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("id"), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in bits.T)],
+                ["id", *BITS])
+    return run
+
+
 def _verify(pairs: DataFrame, cand: DataFrame, k: int, rule: ts.WordRule, estimate: Estimate,
             least: float, percent: int) -> DataFrame:
     def side(s):
