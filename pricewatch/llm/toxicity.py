@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from pricewatch.llm import textscan as ts
 from pricewatch.llm.langid import held_out
-from pricewatch.llm.settle import spare, table
+from pricewatch.llm.settle import settle, spare, table
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 8)         # bytes
@@ -177,6 +177,7 @@ def learn(labelled: DataFrame) -> dict:
     left out. Without documents of both classes it scores 0."""
     rows = labelled.where("text is not null and toxic in (0, 1)") \
         .select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    rows = settle(rows, "labelled")             # the join is run once; three passes read its rows
 
     def count(batches):
         sums = np.zeros((2, BUCKETS), np.int64)
@@ -207,9 +208,11 @@ def learn(labelled: DataFrame) -> dict:
     ratio = toxic * np.log(share / base) + clean * np.log(np.maximum(1 - share, 1e-12) / (1 - base))
     odds[bucket] = np.where(ratio >= SURE, np.log((toxic + 0.5) / (n[1] + 1))
                             - np.log((clean + 0.5) / (n[0] + 1)), -10.0)
-    sample = pa.concat_tables([
-        rows.where((F.col("toxic") == c) & (F.octet_length("text") <= SAMPLE_BYTES))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).toArrow() for c in (0, 1)]).combine_chunks()
+    short = rows.where(F.octet_length("text") <= SAMPLE_BYTES)
+    chosen = [r.doc_id for c in (0, 1) for r in short.where(F.col("toxic") == c).select("doc_id")
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()]
+    sample = short.where(F.col("doc_id").isin(chosen)).dropDuplicates(["doc_id"]).orderBy("doc_id") \
+        .toArrow().combine_chunks()
     _, w, f, first = _tokens(sample.column("text"))
     y = sample.column("toxic").to_numpy()
     best = odds[f].max(axis=0)
