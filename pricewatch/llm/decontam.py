@@ -110,6 +110,7 @@ def overlap(docs: DataFrame, items: DataFrame, size: int = WINDOW,
     Null and empty texts have no words. A null item_id or an item without
     words has no windows. Rows are judged one by one.
     """
+    docs = docs.drop(name)          # a column of that name is replaced
     known = settle(item_windows(items, size), "windows")
     if known.select("hash").count() <= most:
         rows = [tuple(r) for r in known.collect()]

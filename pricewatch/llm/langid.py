@@ -170,6 +170,7 @@ def identify(docs: DataFrame, model: dict, name: str = "_lang") -> DataFrame:
     texts when nothing was learned. Repeated rows get equal results; other
     columns, lang, source and doc_id included, play no part.
     """
+    docs = docs.drop(name)          # a column of that name is replaced
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = docs.columns.index("text")
     kind = T.StructType([T.StructField("name", T.StringType()), T.StructField("score", T.DoubleType())])

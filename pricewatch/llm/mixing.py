@@ -159,6 +159,7 @@ def mixed(docs: DataFrame, name: str = "_mix") -> DataFrame:
     row without doc_id counts as id 0. A source of size 0 has target 0. No
     rows give no rows.
     """
+    docs = docs.drop(name)          # a column of that name is replaced
     sized = docs.withColumn(name, F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long"))
     sums = docs.select(F.col("source").cast("string").alias("source"),
                        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")) \

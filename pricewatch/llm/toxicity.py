@@ -234,6 +234,7 @@ def tag(docs: DataFrame, model: dict, name: str = "_toxic") -> DataFrame:
     Null, empty and wordless texts get the score of no evidence and no spans.
     Only the text plays a part; repeated rows get equal results.
     """
+    docs = docs.drop(name)          # a column of that name is replaced
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = docs.columns.index("text")
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -270,11 +271,12 @@ def _runs(w: ts.Words, toxic: np.ndarray, off: np.ndarray, first: np.ndarray) ->
 
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic) of the rows that may be learned from; of several
-    labels of a document the largest counts."""
+    labels of a document the largest counts. Labels grow with the documents, so
+    they are never broadcast."""
     once = labels.where("doc_id is not null and toxic is not null") \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     return docs.where(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", "text") \
-        .join(once.where(~held_out(F.col("doc_id"), 5, 0)), "doc_id")
+        .join(once.where(~held_out(F.col("doc_id"), 5, 0)).hint("merge"), "doc_id")
 
 
 def op2(spark, sf_dir):
