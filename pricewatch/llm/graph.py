@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewatch.llm.settle import settle
+from pricewatch.llm.settle import Scratch, settle
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -19,16 +19,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     large group; the joins are plain equi-joins that AQE splits when skewed.
     Nulls, loops and repeated edges are dropped; no edges give no rows.
     """
-    edges = settle(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    scratch = Scratch(edges.sparkSession, "graph")
+    edges = scratch.settle(edges.select("a", "b").where("a <> b").distinct(), "edges")
     result = None
     while result is None or edges.take(1):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = settle(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b"))
-                    .select("id", F.least("id", "b").alias("up")), "parents")
+        up = scratch.settle(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b"))
+                            .select("id", F.least("id", "b").alias("up")), "parents")
         while True:
             over = up.select(F.col("id").alias("up"), F.col("up").alias("top"))
-            nxt = settle(up.join(over, "up").select("id", F.col("top").alias("up"),
-                                                    (F.col("top") != F.col("up")).alias("moved")), "jump")
+            nxt = scratch.settle(up.join(over, "up").select(
+                "id", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), "jump")
             up = nxt.select("id", "up")
             if not nxt.where("moved").take(1):
                 break
@@ -38,6 +39,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         ends = edges.join(up.select(F.col("id").alias("a"), F.col("up").alias("ra")), "a") \
             .join(up.select(F.col("id").alias("b"), F.col("up").alias("rb")), "b") \
             .where("ra <> rb")
-        edges = settle(ends.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
-                       .distinct(), "edges")
-    return settle(result, "components")
+        edges = scratch.settle(ends.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+                               .distinct(), "edges")
+    result = settle(result, "components")
+    scratch.release()
+    return result

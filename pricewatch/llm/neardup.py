@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from pricewatch.llm import textscan as ts
 from pricewatch.llm.graph import connected_components
-from pricewatch.llm.settle import settle
+from pricewatch.llm.settle import Scratch, free_shuffles
 
 BITS = tuple(f"bits{i}" for i in range(16))
 Estimate = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -54,12 +54,16 @@ def near_components(nodes: DataFrame, content: Callable[[DataFrame], DataFrame],
     ``nodes``: (id, n, sig), the id a hash of the set, rows may repeat.
     ``content(ids)``: (id, text) of the asked ids. ``estimate(sig_a, sig_b,
     n_a, n_b)`` gives similarities; pairs below ``least`` are not verified.
-    Returns (id, component) of the nodes that have a link.
+    Returns (id, component) of the nodes that have a link, written; the other
+    intermediates are gone by then.
     """
+    scratch = Scratch(nodes.sparkSession, "neardup")
+    settle = scratch.settle
     members = nodes.select(F.explode(band_keys(F.col("sig"), bands, width)).alias("key"), "id", "n")
     full = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
         .where("lo < hi").select("key")
     open_ = settle(members.join(full, "key").distinct(), "buckets")
+    free_shuffles(nodes.sparkSession)       # all band keys were in them
     ids = open_.select("id").distinct()
     cand = settle(ids.join(nodes.select("id", "n", "sig").dropDuplicates(["id"]), "id")
                   .join(content(ids), "id"), "candidates")
@@ -84,10 +88,11 @@ def near_components(nodes: DataFrame, content: Callable[[DataFrame], DataFrame],
             .select(F.col("top.id").alias("a"), F.col("id").alias("b")).distinct()
         links = check(pairs) if links is None else links.union(check(pairs))
         label = connected_components(links)
-    more = check(_rest(_labelled(open_, label), cand, k, rule, percent))
-    if not more.take(1):
-        return label
-    return connected_components(links.union(more))
+    more = check(_rest(_labelled(open_, label), cand, k, rule, percent, settle))
+    if more.take(1):
+        label = connected_components(links.union(more))
+    scratch.release()
+    return label
 
 
 def _labelled(open_: DataFrame, label: DataFrame | None) -> DataFrame:
@@ -101,7 +106,7 @@ def _sizes(a, b, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _rest(here: DataFrame, cand: DataFrame, k: int, rule: ts.WordRule, percent: int) -> DataFrame:
+def _rest(here: DataFrame, cand: DataFrame, k: int, rule: ts.WordRule, percent: int, settle) -> DataFrame:
     """The pairs of different components in one bucket that no bound excludes."""
     several = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                       F.min("n").alias("least_n")) \

@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 
 from pricewatch.llm import textscan as ts
 from pricewatch.llm.neardup import near_components
-from pricewatch.llm.settle import settle, spare, table
+from pricewatch.llm.settle import Scratch, settle, spare, table
 
 LEAST_WORDS = 20
 SHINGLE = 5
@@ -139,8 +139,10 @@ def repeats(docs: DataFrame) -> DataFrame:
         return docs.join(spans, "doc_id").select("text", "spans") \
             .mapInArrow(_texts, "id long, text string").dropDuplicates(["id"])
 
-    comp = near_components(settle(signed_classes(docs), "minhashes"), content, HASHES // ROWS, 2 * ROWS, SHINGLE,
-                           ts.SPACED, same_share, PERCENT / 100 - 0.3, PERCENT)
+    scratch = Scratch(docs.sparkSession, "signatures")
+    comp = near_components(scratch.settle(signed_classes(docs), "minhashes"), content, HASHES // ROWS, 2 * ROWS,
+                           SHINGLE, ts.SPACED, same_share, PERCENT / 100 - 0.3, PERCENT)
+    scratch.release()
     named = pars.join(comp.withColumnRenamed("id", "cls"), "cls", "left") \
         .withColumn("component", F.coalesce("component", "cls"))
     # a cluster with a second document: the others are of one document and drop out here

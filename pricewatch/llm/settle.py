@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +14,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under ``spark.checkpoint.dir`` and read it back: its
-    lineage ends there, a lost executor costs no recomputation, and a second
-    reader doesn't run it again."""
+def settle(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` under ``spark.checkpoint.dir`` (or ``folder``) and read it
+    back: its lineage ends there, a lost executor costs no recomputation, and a
+    second reader doesn't run it again."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
+    path = f"{folder or scratch_path(spark, '').rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written intermediates of one operator, which go once its result, too, is
+    written and no longer reads them. After a failure they stay, as all others
+    do, for the store to expire."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
+
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        return settle(df, name, self.folder)
+
+    def release(self) -> None:
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        free_shuffles(self.spark)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes a finished query's shuffle files once the driver's
+    collector has found its plan unused, by default every half hour or when the
+    driver's heap fills. This asks for it now."""
+    gc.collect()                        # Python's handles keep the plans
+    spark.sparkContext._jvm.System.gc()
+
+
 def spare(df: DataFrame, name: str) -> str:
     """``name``, with underscores added while ``df`` has a column of it."""
     taken = {c.lower() for c in df.columns}
