@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from pricewatch.llm import textscan as ts
 from pricewatch.llm.graph import connected_components
-from pricewatch.llm.settle import Scratch, free_shuffles
+from pricewatch.llm.settle import Scratch
 
 BITS = tuple(f"bits{i}" for i in range(16))
 Estimate = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -63,7 +63,6 @@ def near_components(nodes: DataFrame, content: Callable[[DataFrame], DataFrame],
     full = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
         .where("lo < hi").select("key")
     open_ = settle(members.join(full, "key").distinct(), "buckets")
-    free_shuffles(nodes.sparkSession)       # all band keys were in them
     ids = open_.select("id").distinct()
     cand = settle(ids.join(nodes.select("id", "n", "sig").dropDuplicates(["id"]), "id")
                   .join(content(ids), "id"), "candidates")

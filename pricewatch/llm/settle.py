@@ -34,7 +34,9 @@ class Scratch:
         self.folder = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
 
     def settle(self, df: DataFrame, name: str) -> DataFrame:
-        return settle(df, name, self.folder)
+        written = settle(df, name, self.folder)
+        free_shuffles(self.spark)
+        return written
 
     def release(self) -> None:
         sc = self.spark.sparkContext
