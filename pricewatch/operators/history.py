@@ -18,7 +18,7 @@ def typed_history(events: DataFrame, ingest_time: Column | None = None,
 
     Missing source is ``unknown``, missing ids and url are empty text, a
     missing or zero fee is null, a missing total is the price, a missing
-    quantity is 1. Money is quantised to DECIMAL(10,2); a value that does not
+    quantity is 1, a missing or unreadable time is the ingest time. Money is quantised to DECIMAL(10,2); a value that does not
     fit becomes null, which the range check turns into a reject. Prices <= 0
     are stored as they are: history keeps every observation."""
     created = ingest_time if ingest_time is not None else F.current_timestamp()
@@ -32,7 +32,7 @@ def typed_history(events: DataFrame, ingest_time: Column | None = None,
         try_money(price).alias("price"),
         try_money(fees).alias("fees"),
         try_money(total).alias("total_price"),
-        F.col("timestamp"),
+        F.coalesce("timestamp", created.cast(events.schema["timestamp"].dataType)).alias("timestamp"),
         F.coalesce(F.col("listing_id").cast("string"), F.lit("")).alias("listing_id"),
         F.coalesce(F.col("listing_url"), F.lit("")).alias("listing_url"),
         F.coalesce(F.col("quantity"), F.lit(1)).cast("int").alias("quantity"),

@@ -164,3 +164,14 @@ def test_thresholds_ignore_invalid_prices(spark):
                                   "id int, event_id string, target_price double, section string, max_row int, active boolean")
     assert [float(r.price) for r in thresholds.match_thresholds(prices, rules).collect()] == [40.0]
     assert [float(r.price) for r in thresholds.best_offers(prices, rules).collect()] == [40.0]
+
+
+def test_missing_time_is_the_ingest_time(spark):
+    lines = ['{"event_id":"e1","price":10,"timestamp":"2024-01-01T00:00:00"}',
+             '{"event_id":"e2","price":10,"timestamp":"soon"}', '{"event_id":"e3","price":10}']
+    events, _ = normalize.from_wire(spark.createDataFrame([(x,) for x in lines], "value string"))
+    at = F.lit("2024-05-05 05:00:00").cast("timestamp")
+    good, rejects = history.ingest(events, ingest_time=at)
+    got = {r.event_id: r.t for r in good.select("event_id", F.col("timestamp").cast("string").alias("t")).collect()}
+    assert got == {"e1": "2024-01-01 00:00:00", "e2": "2024-05-05 05:00:00", "e3": "2024-05-05 05:00:00"}
+    assert rejects.count() == 0
