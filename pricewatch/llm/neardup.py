@@ -39,15 +39,30 @@ BITS = tuple(f"bits{i}" for i in range(16))
 Estimate = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def band_keys(sig, bands: int, width: int):
-    """Column: one 64-bit key for each band of ``width`` bytes of ``sig``."""
-    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
+def band_keys(sig, bands: range, width: int):
+    """Column: one 64-bit key for each of the bands, of ``width`` bytes of ``sig`` each."""
+    return F.transform(F.array(*[F.lit(i) for i in bands]),
                        lambda i: F.xxhash64(i, F.substring(sig, i * width + 1, F.lit(width))))
 
 
+def open_buckets(nodes: DataFrame, bands: int, width: int, turns: int, settle) -> DataFrame:
+    """(key, id, n) of the buckets with several nodes. The bands are dealt into
+    ``turns`` groups that are shuffled one after another, and the keys that stay
+    are written before the members are shuffled: nearly all keys have one node,
+    and only one group's keys or members fill the disks at a time."""
+    parts = []
+    for turn in range(turns):
+        members = nodes.select(F.explode(band_keys(F.col("sig"), range(turn, bands, turns), width)).alias("key"),
+                               "id", "n")
+        full = settle(members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+                      .where("lo < hi").select("key"), "keys")
+        parts.append(settle(members.join(full, "key").distinct(), "buckets"))
+    return functools.reduce(DataFrame.union, parts)
+
+
 def near_components(nodes: DataFrame, content: Callable[[DataFrame], DataFrame], bands: int,
                     width: int, k: int, rule: ts.WordRule, estimate: Estimate, least: float,
-                    percent: int = 80, rounds: int = 1) -> DataFrame:
+                    percent: int = 80, rounds: int = 1, turns: int = 4) -> DataFrame:
     """Components of the nodes whose shingle sets have
     ``100 * intersection >= percent * union``.
 
@@ -59,10 +74,7 @@ def near_components(nodes: DataFrame, content: Callable[[DataFrame], DataFrame],
     """
     scratch = Scratch(nodes.sparkSession, "neardup")
     settle = scratch.settle
-    members = nodes.select(F.explode(band_keys(F.col("sig"), bands, width)).alias("key"), "id", "n")
-    full = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
-        .where("lo < hi").select("key")
-    open_ = settle(members.join(full, "key").distinct(), "buckets")
+    open_ = open_buckets(nodes, bands, width, turns, settle)
     ids = open_.select("id").distinct()
     cand = settle(ids.join(nodes.select("id", "n", "sig").dropDuplicates(["id"]), "id")
                   .join(content(ids), "id"), "candidates")

@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from pricewatch.llm import textscan as ts
 from pricewatch.llm.neardup import near_components
-from pricewatch.llm.settle import settle, spare, table
+from pricewatch.llm.settle import Scratch, settle, spare, table
 
 M = 256                 # registers
 BASE = 1.001
@@ -142,7 +142,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    rows = settle(sketches(docs, k), "sketches")
+    scratch = Scratch(docs.sparkSession, "sketches")
+    drawn = scratch.settle(sketches(docs, k), "sketches")
+    rows = settle(drawn.drop("sig"), "sets")            # the registers go before the result is read
     nodes = rows.where("n > 0")
 
     def content(ids):
@@ -150,8 +152,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         found = docs.join(first, "doc_id").select("id", "doc_id", "text")
         return found.mapInArrow(_own(k), "id long, text string")
 
-    comp = near_components(nodes.select("id", "n", "sig"), content, M // ROWS, 2 * ROWS, k, ts.SPACED,
+    comp = near_components(drawn.where("n > 0").select("id", "n", "sig"), content, M // ROWS, 2 * ROWS, k, ts.SPACED,
                            joint_similarity, percent / 100 - SLACK, percent)
+    scratch.release()
     named = nodes.groupBy("id").agg(F.min("doc_id").alias("doc_id")) \
         .join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
     head = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
