@@ -52,12 +52,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read. When
-    it is unset (local tests) a fresh scratch folder is created and set.
+    On a cluster this setting points at shared storage and is only read; there,
+    an unset one is an error. In local mode (tests) a fresh scratch folder is
+    created and set.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset; on a cluster it must name shared storage")
         path = tempfile.mkdtemp(prefix="pricewatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -17,6 +17,24 @@ def test_checkpoint_dir_is_read_not_replaced(spark):
     assert checkpoint_dir(spark) == first
 
 
+def test_unset_checkpoint_dir_on_a_cluster_is_an_error():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
 def test_sized_conf():
     assert sized_conf(10 ** 6)["spark.sql.shuffle.partitions"] == "8"
     assert sized_conf(64 * 256 * 1024 * 1024)["spark.sql.shuffle.partitions"] == "64"
