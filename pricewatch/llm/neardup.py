@@ -67,7 +67,8 @@ def near_components(nodes: DataFrame, content: Callable[[DataFrame], DataFrame],
     ``100 * intersection >= percent * union``.
 
     ``nodes``: (id, n, sig), the id a hash of the set, rows may repeat.
-    ``content(ids)``: (id, text) of the asked ids. ``estimate(sig_a, sig_b,
+    ``content(ids)``: (id, text) of the asked ids, or (id, n, sig, text); the
+    nodes aren't read again then. ``estimate(sig_a, sig_b,
     n_a, n_b)`` gives similarities; pairs below ``least`` are not verified.
     Returns (id, component) of the nodes that have a link, written; the other
     intermediates are gone by then.
@@ -76,8 +77,10 @@ def near_components(nodes: DataFrame, content: Callable[[DataFrame], DataFrame],
     settle = scratch.settle
     open_ = open_buckets(nodes, bands, width, turns, settle)
     ids = open_.select("id").distinct()
-    cand = settle(ids.join(nodes.select("id", "n", "sig").dropDuplicates(["id"]), "id")
-                  .join(content(ids), "id"), "candidates")
+    texts = content(ids)
+    if "sig" not in texts.columns:
+        texts = ids.join(nodes.select("id", "n", "sig").dropDuplicates(["id"]), "id").join(texts, "id")
+    cand = settle(texts, "candidates")
 
     def check(pairs):
         return settle(_verify(pairs, cand, k, rule, estimate, least, percent), "links")

@@ -1,16 +1,24 @@
 """Repeated passages by paragraph MinHash banding (operator 6).
 
-A paragraph is a line of a text. Equal paragraphs (by the hash of their word
-sequence) are one class; classes of at least ``LEAST_WORDS`` words also get a
-MinHash signature of their shingles, whose bands are tuned for a wanted recall
-at the threshold. Colliding classes are joined, verified by exact Jaccard
-similarity on the full sets and clustered by components (``neardup``).
-
-A cluster's first paragraph, by doc_id and place, stays. A paragraph whose
-cluster begins in another document is a repeat. Neighbouring repeats are one
-passage, which is removed when it has at least ``LEAST_WORDS`` words; so a
-passage of several short lines goes as a whole, and a short line that many
-documents happen to have stays.
+A text is read in three ways. Its lines are paragraphs. Its words, whatever the
+lines, are cut where the hash of two words is the least of ``PIECE`` words to
+either side, so a passage is cut alike wherever it stands and however it is
+wrapped; pieces from one cut on that together have ``LEAST_WORDS`` words are a
+unit, and units overlap. Blocks lie between the cuts that are the least of
+``BLOCK_REACH`` words to either side.
+
+Equal paragraphs, units and blocks (by the hash of their word sequence) are one
+class. Lines of at least ``LEAST_WORDS`` words and blocks also get a MinHash
+signature of their shingles, whose bands are tuned for a wanted recall at the
+threshold. Colliding classes are joined, verified by exact Jaccard similarity
+on the full sets and clustered by components (``neardup``).
+
+A cluster's first member, by doc_id and place, stays. One whose cluster begins
+in another document is a repeat. Repeated units are removed, and repeated
+blocks from their first repeated unit or line to their last.
+Neighbouring repeated lines are one passage, which is removed when it has at
+least ``LEAST_WORDS`` words; so a passage of several short lines goes as a
+whole, and a short line that many documents happen to have stays.
 """
 
 from __future__ import annotations
@@ -30,6 +38,10 @@ SHINGLE = 5
 PERCENT = 80
 HASHES = 64
 RECALL = 0.9995             # of pairs exactly at the threshold
+PIECE = 4                   # pieces have 9 words on average
+BLOCK_REACH = 32            # blocks have 65
+LONGEST = 32                # a longer piece, as of one repeated word, is cut every LONGEST // 2 words
+LINE, UNIT, BLOCK = range(3)
 
 
 def tune_bands(hashes: int, similarity: float, recall: float) -> int:
@@ -42,6 +54,7 @@ def tune_bands(hashes: int, similarity: float, recall: float) -> int:
 
 ROWS = tune_bands(HASHES, PERCENT / 100, RECALL)
 _FACTORS = ts.stream(31, HASHES)
+_PAIR = ts.stream(37, 2)
 
 
 def minhash(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -83,36 +96,102 @@ def sequence_hash(w: ts.Words) -> np.ndarray:
     return out
 
 
-def split_paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, par, start, end, n_words, cls) of each line with words: number,
-    byte span, class."""
+def cuts(w: ts.Words, reach: int) -> np.ndarray:
+    """The words at which a piece begins: each row's first word and those where
+    the hash of two words is the least of ``reach`` words to either side."""
+    n = len(w.hash)
+    with np.errstate(over="ignore"):
+        after = np.append(w.hash[1:], w.hash[:1])
+        after[w.first[1:][np.diff(w.first) > 0] - 1] = 0    # a row's last word has none after it
+        rank = ts.mix(w.hash * _PAIR[0] + after * _PAIR[1])
+    least = np.ones(n, bool)
+    for j in range(1, min(reach, n - 1) + 1):
+        less, near = rank[j:] < rank[:-j], w.doc[j:] == w.doc[:-j]
+        least[j:] &= less | ~near               # of equal words the first
+        least[:-j] &= ~(less & near)
+    least[w.first[:-1][np.diff(w.first) > 0]] = True
+    return np.flatnonzero(least)
+
+
+def units(w: ts.Words) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word (exclusive) of every unit."""
+    at = np.append(cuts(w, PIECE), len(w.hash))
+    gap = np.diff(at)
+    more = np.where(gap > LONGEST, (gap - 1) // (LONGEST // 2), 0)
+    nth = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+    at = np.union1d(at, np.repeat(at[:-1], more) + nth * (LONGEST // 2))
+    last = w.first[1:][w.doc[at[:-1]]] if len(w.hash) else at[:0]
+    a = at[:-1]
+    b = at[np.minimum(np.searchsorted(at, a + LEAST_WORDS), len(at) - 1)]
+    fits = (b <= last) & (b - a >= LEAST_WORDS)
+    return a[fits], b[fits]
+
+
+def blocks(w: ts.Words) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word (exclusive) of every block of ``LEAST_WORDS`` words."""
+    at = np.append(cuts(w, BLOCK_REACH), len(w.hash))
+    a, b = at[:-1], at[1:]
+    return a[b - a >= LEAST_WORDS], b[b - a >= LEAST_WORDS]
+
+
+def spans(w: ts.Words, a: np.ndarray, b: np.ndarray) -> ts.Words:
+    """The words of the spans, a row for each span."""
+    size = b - a
+    first = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    at = np.arange(first[-1]) - np.repeat(first[:-1], size) + np.repeat(a, size)
+    return ts.Words(w.start[at], w.end[at], np.repeat(np.arange(len(a)), size), w.hash[at], first)
+
+
+def _ends(w: ts.Words, off: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where the next word of the row begins, or the row's end."""
+    after = np.append(w.start, off[-1])[b]
+    return np.minimum(after, off[1:][w.doc[b - 1]]) if len(b) else b
+
+
+def split_paragraphs(docs: DataFrame, kinds=(LINE, UNIT, BLOCK)) -> DataFrame:
+    """(doc_id, kind, par, nth, word, start, end, n_words, cls) of each line with
+    words, unit and block: the number of the line (where it begins), its number
+    among lines with words, the number of the first word, byte span, class."""
     def run(batches):
         for piece in ts.slices(batches, budget=1 << 20):
             buf, off = ts.text_buffer(piece.column("text"))
-            edge, row, nth = _lines(buf, off)
-            w = ts.words(buf, edge, ts.SPACED)
-            n = np.diff(w.first)
-            some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id").take(pa.array(row[some])), pa.array(nth[some]),
-                 pa.array(edge[some] - off[row[some]]), pa.array(edge[some + 1] - off[row[some]]),
-                 pa.array(n[some]), pa.array(ts.signed(sequence_hash(w))[some])],
-                ["doc_id", "par", "start", "end", "n_words", "cls"])
-    return _input(docs).mapInArrow(run, "doc_id long, par long, start long, end long, n_words long, cls long")
+            edge, row, par = _lines(buf, off)
+            w = ts.words(buf, off, ts.SPACED)
+            first = np.searchsorted(w.start, edge)
+            some = np.flatnonzero(np.diff(first))
+            nth = np.zeros(len(row), np.int64)
+            nth[some] = np.arange(len(some)) - np.searchsorted(row[some], row[some])
+            for kind in kinds:
+                a, b = units(w) if kind == UNIT else blocks(w) if kind == BLOCK else (first[some], first[some + 1])
+                doc = w.doc[a]
+                line = some if kind == LINE else np.searchsorted(edge, w.start[a], side="right") - 1
+                start, end = (edge[some], edge[some + 1]) if kind == LINE else (w.start[a], _ends(w, off, b))
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("doc_id").take(pa.array(doc)), pa.array(np.full(len(a), kind, np.int32)),
+                     pa.array(par[line]), pa.array(nth[line]), pa.array(a - w.first[doc]),
+                     pa.array(start - off[doc]), pa.array(end - off[doc]), pa.array(b - a),
+                     pa.array(ts.signed(sequence_hash(spans(w, a, b))))],
+                    ["doc_id", "kind", "par", "nth", "word", "start", "end", "n_words", "cls"])
+    return _input(docs).mapInArrow(
+        run, "doc_id long, kind int, par long, nth long, word long, start long, end long, n_words long, cls long")
 
 
 def signed_classes(docs: DataFrame) -> DataFrame:
-    """(id, n, sig) of the paragraphs of at least ``LEAST_WORDS`` words."""
+    """(id, n, sig) of the blocks and the lines of at least ``LEAST_WORDS`` words."""
     def run(batches):
         for piece in ts.slices(batches, budget=1 << 20):
             buf, off = ts.text_buffer(piece.column("text"))
-            w = ts.words(buf, _lines(buf, off)[0], ts.SPACED)
-            long_ = np.flatnonzero(np.diff(w.first) >= LEAST_WORDS)
-            sets, edge = ts.shingle_sets(w, SHINGLE)
+            w = ts.words(buf, off, ts.SPACED)
+            first = np.searchsorted(w.start, _lines(buf, off)[0])
+            long_ = np.flatnonzero(np.diff(first) >= LEAST_WORDS)
+            a, b = blocks(w)
+            a, b = np.unique([np.append(first[long_], a), np.append(first[long_ + 1], b)], axis=1)
+            own = spans(w, a, b)
+            sets, edge = ts.shingle_sets(own, SHINGLE)
             sig = minhash(sets, edge)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ts.signed(sequence_hash(w))[long_]), pa.array(np.diff(edge)[long_]),
-                 pa.array([sig[i].tobytes() for i in long_], pa.binary())], ["id", "n", "sig"])
+                [pa.array(ts.signed(sequence_hash(own))), pa.array(np.diff(edge)),
+                 pa.array([s.tobytes() for s in sig], pa.binary())], ["id", "n", "sig"])
     return _input(docs).mapInArrow(run, "id long, n long, sig binary")
 
 
@@ -121,7 +200,8 @@ def _input(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """The removed paragraphs: doc_id, par, start, end (bytes), n_words,
+    """The removed paragraphs, units and blocks, which may overlap: doc_id, par
+    (the number of the line where it begins), start, end (bytes), n_words,
     component (of the cluster), first_doc_id (the document that keeps it).
 
     Null and empty texts have no paragraphs. Rows that share a doc_id are one
@@ -130,39 +210,87 @@ def repeats(docs: DataFrame) -> DataFrame:
     are ignored; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
-    pars = settle(split_paragraphs(docs), "paragraphs")
+    pars = settle(split_paragraphs(docs, (LINE, BLOCK)), "paragraphs")
+    scratch = Scratch(docs.sparkSession, "signatures")
 
     def content(ids):
-        first = pars.join(ids, pars.cls == ids.id, "left_semi").groupBy("cls") \
+        scratch.release()           # the bands are dealt; the few signatures still wanted come with the texts
+        first = pars.where(F.col("n_words") >= LEAST_WORDS) \
+            .join(ids, pars.cls == ids.id, "left_semi").groupBy("cls") \
             .agg(F.min(F.struct("doc_id", "start", "end")).alias("at"))
         spans = first.groupBy("at.doc_id").agg(F.collect_list(F.struct("cls", "at.start", "at.end")).alias("spans"))
         return docs.join(spans, "doc_id").select("text", "spans") \
-            .mapInArrow(_texts, "id long, text string").dropDuplicates(["id"])
+            .mapInArrow(_texts, "id long, n long, sig binary, text string").dropDuplicates(["id"])
 
-    scratch = Scratch(docs.sparkSession, "signatures")
     comp = near_components(scratch.settle(signed_classes(docs), "minhashes"), content, HASHES // ROWS, 2 * ROWS,
-                           SHINGLE, ts.SPACED, same_share, PERCENT / 100 - 0.3, PERCENT)
-    scratch.release()
-    named = pars.join(comp.withColumnRenamed("id", "cls"), "cls", "left") \
-        .withColumn("component", F.coalesce("component", "cls"))
+                           SHINGLE, ts.SPACED, same_share, PERCENT / 100 - 0.3, PERCENT, turns=8)
+    pars = pars.union(settle(split_paragraphs(docs, (UNIT,)), "units"))
+    scratch = Scratch(docs.sparkSession, "clusters")
+    # nearly all classes have one document and no link, and go before anything is joined to the paragraphs
+    linked = comp.select(F.col("id").alias("cls"), "component")
+    named = scratch.settle(
+        pars.groupBy("cls").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                F.max(F.col("doc_id").isNull()).alias("unnamed"))
+        .join(linked, "cls", "left")
+        .where(F.col("component").isNotNull() | (F.col("lo") < F.col("hi"))
+               | (F.col("unnamed") & F.col("lo").isNotNull()))
+        .withColumn("component", F.coalesce("component", "cls")), "classes")
     # a cluster with a second document: the others are of one document and drop out here
-    first = named.groupBy("component").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-                                           F.max(F.col("doc_id").isNull()).alias("unnamed")) \
+    first = named.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                           F.max("unnamed").alias("unnamed")) \
         .where((F.col("lo") < F.col("hi")) | (F.col("unnamed") & F.col("lo").isNotNull())) \
         .select("component", F.when(~F.col("unnamed"), F.col("lo")).alias("first_doc_id"))
-    marked = named.join(first.withColumn("several", F.lit(True)), "component", "left") \
-        .withColumn("repeat", F.coalesce("several", F.lit(False)) & ~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
-    # only documents with a repeat go on
-    walk = Window.partitionBy("doc_id").orderBy("par")
-    run = marked.withColumn("run", F.sum(F.when(F.col("repeat"), 0).otherwise(1)).over(walk)) \
-        .where("repeat") \
-        .withColumn("in_run", F.sum("n_words").over(Window.partitionBy("doc_id", "run")))
-    return run.where(F.col("in_run") >= LEAST_WORDS) \
-        .select("doc_id", "par", "start", "end", "n_words", "component", "first_doc_id").distinct()
+    # a unit may have the words of a block, but is a repeat only where they are equal
+    several = (F.col("lo") < F.col("hi")) | (F.col("unnamed") & F.col("lo").isNotNull())
+    equal = named.where(several).select("cls", F.lit(True).alias("unit"), F.col("cls").alias("component"),
+                                        F.when(~F.col("unnamed"), F.col("lo")).alias("first_doc_id"))
+    near = named.select("cls", F.lit(False).alias("unit"), "component").join(first, "component") \
+        .select("cls", "unit", "component", "first_doc_id")
+    known = scratch.settle(near.union(equal), "repeated")
+    marked = scratch.settle(
+        pars.withColumn("unit", F.col("kind") == UNIT).join(known, ["cls", "unit"])
+        .where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id"))), "marked")
+    # neighbouring lines have the same difference of their number and their rank
+    run = F.col("nth") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("nth"))
+    lines = marked.where(F.col("kind") == LINE).withColumn("run", run) \
+        .withColumn("in_run", F.sum("n_words").over(Window.partitionBy("doc_id", "run"))) \
+        .where(F.col("in_run") >= LEAST_WORDS).select(marked.columns)
+    exact = marked.where((F.col("kind") == UNIT) | ((F.col("kind") == LINE) & (F.col("n_words") >= LEAST_WORDS)))
+    out = settle(lines.union(marked.where(F.col("kind") == UNIT)).union(_trimmed(marked, exact))
+                 .select("doc_id", "par", "start", "end", "n_words", "component", "first_doc_id").distinct(), "repeats")
+    scratch.release()
+    return out
+
+
+def _trimmed(marked: DataFrame, inner: DataFrame) -> DataFrame:
+    """The repeated blocks, from where the first of ``inner`` in one begins to
+    where the last ends: a block of a near copy may begin and end with words of
+    its own. Blocks without any stay as they are."""
+    both = marked.where(F.col("kind") == BLOCK).union(inner)
+    least = Window.partitionBy("doc_id").orderBy(F.desc("start"), "kind")
+    most = Window.partitionBy("doc_id").orderBy("end", "kind")
+    plain = F.col("kind") != BLOCK
+    near = both.withColumn("lo", F.last(F.when(plain, F.struct("start", "par", "word")), True).over(
+        least.rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumn("hi", F.last(
+            F.when(plain, F.struct("end", (F.col("word") + F.col("n_words")).alias("word"))), True).over(
+            most.rowsBetween(Window.unboundedPreceding, 0))) \
+        .where(~plain)
+    # one that reaches over an edge of the block covers that edge
+    lo = F.coalesce(F.col("lo.start") < F.col("end"), F.lit(False))
+    hi = F.coalesce(F.col("hi.end") > F.col("start"), F.lit(False))
+    whole = lo & hi & (F.col("lo.start") >= F.col("hi.end"))
+    near = near.withColumn("from_lo", lo & ~whole).withColumn("to_hi", hi & ~whole)
+    word = F.when(F.col("from_lo"), F.col("lo.word")).otherwise(F.col("word"))
+    last = F.when(F.col("to_hi"), F.col("hi.word")).otherwise(F.col("word") + F.col("n_words"))
+    return near.withColumn("n_words", last - word) \
+        .withColumn("par", F.when(F.col("from_lo"), F.col("lo.par")).otherwise(F.col("par"))) \
+        .withColumn("start", F.when(F.col("from_lo"), F.col("lo.start")).otherwise(F.col("start"))) \
+        .withColumn("end", F.when(F.col("to_hi"), F.col("hi.end")).otherwise(F.col("end"))).select(marked.columns)
 
 
 def _texts(batches):
-    """The paragraphs of wanted classes, if they are in this text."""
+    """The wanted classes' size, signature and text, if they are in this text."""
     for batch in batches:
         for piece in ts.slices([batch]):
             ids, texts = [], []
@@ -172,10 +300,12 @@ def _texts(batches):
                     ids.append(s["cls"])
                     texts.append(raw[s["start"]:s["end"]].decode("utf-8", "replace"))
             col = pa.array(texts, pa.string())
-            buf, off = ts.text_buffer(col)
-            own = ts.signed(sequence_hash(ts.words(buf, off, ts.SPACED))) == np.array(ids, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()).filter(pa.array(own)),
-                                              col.filter(pa.array(own))], ["id", "text"])
+            w = ts.words(*ts.text_buffer(col), ts.SPACED)
+            own = ts.signed(sequence_hash(w)) == np.array(ids, np.int64)
+            sets, edge = ts.shingle_sets(w, SHINGLE)
+            sig = pa.array([s.tobytes() for s in minhash(sets, edge)], pa.binary())
+            cols = [pa.array(ids, pa.int64()), pa.array(np.diff(edge)), sig, col]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(own)) for c in cols], ["id", "n", "sig", "text"])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -203,12 +333,19 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
-    """``text`` without the byte spans; a break is left where lines meet."""
+    """``text`` without the byte spans, sorted by start; a break is left where lines meet."""
     raw, parts, at = text.encode(), [], 0
+    merged: list[list[int]] = []
     for start, end in spans:
-        if start >= at:
-            parts.append(raw[at:start])
-            at = min(end, len(raw))
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    for start, end in merged:
+        parts.append(raw[at:start])
+        at = min(end, len(raw))
+        if b"\n" in raw[start:at] and start and raw[start - 1:start] != b"\n":
+            parts.append(b"\n")
     left = b"".join([*parts, raw[at:]])
     return left.decode("utf-8", "replace").rstrip("\n") if at >= len(raw) else left.decode("utf-8", "replace")
 
