@@ -217,9 +217,9 @@ def repeats(docs: DataFrame) -> DataFrame:
         scratch.release()           # the bands are dealt; the few signatures still wanted come with the texts
         first = pars.where(F.col("n_words") >= LEAST_WORDS) \
             .join(ids, pars.cls == ids.id, "left_semi").groupBy("cls") \
-            .agg(F.min(F.struct("doc_id", "start", "end")).alias("at"))
-        spans = first.groupBy("at.doc_id").agg(F.collect_list(F.struct("cls", "at.start", "at.end")).alias("spans"))
-        return docs.join(spans, "doc_id").select("text", "spans") \
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start", "end")).alias("at"))
+        spans = first.groupBy(F.col("at.doc_id").alias("at_doc")).agg(F.collect_list(F.struct("cls", "at.start", "at.end")).alias("spans"))
+        return docs.join(spans, F.col("doc_id").eqNullSafe(F.col("at_doc"))).select("text", "spans") \
             .mapInArrow(_texts, "id long, n long, sig binary, text string").dropDuplicates(["id"])
 
     comp = near_components(scratch.settle(signed_classes(docs), "minhashes"), content, HASHES // ROWS, 2 * ROWS,

@@ -81,3 +81,13 @@ def test_units_of_any_text():
     for a, b in (paragraphs.units(w), paragraphs.blocks(w)):
         assert set(w.doc[a]) == {0, 4, 5} and (w.doc[a] == w.doc[b - 1]).all()
         assert (b - a >= paragraphs.LEAST_WORDS).all()
+
+
+def test_near_copies_of_rows_without_doc_id(spark):
+    ship(spark)
+    rng = np.random.default_rng(7)
+    a, b = own_words(rng, 60), own_words(rng, 60)
+    rows = [(None, a), (5, a), (7, a[:30] + ["x"] + a[31:]), (None, b), (8, b[:30] + ["x"] + b[31:])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    whole = {(r.doc_id, r.first_doc_id) for r in paragraphs.repeats(docs).collect() if r.start == 0 and r.n_words == 60}
+    assert whole == {(5, None), (7, None), (8, None)}
