@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin in DuckDB (smallest scale)."""
+"""Every registered core query against its SQL twin in DuckDB (smallest scale)."""
 
 import math
 
@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from pricewatch.plans.catalog import ORACLE, QUERIES
 from pricewatch.plans.driver import TABLES
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,8 @@ def _rows(pdf):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -42,8 +44,8 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, duck, name):
-    got = _rows(entry.queries()[name](spark, SF_SMALL).toPandas())
-    want = _rows(duck.execute(entry.oracle_sql()[name]).df())
+    got = _rows(QUERIES[name](spark, SF_SMALL).toPandas())
+    want = _rows(duck.execute(ORACLE[name]).df())
     assert got[0] == want[0]
     assert got[1] == want[1]
 
@@ -57,8 +59,8 @@ def test_time_queries_in_another_zone(spark, duck, name):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        got = _rows(entry.queries()[name](spark, SF_SMALL).toPandas())
+        got = _rows(QUERIES[name](spark, SF_SMALL).toPandas())
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    want = _rows(duck.execute(entry.oracle_sql()[name]).df())
+    want = _rows(duck.execute(ORACLE[name]).df())
     assert got == want
