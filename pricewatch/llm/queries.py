@@ -13,10 +13,13 @@ import functools
 
 from pricewatch.llm import (
     ann,
+    centroids,
     chat,
     decontam,
     html_text,
+    importance,
     langid,
+    licenses,
     mixing,
     paragraphs,
     setsketch,
@@ -45,6 +48,9 @@ QUERIES = {name: _with_code(fn) for name, fn in {
     "op8_graph_neighbours": ann.op8,
     "op9_language_id": langid.op9,
     "op10_source_mixing": mixing.op10,
+    "op11_license_scan": licenses.op11,
+    "op12_importance_resampling": importance.op12,
+    "op13_centroid_clustering": centroids.op13,
 }.items()}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -99,4 +105,7 @@ ORACLE: dict[str, str] = {
     "op3_chat_format": chat.OP3_SQL,
     "op4_setsketch_near_dedup": OP4_SQL,
     "op7_decontamination": OP7_SQL,
+    "op11_license_scan": licenses.twin(),
+    "op12_importance_resampling": importance.OP12_SQL,
+    "op13_centroid_clustering": centroids.twin(),
 }
