@@ -6,6 +6,7 @@ monitoring system, each a Structured Streaming query with its own checkpoint.
     python -m pricewatch store     --events DIR --out DIR
     python -m pricewatch alerts    --alerts DIR --dimension DIR --out DIR
     python -m pricewatch compact   --out DIR
+    python -m pricewatch retain    --out DIR [--as-of TIME]
     python -m pricewatch report    --store DIR --out DIR [--hours 48] [--event NAME]
 
 Every command writes under ``--out`` (outputs, rejects, state, metrics) and
@@ -42,46 +43,66 @@ def normalize(args, spark):
         trigger=_trigger(args), max_files_per_trigger=args.max_files)
 
 
+def _price_events(args, spark):
+    """The normalizer's feed by its log, or else JSON lines landed by others;
+    records that can't be read are tagged, not dropped."""
+    from pricewatch.sources import dated, feeds
+    if dated.is_feed(spark, args.events):
+        return feeds.price_event_feed(args.events, args.max_files)
+    return feeds.read_tagged_events(spark, args.events, stream=True, max_files_per_trigger=args.max_files)
+
+
 def detect(args, spark):
-    from pricewatch.sources.feeds import read_price_events
+    from pricewatch.operators.normalize import good_events
+    from pricewatch.sources.feeds import read_tagged_events
     from pricewatch.streaming import jobs
-    events, _ = read_price_events(spark, args.events, stream=True,
-                                  max_files_per_trigger=args.max_files)
     common = dict(processed_path=_paths(args.out, "processed_prices"),
                   alerts_path=_paths(args.out, "price_alerts"), trigger=_trigger(args))
+    rejects = _paths(args.out, "detect_rejects")
     if args.state_table:
         return jobs.start_detector_tables(
-            events, state_path=_paths(args.out, "baselines"),
-            checkpoint=_paths(args.out, "_checkpoints/detect_table"),
+            _price_events(args, spark), state_path=_paths(args.out, "baselines"),
+            checkpoint=_paths(args.out, "_checkpoints/detect_table"), rejects_path=rejects,
             base_path=_paths(args.out, "baselines_base"), baseline=args.baseline, **common)
-    return jobs.start_detector(events, checkpoint=_paths(args.out, "_checkpoints/detect"),
-                               listing_ttl=args.listing_ttl, **common)
+    lines = read_tagged_events(spark, args.events, stream=True, max_files_per_trigger=args.max_files)
+    return [jobs.start_detector(good_events(lines), checkpoint=_paths(args.out, "_checkpoints/detect"),
+                                listing_ttl=args.listing_ttl, **common),
+            jobs.start_rejects(lines, rejects, _paths(args.out, "_checkpoints/detect_rejects"),
+                               trigger=_trigger(args))]
 
 
 def store(args, spark):
-    from pricewatch.sources.feeds import read_price_events
     from pricewatch.streaming import jobs
-    events, _ = read_price_events(spark, args.events, stream=True,
-                                  max_files_per_trigger=args.max_files)
     return jobs.start_storage(
-        events, _paths(args.out, "price_history"), _paths(args.out, "price_rejects"),
+        _price_events(args, spark), _paths(args.out, "price_history"), _paths(args.out, "price_rejects"),
         _paths(args.out, "events"), _paths(args.out, "_checkpoints/store"),
         trigger=_trigger(args), metrics_path=_paths(args.out, "system_metrics"),
         dimension_base_path=_paths(args.out, "events_base"))
 
 
 def alerts(args, spark):
+    from pricewatch.sources.dated import Feed
     from pricewatch.streaming import jobs
-    schema = spark.read.parquet(args.alerts).schema
-    stream = spark.readStream.schema(schema).parquet(args.alerts)
     return jobs.start_alert_store(
-        stream, _paths(args.out, "price_drop_alerts"), _paths(args.out, "alert_rejects"),
+        Feed(args.alerts, max_batches=args.max_files), _paths(args.out, "price_drop_alerts"),
+        _paths(args.out, "alert_rejects"),
         _paths(args.out, "notification_outbox"), _paths(args.out, "_checkpoints/alerts"),
         dimension_path=args.dimension, metrics_path=_paths(args.out, "system_metrics_alerts"),
         trigger=_trigger(args),
         dimension_base_path=f"{args.dimension.rstrip('/')}_base" if args.dimension else None)
 
 
+def retain(args, spark):
+    """The streams' retention: whole days go."""
+    import datetime as dt
+
+    from pricewatch.sources import store as stores
+    as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc)
+    print({name: stores.drop_expired(spark, args.out, name, stream, as_of)
+           for name, stream in (("price_events", "raw_prices"), ("processed_prices", "processed_prices"),
+                                ("price_alerts", "price_alerts"))})
+
+
 def compact(args, spark):
     from pricewatch.operators.changes import LISTING_KEYS
     from pricewatch.streaming import jobs
@@ -134,6 +155,7 @@ def parser() -> argparse.ArgumentParser:
     add("store", store, (["--events"], {"required": True}))
     add("alerts", alerts, (["--alerts"], {"required": True}), (["--dimension"], {"default": None}))
     add("compact", compact)
+    add("retain", retain, (["--as-of"], {"default": None}))
     add("report", report, (["--store"], {"required": True}),
         (["--hours"], {"type": int, "default": 48}), (["--event"], {"default": None}),
         (["--as-of"], {"default": None}))
@@ -143,9 +165,10 @@ def parser() -> argparse.ArgumentParser:
 def main(argv=None) -> int:
     args = parser().parse_args(argv)
     spark = get_spark(args.master, streaming=args.command == "detect" and not args.state_table)
-    query = args.fn(args, spark)
-    if query is not None:
-        query.awaitTermination()
+    started = args.fn(args, spark)
+    for query in started if isinstance(started, list) else [started]:
+        if query is not None:
+            query.awaitTermination()
     return 0
 
 

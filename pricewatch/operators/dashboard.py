@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewatch import fixed
-from pricewatch.functions.columns import fmt_money, fmt_percent, fmt_time, since, trunc_time
+from pricewatch.functions.columns import fmt_money, fmt_percent, fmt_time, trunc_time
+from pricewatch.sources.dated import recent
 
 
 def _for_event(df: DataFrame, event_id, key: str = "event_id") -> DataFrame:
@@ -30,7 +31,7 @@ def recent_prices(history: DataFrame, events: DataFrame, hours: int = fixed.DEFA
     """Newest ``limit`` prices of the last ``hours`` joined to their event.
     The time filter is pushed down, the join keeps only matched events and
     the ordered limit runs as a top-k (no full sort)."""
-    ph = _for_event(history.where(since("timestamp", hours, as_of)), event_id)
+    ph = _for_event(recent(history, "timestamp", hours, as_of), event_id)
     ev = events.select("event_id", "event_name", "venue")
     present = [c for c in cols if c in ph.columns]
     return (ph.select(*present).join(ev, "event_id", "inner")
@@ -42,7 +43,7 @@ def price_stats(history: DataFrame, hours: int = fixed.DEFAULT_HOURS, as_of=None
                 event_id=None) -> DataFrame:
     """Count, mean, min, max price and number of sources; empty input gives
     zeros, not nulls."""
-    ph = _for_event(history.where(since("timestamp", hours, as_of)), event_id)
+    ph = _for_event(recent(history, "timestamp", hours, as_of), event_id)
     return ph.agg(
         F.count(F.lit(1)).alias("total_listings"),
         F.coalesce(F.avg("price"), F.lit(0.0)).alias("avg_price"),

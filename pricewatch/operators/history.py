@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pricewatch import fixed
 from pricewatch.functions.columns import try_money
 from pricewatch.operators import validate
+from pricewatch.schemas import TEXT_LIMITS
 
 
 def typed_history(events: DataFrame, ingest_time: Column | None = None,
-                  keep_raw: bool = False) -> DataFrame:
-    """Price events to price-history rows.
+                  keep_raw: bool = False, keep: Sequence[Column] = ()) -> DataFrame:
+    """Price events to price-history rows, with the columns of ``keep``.
 
     Missing source is ``unknown``, missing ids and url are empty text, a
     missing or zero fee is null, a missing total is the price, a missing
@@ -39,6 +40,7 @@ def typed_history(events: DataFrame, ingest_time: Column | None = None,
         created.alias("created_at"),
         price.alias("_raw_price"), fees.alias("_raw_fees"), total.alias("_raw_total_price"),
         (F.col("_bad_number") if "_bad_number" in events.columns else F.lit(False)).alias("_bad_number"),
+        *keep,
     )
     return out if keep_raw else out.drop(*RAW)
 
@@ -47,6 +49,39 @@ def typed_history(events: DataFrame, ingest_time: Column | None = None,
 RAW = ("_raw_price", "_raw_fees", "_raw_total_price", "_bad_number")
 
 
+# Attributes of an event that its price records carry.
+EVENT_ATTRS = ("event_name", "venue", "event_date")
+
+
+def tag_events(events: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+    """Price records as typed history rows that also carry their event's
+    attributes, with ``reject_reasons`` (all broken constraints, of the history
+    and of the event) and ``reject_reason`` (the first).
+
+    A missing name or venue is empty text, a missing event date the ingest
+    time: the event is stored with these. Text too long for the events table
+    rejects the record, as the event can't be stored. Records of
+    ``normalize.tagged_wire`` bring their own reason, which comes first, and
+    their text (``_raw``, null for good rows)."""
+    from pricewatch.operators.normalize import WIRE_REASON
+    created = ingest_time if ingest_time is not None else F.current_timestamp()
+    wire = F.col(WIRE_REASON) if WIRE_REASON in events.columns else F.lit(None).cast("string")
+    raw = F.col("_raw") if "_raw" in events.columns else F.lit(None).cast("string")
+    attrs = {"event_name": F.coalesce("event_name", F.lit("")), "venue": F.coalesce("venue", F.lit("")),
+             "event_date": F.coalesce(F.col("event_date").cast("timestamp"), created)}
+    keep = [*(v.alias(k) for k, v in attrs.items()), wire.alias("_wire"), raw.alias("_raw")]
+    rows = typed_history(events, created, keep_raw=True, keep=keep)
+    checks = validate.history_checks(rows.columns)
+    limits = {c: n for c, n in TEXT_LIMITS["events"].items() if c in EVENT_ATTRS}
+    checks += validate.length_checks(limits, rows.columns)
+    found = validate.reasons_column(checks)
+    reasons = F.when(F.col("_wire").isNull(), found).otherwise(F.array("_wire"))
+    tagged = rows.withColumn(validate.REASONS, reasons) \
+        .withColumn(validate.REASON, F.get(validate.REASONS, F.lit(0)))
+    return tagged.withColumn("_raw", F.when(F.col(validate.REASON).isNotNull(), F.col("_raw"))) \
+        .drop(*RAW, "_wire")
+
+
 def tag_history(events: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     """Typed history rows, each with ``reject_reason`` (null when the row
     meets every constraint)."""
@@ -133,7 +168,7 @@ def store_alerts(alerts: DataFrame, dimension: DataFrame | None = None,
     checks = validate.not_null_checks(["event_id", "source"])
     checks += [(f"null_{c}", F.col(f"_raw_{c}").isNotNull()) for c in ("old_price", "new_price")]
     checks += validate.range_checks({c[len("_raw_"):]: c for c in raw})
-    checks += validate.length_checks(present=typed.columns)
+    checks += validate.length_checks(TEXT_LIMITS["price_drop_alerts"], typed.columns)
     if dimension is not None:
         typed = validate.with_known_flag(typed, dimension.select(
             F.col("event_id").cast("string").alias("event_id")), ["event_id"])

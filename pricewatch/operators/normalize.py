@@ -119,26 +119,46 @@ def _field(f: T.StructField) -> Column:
     return c.try_cast("double").try_cast("int") if f.name == "quantity" else c.try_cast(f.dataType)
 
 
-def from_wire(records: DataFrame, value: str = "value",
-              keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """JSON records -> (typed price events, rejects). Numbers may be quoted;
-    times are ISO-8601 with ``Z`` or an offset. Text that is not a JSON
-    object, or has no event id, is rejected as ``malformed_json``; other
-    fields that do not parse become null. ``_raw_price`` keeps the price's
-    text and ``_bad_number`` says that a price, fee, total or quantity is there
-    but is no number, which the history rejects. A fractional quantity is
-    truncated."""
+WIRE_REASON = "_wire_reason"
+
+
+def tagged_wire(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON records -> typed price events, one row a record, with the text
+    (``_raw``) and ``_wire_reason``: ``malformed_json`` for text that is no JSON
+    object, ``null_event_id`` without an event id, else null. Numbers may be
+    quoted; times are ISO-8601 with ``Z`` or an offset; other fields that don't
+    parse become null. ``_raw_price`` keeps the price's text and
+    ``_bad_number`` says that a price, fee, total or quantity is there but is
+    no number, which the history rejects. A fractional quantity is truncated.
+
+    The parsed record is the output of a generator (an array of one), which
+    the optimiser doesn't copy into the expressions above it: a record is
+    parsed once, however many fields are read."""
     schema = T.StructType(PRICE_EVENT_WIRE.fields + [T.StructField("_corrupt", T.StringType())])
-    parsed = records.select(*keep, F.col(value).cast("string").alias("_raw"),
-                            F.from_json(F.col(value).cast("string"), schema,
-                                        {"columnNameOfCorruptRecord": "_corrupt"}).alias("e"))
-    typed = parsed.select(
+    text = F.col(value).cast("string")
+    record = F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    parsed = records.select(*keep, text.alias("_raw"), F.explode(F.array(record)).alias("e"))
+    is_object = F.col("e").isNotNull() & F.col("e._corrupt").isNull()
+    return parsed.select(
         *keep, "_raw",
         *[_field(f).alias(f.name) for f in PRICE_EVENT.fields],
         F.col("e.price").alias("_raw_price"),
         reduce(lambda a, b: a | b, [F.col(f"e.{f.name}").isNotNull() & _field(f).isNull()
                                     for f in PRICE_EVENT.fields if f.name in NUMBERS]).alias("_bad_number"),
-        (F.col("e").isNotNull() & F.col("e._corrupt").isNull()).alias("_is_object"))
-    good, rejects = validate.split(typed, [("malformed_json", F.col("_is_object")),
-                                           ("null_event_id", F.col("event_id").isNotNull())])
-    return good.drop("_raw", "_is_object"), rejects.drop("_is_object")
+        validate.reason_column([("malformed_json", is_object),
+                                ("null_event_id", F.col("e.event_id").isNotNull())]).alias(WIRE_REASON))
+
+
+def good_events(tagged: DataFrame) -> DataFrame:
+    """The readable records of ``tagged_wire``."""
+    return tagged.where(F.col(WIRE_REASON).isNull()).drop("_raw", WIRE_REASON)
+
+
+def from_wire(records: DataFrame, value: str = "value",
+              keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(typed price events, rejects) of ``tagged_wire``; rejects keep the text
+    and have the reason as ``reject_reason``. Both read the records: a job that
+    needs both persists the tagged frame and splits that."""
+    tagged = tagged_wire(records, value, keep)
+    return (good_events(tagged),
+            tagged.where(F.col(WIRE_REASON).isNotNull()).withColumnRenamed(WIRE_REASON, validate.REASON))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pricewatch.functions.columns import valid_price
 from pricewatch.schemas import TEXT_LIMITS
 
-REASON = "reject_reason"
+REASON = "reject_reason"            # the first constraint that a row breaks
+REASONS = "reject_reasons"          # all of them
 
 
 def valid_prices(df: DataFrame, price: str = "price") -> DataFrame:
@@ -32,6 +33,12 @@ def reason_column(checks: Sequence[tuple[str, Column]]) -> Column:
     return expr.otherwise(F.lit(None).cast("string")) if expr is not None else F.lit(None).cast("string")
 
 
+def reasons_column(checks: Sequence[tuple[str, Column]]) -> Column:
+    """All failing checks' reasons, in the order of the checks."""
+    failed = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(reason)) for reason, ok in checks]
+    return F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+
+
 def split(df: DataFrame, checks: Sequence[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
     """(good, rejects). Both read ``df``; persist it first when it is costly
     and both are consumed (a streaming micro-batch is)."""
@@ -47,7 +54,7 @@ def not_null_checks(cols: Sequence[str]) -> list[tuple[str, Column]]:
 def length_checks(limits: dict[str, int] | None = None,
                   present: Sequence[str] | None = None) -> list[tuple[str, Column]]:
     """Text longer than the stored column allows is rejected, not cut."""
-    limits = TEXT_LIMITS if limits is None else limits
+    limits = TEXT_LIMITS["price_history"] if limits is None else limits
     return [(f"too_long_{c}", F.col(c).isNull() | (F.length(c) <= n))
             for c, n in limits.items() if present is None or c in present]
 
@@ -106,7 +113,7 @@ def split_known(df: DataFrame, dim: DataFrame, on: Sequence[str],
 
 
 def dedup(df: DataFrame, keys: Sequence[str] = ("listing_id", "timestamp")) -> DataFrame:
-    """Optional duplicate skip on (listing, time). A hash aggregation that
+    """Optional duplicate skip on (listing, time). An aggregation that
     combines map-side, so a key with many copies shrinks before the shuffle."""
     return df.dropDuplicates(list(keys))
 

@@ -24,9 +24,9 @@ def dashboard_report(spark: SparkSession, store: str, hours: int = fixed.DEFAULT
     statistics keep their fixed 48 hours, the alert list is the newest 20 and
     the event filter applies to those 20, as on the dashboard."""
     store = store.rstrip("/")
-    history = spark.read.parquet(f"{store}/price_history").drop("batch_id")
+    history = spark.read.parquet(f"{store}/price_history").drop("batch_id")     # keeps date, for pruning
     events = _dimension(spark, store)
-    alerts = spark.read.parquet(f"{store}/price_drop_alerts").drop("batch_id")
+    alerts = spark.read.parquet(f"{store}/price_drop_alerts").drop("batch_id", "date")
     event_id = None
     if event_name is not None:
         chosen = dashboard.event_by_name(events, event_name).select("event_id").first()

@@ -146,8 +146,40 @@ POLL_LOG = T.StructType([
     T.StructField("latency_ms", T.DoubleType()),
 ])
 
-# Text limits of the stored columns, in characters.
+# Text limits of the stored tables, in characters.
 TEXT_LIMITS = {
-    "event_id": 255, "section": 50, "row": 10, "seat": 10,
-    "source": 50, "listing_id": 255,
+    "events": {"event_id": 255, "event_name": 255, "venue": 255, "city": 100, "state": 50},
+    "price_history": {"event_id": 255, "source": 50, "section": 50, "row": 10, "seat": 10, "listing_id": 255},
+    "alerts": {"user_id": 255, "event_id": 255, "section": 50, "notification_method": 50,
+               "notification_target": 255},
+    "alert_triggers": {"source": 50, "section": 50, "row": 10, "seat": 10},
+    "price_drop_alerts": {"event_id": 255, "alert_type": 50, "section": 50, "row": 10, "seat": 10, "source": 50,
+                          "listing_id": 255},
+    "system_metrics": {"metric_name": 100},
+}
+
+TABLES = {
+    "events": EVENTS_TABLE,
+    "price_history": PRICE_HISTORY,
+    "alerts": THRESHOLD_RULES,
+    "alert_triggers": ALERT_TRIGGERS,
+    "price_drop_alerts": PRICE_DROP_ALERTS,
+    "system_metrics": SYSTEM_METRICS,
+}
+
+# Keys of which a table has one row, and columns whose value another table's
+# column must have.
+UNIQUE = {"events": "event_id", "alerts": "id"}
+REFERENCES = {
+    "price_history": ("event_id", "events", "event_id"),
+    "alerts": ("event_id", "events", "event_id"),
+    "alert_triggers": ("alert_id", "alerts", "id"),
+    "price_drop_alerts": ("event_id", "events", "event_id"),
+}
+
+# Values for columns that are missing, where a table has them.
+DEFAULTS = {
+    "price_history": {"quantity": 1},
+    "alerts": {"user_id": "default_user", "notification_method": "discord", "active": True},
+    "price_drop_alerts": {"alert_type": "price_drop"},
 }

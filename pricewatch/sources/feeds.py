@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pricewatch.operators import normalize
 from pricewatch.schemas import RAW_RESPONSE, TRACKED_EVENT
+from pricewatch.sources.dated import Feed
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -38,18 +39,32 @@ def read_responses(spark: SparkSession, path: str, stream: bool = False,
     return normalize.explode_listings(df)
 
 
+def _lines(spark: SparkSession, path: str, stream: bool, max_files_per_trigger: int | None) -> DataFrame:
+    if not stream:
+        return spark.read.text(path)
+    r = spark.readStream.format("text")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path)
+
+
 def read_price_events(spark: SparkSession, path: str, stream: bool = False,
                       max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Price-event JSON lines -> (typed events, rejects). Lines are read as
     text so that a malformed line becomes a reject instead of an error."""
-    if stream:
-        r = spark.readStream.format("text")
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        lines = r.load(path)
-    else:
-        lines = spark.read.text(path)
-    return normalize.from_wire(lines, "value")
+    return normalize.from_wire(_lines(spark, path, stream, max_files_per_trigger), "value")
+
+
+def read_tagged_events(spark: SparkSession, path: str, stream: bool = False,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Price-event JSON lines, parsed once, good and bad ones in one frame
+    (``normalize.tagged_wire``): for jobs that write both sides."""
+    return normalize.tagged_wire(_lines(spark, path, stream, max_files_per_trigger), "value")
+
+
+def price_event_feed(path: str, max_batches: int | None = None) -> Feed:
+    """The normalizer's feed, followed by its log."""
+    return Feed(path, "text", normalize.tagged_wire, max_batches)
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
@@ -76,8 +91,8 @@ def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None,
                 fmt: str = "parquet") -> None:
-    """Write one micro-batch under ``batch_id=<n>``, replacing that folder.
-    A replayed batch overwrites its own output, so the sink is idempotent."""
+    """Write one micro-batch's state delta under ``batch_id=<n>``, replacing
+    that folder. For outputs that others follow, see ``dated.write``."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

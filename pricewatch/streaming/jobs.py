@@ -1,10 +1,15 @@
 """Streaming jobs: the detector with its two outputs, the storage side, the
 dimension merge, throughput and progress metrics.
 
-Every output is written from ``foreachBatch`` under its batch id, so a batch
-that is replayed after a failure replaces its own files (idempotent); the
-checkpoint keeps source progress and detector state, so a restarted query
-goes on where it stopped.
+Every output is a feed of ``sources/dated``: rows by day and batch, written
+once, with a log of finished batches, so a batch that is replayed after a
+failure adds nothing to what readers have seen. State (baselines, the event
+dimension) is kept as deltas by batch, which a replay overwrites with the same
+rows. The checkpoint keeps source progress and detector state, so a restarted
+query goes on where it stopped.
+
+Where a job takes a stream of rows it also takes a ``Feed``, and then follows
+the log of the job before it: batch by batch, finished ones only.
 """
 
 from __future__ import annotations
@@ -16,6 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pricewatch.functions.columns import listing_key
 from pricewatch.operators import changes, history, normalize
+from pricewatch.operators.normalize import WIRE_REASON
+from pricewatch.sources import dated, files
+from pricewatch.sources.dated import Feed
 from pricewatch.sources.feeds import read_responses, write_batch
 from pricewatch.streaming.detector import detect_changes_stream
 
@@ -37,6 +45,21 @@ def observe_changes(classified: DataFrame, name: str = DETECTOR_METRICS) -> Data
         F.count_if(t == "invalid").alias("invalid_prices"))
 
 
+def _input(source: DataFrame | Feed, metric: str | None = None, name: str | None = None):
+    """(stream, rows of its micro-batches) of a stream of rows or a feed; with
+    ``metric`` the rows are observed under it, as ``name``."""
+    if isinstance(source, Feed):
+        stream, rows, count = source.entries(SparkSession.active()), source.rows, F.sum("rows")
+    else:
+        stream, rows, count = source, lambda batch: batch, F.count(F.lit(1))
+    return stream.observe(metric, count.alias(name)) if metric else stream, rows
+
+
+def _start(stream: DataFrame, process, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    return (w.trigger(**trigger) if trigger else w.trigger(availableNow=True)).start()
+
+
 def start_detector(events: DataFrame, processed_path: str, alerts_path: str, checkpoint: str,
                    trigger: dict | None = None, keys=changes.LISTING_KEYS, price: str = "price",
                    order=changes.EVENT_ORDER, listing_ttl: str | None = None,
@@ -49,14 +72,26 @@ def start_detector(events: DataFrame, processed_path: str, alerts_path: str, che
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_batch(batch, processed_path, batch_id)
-            write_batch(changes.drop_alerts(batch, price), alerts_path, batch_id)
+            began = dated.begin(batch.sparkSession, processed_path, batch_id)
+            drops = changes.drop_alerts(batch, price, alert_time=dated.at(began))
+            dated.write(batch, processed_path, batch_id, order[0], began)
+            dated.write(drops, alerts_path, batch_id, "alert_timestamp", began)
         finally:
             batch.unpersist()
 
-    w = classified.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
-    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
-    return w.start()
+    return _start(classified, route, checkpoint, trigger)
+
+
+def start_rejects(tagged: DataFrame, rejects_path: str, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Records of ``normalize.tagged_wire`` that can't be read, with their
+    text and reason: the reject side of a job whose own input is the good rows
+    (the detector with its state in the state store)."""
+    def route(batch: DataFrame, batch_id: int) -> None:
+        bad = batch.where(F.col(WIRE_REASON).isNotNull()).select("_raw", F.col(WIRE_REASON).alias("reject_reason"))
+        dated.write(bad, rejects_path, batch_id)
+
+    return _start(tagged, route, checkpoint, trigger)
 
 
 def _null_safe_semi(left: DataFrame, right: DataFrame, keys) -> DataFrame:
@@ -137,11 +172,12 @@ def compact_baselines(spark: SparkSession, state_path: str, base_path: str, keys
     return through
 
 
-def start_detector_tables(events: DataFrame, processed_path: str, alerts_path: str,
+def start_detector_tables(events: DataFrame | Feed, processed_path: str, alerts_path: str,
                           state_path: str, checkpoint: str, keys=changes.LISTING_KEYS,
                           price: str = "price", order=changes.EVENT_ORDER,
                           baseline: str = "max", trigger: dict | None = None,
-                          base_path: str | None = None) -> StreamingQuery:
+                          base_path: str | None = None,
+                          rejects_path: str | None = None) -> StreamingQuery:
     """The detector with its state kept as a table instead of in the state
     store. Each micro-batch runs the batch detector (JVM only, hot listings
     split as in batch), seeded with the baselines of the listings it
@@ -149,22 +185,40 @@ def start_detector_tables(events: DataFrame, processed_path: str, alerts_path: s
     valid price in the batch, or its last one for ``baseline="previous"``)
     under its batch id. A batch reads only state of earlier batches, so a
     replayed batch reproduces its output and overwrites its own files.
-    ``compact_baselines`` folds old deltas into a base at ``base_path``."""
+    ``compact_baselines`` folds old deltas into a base at ``base_path``.
+
+    Records of ``normalize.tagged_wire`` that can't be read go to
+    ``rejects_path`` from the same parsed frame; the others are detected. A
+    price that is no number is an ``error`` then."""
     from pricewatch.functions.columns import valid_price
     keys, order = list(keys), list(order)
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
+    stream, rows = _input(events)
+
+    def process(entries: DataFrame, batch_id: int) -> None:
+        spark = entries.sparkSession
+        if all(dated.finished(spark, p, batch_id) for p in (processed_path, alerts_path)) \
+                and files.exists(spark, f"{state_path.rstrip('/')}/batch_id={batch_id}/_SUCCESS"):
+            return                          # a replay of a finished batch
+        taken = rows(entries).persist()
         try:
+            began = dated.begin(spark, processed_path, batch_id)
+            batch, raw = taken, None
+            if WIRE_REASON in taken.columns:
+                batch = normalize.good_events(taken)
+                raw = "_raw_price"
+                if rejects_path is not None:
+                    dated.write(taken.where(F.col(WIRE_REASON).isNotNull())
+                                .select("_raw", F.col(WIRE_REASON).alias("reject_reason")),
+                                rejects_path, batch_id, began=began)
             prior = read_baselines(spark, state_path, keys, baseline, before=batch_id,
                                    base_path=base_path)
             seed = None if prior is None else _null_safe_semi(prior, batch, keys)
             classified = changes.classify_changes(batch, keys, price, order, baseline=baseline,
-                                                  seed=seed)
-            classified.persist()
-            write_batch(classified, processed_path, batch_id)
-            write_batch(changes.drop_alerts(classified, price), alerts_path, batch_id)
+                                                  seed=seed, raw_price=raw)
+            classified = classified.drop("_raw_price", "_bad_number").persist()
+            drops = changes.drop_alerts(classified, price, alert_time=dated.at(began))
+            dated.write(classified, processed_path, batch_id, order[0], began)
+            dated.write(drops, alerts_path, batch_id, "alert_timestamp", began)
             valid = batch.where(valid_price(price))
             last = F.struct(*[F.col(c) for c in order])
             delta = valid.groupBy(*keys).agg(
@@ -173,11 +227,9 @@ def start_detector_tables(events: DataFrame, processed_path: str, alerts_path: s
             write_batch(delta, state_path, batch_id)
             classified.unpersist()
         finally:
-            batch.unpersist()
+            taken.unpersist()
 
-    w = events.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
-    return w.start()
+    return _start(stream, process, checkpoint, trigger)
 
 
 def start_normalizer(spark: SparkSession, responses_path: str, tracked: DataFrame, source: str,
@@ -195,34 +247,36 @@ def start_normalizer(spark: SparkSession, responses_path: str, tracked: DataFram
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            good, rejects = adapter(batch, tracked)
+            began = dated.begin(batch.sparkSession, out_path, batch_id)
+            good, rejects = adapter(batch, tracked, scrape_time=dated.at(began))
             wire = normalize.to_wire(good, key=listing_key(*changes.LISTING_KEYS))
             if kafka_options:
                 wire.write.format("kafka").options(**kafka_options).save()
             else:
-                write_batch(wire.select("value"), out_path, batch_id, fmt="text")
-            write_batch(rejects, rejects_path, batch_id)
+                dated.write(wire.select("value"), out_path, batch_id, began=began, fmt="text")
+            dated.write(rejects, rejects_path, batch_id, began=began)
         finally:
             batch.unpersist()
 
-    w = listings.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
-    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
-    return w.start()
+    return _start(listings, publish, checkpoint, trigger)
 
 
 STORAGE_METRICS = "storage"
 
 
-def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimension_path: str,
+def start_storage(events: DataFrame | Feed, history_path: str, rejects_path: str, dimension_path: str,
                   checkpoint: str, trigger: dict | None = None,
                   metrics_path: str | None = None,
                   dimension_base_path: str | None = None,
                   dedup_within: str | None = None) -> StreamingQuery:
-    """The storage side: typed history and rejects per batch, and the event
-    dimension. The dimension is kept as append-only deltas, one per batch
-    (that batch's first sighting of each event), so a batch writes only
-    what it saw; ``read_dimension`` folds the deltas (first write wins,
-    ``last_updated`` is the latest).
+    """The storage side: typed history and rejects by day, and the event
+    dimension. Events come from records that meet all constraints
+    (``history.tag_events``), so what history rejects is no event either. The
+    dimension is kept as append-only deltas, one per batch (that batch's first
+    sighting of each event), so a batch writes only what it saw;
+    ``read_dimension`` folds the deltas (first write wins, ``last_updated`` is
+    the latest). Records of ``normalize.tagged_wire`` that can't be read are
+    rejects, too, with their text.
 
     Messages received are observed per micro-batch under ``storage``; with
     ``metrics_path`` every batch also writes its counters (received, stored,
@@ -230,46 +284,47 @@ def start_storage(events: DataFrame, history_path: str, rejects_path: str, dimen
 
     ``dedup_within`` (e.g. ``"1 hour"``) skips a record whose (listing,
     scrape time) was already stored within that delay, across micro-batches
-    (``dropDuplicatesWithinWatermark``); off by default, as in the source
-    system, which stores every delivery."""
+    (``dropDuplicatesWithinWatermark``, for a stream of rows); off by default,
+    as in the source system, which stores every delivery."""
     from pricewatch.operators import metrics, validate
     if dedup_within is not None:
         events = (events.withWatermark("timestamp", dedup_within)
                   .dropDuplicatesWithinWatermark(["listing_id", "timestamp"]))
-    counted = events.observe(STORAGE_METRICS, F.count(F.lit(1)).alias("messages_received"))
+    stream, rows = _input(events, STORAGE_METRICS, "messages_received")
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
+    def store(entries: DataFrame, batch_id: int) -> None:
+        spark = entries.sparkSession
+        began = dated.begin(spark, history_path, batch_id)
+        tagged = history.tag_events(rows(entries), dated.at(began)).persist()
         try:
-            tagged = history.tag_history(batch).persist()
             reason = F.col(validate.REASON)
-            write_batch(tagged.where(reason.isNull()).drop(validate.REASON), history_path, batch_id)
-            write_batch(tagged.where(reason.isNotNull()), rejects_path, batch_id)
-            if metrics_path is not None:
+            good = tagged.where(reason.isNull())
+            typed = good.drop("_raw", validate.REASON, validate.REASONS, *history.EVENT_ATTRS)
+            if not dated.finished(spark, history_path, batch_id):
+                write_batch(history.event_dimension(good), dimension_path, batch_id)
+            dated.write(typed, history_path, batch_id, "timestamp", began)
+            dated.write(tagged.where(reason.isNotNull()), rejects_path, batch_id, began=began)
+            if metrics_path is not None and not dated.finished(spark, metrics_path, batch_id):
                 try:
                     known = read_dimension(spark, dimension_path, dimension_base_path,
                                            before=batch_id).select("event_id")
                 except AnalysisException as e:
                     only_missing(e)            # first batch: no dimension yet
-                    known = batch.select("event_id").where(F.lit(False))
-                created = history.new_events(batch, known)
-                counters = metrics.as_system_metrics(metrics.ingest_metrics(tagged, created))
-                write_batch(counters, metrics_path, batch_id)
-            write_batch(history.event_dimension(batch), dimension_path, batch_id)
-            tagged.unpersist()
+                    known = good.select("event_id").where(F.lit(False))
+                created = history.new_events(good, known)
+                counters = metrics.as_system_metrics(metrics.ingest_metrics(tagged, created),
+                                                     began.isoformat())
+                dated.write(counters, metrics_path, batch_id, "timestamp", began)
         finally:
-            batch.unpersist()
+            tagged.unpersist()
 
-    w = counted.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
-    return w.start()
+    return _start(stream, store, checkpoint, trigger)
 
 
 ALERT_METRICS = "alerts"
 
 
-def start_alert_store(alerts: DataFrame, stored_path: str, rejects_path: str, outbox_path: str,
+def start_alert_store(alerts: DataFrame | Feed, stored_path: str, rejects_path: str, outbox_path: str,
                       checkpoint: str, dimension_path: str | None = None,
                       metrics_path: str | None = None, trigger: dict | None = None,
                       footer: str | None = None,
@@ -281,38 +336,42 @@ def start_alert_store(alerts: DataFrame, stored_path: str, rejects_path: str, ou
     events. Counters (processed, stored, errors) go to ``metrics_path`` as
     system-metrics rows."""
     from pricewatch.operators import metrics, notify
-    counted = alerts.observe(ALERT_METRICS, F.count(F.lit(1)).alias("alerts_processed"))
+    stream, rows = _input(alerts, ALERT_METRICS, "alerts_processed")
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
+    def store(entries: DataFrame, batch_id: int) -> None:
+        spark = entries.sparkSession
+        began = dated.begin(spark, stored_path, batch_id)
+        batch = rows(entries).drop(dated.DAY, dated.BATCH).persist()
         try:
             payloads = notify.with_payload(batch, **({"footer": footer} if footer else {}))
-            write_batch(payloads.select("event_id", "listing_id", "alert_timestamp", "payload"),
-                        outbox_path, batch_id)
+            dated.write(payloads.select("event_id", "listing_id", "alert_timestamp", "payload"),
+                        outbox_path, batch_id, "alert_timestamp", began)
             dim = None
             if dimension_path is not None:
+                # A replay asks the dimension that the first try saw, else an
+                # alert could be in neither output, or in both.
+                through = int(dated.pinned(spark, stored_path, batch_id, "dimension", lambda: str(
+                    newest_batch(spark, dimension_path, dimension_base_path))))
                 try:
-                    dim = read_dimension(spark, dimension_path,
-                                         dimension_base_path).select("event_id")
+                    dim = read_dimension(spark, dimension_path, dimension_base_path,
+                                         before=through + 1).select("event_id")
                 except AnalysisException as e:
                     only_missing(e)            # no dimension yet: every alert is unknown
                     dim = batch.select("event_id").where(F.lit(False))
-            stored, rejects = history.store_alerts(batch, dim)
+            stored, rejects = history.store_alerts(batch, dim, dated.at(began))
             stored, rejects = stored.persist(), rejects.persist()
-            write_batch(stored, stored_path, batch_id)
-            write_batch(rejects, rejects_path, batch_id)
+            dated.write(stored, stored_path, batch_id, "alert_timestamp", began)
+            dated.write(rejects, rejects_path, batch_id, "alert_timestamp", began)
             if metrics_path is not None:
-                counters = metrics.as_system_metrics(metrics.alert_metrics(batch, stored, rejects))
-                write_batch(counters, metrics_path, batch_id)
+                counters = metrics.as_system_metrics(metrics.alert_metrics(batch, stored, rejects),
+                                                     began.isoformat())
+                dated.write(counters, metrics_path, batch_id, "timestamp", began)
             stored.unpersist()
             rejects.unpersist()
         finally:
             batch.unpersist()
 
-    w = counted.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
-    return w.start()
+    return _start(stream, store, checkpoint, trigger)
 
 
 _DIM_ATTRS = ("event_name", "venue", "event_date")
@@ -345,6 +404,12 @@ def _newest_base(spark: SparkSession, base_path: str, before: int | None = None)
     return versions.where(F.col("through_batch") == newest)
 
 
+def newest_batch(spark: SparkSession, path: str, base_path: str | None = None) -> int:
+    """The last batch whose delta, or compacted base, is there; -1 for none."""
+    names = [*files.children(spark, path), *(files.children(spark, base_path) if base_path else [])]
+    return max((int(n.split("=")[1]) for n in names if n.startswith(("batch_id=", "through_batch="))), default=-1)
+
+
 def read_dimension(spark: SparkSession, path: str, base_path: str | None = None,
                    attrs=_DIM_ATTRS, before: int | None = None) -> DataFrame:
     """The event dimension: the newest compacted base (when given) plus the
