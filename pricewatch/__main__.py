@@ -5,6 +5,7 @@ monitoring system, each a Structured Streaming query with its own checkpoint.
     python -m pricewatch detect    --events DIR --out DIR [--state-table]
     python -m pricewatch store     --events DIR --out DIR
     python -m pricewatch alerts    --alerts DIR --dimension DIR --out DIR
+    python -m pricewatch thresholds --events DIR --rules FILE --out DIR
     python -m pricewatch compact   --out DIR
     python -m pricewatch retain    --out DIR [--as-of TIME]
     python -m pricewatch report    --store DIR --out DIR [--hours 48] [--event NAME]
@@ -92,6 +93,15 @@ def alerts(args, spark):
         dimension_base_path=f"{args.dimension.rstrip('/')}_base" if args.dimension else None)
 
 
+def thresholds(args, spark):
+    from pricewatch.streaming import jobs
+    return jobs.start_thresholds(
+        _price_events(args, spark), args.rules, _paths(args.out, "alert_triggers"),
+        _paths(args.out, "rule_rejects"), _paths(args.out, "last_prices"),
+        _paths(args.out, "_checkpoints/thresholds"), trigger=_trigger(args),
+        base_path=_paths(args.out, "last_prices_base"))
+
+
 def retain(args, spark):
     """The streams' retention: whole days go."""
     import datetime as dt
@@ -106,20 +116,18 @@ def retain(args, spark):
 def compact(args, spark):
     from pricewatch.operators.changes import LISTING_KEYS
     from pricewatch.streaming import jobs
+    folds = {
+        "events": lambda p, b: jobs.compact_dimension(spark, p, b),
+        "baselines": lambda p, b: jobs.compact_baselines(spark, p, b, list(LISTING_KEYS), baseline=args.baseline),
+        "last_prices": lambda p, b: jobs.compact_baselines(spark, p, b, list(LISTING_KEYS), baseline="previous"),
+    }
     done = {}
-    try:
-        done["events"] = jobs.compact_dimension(spark, _paths(args.out, "events"),
-                                                _paths(args.out, "events_base"))
-    except AnalysisException as exc:
-        jobs.only_missing(exc)          # nothing stored yet
-        done["events"] = f"skipped: {exc.__class__.__name__}"
-    try:
-        done["baselines"] = jobs.compact_baselines(
-            spark, _paths(args.out, "baselines"), _paths(args.out, "baselines_base"),
-            list(LISTING_KEYS), baseline=args.baseline)
-    except AnalysisException as exc:
-        jobs.only_missing(exc)
-        done["baselines"] = f"skipped: {exc.__class__.__name__}"
+    for name, fold in folds.items():
+        try:
+            done[name] = fold(_paths(args.out, name), _paths(args.out, f"{name}_base"))
+        except AnalysisException as exc:
+            jobs.only_missing(exc)          # nothing stored yet
+            done[name] = f"skipped: {exc.__class__.__name__}"
     print(done)
     return None
 
@@ -154,6 +162,7 @@ def parser() -> argparse.ArgumentParser:
         (["--state-table"], {"action": "store_true"}), (["--listing-ttl"], {"default": None}))
     add("store", store, (["--events"], {"required": True}))
     add("alerts", alerts, (["--alerts"], {"required": True}), (["--dimension"], {"default": None}))
+    add("thresholds", thresholds, (["--events"], {"required": True}), (["--rules"], {"required": True}))
     add("compact", compact)
     add("retain", retain, (["--as-of"], {"default": None}))
     add("report", report, (["--store"], {"required": True}),

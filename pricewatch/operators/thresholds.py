@@ -9,10 +9,16 @@ that are missing, no number, zero or below never fire.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewatch.functions.columns import money, valid_price
+from pricewatch.operators.changes import EVENT_ORDER, LISTING_KEYS
+from pricewatch.operators.scan import prior_scan
+
+BAND = 1.25             # prices of a band differ by at most this factor
 
 
 def match_thresholds(prices: DataFrame, rules: DataFrame) -> DataFrame:
@@ -72,3 +78,64 @@ def best_offers(prices: DataFrame, rules: DataFrame) -> DataFrame:
                     F.col("b.listing_id").alias("listing_id"),
                     F.col("b.listing_url").alias("listing_url"),
                     F.col("b.timestamp").alias("triggered_at")))
+
+
+def _band(x: Column) -> Column:
+    """The band of a price above zero; bands never go down as prices go up."""
+    return F.floor(F.log(x.cast("double")) / F.log(F.lit(BAND))).cast("int")
+
+
+def threshold_crossings(prices: DataFrame, rules: DataFrame, keys: Sequence[str] = LISTING_KEYS,
+                        order: Sequence[str] = EVENT_ORDER, seed: DataFrame | None = None,
+                        hot_rows: int = 1_000_000, probe_fraction: float = 0.01) -> DataFrame:
+    """A trigger row where a listing's price comes down to a rule's target:
+    it is at or below the target now, and the listing's price before was above
+    it, or there was none. A listing that stays below fires once. Section, row,
+    activity and validity as in ``match_thresholds``; invalid prices neither
+    fire nor count as the price before. ``seed`` (``keys`` + ``_pw_seed``) is
+    each listing's price from before ``prices``.
+
+    Only rows whose price fell, or that are a listing's first, can fire. Rules
+    and rows meet by event and price band: a row takes part in the bands from
+    its price up to the price before (for a first one the event's highest
+    target), which are few, so a hot event with many rules compares a row with
+    little more than the rules it crosses, not with all of them."""
+    order, keys = list(order), list(keys)
+    r = (rules.where(F.coalesce(F.col("active"), F.lit(False)) & (F.col("target_price") > 0))
+         .select(F.col("id").alias("alert_id"), F.col("event_id").alias("_rule_event"), "target_price",
+                 F.col("section").alias("_rule_section"), F.col("max_row").alias("_max_row")))
+    top = r.groupBy("_rule_event").agg(F.max("target_price").cast("double").alias("_top"))
+    p = F.col("price")
+    valid = valid_price("price")
+    fell = prior_scan(prices, keys, order, F.when(valid, p), "_before", order[0], how="last", seed=seed,
+                      hot_rows=hot_rows, probe_fraction=probe_fraction) \
+        .where(valid & (F.col("_before").isNull() | (p < F.col("_before"))))
+    banded = fell.join(top, F.col("event_id") == F.col("_rule_event")).drop("_rule_event") \
+        .where(p <= F.col("_top")) \
+        .withColumn("_band", F.explode(F.sequence(_band(p), _band(F.least("_before", "_top")))))
+    ruled = r.withColumn("_rule_band", _band(F.col("target_price")))
+    crossed = ((F.col("event_id") == F.col("_rule_event")) & (F.col("_band") == F.col("_rule_band"))
+               & (p <= F.col("target_price"))
+               & (F.col("_before").isNull() | (F.col("_before") > F.col("target_price")))
+               & (F.col("_rule_section").isNull() | (F.col("section") == F.col("_rule_section")))
+               & (F.col("_max_row").isNull() | (F.col("row").try_cast("int") <= F.col("_max_row"))))
+    return banded.join(ruled, crossed).select(
+        "alert_id", "event_id", money(p).alias("price"), "source", "section", "row", "seat", "listing_id",
+        "listing_url", F.col(order[0]).alias("triggered_at"))
+
+
+def last_prices(prices: DataFrame, keys: Sequence[str] = LISTING_KEYS,
+                order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+    """Each listing's last valid price (``value``) and its place in the order
+    (``last_order``): what a later batch needs as ``seed``."""
+    last = F.struct(*[F.col(c) for c in order])
+    return prices.where(valid_price("price")).groupBy(*keys).agg(
+        F.max_by("price", last).alias("value"), F.max(last).alias("last_order"))
+
+
+def move_last_triggered(rules: DataFrame, triggers: DataFrame) -> DataFrame:
+    """The rules with ``last_triggered`` at their newest trigger, never moved
+    back. Triggers are reduced to one row a rule before the join."""
+    newest = triggers.groupBy(F.col("alert_id").alias("id")).agg(F.max("triggered_at").alias("_newest"))
+    return rules.join(newest, "id", "left").withColumn(
+        "last_triggered", F.greatest("last_triggered", "_newest")).select(rules.columns)

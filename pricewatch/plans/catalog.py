@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewatch.functions.columns import listing_key, since
-from pricewatch.operators import (changes, dashboard, history, metrics, normalize, notify,
+from pricewatch.operators import (changes, constraints, dashboard, history, metrics, normalize, notify,
                                   thresholds, validate)
 from pricewatch.plans.driver import (ALERT_EVENT, AS_OF, AS_OF_SQL, KEYS, ONE_EVENT,
                                      ONE_EVENT_NAME, ORDER, PRICE, table)
@@ -363,6 +363,60 @@ def reject_reasons(spark, sf):
     return validate.reject_counts(rejects)
 
 
+def _faulty_prices(spark, sf):
+    """``events`` as price records, some of which break constraints."""
+    n, text = F.col("event_id"), (lambda c: F.col(c).cast("string"))
+    return _events(spark, sf).select(
+        F.when(n % 11 != 0, text("user_id")).alias("event_id"),
+        F.when(n % 13 == 0, F.repeat(F.lit("s"), 51)).otherwise(F.col("event_type")).alias("source"),
+        F.when(n % 17 == 0, F.repeat(F.lit("x"), 51)).alias("section"),
+        F.when(n % 19 == 0, F.repeat(F.lit("r"), 11)).alias("row"),
+        F.when(n % 7 == 0, F.col("value") * 1e8).otherwise(F.col("value")).alias("price"),
+        F.when(n % 5 != 0, F.col("value")).alias("total_price"),
+        F.when(n % 23 != 0, F.col("ts").cast("timestamp")).alias("timestamp"), text("event_id").alias("listing_id"))
+
+
+@register("ingest_rejects", f"""
+WITH r AS (
+  SELECT CAST(event_id AS VARCHAR) AS listing_id, list_filter([
+    CASE WHEN event_id % 11 = 0 THEN 'null_event_id' END,
+    CASE WHEN event_id % 5 = 0 OR value IS NULL THEN 'null_total_price' END,
+    CASE WHEN event_id % 23 = 0 THEN 'null_timestamp' END,
+    CASE WHEN event_id % 7 = 0 AND value * 1e8 >= 99999999.995 THEN 'out_of_range_price' END,
+    CASE WHEN event_id % 13 = 0 THEN 'too_long_source' END,
+    CASE WHEN event_id % 17 = 0 THEN 'too_long_section' END,
+    CASE WHEN event_id % 19 = 0 THEN 'too_long_row' END,
+    CASE WHEN event_id % 11 <> 0 AND NOT EXISTS (SELECT 1 FROM {_TRACKED} t WHERE t.event_id = user_id)
+      THEN 'unknown_event' END], lambda x: x IS NOT NULL) AS reasons
+  FROM events)
+SELECT listing_id, reasons[1] AS reject_reason, array_to_string(reasons, ',') AS reject_reasons
+FROM r WHERE len(reasons) > 0""")
+def ingest_rejects(spark, sf):
+    """All constraints that each rejected record breaks."""
+    rows = constraints.check(_faulty_prices(spark, sf), "price_history", _tracked(spark, sf))
+    return rows.where(F.col(validate.REASON).isNotNull()).select(
+        "listing_id", validate.REASON, F.array_join(validate.REASONS, ",").alias(validate.REASONS))
+
+
+@register("event_rejects", """
+WITH e AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS event_id, CAST(o_orderkey AS VARCHAR) AS event_name, o_orderdate AS event_date,
+    CASE WHEN o_orderkey % 9 = 0 THEN 'null_venue' WHEN o_orderkey % 10 = 0 THEN 'too_long_venue' END AS reason
+  FROM orders
+), firsts AS (SELECT *, row_number() OVER (PARTITION BY event_id, reason ORDER BY event_date, event_name) AS n FROM e)
+SELECT event_id, event_name, event_date, coalesce(reason, CASE WHEN n > 1 THEN 'duplicate_event_id' END, '')
+  AS reject_reasons FROM firsts""")
+def event_rejects(spark, sf):
+    """Events of which one a key can be stored: the first that breaks no rule."""
+    n = F.col("o_orderkey")
+    rows = constraints.check(table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("event_id"), n.cast("string").alias("event_name"),
+        F.when(n % 9 == 0, F.lit(None)).when(n % 10 == 0, F.repeat(F.lit("v"), 256)).otherwise(F.lit("v")).alias("venue"),
+        F.col("o_orderdate").alias("event_date")), "events", order=["event_date"])
+    return rows.select("event_id", "event_name", F.col("event_date").cast("timestamp_ntz").alias("event_date"),
+                       F.array_join(validate.REASONS, ",").alias(validate.REASONS))
+
+
 @register("fk_valid", f"""
 SELECT * FROM {_PH} p WHERE EXISTS (SELECT 1 FROM {_TRACKED} t WHERE t.event_id = p.event_id)""")
 def fk_valid(spark, sf):
@@ -739,6 +793,63 @@ def threshold_best_offers(spark, sf):
     return _money_as_double(t, ["price"])
 
 
+def _seated_history(spark, sf):
+    """``events`` as price history with sections and rows, lettered ones too."""
+    n = F.col("listing_id")
+    return _history(spark, sf).withColumns({
+        "section": F.when(n % 3 < 2, F.element_at(F.array(F.lit("A"), F.lit("B")), (n % 3 + 1).cast("int"))),
+        "row": F.when(n % 5 == 0, F.lit("AA")).otherwise((n % 20).cast("string")),
+        "seat": F.lit(None).cast("string"), "listing_url": F.lit(None).cast("string")})
+
+
+_SEATED = """(SELECT user_id AS event_id, event_type AS source, value AS price, ts AS timestamp,
+  event_id AS listing_id, CASE event_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' END AS section,
+  CASE WHEN event_id % 5 = 0 THEN 'AA' ELSE CAST(event_id % 20 AS VARCHAR) END AS "row" FROM events)"""
+
+
+def _many_rules(spark, sf):
+    """Three rules a customer: any seat; section A up to row 10; section B."""
+    c = table(spark, sf, "customer").withColumn("j", F.explode(F.array(*map(F.lit, range(3)))))
+    return c.select(
+        (F.col("c_custkey") * 3 + F.col("j")).alias("id"), F.col("c_custkey").alias("event_id"),
+        (F.floor(F.abs("c_acctbal") / 20) * (F.col("j") + 1) / 2).cast("decimal(10,2)").alias("target_price"),
+        F.when(F.col("j") == 1, F.lit("A")).when(F.col("j") == 2, F.lit("B")).alias("section"),
+        F.when(F.col("j") == 1, F.lit(10)).alias("max_row"),
+        ((F.col("c_acctbal") >= 0) | (F.col("j") == 0)).alias("active"))
+
+
+_CROSSINGS = f"""
+WITH h AS (
+  SELECT *, last_value(CASE WHEN {_valid("price")} THEN price END IGNORE NULLS) OVER (
+    PARTITION BY event_id, source ORDER BY timestamp, listing_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM {{prices}} p
+), rules AS (
+  SELECT c_custkey * 3 + j AS id, c_custkey AS event_id,
+    CAST(floor(abs(c_acctbal) / 20) * (j + 1) / 2 AS DECIMAL(10,2)) AS target,
+    CASE j WHEN 1 THEN 'A' WHEN 2 THEN 'B' END AS section, CASE j WHEN 1 THEN 10 END AS max_row
+  FROM customer, (VALUES (0), (1), (2)) AS v(j) WHERE c_acctbal >= 0 OR j = 0
+)
+SELECT r.id AS alert_id, h.event_id, CAST(CAST(h.price AS DECIMAL(10,2)) AS DOUBLE) AS price, h.source, h.section,
+  h."row", h.listing_id, h.timestamp AS triggered_at
+FROM h JOIN rules r ON r.event_id = h.event_id
+WHERE {_valid("h.price")} AND h.price <= r.target AND (before IS NULL OR before > r.target)
+  AND (r.section IS NULL OR r.section = h.section)
+  AND (r.max_row IS NULL OR TRY_CAST(h."row" AS INTEGER) <= r.max_row)"""
+
+
+def _crossings(prices, spark, sf, **how):
+    t = thresholds.threshold_crossings(prices, _many_rules(spark, sf), ("event_id", "source"), **how)
+    t = t.select("alert_id", "event_id", "price", "source", "section", "row", "listing_id", "triggered_at")
+    return _money_as_double(t, ["price"])
+
+
+@register("threshold_crossings", _CROSSINGS.format(prices=_SEATED))
+def threshold_crossings(spark, sf):
+    """Prices that come down to a rule's target; several rules an event."""
+    return _crossings(_seated_history(spark, sf), spark, sf)
+
+
 @register("ewma_by_source", """
 WITH r AS (SELECT event_type, value,
                   row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i,

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricewatch.operators import normalize
-from pricewatch.schemas import RAW_RESPONSE, TRACKED_EVENT
+from pricewatch.schemas import RAW_RESPONSE, THRESHOLD_RULES, TRACKED_EVENT
 from pricewatch.sources.dated import Feed
 
 
@@ -25,6 +26,13 @@ def read_tracked_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TRACKED_EVENT).json(path)
 
 
+def read_rules_text(spark: SparkSession, path: str) -> DataFrame:
+    """Threshold rules (JSON lines), all fields as text; the constraint check
+    casts them and says what doesn't fit."""
+    return spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in THRESHOLD_RULES])) \
+        .json(path)
+
+
 def read_responses(spark: SparkSession, path: str, stream: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Landed API responses ``{event_id, listings: [...]}``, one per line,

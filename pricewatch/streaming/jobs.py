@@ -374,6 +374,59 @@ def start_alert_store(alerts: DataFrame | Feed, stored_path: str, rejects_path:
     return _start(stream, store, checkpoint, trigger)
 
 
+def start_thresholds(events: DataFrame | Feed, rules_path: str, triggers_path: str, rejects_path: str,
+                     state_path: str, checkpoint: str, trigger: dict | None = None, base_path: str | None = None,
+                     keys=changes.LISTING_KEYS, order=changes.EVENT_ORDER) -> StreamingQuery:
+    """User thresholds on the stream: a row in ``triggers_path`` (the
+    alert_triggers table, with event and listing) where a listing's price comes
+    down to a rule's target (``thresholds.threshold_crossings``). The rules
+    (JSON lines) are read anew and checked in each micro-batch, so changes take
+    effect; rules that break a constraint of their table go to
+    ``rejects_path``. The price before is kept as deltas by batch, as the
+    detector's baselines are; ``compact_baselines(baseline="previous")`` folds
+    them. ``read_rules`` gives the rules with ``last_triggered``."""
+    from pricewatch.operators import constraints, thresholds, validate
+    from pricewatch.sources.feeds import read_rules_text
+    keys, order = list(keys), list(order)
+    stream, rows = _input(events)
+
+    def process(entries: DataFrame, batch_id: int) -> None:
+        spark = entries.sparkSession
+        if dated.finished(spark, triggers_path, batch_id) \
+                and files.exists(spark, f"{state_path.rstrip('/')}/batch_id={batch_id}/_SUCCESS"):
+            return                          # a replay of a finished batch
+        taken = rows(entries)
+        batch = (normalize.good_events(taken) if WIRE_REASON in taken.columns else taken).persist()
+        try:
+            began = dated.begin(spark, triggers_path, batch_id)
+            checked = constraints.check(read_rules_text(spark, rules_path), "alerts", order=["created_at"]).persist()
+            reason = F.col(validate.REASON)
+            prior = read_baselines(spark, state_path, keys, "previous", before=batch_id, base_path=base_path)
+            seed = None if prior is None else _null_safe_semi(prior, batch, keys)
+            fired = thresholds.threshold_crossings(batch, checked.where(reason.isNull()), keys, order, seed).persist()
+            dated.write(fired, triggers_path, batch_id, "triggered_at", began)
+            dated.write(checked.where(reason.isNotNull()), rejects_path, batch_id, began=began)
+            write_batch(thresholds.last_prices(batch, keys, order), state_path, batch_id)
+            fired.unpersist()
+            checked.unpersist()
+        finally:
+            batch.unpersist()
+
+    return _start(stream, process, checkpoint, trigger)
+
+
+def read_rules(spark: SparkSession, rules_path: str, triggers_path: str) -> DataFrame:
+    """The threshold rules that meet their table's constraints, with
+    ``last_triggered`` moved to the newest stored trigger."""
+    from pricewatch.operators import constraints, thresholds, validate
+    from pricewatch.sources.feeds import read_rules_text
+    rules = constraints.check(read_rules_text(spark, rules_path), "alerts", order=["created_at"]) \
+        .where(F.col(validate.REASON).isNull()).drop(validate.REASON, validate.REASONS)
+    if not dated.is_feed(spark, triggers_path):
+        return rules
+    return thresholds.move_last_triggered(rules, spark.read.parquet(triggers_path))
+
+
 _DIM_ATTRS = ("event_name", "venue", "event_date")
 
 
