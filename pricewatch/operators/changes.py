@@ -30,9 +30,9 @@ EVENT_ORDER = ("timestamp", "listing_id")
 
 def classify_changes(df: DataFrame, keys: Sequence[str] = LISTING_KEYS, price: str = "price",
                      order: Sequence[str] = EVENT_ORDER, baseline: str = "max",
-                     raw_price: str | None = None, chunk: str = "minute",
+                     raw_price: str | None = None, chunk: str | None = None,
                      hot_rows: int = 1_000_000, seed: DataFrame | None = None,
-                     probe_fraction: float = 0.01) -> DataFrame:
+                     probe_fraction: float | None = None) -> DataFrame:
     """Add ``old_price``, ``change_type``, ``price_change``, ``change_percent``.
     Listings with more than ``hot_rows`` rows are scanned in time chunks
     (see ``operators/scan.py``). ``seed`` (keys + ``_pw_seed``) is each

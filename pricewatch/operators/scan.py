@@ -5,161 +5,140 @@ its key (the running maximum of valid prices, or the previous valid price).
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so a
 listing that holds a third of the data would run on one core.
 
-The key distribution is therefore checked first, and only hot keys are
-scanned in two levels:
-
-0. A probe counts rows per key hash on a small seeded sample (an aggregation
-   that combines map-side) and returns the hashes of the largest keys likely
-   to hold more than ``hot_rows`` rows, at most ``max_hot_keys`` of them, so
-   the list has a proven bound. It is fetched and used as an ``IN`` set of
-   longs (a hash-set lookup per row, no join). The probe only decides *how* a
-   key is scanned; both ways are exact, so a key it misses or adds (or a hash
-   collision) costs time, never correctness. With no hot key (the usual case)
-   the scan is one window, one shuffle.
-1. Rows of hot keys are cut into chunks of (key, ``date_trunc(chunk, ts)``);
-   a summary with one row per chunk (its max, or its last value) is built by
-   an aggregation.
-2. A window over the summary (one row per chunk, so small even for a hot key)
-   gives each chunk the carry-in from the earlier chunks of its key.
+0. A sample (about ``SAMPLES`` rows of each ``hot_rows``) is counted by key and
+   by time cells of each unit, with map-side combining. Keys likely to hold
+   more than ``hot_rows`` rows are hot, and each gets the coarsest unit whose
+   cells don't: days for a steadily busy listing, seconds or single points of
+   time for one whose rows come in a burst. That table (a row a hot key, as
+   many as there are) is checkpointed, so that all readers see the same one,
+   and joined. It only decides *how* a key is scanned; both ways are exact, so
+   a key that it misses or adds costs time, never correctness. Without hot keys
+   (the usual case) the scan is one window, one shuffle.
+1. Rows of hot keys are cut into chunks, the cells of their unit; a summary
+   with one row per chunk (its max, or its last value) is built by an
+   aggregation.
+2. Each chunk's carry-in from the earlier chunks of its key comes from the
+   summary, in two steps of the same kind: over minutes by key, then over
+   chunks by minute, so that a key of very many chunks isn't one task either.
 3. The carry-in rows are unioned into the data as a marker row that sorts
    first in its chunk, and one window partitioned by (key, chunk) finishes the
    scan. Other keys form a single chunk each and need no marker.
 
 The data is shuffled once, on (key, chunk); a hot key is spread over as many
-tasks as it has chunks; no join of the data to the summary is needed. The
-result is exact: it equals the single window over the whole key.
-
-Choosing ``chunk``: one chunk of one hot key is scanned by one task. With
-``minute`` a key updated 100,000 times a second still makes 6M-row chunks,
-and a month of it is 43,200 summary rows.
+tasks as it has chunks. The result is exact: it equals the single window over
+the whole key. Rows of a key at one point of time are never parted.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CHUNK, _V, _MARK, _CARRY, _HOT, _N = ("_pw_chunk", "_pw_v", "_pw_marker", "_pw_carry",
-                                       "_pw_hot", "_pw_n")
-
-
-def _cols(names: Sequence[str | Column]) -> list[Column]:
-    return [F.col(n) if isinstance(n, str) else n for n in names]
-
+from pricewatch.session import checkpoint_dir
 
-# Probe results per input plan, the most recent 256 (a stream makes a new plan
-# every micro-batch). The probe only chooses how keys are scanned, so an
-# answer that is out of date after the data changes costs time, never
-# correctness; queries over the same input reuse it.
-_PROBES: OrderedDict[tuple, list[int]] = OrderedDict()
-_PROBES_KEPT = 256
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = 1_000_000,
-             max_hot_keys: int = 10_000, fraction: float = 0.01,
-             seed: int = 17) -> list[int]:
-    """``xxhash64`` of the keys likely to hold more than ``hot_rows`` rows,
-    judged on a ``fraction`` sample with half the scaled threshold as margin;
-    the largest ``max_hot_keys`` at most. ``fraction=1`` counts exactly."""
-    memo = (df.select(*keys).semanticHash(), tuple(keys), hot_rows, max_hot_keys, fraction, seed)
-    if memo in _PROBES:
-        _PROBES.move_to_end(memo)
-        return _PROBES[memo]
-    found = _probe(df, keys, hot_rows, max_hot_keys, fraction, seed)
-    _PROBES[memo] = found
-    while len(_PROBES) > _PROBES_KEPT:
-        _PROBES.popitem(last=False)
-    return found
+UNITS = ("month", "day", "hour", "minute", "second", "microsecond")
+SAMPLES = 64            # sampled rows that ``hot_rows`` rows are judged by
+SEED = "_pw_seed"
+_CHUNK, _V, _MARK, _UNIT, _MINUTE = "_pw_chunk", "_pw_v", "_pw_marker", "_pw_unit", "_pw_minute"
 
 
-def _probe(df, keys, hot_rows, max_hot_keys, fraction, seed) -> list[int]:
-    h = df.select(F.xxhash64(*keys).alias(_N))
-    sample = h if fraction >= 1 else h.sample(fraction=fraction, seed=seed)
-    threshold = hot_rows * min(fraction, 1.0) / (1 if fraction >= 1 else 2)
-    counts = sample.groupBy(_N).agg(F.count(F.lit(1)).alias("_pw_count"))
-    rows = (counts.where(F.col("_pw_count") > threshold).orderBy(F.col("_pw_count").desc())
-            .limit(max_hot_keys).select(_N).collect())
-    return [r[0] for r in rows]
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on ``keys``, null equal to null; the left side's keys stay."""
+    named = right.select(*[F.col(k).alias(f"_pw_r{i}") for i, k in enumerate(keys)],
+                         *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(named[f"_pw_r{i}"]) for i, k in enumerate(keys)])
+    return left.join(named, cond, how).drop(*[f"_pw_r{i}" for i in range(len(keys))])
 
 
-SEED = "_pw_seed"
+def _cell(unit, ts: Column) -> Column:
+    """A row's time cell; rows without a time share the earliest one."""
+    first = F.lit("0001-01-01 00:00:00").cast("timestamp")
+    if isinstance(unit, str):
+        return F.coalesce(F.date_trunc(unit, ts.cast("timestamp")), first)
+    by = F.when(F.lit(False), first)
+    for u in UNITS:
+        by = by.when(unit == u, F.date_trunc(u, ts.cast("timestamp")))
+    return F.coalesce(by, first)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, hot_rows: int = 1_000_000,
+             fraction: float | None = None, unit: str | None = None, seed: int = 17) -> DataFrame:
+    """``keys`` and ``_pw_unit`` of the keys likely to hold more than
+    ``hot_rows`` rows, judged on a ``fraction`` sample with half the scaled
+    count as margin; ``fraction=1`` counts exactly. ``unit`` is taken for all
+    when given."""
+    fraction = min(1.0, SAMPLES / max(1, hot_rows)) if fraction is None else fraction
+    most = hot_rows * fraction / (1 if fraction >= 1 else 2)
+    rows = df.select(*keys, F.col(ts).alias("_pw_ts"))
+    if fraction < 1:
+        rows = rows.sample(fraction=fraction, seed=seed)
+    cells = rows.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("u"), _cell(u, F.col("_pw_ts")).alias("c")) for i, u in enumerate(UNITS)]))
+        .alias("_pw_u")).groupBy(*keys, "_pw_u").agg(F.count(F.lit(1)).alias("n"))
+    levels = cells.groupBy(*keys, F.col("_pw_u.u").alias("u")).agg(F.sum("n").alias("all"), F.max("n").alias("most"))
+    fits = F.min(F.when((F.col("most") <= most) | (F.col("u") == len(UNITS) - 1), F.col("u")))
+    hot = levels.groupBy(*keys).agg(F.max("all").alias("all"), fits.alias("u")).where(F.col("all") > most)
+    name = F.lit(unit) if unit else F.element_at(F.array(*map(F.lit, UNITS)), F.col("u") + 1)
+    return hot.select(*keys, name.alias(_UNIT))
+
+
+def _prior(rows: DataFrame, carry: DataFrame, group: Sequence[str], order: Sequence[str], agg: Column,
+           out: str) -> DataFrame:
+    """``out``: ``agg`` over the earlier rows of a group, of which the rows of
+    ``carry`` come first and then go."""
+    both = rows.withColumn(_MARK, F.lit(False)).unionByName(carry.withColumn(_MARK, F.lit(True)),
+                                                            allowMissingColumns=True)
+    w = (Window.partitionBy(*group).orderBy(F.col(_MARK).desc(), *[F.col(c).asc() for c in order])
+         .rowsBetween(Window.unboundedPreceding, -1))
+    return both.withColumn(out, agg.over(w)).where(~F.col(_MARK)).drop(_MARK)
 
 
 def prior_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-               out: str, ts: str, how: str = "max", chunk: str = "minute",
-               hot_rows: int = 1_000_000, max_hot_keys: int = 10_000,
-               seed: DataFrame | None = None, probe_fraction: float = 0.01) -> DataFrame:
+               out: str, ts: str, how: str = "max", chunk: str | None = None,
+               hot_rows: int = 1_000_000, seed: DataFrame | None = None,
+               probe_fraction: float | None = None) -> DataFrame:
     """Add ``out``: over the earlier rows of the same ``keys`` (by ``order``,
     ascending), the ``max`` of ``value`` or the ``last`` non-null ``value``.
     Nulls in ``value`` are skipped. ``ts`` must be the first ``order`` column.
-    ``hot_rows=0`` chunks every key the probe's sample sees
-    (``probe_fraction=1``: every key).
+    ``hot_rows=0`` cuts every key that the sample sees; ``chunk`` is the unit
+    for all hot keys instead of one of their own.
 
     ``seed`` (``keys`` + ``_pw_seed``) gives keys a value from before ``df``
     (a stream's earlier micro-batches); it counts as the earliest row."""
     if how not in ("max", "last"):
         raise ValueError(f"how must be 'max' or 'last', not {how!r}")
     keys, order = list(keys), list(order)
-    seeds = None if seed is None else seed.select(*keys, F.col(SEED).alias(_V))
-    hot = hot_keys(df, keys, hot_rows, max_hot_keys, fraction=probe_fraction)
     agg = F.max(_V) if how == "max" else F.last(_V, ignorenulls=True)
-    if not hot:
-        data = df.withColumn(_V, value)
+    seeds = None if seed is None else seed.select(*keys, F.col(SEED).alias(_V)).where(F.col(_V).isNotNull())
+    data = df.withColumn(_V, value)
+    hot = hot_keys(df, keys, ts, hot_rows, probe_fraction, chunk)
+    if hot.isEmpty():
         if seeds is not None:
-            data = data.withColumn(_MARK, F.lit(False)).unionByName(
-                seeds.withColumn(_MARK, F.lit(True)), allowMissingColumns=True)
-        first = [F.col(_MARK).desc()] if seeds is not None else []
-        w = (Window.partitionBy(*keys).orderBy(*first, *[F.col(c).asc() for c in order])
+            return _prior(data, seeds, keys, order, agg, out).drop(_V)
+        w = (Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
              .rowsBetween(Window.unboundedPreceding, -1))
-        scanned = data.withColumn(out, agg.over(w))
-        if seeds is not None:
-            scanned = scanned.where(~F.col(_MARK)).drop(_MARK)
-        return scanned.drop(_V)
-    marked = df.withColumn(_HOT, F.xxhash64(*keys).isin(hot))
-    # Hot rows get a chunk (rows without a time sort first, so they share the
-    # earliest chunk); other rows keep a null chunk: one group per key.
-    first = F.lit("0001-01-01 00:00:00").cast("timestamp")
-    cut = F.coalesce(F.date_trunc(chunk, F.col(ts)), first)
-    tagged = (marked.withColumn(_CHUNK, F.when(F.col(_HOT), cut)).drop(_HOT)
-              .withColumn(_V, value))
-
-    # Level 1: one summary row per chunk of a hot key.
-    present = tagged.where(F.col(_CHUNK).isNotNull() & F.col(_V).isNotNull())
-    if how == "max":
-        summary = present.groupBy(*keys, _CHUNK).agg(F.max(_V).alias(_CARRY))
-        per_chunk = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(
-            Window.unboundedPreceding, -1)
-        carry = F.max(_CARRY).over(per_chunk)
-    else:
-        summary = present.groupBy(*keys, _CHUNK).agg(
-            F.max_by(_V, F.struct(*_cols(order))).alias(_CARRY))
-        carry = F.lag(_CARRY).over(Window.partitionBy(*keys).orderBy(_CHUNK))
-
-    cold_seeds = None
+        return data.withColumn(out, agg.over(w)).drop(_V)
+
+    checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint()
+    tagged = _null_safe(data, hot, keys, "left") \
+        .withColumn(_CHUNK, F.when(F.col(_UNIT).isNotNull(), _cell(F.col(_UNIT), F.col(ts)))).drop(_UNIT)
+
+    def fold(by: Column) -> Column:
+        return (F.max(_V) if how == "max" else F.max_by(_V, F.when(F.col(_V).isNotNull(), by))).alias(_V)
+    chunks = tagged.where(F.col(_CHUNK).isNotNull()).groupBy(*keys, _CHUNK) \
+        .agg(fold(F.struct(*[F.col(c) for c in order]))).withColumn(_MINUTE, F.date_trunc("minute", _CHUNK))
+    minutes = chunks.groupBy(*keys, _MINUTE).agg(fold(F.col(_CHUNK)))
+    warm = chunks.limit(0).select(*keys, _V) if seeds is None else \
+        _null_safe(seeds, hot.select(*keys), keys, "left_semi")
+    into_minutes = _prior(minutes, warm, keys, [_MINUTE], agg, "_pw_carry") \
+        .select(*keys, _MINUTE, F.col("_pw_carry").alias(_V)).where(F.col(_V).isNotNull())
+    into_chunks = _prior(chunks, into_minutes, [*keys, _MINUTE], [_CHUNK], agg, "_pw_carry") \
+        .select(*keys, _CHUNK, F.col("_pw_carry").alias(_V)).where(F.col(_V).isNotNull())
     if seeds is not None:
-        # A seed is a summary row before every chunk (a null chunk sorts
-        # first) for hot keys, and a leading marker for the other keys.
-        is_hot = F.xxhash64(*keys).isin(hot)
-        summary = summary.unionByName(
-            seeds.where(is_hot).select(*keys, F.lit(None).cast("timestamp").alias(_CHUNK),
-                                       F.col(_V).alias(_CARRY)))
-        cold_seeds = seeds.where(~is_hot).select(
-            *keys, F.lit(None).cast("timestamp").alias(_CHUNK), _V)
-
-    # Level 2: carry-in of each chunk from the chunks before it.
-    markers = summary.select(*keys, _CHUNK, carry.alias(_V))
-    if cold_seeds is not None:
-        markers = markers.unionByName(cold_seeds)
-    markers = markers.where(F.col(_V).isNotNull()).withColumn(_MARK, F.lit(True))
-    data = tagged.withColumn(_MARK, F.lit(False))
-    both = data.unionByName(markers, allowMissingColumns=True)
-
-    w = (Window.partitionBy(*keys, _CHUNK)
-         .orderBy(F.col(_MARK).desc(), *[F.col(c).asc() for c in order])
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return (both.withColumn(out, agg.over(w))
-            .where(~F.col(_MARK))
-            .drop(_CHUNK, _V, _MARK))
+        cold = _null_safe(seeds, hot.select(*keys), keys, "left_anti")
+        into_chunks = into_chunks.unionByName(cold, allowMissingColumns=True)
+    return _prior(tagged, into_chunks, [*keys, _CHUNK], order, agg, out).drop(_CHUNK, _V)

@@ -87,7 +87,7 @@ def _band(x: Column) -> Column:
 
 def threshold_crossings(prices: DataFrame, rules: DataFrame, keys: Sequence[str] = LISTING_KEYS,
                         order: Sequence[str] = EVENT_ORDER, seed: DataFrame | None = None,
-                        hot_rows: int = 1_000_000, probe_fraction: float = 0.01) -> DataFrame:
+                        hot_rows: int = 1_000_000, probe_fraction: float | None = None) -> DataFrame:
     """A trigger row where a listing's price comes down to a rule's target:
     it is at or below the target now, and the listing's price before was above
     it, or there was none. A listing that stays below fires once. Section, row,

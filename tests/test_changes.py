@@ -173,3 +173,22 @@ def test_seeded_second_half_equals_whole(spark, hot_rows, baseline):
     want = {r.event_id: (r.change_type, r.old_price) for r in whole.where(cut).collect()}
     got = {r.event_id: (r.change_type, r.old_price) for r in late.collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("baseline", ["max", "previous"])
+@pytest.mark.parametrize("spread", [0, 1, 50_000])
+def test_one_minute_holds_a_listing(spark, spread, baseline):
+    """All rows of a listing within a minute: cut by seconds or by points of
+    time (``spread`` in microseconds), with a seed from before."""
+    from pricewatch.operators import scan
+    rows = [("x", T0 + timedelta(microseconds=i * spread), i, float((i * 7919) % 997)) for i in range(1000)]
+    rows += [("y", T0 + timedelta(days=i), 5000 + i, float(i % 7)) for i in range(40)] + [(None, None, 6000, 3.0)]
+    df = spark.createDataFrame(rows, "listing string, ts timestamp, rid long, price double")
+    seed = spark.createDataFrame([("x", 500.0), (None, 4.0)], f"listing string, {scan.SEED} double")
+    got, plain = (
+        {r.rid: (r.change_type, r.old_price) for r in changes.classify_changes(
+            df, ["listing"], "price", ["ts", "rid"], baseline=baseline, seed=seed, hot_rows=n).collect()}
+        for n in (20, 10 ** 9))
+    assert got == plain and got[0] == ("invalid", None) and got[1][1] == 500.0
+    units = {r.listing: r[scan._UNIT] for r in scan.hot_keys(df, ["listing"], "ts", 20).collect()}
+    assert units == {"x": "second" if spread == 50_000 else "microsecond", "y": "day"}
