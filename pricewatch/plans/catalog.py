@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.functions.columns import listing_key, since
+from pricewatch.functions.columns import listing_key, since, valid_price
 from pricewatch.operators import (changes, constraints, dashboard, history, metrics, normalize, notify,
                                   thresholds, validate)
 from pricewatch.plans.driver import (ALERT_EVENT, AS_OF, AS_OF_SQL, KEYS, ONE_EVENT,
@@ -242,6 +242,46 @@ def source_drop_alerts(spark, sf):
                                                 "new_price", "drop_amount", "drop_percent")
 
 
+@register("source_drop_alerts_split", ORACLE["source_drop_alerts"])
+def source_drop_alerts_split(spark, sf):
+    """The same with every source cut into chunks, whatever its size."""
+    c = changes.classify_changes(_events(spark, sf), ["event_type"], PRICE, ORDER, hot_rows=20)
+    return changes.drop_alerts(c, PRICE).select("event_id", "event_type", "ts", "old_price",
+                                                "new_price", "drop_amount", "drop_percent")
+
+
+@register("source_changes_split", f"""
+SELECT event_id, event_type, last_value(CASE WHEN {_valid("value")} THEN value END IGNORE NULLS) OVER (
+  PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS old_price
+FROM {_SHIFTED} s""")
+def source_changes_split(spark, sf):
+    """The previous valid price of the row's source, all sources cut."""
+    from pricewatch.operators.scan import prior_scan
+    e = _events(spark, sf).withColumn(PRICE, F.col(PRICE) - 10)
+    return prior_scan(e, ["event_type"], ORDER, F.when(valid_price(PRICE), F.col(PRICE)), "old_price", "ts",
+                      how="last", hot_rows=20).select("event_id", "event_type", "old_price")
+
+
+@register("change_metrics_errors", f"""
+WITH e AS (SELECT event_id, user_id, event_type, ts, event_id % 13 = 0 AS junk,
+                  CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN NULL ELSE value END AS value FROM events),
+b AS (SELECT e.junk, x.* FROM ({_base("(SELECT event_id, user_id, event_type, ts, value FROM e)")}) x
+      JOIN e USING (event_id)),
+k AS (SELECT CASE WHEN junk THEN 'error' ELSE {_KIND} END AS kind FROM b)
+SELECT count(*) AS events_processed, count(*) FILTER (kind IN ('drop', 'increase')) AS price_changes,
+  count(*) FILTER (kind = 'drop') AS price_drops, count(*) FILTER (kind = 'increase') AS price_increases,
+  count(*) FILTER (kind = 'same') AS unchanged, count(*) FILTER (kind = 'new') AS new_listings,
+  count(*) FILTER (kind = 'invalid') AS invalid_prices, count(*) FILTER (kind = 'error') AS errors
+FROM k""")
+def change_metrics_errors(spark, sf):
+    """Counters over price texts of which some are missing or no number."""
+    n = F.col("event_id")
+    e = _events(spark, sf).withColumn("raw", F.when(n % 13 == 0, F.lit("n/a")).when(n % 17 != 0, F.col(PRICE)
+                                                                                   .cast("string")))
+    e = e.withColumn(PRICE, F.col("raw").try_cast("double"))
+    return changes.change_metrics(changes.classify_changes(e, KEYS, PRICE, ORDER, raw_price="raw"))
+
+
 @register("incremental_drop_alerts", f"""
 WITH b AS ({_base()})
 SELECT event_id, user_id, event_type, ts, base AS old_price, value AS new_price,
@@ -480,6 +520,43 @@ def ingest_metrics(spark, sf):
     return metrics.ingest_metrics(history.tag_history(events), created)
 
 
+@register("ingest_metrics_errors", """
+WITH e AS (SELECT *, event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0
+                     OR (event_id % 7 = 0 AND value * 1e8 >= 99999999.995) AS bad FROM events)
+SELECT 'messages_received' AS metric_name, count(*) AS metric_value FROM e
+UNION ALL SELECT 'prices_stored', count(*) FROM e WHERE NOT bad
+UNION ALL SELECT 'errors', count(*) FROM e WHERE bad
+UNION ALL SELECT 'events_created', count(DISTINCT user_id) FROM e WHERE NOT bad
+  AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""")
+def ingest_metrics_errors(spark, sf):
+    """Storage counters where some records break constraints: these are
+    errors, and create no events."""
+    none = F.lit(None).cast("string")
+    records = _faulty_prices(spark, sf).withColumns(
+        {c: none for c in ("seat", "listing_url", "event_name", "venue", "event_date")}).withColumns(
+        {"fees": F.lit(None).cast("double"), "quantity": F.lit(None).cast("int")})
+    tagged = history.tag_events(records, F.lit(AS_OF).cast("timestamp"))
+    known = _tracked(spark, sf).select(F.col("event_id").cast("string").alias("event_id"))
+    return metrics.ingest_metrics(tagged, history.new_events(tagged.where(F.col(validate.REASON).isNull()), known))
+
+
+@register("wire_rejects", """
+SELECT CASE WHEN event_id % 9 = 0 THEN 'malformed_json' WHEN event_id % 10 = 0 THEN 'null_event_id'
+            ELSE 'none' END AS reason,
+  event_id % 9 <> 0 AND event_id % 11 = 0 AS bad_number, count(*) AS n
+FROM events GROUP BY ALL""")
+def wire_rejects(spark, sf):
+    """JSON records of which some can't be read, lack their event or have a
+    price that is no number."""
+    n, text = F.col("event_id"), F.col("event_id").cast("string")
+    line = F.when(n % 9 == 0, F.concat(F.lit('{"event_id": "'), text)).otherwise(F.to_json(F.struct(
+        F.when(n % 10 != 0, text).alias("event_id"),
+        F.when(n % 11 == 0, F.lit("soon")).otherwise(F.col(PRICE).cast("string")).alias("price"))))
+    tagged = normalize.tagged_wire(_events(spark, sf).select(line.alias("value")))
+    return tagged.groupBy(F.coalesce(normalize.WIRE_REASON, F.lit("none")).alias("reason"),
+                          F.coalesce("_bad_number", F.lit(False)).alias("bad_number")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("retention_filter", f"""
 SELECT * FROM {_PH} p WHERE timestamp >= {AS_OF_SQL} - INTERVAL 7 DAYS""")
 def retention_filter(spark, sf):
@@ -507,6 +584,16 @@ def price_history_recent(spark, sf):
                                    as_of=AS_OF)
 
 
+@register("price_history_newest", f"""
+SELECT p.event_id, p.price, p.source, p.timestamp, p.listing_id, d.event_name, d.venue
+FROM {_PH} p JOIN {_DIM} d ON p.event_id = d.event_id
+WHERE p.timestamp >= {AS_OF_SQL} - INTERVAL 720 HOURS
+ORDER BY p.timestamp DESC, p.listing_id DESC LIMIT 50""")
+def price_history_newest(spark, sf):
+    """The newest 50 of a month: the limit binds."""
+    return dashboard.recent_prices(_history(spark, sf), _dimension(spark, sf), hours=720, as_of=AS_OF, limit=50)
+
+
 @register("price_history_recent_event", f"""
 SELECT p.event_id, p.price, p.source, p.timestamp, p.listing_id, d.event_name, d.venue
 FROM {_PH} p JOIN {_DIM} d ON p.event_id = d.event_id
@@ -702,6 +789,25 @@ def cheapest_per_event(spark, sf):
     return dashboard.cheapest_per_event(_history(spark, sf), 100)
 
 
+@register("cheapest_3_per_event", f"""
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY price, listing_id) AS INTEGER) AS price_rank
+  FROM {_PH} p WHERE price IS NOT NULL) WHERE price_rank <= 3""")
+def cheapest_3_per_event(spark, sf):
+    return dashboard.cheapest_per_event(_history(spark, sf), 3)
+
+
+@register("union_sources_missing", f"""
+SELECT event_id, source, price, timestamp,
+  CASE WHEN source IN ('click', 'view') THEN CAST(listing_id AS VARCHAR) END AS listing_id
+FROM {_PH} p""")
+def union_sources_missing(spark, sf):
+    """A source without listing ids: the column is null for its rows."""
+    h = _history(spark, sf).withColumn("listing_id", F.col("listing_id").cast("string"))
+    web = F.col("source").isin("click", "view")
+    return normalize.union_sources([h.where(web), h.where(~web | F.col("source").isNull()).drop("listing_id")])
+
+
 @register("union_sources", f"SELECT * FROM {_PH} p")
 def union_sources(spark, sf):
     """Sources arrive as separate feeds and are unioned into one stream.
