@@ -21,8 +21,6 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.errors import AnalysisException
-
 from pricewatch.session import get_spark
 
 
@@ -121,13 +119,7 @@ def compact(args, spark):
         "baselines": lambda p, b: jobs.compact_baselines(spark, p, b, list(LISTING_KEYS), baseline=args.baseline),
         "last_prices": lambda p, b: jobs.compact_baselines(spark, p, b, list(LISTING_KEYS), baseline="previous"),
     }
-    done = {}
-    for name, fold in folds.items():
-        try:
-            done[name] = fold(_paths(args.out, name), _paths(args.out, f"{name}_base"))
-        except AnalysisException as exc:
-            jobs.only_missing(exc)          # nothing stored yet
-            done[name] = f"skipped: {exc.__class__.__name__}"
+    done = {name: fold(_paths(args.out, name), _paths(args.out, f"{name}_base")) for name, fold in folds.items()}
     print(done)
     return None
 

@@ -14,7 +14,6 @@ the log of the job before it: batch by batch, finished ones only.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +24,7 @@ from pricewatch.operators.normalize import WIRE_REASON
 from pricewatch.sources import dated, files
 from pricewatch.sources.dated import Feed
 from pricewatch.sources.feeds import read_responses, write_batch
+from pricewatch.streaming import deltas
 from pricewatch.streaming.detector import detect_changes_stream
 
 # Names of the observed metrics of the detector query.
@@ -115,36 +115,13 @@ def _fold_baselines(deltas: DataFrame, keys, baseline: str) -> DataFrame:
     return deltas.groupBy(*keys).agg(latest.alias("_f")).select(*keys, "_f.*")
 
 
-def only_missing(e: AnalysisException) -> None:
-    """Raises ``e`` again unless it says that a folder isn't there or is empty;
-    unreadable state is an error, never an empty state."""
-    if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-        raise e
-
-
-def _state_rows(spark: SparkSession, state_path: str, base_path: str | None,
-                before: int | None) -> DataFrame | None:
-    try:
-        deltas = spark.read.parquet(state_path)
-    except AnalysisException as e:
-        only_missing(e)            # no batch written yet
-        return None
-    if before is not None:
-        deltas = deltas.where(F.col("batch_id") < before)
-    base = _newest_base(spark, base_path, before) if base_path is not None else None
-    if base is None:
-        return deltas
-    through = base.agg(F.max("through_batch")).scalar()
-    return base.drop("through_batch").unionByName(deltas.where(F.col("batch_id") > through))
-
-
 def read_baselines(spark: SparkSession, state_path: str, keys, baseline: str = "max",
                    before: int | None = None, base_path: str | None = None) -> DataFrame | None:
     """Each listing's baseline from the compacted base (when given) and the
     state deltas of batches before ``before``: the highest (``max``) or the
     latest (``previous``) value. None when no state has been written."""
     from pricewatch.operators.scan import SEED
-    rows = _state_rows(spark, state_path, base_path, before)
+    rows = deltas.rows(spark, state_path, base_path, before)
     if rows is None:
         return None
     if baseline == "max":
@@ -155,21 +132,14 @@ def read_baselines(spark: SparkSession, state_path: str, keys, baseline: str = "
 
 def compact_baselines(spark: SparkSession, state_path: str, base_path: str, keys,
                       baseline: str = "max") -> int | None:
-    """Fold the newest base and later deltas into a new base version
-    ``through_batch=<last batch>`` (never rewritten; a failed compaction
-    leaves the previous one current). Returns the batch id covered. Run it
-    between micro-batches, or from a separate job with the query stopped."""
-    deltas = spark.read.parquet(state_path)
-    through = deltas.agg(F.max("batch_id")).first()[0]
-    if through is None:
-        return None
-    base = _newest_base(spark, base_path)
-    if base is not None and base.agg(F.max("through_batch")).first()[0] >= through:
-        return through
-    rows = _state_rows(spark, state_path, base_path, None)
-    (_fold_baselines(rows, keys, baseline).write.mode("overwrite")
-     .parquet(f"{base_path.rstrip('/')}/through_batch={through}"))
-    return through
+    """``deltas.compact`` of the detector's baselines (or, with
+    ``baseline="previous"``, of last prices). Run it between micro-batches, or
+    from a separate job with the query stopped."""
+    return deltas.compact(spark, state_path, base_path, lambda rows: _fold_baselines(rows, keys, baseline))
+
+
+def _compact_now(batch_id: int, every: int | None) -> bool:
+    return bool(every) and batch_id % every == every - 1
 
 
 def start_detector_tables(events: DataFrame | Feed, processed_path: str, alerts_path: str,
@@ -177,7 +147,8 @@ def start_detector_tables(events: DataFrame | Feed, processed_path: str, alerts_
                           price: str = "price", order=changes.EVENT_ORDER,
                           baseline: str = "max", trigger: dict | None = None,
                           base_path: str | None = None,
-                          rejects_path: str | None = None) -> StreamingQuery:
+                          rejects_path: str | None = None,
+                          compact_every: int | None = None) -> StreamingQuery:
     """The detector with its state kept as a table instead of in the state
     store. Each micro-batch runs the batch detector (JVM only, hot listings
     split as in batch), seeded with the baselines of the listings it
@@ -185,7 +156,8 @@ def start_detector_tables(events: DataFrame | Feed, processed_path: str, alerts_
     valid price in the batch, or its last one for ``baseline="previous"``)
     under its batch id. A batch reads only state of earlier batches, so a
     replayed batch reproduces its output and overwrites its own files.
-    ``compact_baselines`` folds old deltas into a base at ``base_path``.
+    ``compact_baselines`` folds old deltas into a base at ``base_path``; with
+    ``compact_every`` the job does so itself after each so many batches.
 
     Records of ``normalize.tagged_wire`` that can't be read go to
     ``rejects_path`` from the same parsed frame; the others are detected. A
@@ -225,6 +197,8 @@ def start_detector_tables(events: DataFrame | Feed, processed_path: str, alerts_
                 (F.max(price) if baseline == "max" else F.max_by(price, last)).alias("value"),
                 F.max(last).alias("last_order"))
             write_batch(delta, state_path, batch_id)
+            if base_path and _compact_now(batch_id, compact_every):
+                compact_baselines(spark, state_path, base_path, keys, baseline)
             classified.unpersist()
         finally:
             taken.unpersist()
@@ -268,7 +242,8 @@ def start_storage(events: DataFrame | Feed, history_path: str, rejects_path: str
                   checkpoint: str, trigger: dict | None = None,
                   metrics_path: str | None = None,
                   dimension_base_path: str | None = None,
-                  dedup_within: str | None = None) -> StreamingQuery:
+                  dedup_within: str | None = None,
+                  compact_every: int | None = None) -> StreamingQuery:
     """The storage side: typed history and rejects by day, and the event
     dimension. Events come from records that meet all constraints
     (``history.tag_events``), so what history rejects is no event either. The
@@ -305,16 +280,14 @@ def start_storage(events: DataFrame | Feed, history_path: str, rejects_path: str
             dated.write(typed, history_path, batch_id, "timestamp", began)
             dated.write(tagged.where(reason.isNotNull()), rejects_path, batch_id, began=began)
             if metrics_path is not None and not dated.finished(spark, metrics_path, batch_id):
-                try:
-                    known = read_dimension(spark, dimension_path, dimension_base_path,
-                                           before=batch_id).select("event_id")
-                except AnalysisException as e:
-                    only_missing(e)            # first batch: no dimension yet
-                    known = good.select("event_id").where(F.lit(False))
-                created = history.new_events(good, known)
+                known = read_dimension(spark, dimension_path, dimension_base_path, before=batch_id)
+                known = good.where(F.lit(False)) if known is None else known      # first batch
+                created = history.new_events(good, known.select("event_id"))
                 counters = metrics.as_system_metrics(metrics.ingest_metrics(tagged, created),
                                                      began.isoformat())
                 dated.write(counters, metrics_path, batch_id, "timestamp", began)
+            if dimension_base_path and _compact_now(batch_id, compact_every):
+                compact_dimension(spark, dimension_path, dimension_base_path)
         finally:
             tagged.unpersist()
 
@@ -351,13 +324,11 @@ def start_alert_store(alerts: DataFrame | Feed, stored_path: str, rejects_path:
                 # A replay asks the dimension that the first try saw, else an
                 # alert could be in neither output, or in both.
                 through = int(dated.pinned(spark, stored_path, batch_id, "dimension", lambda: str(
-                    newest_batch(spark, dimension_path, dimension_base_path))))
-                try:
-                    dim = read_dimension(spark, dimension_path, dimension_base_path,
-                                         before=through + 1).select("event_id")
-                except AnalysisException as e:
-                    only_missing(e)            # no dimension yet: every alert is unknown
-                    dim = batch.select("event_id").where(F.lit(False))
+                    deltas.newest_batch(spark, dimension_path, dimension_base_path))))
+                dim = read_dimension(spark, dimension_path, dimension_base_path, before=through + 1)
+                if dim is None:                # no dimension yet: every alert is unknown
+                    dim = batch.where(F.lit(False))
+                dim = dim.select("event_id")
             stored, rejects = history.store_alerts(batch, dim, dated.at(began))
             stored, rejects = stored.persist(), rejects.persist()
             dated.write(stored, stored_path, batch_id, "alert_timestamp", began)
@@ -376,7 +347,8 @@ def start_alert_store(alerts: DataFrame | Feed, stored_path: str, rejects_path:
 
 def start_thresholds(events: DataFrame | Feed, rules_path: str, triggers_path: str, rejects_path: str,
                      state_path: str, checkpoint: str, trigger: dict | None = None, base_path: str | None = None,
-                     keys=changes.LISTING_KEYS, order=changes.EVENT_ORDER) -> StreamingQuery:
+                     keys=changes.LISTING_KEYS, order=changes.EVENT_ORDER,
+                     compact_every: int | None = None) -> StreamingQuery:
     """User thresholds on the stream: a row in ``triggers_path`` (the
     alert_triggers table, with event and listing) where a listing's price comes
     down to a rule's target (``thresholds.threshold_crossings``). The rules
@@ -407,6 +379,8 @@ def start_thresholds(events: DataFrame | Feed, rules_path: str, triggers_path: s
             dated.write(fired, triggers_path, batch_id, "triggered_at", began)
             dated.write(checked.where(reason.isNotNull()), rejects_path, batch_id, began=began)
             write_batch(thresholds.last_prices(batch, keys, order), state_path, batch_id)
+            if base_path and _compact_now(batch_id, compact_every):
+                compact_baselines(spark, state_path, base_path, keys, "previous")
             fired.unpersist()
             checked.unpersist()
         finally:
@@ -440,65 +414,20 @@ def _fold(rows: DataFrame, attrs=_DIM_ATTRS) -> DataFrame:
                     "created_at", "last_updated", F.col("_b").alias("batch_id")))
 
 
-def _newest_base(spark: SparkSession, base_path: str, before: int | None = None) -> DataFrame | None:
-    """Rows of the newest compacted base version, or None when none exists.
-    With ``before``, only versions that end before that batch count: a batch
-    that is replayed after a compaction sees the state it first saw."""
-    try:
-        versions = spark.read.parquet(base_path)
-    except AnalysisException as e:
-        only_missing(e)            # nothing compacted yet
-        return None
-    if before is not None:
-        versions = versions.where(F.col("through_batch") < before)
-    newest = versions.agg(F.max("through_batch")).first()[0]
-    if newest is None:
-        return None
-    return versions.where(F.col("through_batch") == newest)
-
-
-def newest_batch(spark: SparkSession, path: str, base_path: str | None = None) -> int:
-    """The last batch whose delta, or compacted base, is there; -1 for none."""
-    names = [*files.children(spark, path), *(files.children(spark, base_path) if base_path else [])]
-    return max((int(n.split("=")[1]) for n in names if n.startswith(("batch_id=", "through_batch="))), default=-1)
-
-
 def read_dimension(spark: SparkSession, path: str, base_path: str | None = None,
-                   attrs=_DIM_ATTRS, before: int | None = None) -> DataFrame:
+                   attrs=_DIM_ATTRS, before: int | None = None) -> DataFrame | None:
     """The event dimension: the newest compacted base (when given) plus the
     per-batch deltas written after it, folded by one aggregation that
     combines map-side: attributes of the earliest sighting (by batch, then
-    time), first and last sighting."""
-    rows = spark.read.parquet(path)
-    if before is not None:
-        rows = rows.where(F.col("batch_id") < before)
-    base = _newest_base(spark, base_path, before) if base_path is not None else None
-    if base is not None:
-        rows = base.drop("through_batch").unionByName(
-            rows.where(F.col("batch_id") > base.agg(F.max("through_batch")).scalar()))
-    return _fold(rows, attrs).drop("batch_id")
+    time), first and last sighting. None when nothing has been written."""
+    rows = deltas.rows(spark, path, base_path, before)
+    return None if rows is None else _fold(rows, attrs).drop("batch_id")
 
 
 def compact_dimension(spark: SparkSession, path: str, base_path: str,
                       attrs=_DIM_ATTRS) -> int | None:
-    """Fold the newest base and the deltas after it into a new base version
-    ``through_batch=<last batch>``. Versions are never rewritten, so a failed
-    compaction leaves the previous one current; readers then fold fewer
-    deltas. Returns the batch id covered."""
-    deltas = spark.read.parquet(path)
-    through = deltas.agg(F.max("batch_id")).first()[0]
-    if through is None:
-        return None
-    base = _newest_base(spark, base_path)
-    rows = deltas
-    if base is not None:
-        prev = base.agg(F.max("through_batch")).first()[0]
-        if prev >= through:
-            return prev
-        rows = base.drop("through_batch").unionByName(deltas.where(F.col("batch_id") > prev))
-    (_fold(rows, attrs).write.mode("overwrite")
-     .parquet(f"{base_path.rstrip('/')}/through_batch={through}"))
-    return through
+    """``deltas.compact`` of the event dimension."""
+    return deltas.compact(spark, path, base_path, lambda rows: _fold(rows, attrs))
 
 
 def throughput_stream(events: DataFrame, ts: str = "timestamp", every: str = "5 minutes",

@@ -459,3 +459,69 @@ def test_storage_dedup_within_watermark(spark, scratch):
     jobs.start_storage(events, f"{root}/history", f"{root}/rejects", f"{root}/dimension",
                        f"{scratch}/ckpt", dedup_within="1 day").awaitTermination()
     assert spark.read.parquet(f"{root}/history").count() == 3
+
+
+def test_state_folders_stay_few(spark, scratch):
+    """Fifty batches, compacted after each fifth: readers see the same, and
+    the folders don't pile up."""
+    from pricewatch.sources.feeds import write_batch
+    from pricewatch.streaming import deltas
+    path, base, every = f"{scratch}/state", f"{scratch}/base", {}
+    for i in range(50):
+        rows = [(f"k{j}", float((i * 37 + j * 11) % 101), i) for j in range(i % 4, 12, 3)]
+        df = spark.createDataFrame(rows, "listing string, value double, last_order int").coalesce(1)
+        write_batch(df, path, i)
+        for k, v, _ in rows:
+            every.setdefault(k, []).append((i, v))
+        if i % 5 == 4:
+            assert jobs.compact_baselines(spark, path, base, ["listing"]) == i
+        counts = len(os.listdir(path)), len(os.listdir(base)) if os.path.exists(base) else 0
+        assert counts[0] <= 12 and counts[1] <= 2
+    got = {r.listing: r._pw_seed for r in jobs.read_baselines(spark, path, ["listing"], base_path=base).collect()}
+    assert got == {k: max(v for _, v in x) for k, x in every.items()}
+    # A replay of the last batch reads the version before.
+    before = jobs.read_baselines(spark, path, ["listing"], base_path=base, before=49).collect()
+    assert {r.listing: r._pw_seed for r in before} == {k: max(v for i, v in x if i < 49) for k, x in every.items()}
+    assert deltas.newest_batch(spark, path, base) == 49
+    assert jobs.read_baselines(spark, f"{scratch}/none", ["listing"]) is None
+
+
+def test_thresholds_stream_equals_batch(spark, scratch):
+    """Rules with sections, rows and bad values; three batches, compaction
+    after each; the stream's triggers are the batch operator's."""
+    from pricewatch.operators import constraints, thresholds
+    from pricewatch.sources import dated
+    from pricewatch.sources.feeds import read_tagged_events
+    src, out, rules = os.path.join(scratch, "src"), f"{scratch}/out", os.path.join(scratch, "rules.json")
+    os.makedirs(src)
+    lines = []
+    for i in range(90):
+        lines.append(json.dumps({
+            "event_id": f"e{i % 2}", "source": "m", "section": "AB"[i % 3 % 2], "row": ["3", "12", "AA"][i % 3],
+            "seat": "1", "price": (i * 53) % 97 or "junk", "timestamp": f"2024-01-01T{i // 4:02d}:{i % 4}0:00Z",
+            "listing_id": f"l{i:03d}"}))
+    for part in range(3):
+        with open(os.path.join(src, f"p{part}.json"), "w") as fh:
+            fh.write("\n".join(lines[part * 30:part * 30 + 30]) + "\n")
+        os.utime(fh.name, (1e9 + part, 1e9 + part))         # taken in this order
+    with open(rules, "w") as fh:
+        for i in range(12):
+            fh.write(json.dumps({"id": i, "event_id": f"e{i % 2}", "target_price": 10 + 7 * i,
+                                 "section": [None, "A", "B"][i % 3], "max_row": [None, 5, 12, None][i % 4],
+                                 "active": i != 5 or None, "created_at": "2024-01-01T00:00:00Z"}) + "\n")
+        fh.write('{"id": 3, "event_id": "e1", "target_price": 1}\n{"id": 99, "event_id": null, "target_price": 1}\n')
+    for _ in range(2):                          # the second run finds nothing new
+        jobs.start_thresholds(read_tagged_events(spark, src, stream=True, max_files_per_trigger=1), rules,
+                              f"{out}/triggers", f"{out}/bad", f"{out}/last", f"{out}/c", base_path=f"{out}/base",
+                              compact_every=1).awaitTermination()
+    good, _ = read_price_events(spark, src)
+    checked = constraints.check(spark.read.json(rules).withColumn("created_at", F.to_timestamp("created_at")), "alerts",
+                                order=["created_at"])
+    want = thresholds.threshold_crossings(good, checked.where("reject_reason is null")).drop("seat", "listing_url")
+    got = spark.read.parquet(f"{out}/triggers").select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 10
+    bad = spark.read.parquet(f"{out}/bad").where("batch_id = 0").collect()
+    assert sorted((r.id, r.reject_reason) for r in bad) == [(3, "duplicate_id"), (99, "null_event_id")]
+    moved = {r.id: r.last_triggered for r in jobs.read_rules(spark, rules, f"{out}/triggers").collect()}
+    newest = {r.alert_id: r.t for r in got.groupBy("alert_id").agg(F.max("triggered_at").alias("t")).collect()}
+    assert moved == {i: newest.get(i) for i in range(12)} and dated.finished(spark, f"{out}/triggers", 2)
