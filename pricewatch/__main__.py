@@ -6,6 +6,7 @@ monitoring system, each a Structured Streaming query with its own checkpoint.
     python -m pricewatch store     --events DIR --out DIR
     python -m pricewatch alerts    --alerts DIR --dimension DIR --out DIR
     python -m pricewatch thresholds --events DIR --rules FILE --out DIR
+    python -m pricewatch retry     --out DIR
     python -m pricewatch compact   --out DIR
     python -m pricewatch retain    --out DIR [--as-of TIME]
     python -m pricewatch report    --store DIR --out DIR [--hours 48] [--event NAME]
@@ -42,18 +43,20 @@ def normalize(args, spark):
         trigger=_trigger(args), max_files_per_trigger=args.max_files)
 
 
-def _price_events(args, spark):
-    """The normalizer's feed by its log, or else JSON lines landed by others;
-    records that can't be read are tagged, not dropped."""
+def _price_events(args, spark, rows=False):
+    """A Kafka topic, the normalizer's feed by its log, or else JSON lines
+    landed by others (or the feed's lines, where a job needs a stream of
+    ``rows``); records that can't be read are tagged, not dropped."""
     from pricewatch.sources import dated, feeds
-    if dated.is_feed(spark, args.events):
+    if args.kafka:
+        return feeds.read_kafka(spark, args.kafka, args.events, args.starting, args.max_offsets)
+    if not rows and dated.is_feed(spark, args.events):
         return feeds.price_event_feed(args.events, args.max_files)
     return feeds.read_tagged_events(spark, args.events, stream=True, max_files_per_trigger=args.max_files)
 
 
 def detect(args, spark):
     from pricewatch.operators.normalize import good_events
-    from pricewatch.sources.feeds import read_tagged_events
     from pricewatch.streaming import jobs
     common = dict(processed_path=_paths(args.out, "processed_prices"),
                   alerts_path=_paths(args.out, "price_alerts"), trigger=_trigger(args))
@@ -62,8 +65,12 @@ def detect(args, spark):
         return jobs.start_detector_tables(
             _price_events(args, spark), state_path=_paths(args.out, "baselines"),
             checkpoint=_paths(args.out, "_checkpoints/detect_table"), rejects_path=rejects,
-            base_path=_paths(args.out, "baselines_base"), baseline=args.baseline, **common)
-    lines = read_tagged_events(spark, args.events, stream=True, max_files_per_trigger=args.max_files)
+            base_path=_paths(args.out, "baselines_base"), baseline=args.baseline,
+            compact_every=args.compact_every,
+            metrics_path=_paths(args.out, "system_metrics_detect") if args.metrics else None, **common)
+    lines = _price_events(args, spark, rows=True)
+    if args.metrics:
+        spark.streams.addListener(jobs.MetricsListener(spark, _paths(args.out, "system_metrics_detect")))
     return [jobs.start_detector(good_events(lines), checkpoint=_paths(args.out, "_checkpoints/detect"),
                                 listing_ttl=args.listing_ttl, **common),
             jobs.start_rejects(lines, rejects, _paths(args.out, "_checkpoints/detect_rejects"),
@@ -76,7 +83,7 @@ def store(args, spark):
         _price_events(args, spark), _paths(args.out, "price_history"), _paths(args.out, "price_rejects"),
         _paths(args.out, "events"), _paths(args.out, "_checkpoints/store"),
         trigger=_trigger(args), metrics_path=_paths(args.out, "system_metrics"),
-        dimension_base_path=_paths(args.out, "events_base"))
+        dimension_base_path=_paths(args.out, "events_base"), compact_every=args.compact_every)
 
 
 def alerts(args, spark):
@@ -91,13 +98,24 @@ def alerts(args, spark):
         dimension_base_path=f"{args.dimension.rstrip('/')}_base" if args.dimension else None)
 
 
+def retry(args, spark):
+    """Alerts of events that were unknown, once they are known."""
+    from pricewatch import fixed
+    from pricewatch.streaming import jobs
+    return jobs.start_alert_retry(
+        _paths(args.out, "alert_rejects"), _paths(args.out, "price_drop_alerts"), _paths(args.out, "price_history"),
+        _paths(args.out, "events"), _paths(args.out, "alerts_waiting"), _paths(args.out, "_checkpoints/retry"),
+        dimension_base_path=_paths(args.out, "events_base"), trigger=_trigger(args),
+        keep_days=fixed.RETENTION_DAYS["price_alerts"])
+
+
 def thresholds(args, spark):
     from pricewatch.streaming import jobs
     return jobs.start_thresholds(
         _price_events(args, spark), args.rules, _paths(args.out, "alert_triggers"),
         _paths(args.out, "rule_rejects"), _paths(args.out, "last_prices"),
         _paths(args.out, "_checkpoints/thresholds"), trigger=_trigger(args),
-        base_path=_paths(args.out, "last_prices_base"))
+        base_path=_paths(args.out, "last_prices_base"), compact_every=args.compact_every)
 
 
 def retain(args, spark):
@@ -143,6 +161,13 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--continuous", action="store_true")
         s.add_argument("--every", type=int, default=10)
         s.add_argument("--max-files", type=int, default=None)
+        s.add_argument("--compact-every", type=int, default=50)
+        s.add_argument("--metrics", action="store_true")
+        s.add_argument("--kafka", default=None, metavar="SERVERS",
+                       help="--events is a topic of these servers")
+        s.add_argument("--starting", choices=["earliest", "latest"],
+                       default="earliest" if name == "store" else "latest")
+        s.add_argument("--max-offsets", type=int, default=None)
         s.add_argument("--baseline", choices=["max", "previous"], default="max")
         for a in extra:
             s.add_argument(*a[0], **a[1])
@@ -155,6 +180,7 @@ def parser() -> argparse.ArgumentParser:
     add("store", store, (["--events"], {"required": True}))
     add("alerts", alerts, (["--alerts"], {"required": True}), (["--dimension"], {"default": None}))
     add("thresholds", thresholds, (["--events"], {"required": True}), (["--rules"], {"required": True}))
+    add("retry", retry)
     add("compact", compact)
     add("retain", retain, (["--as-of"], {"default": None}))
     add("report", report, (["--store"], {"required": True}),

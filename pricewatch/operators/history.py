@@ -53,9 +53,9 @@ RAW = ("_raw_price", "_raw_fees", "_raw_total_price", "_bad_number")
 EVENT_ATTRS = ("event_name", "venue", "event_date")
 
 
-def tag_events(events: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+def tag_events(events: DataFrame, ingest_time: Column | None = None, also: Sequence[str] = ()) -> DataFrame:
     """Price records as typed history rows that also carry their event's
-    attributes, with ``reject_reasons`` (all broken constraints, of the history
+    attributes and the columns ``also``, with ``reject_reasons`` (all broken constraints, of the history
     and of the event) and ``reject_reason`` (the first).
 
     A missing name or venue is empty text, a missing event date the ingest
@@ -69,7 +69,8 @@ def tag_events(events: DataFrame, ingest_time: Column | None = None) -> DataFram
     raw = F.col("_raw") if "_raw" in events.columns else F.lit(None).cast("string")
     attrs = {"event_name": F.coalesce("event_name", F.lit("")), "venue": F.coalesce("venue", F.lit("")),
              "event_date": F.coalesce(F.col("event_date").cast("timestamp"), created)}
-    keep = [*(v.alias(k) for k, v in attrs.items()), wire.alias("_wire"), raw.alias("_raw")]
+    keep = [*(v.alias(k) for k, v in attrs.items()), wire.alias("_wire"), raw.alias("_raw"),
+            *map(F.col, also)]
     rows = typed_history(events, created, keep_raw=True, keep=keep)
     checks = validate.history_checks(rows.columns)
     limits = {c: n for c, n in TEXT_LIMITS["events"].items() if c in EVENT_ATTRS}
@@ -113,10 +114,10 @@ def event_dimension(events: DataFrame, key: str = "event_id",
     overwrite), first and last sighting time. Aggregations only, so a hot
     event is combined map-side."""
     order = list(order)
+    seen = "timestamp" if "timestamp" in events.columns else order[0]
     first = F.min_by(F.struct(*[F.col(a) for a in attrs]), F.struct(*[F.col(c) for c in order]))
     return (events.groupBy(key)
-            .agg(first.alias("_first"), F.min(order[0]).alias("created_at"),
-                 F.max(order[0]).alias("last_updated"))
+            .agg(first.alias("_first"), F.min(seen).alias("created_at"), F.max(seen).alias("last_updated"))
             .select(key, *[F.col(f"_first.{a}").alias(a) for a in attrs],
                     "created_at", "last_updated"))
 

@@ -84,6 +84,13 @@ def counters(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def tall(counted: DataFrame) -> DataFrame:
+    """One row of counters as (metric_name, metric_value) rows."""
+    return counted.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric_name"), F.col(n).alias("metric_value")) for n in counted.columns]))
+        .alias("m")).select("m.*")
+
+
 def ingest_metrics(tagged: DataFrame, created: DataFrame,
                    duplicates: DataFrame | None = None) -> DataFrame:
     """The storage side's counters: messages received, prices stored, errors
@@ -94,9 +101,7 @@ def ingest_metrics(tagged: DataFrame, created: DataFrame,
     one_pass = tagged.agg(F.count(F.lit(1)).alias("messages_received"),
                           F.count_if(reason.isNull()).alias("prices_stored"),
                           F.count_if(reason.isNotNull()).alias("errors"))
-    rows = one_pass.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("metric_name"), F.col(n).alias("metric_value"))
-        for n in ("messages_received", "prices_stored", "errors")])).alias("m")).select("m.*")
+    rows = tall(one_pass)
     parts = {"events_created": created}
     if duplicates is not None:
         parts["duplicates_skipped"] = duplicates

@@ -121,7 +121,7 @@ def threshold_crossings(prices: DataFrame, rules: DataFrame, keys: Sequence[str]
                & (F.col("_max_row").isNull() | (F.col("row").try_cast("int") <= F.col("_max_row"))))
     return banded.join(ruled, crossed).select(
         "alert_id", "event_id", money(p).alias("price"), "source", "section", "row", "seat", "listing_id",
-        "listing_url", F.col(order[0]).alias("triggered_at"))
+        "listing_url", F.col("timestamp" if "timestamp" in prices.columns else order[0]).alias("triggered_at"))
 
 
 def last_prices(prices: DataFrame, keys: Sequence[str] = LISTING_KEYS,

@@ -130,9 +130,10 @@ class Feed(NamedTuple):
             r = r.option("maxFilesPerTrigger", self.max_batches)
         return r.json(_log(self.path, "done"))
 
-    def rows(self, entries: DataFrame) -> DataFrame:
+    def rows(self, entries: DataFrame, empty: bool = False) -> DataFrame | None:
         """The rows behind a micro-batch of log entries. Days that retention
-        has dropped meanwhile have none."""
+        has dropped meanwhile have none. Without any entry the rows' columns
+        aren't known, which is an error, or None with ``empty``."""
         spark = entries.sparkSession
         folders: dict[str, list[str]] = {}      # by schema, of which a feed has few
         for r in entries.collect():             # a row for each batch and day in it
@@ -140,6 +141,8 @@ class Feed(NamedTuple):
             folder = _folder(self.path, r.day, r[BATCH])
             if r.day and files.exists(spark, folder):
                 some.append(folder)
+        if not folders and empty:
+            return None
         parts = [self._load(spark, T.StructType.fromJson(json.loads(s)), f) for s, f in sorted(folders.items())]
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         return self.parse(rows) if self.parse else rows

@@ -75,19 +75,33 @@ def price_event_feed(path: str, max_batches: int | None = None) -> Feed:
     return Feed(path, "text", normalize.tagged_wire, max_batches)
 
 
+def log_records(raw: DataFrame) -> DataFrame:
+    """Records of a message log (value, timestamp, partition, offset), as the
+    Kafka source gives them, parsed and tagged; the log's place is kept as
+    (kafka_timestamp, partition, offset), by which the jobs then order."""
+    shaped = raw.select(F.col("value").cast("string").alias("value"),
+                        F.col("timestamp").alias("kafka_timestamp"), "partition", "offset")
+    return normalize.tagged_wire(shaped, "value", keep=("kafka_timestamp", "partition", "offset"))
+
+
 def read_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
-               max_offsets_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Price events from a Kafka topic. ``starting`` is ``earliest`` (the
-    storage reader) or ``latest`` (detector, alerts); progress lives in the
-    query's checkpoint, which replaces a consumer group. Kafka's own
-    (timestamp, partition, offset) are kept for ordering."""
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Price events from a Kafka topic, tagged. ``starting`` is ``earliest``
+    (the storage reader) or ``latest`` (detector, alerts); progress lives in
+    the query's checkpoint, which replaces a consumer group."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    raw = r.load().select(F.col("value").cast("string").alias("value"),
-                          F.col("timestamp").alias("kafka_timestamp"), "partition", "offset")
-    return normalize.from_wire(raw, "value", keep=("kafka_timestamp", "partition", "offset"))
+    return log_records(r.load())
+
+
+def read_landed_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same from Parquet files of a topic (an archive of it), as a stream."""
+    r = spark.readStream.schema("value string, timestamp timestamp, partition int, offset long")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return log_records(r.parquet(path))
 
 
 def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:

@@ -14,9 +14,12 @@ the log of the job before it: batch by batch, finished ones only.
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from pricewatch.functions.columns import listing_key
 from pricewatch.operators import changes, history, normalize
@@ -27,6 +30,7 @@ from pricewatch.sources.feeds import read_responses, write_batch
 from pricewatch.streaming import deltas
 from pricewatch.streaming.detector import detect_changes_stream
 
+LOG_ORDER = ("kafka_timestamp", "partition", "offset")
 # Names of the observed metrics of the detector query.
 DETECTOR_METRICS = "detector"
 
@@ -41,8 +45,44 @@ def observe_changes(classified: DataFrame, name: str = DETECTOR_METRICS) -> Data
         F.count_if(t.isin("drop", "increase")).alias("price_changes"),
         F.count_if(t == "drop").alias("price_drops"),
         F.count_if(t == "increase").alias("price_increases"),
+        F.count_if(t == "same").alias("unchanged"),
         F.count_if(t == "new").alias("new_listings"),
-        F.count_if(t == "invalid").alias("invalid_prices"))
+        F.count_if(t == "invalid").alias("invalid_prices"),
+        F.count_if(t == "error").alias("errors"))
+
+
+class MetricsListener(StreamingQueryListener):
+    """Writes what queries observe (``observe_changes`` and the other jobs'
+    counters) as rows of the system-metrics feed at ``path``: a metric
+    ``<observation>.<counter>`` for each counter of each finished micro-batch.
+    Register it with ``spark.streams.addListener``. A row is stamped with the
+    micro-batch's time and kept under the query's run and batch number; it's
+    monitoring, and a driver that dies between a batch and its report loses
+    that report."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        found = [(f"{name}.{counter}", Decimal(value), p.timestamp)
+                 for name, row in (p.observedMetrics or {}).items()
+                 for counter, value in row.asDict().items() if value is not None]
+        if found:
+            rows = self.spark.createDataFrame(found, "metric_name string, metric_value decimal(15,2), at string") \
+                .select("metric_name", "metric_value", F.to_timestamp("at").alias("timestamp")).coalesce(1)
+            rows.withColumn(dated.DAY, F.to_date("timestamp")) \
+                .withColumn(dated.BATCH, F.lit(p.batchId)) \
+                .write.mode("append").partitionBy(dated.DAY, dated.BATCH).parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def _input(source: DataFrame | Feed, metric: str | None = None, name: str | None = None):
@@ -55,26 +95,42 @@ def _input(source: DataFrame | Feed, metric: str | None = None, name: str | None
     return stream.observe(metric, count.alias(name)) if metric else stream, rows
 
 
+def order_of(events: DataFrame) -> tuple[str, ...]:
+    """How records follow each other: by the log they came through, where they
+    carry its columns, else by scrape time and listing id."""
+    return LOG_ORDER if set(LOG_ORDER) <= set(events.columns) else changes.EVENT_ORDER
+
+
 def _start(stream: DataFrame, process, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (w.trigger(**trigger) if trigger else w.trigger(availableNow=True)).start()
 
 
+def _day_of(rows: DataFrame) -> str | None:
+    """The column whose day a record is stored under."""
+    return next((c for c in ("timestamp", LOG_ORDER[0]) if c in rows.columns), None)
+
+
 def start_detector(events: DataFrame, processed_path: str, alerts_path: str, checkpoint: str,
                    trigger: dict | None = None, keys=changes.LISTING_KEYS, price: str = "price",
-                   order=changes.EVENT_ORDER, listing_ttl: str | None = None,
+                   order=None, listing_ttl: str | None = None,
                    buckets: int | None = None, engine: str = "pandas_state") -> StreamingQuery:
     """Every event goes to ``processed_path`` with its classification, drops
-    also go to ``alerts_path`` as alerts. One state store, two outputs."""
+    also go to ``alerts_path`` as alerts. One state store, two outputs. Rows of
+    a listing are taken in ``order`` (``order_of`` by default). With the price's
+    text (``_raw_price``) a price that is no number is an ``error``."""
+    order = list(order or order_of(events))
+    raw = "_raw_price" if "_raw_price" in events.columns else None
     classified = observe_changes(detect_changes_stream(
-        events, keys, price, order, buckets=buckets, listing_ttl=listing_ttl, engine=engine))
+        events, keys, price, order, buckets=buckets, listing_ttl=listing_ttl, raw_price=raw, engine=engine))
 
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             began = dated.begin(batch.sparkSession, processed_path, batch_id)
-            drops = changes.drop_alerts(batch, price, alert_time=dated.at(began))
-            dated.write(batch, processed_path, batch_id, order[0], began)
+            shown = batch.drop("_raw_price", "_bad_number")
+            drops = changes.drop_alerts(shown, price, alert_time=dated.at(began))
+            dated.write(shown, processed_path, batch_id, _day_of(shown), began)
             dated.write(drops, alerts_path, batch_id, "alert_timestamp", began)
         finally:
             batch.unpersist()
@@ -144,11 +200,12 @@ def _compact_now(batch_id: int, every: int | None) -> bool:
 
 def start_detector_tables(events: DataFrame | Feed, processed_path: str, alerts_path: str,
                           state_path: str, checkpoint: str, keys=changes.LISTING_KEYS,
-                          price: str = "price", order=changes.EVENT_ORDER,
+                          price: str = "price", order=None,
                           baseline: str = "max", trigger: dict | None = None,
                           base_path: str | None = None,
                           rejects_path: str | None = None,
-                          compact_every: int | None = None) -> StreamingQuery:
+                          compact_every: int | None = None,
+                          metrics_path: str | None = None) -> StreamingQuery:
     """The detector with its state kept as a table instead of in the state
     store. Each micro-batch runs the batch detector (JVM only, hot listings
     split as in batch), seeded with the baselines of the listings it
@@ -163,7 +220,8 @@ def start_detector_tables(events: DataFrame | Feed, processed_path: str, alerts_
     ``rejects_path`` from the same parsed frame; the others are detected. A
     price that is no number is an ``error`` then."""
     from pricewatch.functions.columns import valid_price
-    keys, order = list(keys), list(order)
+    from pricewatch.operators import metrics
+    keys, asked = list(keys), order
     stream, rows = _input(events)
 
     def process(entries: DataFrame, batch_id: int) -> None:
@@ -182,14 +240,20 @@ def start_detector_tables(events: DataFrame | Feed, processed_path: str, alerts_
                     dated.write(taken.where(F.col(WIRE_REASON).isNotNull())
                                 .select("_raw", F.col(WIRE_REASON).alias("reject_reason")),
                                 rejects_path, batch_id, began=began)
+            order = list(asked or order_of(batch))
             prior = read_baselines(spark, state_path, keys, baseline, before=batch_id,
                                    base_path=base_path)
             seed = None if prior is None else _null_safe_semi(prior, batch, keys)
             classified = changes.classify_changes(batch, keys, price, order, baseline=baseline,
                                                   seed=seed, raw_price=raw)
-            classified = classified.drop("_raw_price", "_bad_number").persist()
-            drops = changes.drop_alerts(classified, price, alert_time=dated.at(began))
-            dated.write(classified, processed_path, batch_id, order[0], began)
+            classified = classified.persist()
+            shown = classified.drop("_raw_price", "_bad_number")
+            drops = changes.drop_alerts(shown, price, alert_time=dated.at(began))
+            dated.write(shown, processed_path, batch_id, _day_of(shown), began)
+            if metrics_path is not None:
+                counted = changes.change_metrics(classified)
+                counters = metrics.as_system_metrics(metrics.tall(counted), began.isoformat())
+                dated.write(counters, metrics_path, batch_id, "timestamp", began)
             dated.write(drops, alerts_path, batch_id, "alert_timestamp", began)
             valid = batch.where(valid_price(price))
             last = F.struct(*[F.col(c) for c in order])
@@ -270,13 +334,14 @@ def start_storage(events: DataFrame | Feed, history_path: str, rejects_path: str
     def store(entries: DataFrame, batch_id: int) -> None:
         spark = entries.sparkSession
         began = dated.begin(spark, history_path, batch_id)
-        tagged = history.tag_events(rows(entries), dated.at(began)).persist()
+        taken = rows(entries)
+        tagged = history.tag_events(taken, dated.at(began), [c for c in LOG_ORDER if c in taken.columns]).persist()
         try:
             reason = F.col(validate.REASON)
             good = tagged.where(reason.isNull())
-            typed = good.drop("_raw", validate.REASON, validate.REASONS, *history.EVENT_ATTRS)
+            typed = good.drop("_raw", validate.REASON, validate.REASONS, *history.EVENT_ATTRS, *LOG_ORDER)
             if not dated.finished(spark, history_path, batch_id):
-                write_batch(history.event_dimension(good), dimension_path, batch_id)
+                write_batch(history.event_dimension(good, order=order_of(good)), dimension_path, batch_id)
             dated.write(typed, history_path, batch_id, "timestamp", began)
             dated.write(tagged.where(reason.isNotNull()), rejects_path, batch_id, began=began)
             if metrics_path is not None and not dated.finished(spark, metrics_path, batch_id):
@@ -345,9 +410,62 @@ def start_alert_store(alerts: DataFrame | Feed, stored_path: str, rejects_path:
     return _start(stream, store, checkpoint, trigger)
 
 
+LATE = 1 << 30          # batch numbers of alerts that are stored late start here
+
+
+def start_alert_retry(rejects_path: str, stored_path: str, history_path: str, dimension_path: str, pending_path: str,
+                      checkpoint: str, dimension_base_path: str | None = None, trigger: dict | None = None,
+                      keep_days: int | None = None) -> StreamingQuery:
+    """Alerts that were rejected as ``unknown_event`` are stored once their
+    event is known. The job follows two logs, of the alert store's rejects and
+    of the storage job's history: a new entry of either is the time to look.
+    What waits is kept as one version a batch; an alert leaves it when it is
+    stored, so each is stored once, into the feed of the other alerts under
+    batch numbers from ``LATE`` on. Alerts older than ``keep_days`` stop
+    waiting; they stay in the rejects."""
+    rejects, stored_before = Feed(rejects_path), Feed(history_path)
+    spark = SparkSession.active()
+    stream = rejects.entries(spark).withColumn("_of", F.lit("rejects")).unionByName(
+        stored_before.entries(spark).withColumn("_of", F.lit("history")))
+
+    def process(entries: DataFrame, batch_id: int) -> None:
+        from pricewatch.operators import validate
+        spark = entries.sparkSession
+        began = dated.begin(spark, pending_path, batch_id)
+        through = int(dated.pinned(spark, pending_path, batch_id, "dimension", lambda: str(
+            deltas.newest_batch(spark, dimension_path, dimension_base_path))))
+        new = rejects.rows(entries.where(F.col("_of") == "rejects").drop("_of"), empty=True)
+        pool = None if new is None else new.where(F.col(validate.REASON) == "unknown_event") \
+            .drop(validate.REASON, dated.DAY, dated.BATCH)
+        last = max((int(n.split("=")[1]) for n in files.children(spark, pending_path)
+                    if n.startswith(deltas.DELTA) and int(n.split("=")[1]) < batch_id), default=None)
+        if last is not None:
+            waiting = spark.read.parquet(f"{pending_path.rstrip('/')}/{deltas.DELTA}{last}")
+            pool = waiting if pool is None else waiting.unionByName(pool)
+        if pool is None:                    # no reject has been written yet
+            return
+        if keep_days is not None:
+            pool = pool.where(F.col("alert_timestamp") >= dated.at(began - dt.timedelta(days=keep_days)))
+        dim = read_dimension(spark, dimension_path, dimension_base_path, before=through + 1)
+        known = pool.where(F.lit(False)).select("event_id") if dim is None else dim.select("event_id").distinct()
+        pool = pool.persist()
+        try:
+            write_batch(pool.join(known, "event_id", "left_anti"), pending_path, batch_id)
+            dated.write(pool.join(known, "event_id", "left_semi").select(pool.columns), stored_path,
+                        LATE + batch_id, "alert_timestamp", began)
+            if last is not None:            # the version before stays, for a replay
+                for n in files.children(spark, pending_path):
+                    if n.startswith(deltas.DELTA) and int(n.split("=")[1]) < last:
+                        files.delete(spark, f"{pending_path.rstrip('/')}/{n}")
+        finally:
+            pool.unpersist()
+
+    return _start(stream, process, checkpoint, trigger)
+
+
 def start_thresholds(events: DataFrame | Feed, rules_path: str, triggers_path: str, rejects_path: str,
                      state_path: str, checkpoint: str, trigger: dict | None = None, base_path: str | None = None,
-                     keys=changes.LISTING_KEYS, order=changes.EVENT_ORDER,
+                     keys=changes.LISTING_KEYS, order=None,
                      compact_every: int | None = None) -> StreamingQuery:
     """User thresholds on the stream: a row in ``triggers_path`` (the
     alert_triggers table, with event and listing) where a listing's price comes
@@ -359,7 +477,7 @@ def start_thresholds(events: DataFrame | Feed, rules_path: str, triggers_path: s
     them. ``read_rules`` gives the rules with ``last_triggered``."""
     from pricewatch.operators import constraints, thresholds, validate
     from pricewatch.sources.feeds import read_rules_text
-    keys, order = list(keys), list(order)
+    keys, asked = list(keys), order
     stream, rows = _input(events)
 
     def process(entries: DataFrame, batch_id: int) -> None:
@@ -371,6 +489,7 @@ def start_thresholds(events: DataFrame | Feed, rules_path: str, triggers_path: s
         batch = (normalize.good_events(taken) if WIRE_REASON in taken.columns else taken).persist()
         try:
             began = dated.begin(spark, triggers_path, batch_id)
+            order = list(asked or order_of(batch))
             checked = constraints.check(read_rules_text(spark, rules_path), "alerts", order=["created_at"]).persist()
             reason = F.col(validate.REASON)
             prior = read_baselines(spark, state_path, keys, "previous", before=batch_id, base_path=base_path)

@@ -4,6 +4,7 @@ retention; the constraint checks on the way in."""
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -241,5 +242,85 @@ def test_feed_of_wire_records(spark, scratch):
     assert sorted(got, key=str) == [(5.0, None), (None, "malformed_json")]
 
 
+def test_alert_before_its_event(spark, scratch):
+    src, out = f"{scratch}/src", f"{scratch}/out"
+    alerts = spark.createDataFrame(
+        [(e, "m", "A", "1", "1", 9.0, 8.0, 1.0, 11.1, dt.datetime(2024, 1, 1), f"l{e}", None, "price_drop")
+         for e in ("ev_a", "ev_b")] + [("ev_a", "m" * 51, "A", "1", "1", 9.0, 8.0, 1.0, 11.1,
+                                        dt.datetime(2024, 1, 1), "bad", None, "price_drop")],
+        "event_id string, source string, section string, row string, seat string, old_price double, "
+        "new_price double, drop_amount double, drop_percent double, alert_timestamp timestamp, listing_id string, "
+        "listing_url string, alert_type string")
+    with_names = alerts.withColumns({"event_name": F.lit("A"), "venue": F.lit("v"), "event_date": F.lit(None)
+                                     .cast("timestamp")})
+    dated.write(with_names, f"{out}/price_alerts", 0, "alert_timestamp")
+
+    def run(*events):
+        for e in events:
+            land(src, f"{e}.json", [line(0, 5, "2024-01-01T00:00:00Z", e)])
+        if events:
+            assert main(["store", "--events", src, "--out", out]) == 0
+        assert main(["alerts", "--alerts", f"{out}/price_alerts", "--dimension", f"{out}/events", "--out", out]) == 0
+        jobs.start_alert_retry(f"{out}/alert_rejects", f"{out}/price_drop_alerts", f"{out}/price_history",
+                               f"{out}/events", f"{out}/waiting", f"{out}/c", f"{out}/events_base").awaitTermination()
+        return sorted(r.listing_id for r in spark.read.parquet(f"{out}/price_drop_alerts").collect())
+
+    land(src, "x.json", [line(0, 5, "2024-01-01T00:00:00Z", "ev_x")])
+    assert main(["store", "--events", src, "--out", out]) == 0
+    assert run() == []
+    assert run("ev_a") == ["lev_a"]
+    forget(f"{out}/c", 1)                       # the storing batch again
+    assert run() == ["lev_a"]
+    assert run("ev_b") == ["lev_a", "lev_b"] and run() == ["lev_a", "lev_b"]
+    assert len([n for n in os.listdir(f"{out}/waiting") if n.startswith("batch_id=")]) <= 2
+
+
+def test_listener_and_detector_counters(spark, scratch):
+    src, out = f"{scratch}/src", f"{scratch}/out"
+    land(src, "a.json", [line(i, p, f"2024-01-01T{i:02d}:00:00Z") for i, p in enumerate([10, 9, "x", 10, 12, 0])])
+    listener = jobs.MetricsListener(spark, f"{out}/m1")
+    spark.streams.addListener(listener)
+    try:
+        tagged = read_tagged_events(spark, src, stream=True)
+        jobs.start_detector(normalize.good_events(tagged), f"{out}/p1", f"{out}/a1", f"{out}/c1").awaitTermination()
+        end = dt.datetime.now() + dt.timedelta(seconds=30)
+        while not os.path.exists(f"{out}/m1/_SUCCESS") and dt.datetime.now() < end:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    jobs.start_detector_tables(read_tagged_events(spark, src, stream=True), f"{out}/p2", f"{out}/a2", f"{out}/s2",
+                               f"{out}/c2", metrics_path=f"{out}/m2").awaitTermination()
+    want = {"events_processed": 6, "price_changes": 2, "price_drops": 1, "price_increases": 1, "unchanged": 1,
+            "new_listings": 1, "invalid_prices": 1, "errors": 1}
+    seen = {r.metric_name: int(r.metric_value) for r in spark.read.parquet(f"{out}/m1").collect()}
+    assert seen == {f"{jobs.DETECTOR_METRICS}.{k}": v for k, v in want.items()}
+    assert {r.metric_name: int(r.metric_value) for r in spark.read.parquet(f"{out}/m2").collect()} == want
+
+
+def test_log_order(spark, scratch, monkeypatch):
+    """Records of a message log are taken in the log's order, not by scrape
+    time; the command line reads a topic the same way."""
+    from pricewatch.sources import feeds
+    rows = [("100", 1, 0, 0, 9), ("90", 2, 0, 1, 1), ("95", 2, 1, 0, 5), ("120", 2, 1, 1, 3), ("80", 3, 0, 2, 2)]
+    records = [(line(o + 10 * p, price, f"2024-01-01T0{scraped}:00:00Z", event_name=f"n{price}"),
+                dt.datetime(2024, 1, 1, 0, 0, t), p, o) for price, t, p, o, scraped in rows]
+    spark.createDataFrame(records[::-1], "value string, timestamp timestamp, partition int, offset long") \
+        .coalesce(1).write.parquet(f"{scratch}/log")
+    want = {"100.0": ("new", None), "90.0": ("drop", 100.0), "95.0": ("drop", 100.0), "120.0": ("increase", 100.0),
+            "80.0": ("drop", 120.0)}
+    monkeypatch.setattr(feeds, "read_kafka",
+                        lambda s, servers, topic, starting, most: feeds.read_landed_log(s, f"{scratch}/{topic}"))
+    for extra in ([], ["--state-table"]):
+        out = f"{scratch}/out{len(extra)}"
+        assert main(["detect", "--kafka", "host:1", "--events", "log", "--out", out, *extra]) == 0
+        got = {str(r.price): (r.change_type, r.old_price)
+               for r in spark.read.parquet(f"{out}/processed_prices").collect()}
+        assert got == want
+    assert main(["store", "--kafka", "host:1", "--events", "log", "--out", f"{scratch}/st"]) == 0
+    dim = jobs.read_dimension(spark, f"{scratch}/st/events").collect()
+    assert [(r.event_name, r.created_at.hour, r.last_updated.hour) for r in dim] == [("n100", 1, 9)]
+    assert "partition" not in spark.read.parquet(f"{scratch}/st/price_history").columns
+
+
 if __name__ == "__main__":
     pytest.main([__file__])
