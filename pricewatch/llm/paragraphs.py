@@ -13,21 +13,27 @@ signature of their shingles, whose bands are tuned for a wanted recall at the
 threshold. Colliding classes are joined, verified by exact Jaccard similarity
 on the full sets and clustered by components (``neardup``).
 
-A cluster's first member, by doc_id and place, stays. One whose cluster begins
-in another document is a repeat. Repeated units are removed, and repeated
-blocks from their first repeated unit or line to their last.
-Neighbouring repeated lines are one passage, which is removed when it has at
-least ``LEAST_WORDS`` words; so a passage of several short lines goes as a
-whole, and a short line that many documents happen to have stays.
+A cluster's first document stays, the others' members are repeats. Repeated
+units are removed, and repeated blocks from their first repeated unit or line
+to their last. Repeated lines that also stand next to each other in an earlier
+document are one passage, which is removed when it has at least ``LEAST_WORDS``
+words; so a passage of several short lines goes as a whole, and short lines
+that many documents happen to have stay, also where they meet.
+
+What is shuffled of a paragraph, unit or block is the hash of its class and the
+key of its document. Classes of several documents come back to these documents
+as lists, and a second scan of their texts finds the places again.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pricewatch.llm import textscan as ts
 from pricewatch.llm.neardup import near_components
@@ -42,6 +48,8 @@ PIECE = 4                   # pieces have 9 words on average
 BLOCK_REACH = 32            # blocks have 65
 LONGEST = 32                # a longer piece, as of one repeated word, is cut every LONGEST // 2 words
 LINE, UNIT, BLOCK = range(3)
+UNNAMED, NAMED, CLASH = range(3)       # documents without doc_id; with their own; with one that others have, too
+ROW = "grp int, key long"
 
 
 def tune_bands(hashes: int, similarity: float, recall: float) -> int:
@@ -148,36 +156,74 @@ def _ends(w: ts.Words, off: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(after, off[1:][w.doc[b - 1]]) if len(b) else b
 
 
-def split_paragraphs(docs: DataFrame, kinds=(LINE, UNIT, BLOCK)) -> DataFrame:
-    """(doc_id, kind, par, nth, word, start, end, n_words, cls) of each line with
-    words, unit and block: the number of the line (where it begins), its number
-    among lines with words, the number of the first word, byte span, class."""
+class Parts:
+    """The lines with words, units and blocks of a column of texts."""
+
+    def __init__(self, col: pa.Array):
+        buf, off = ts.text_buffer(col)
+        self.off, (edge, row, par) = off, _lines(buf, off)
+        w = self.words = ts.words(buf, off, ts.SPACED)
+        first = np.searchsorted(w.start, edge)
+        some = np.flatnonzero(np.diff(first))
+        a = {LINE: first[some], UNIT: units(w), BLOCK: blocks(w)}
+        b = {LINE: first[some + 1], UNIT: a[UNIT][1], BLOCK: a[BLOCK][1]}
+        a = {LINE: a[LINE], UNIT: a[UNIT][0], BLOCK: a[BLOCK][0]}
+        self.a, self.b = a, b                       # first word, and the one after the last
+        self.doc = {k: w.doc[a[k]] for k in a}
+        self.cls = {k: sequence_hash(spans(w, a[k], b[k])) for k in a}
+        line = {k: some if k == LINE else np.searchsorted(edge, w.start[a[k]], side="right") - 1 for k in a}
+        self.par = {k: par[line[k]] for k in a}     # the number of the line where it begins
+        self.start = {k: edge[some] if k == LINE else w.start[a[k]] for k in a}
+        self.end = {k: edge[some + 1] if k == LINE else _ends(w, off, b[k]) for k in a}
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lines that another one of the row follows, one of them short, and
+        the class of both together."""
+        doc, size, cls = self.doc[LINE], self.b[LINE] - self.a[LINE], self.cls[LINE]
+        at = np.flatnonzero((doc[1:] == doc[:-1]) & (np.minimum(size[1:], size[:-1]) < LEAST_WORDS))
+        with np.errstate(over="ignore"):
+            return at, ts.mix(cls[at] * _PAIR[0] + ts.mix(cls[at + 1]) * _PAIR[1])
+
+
+def identified(docs: DataFrame, grp: str = "grp", key: str = "key") -> DataFrame:
+    """``docs`` with the columns ``grp`` and ``key``, which tell documents
+    apart and order them. Those without doc_id come first, by a hash of their texts, then the others
+    by doc_id; where texts share one, the further ones come last, by a hash."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    h, own = F.xxhash64(text), F.col("doc_id").isNotNull()
+    shared = docs.where(own).groupBy(doc_id.alias("_id")).agg(F.min(h).alias("_lo"), F.max(h).alias("_hi")) \
+        .where("_lo < _hi").select(F.col("_id").alias(f"{key}_id"), F.col("_lo").alias(f"{key}_lo"))
+    rows, later = docs, F.lit(False)
+    if not shared.isEmpty():
+        rows = docs.join(shared, doc_id == F.col(f"{key}_id"), "left")
+        later = F.coalesce(h != F.col(f"{key}_lo"), F.lit(False))
+    return rows.select(*docs.columns, F.when(~own, UNNAMED).when(later, CLASH).otherwise(NAMED).alias(grp),
+                       F.when(~own, h).when(later, F.xxhash64(doc_id, text)).otherwise(doc_id).alias(key))
+
+
+def class_members(rows: DataFrame) -> DataFrame:
+    """(grp, key, cls): the classes of each document's lines, pairs of lines,
+    units and blocks, each once."""
     def run(batches):
         for piece in ts.slices(batches, budget=1 << 20):
-            buf, off = ts.text_buffer(piece.column("text"))
-            edge, row, par = _lines(buf, off)
-            w = ts.words(buf, off, ts.SPACED)
-            first = np.searchsorted(w.start, edge)
-            some = np.flatnonzero(np.diff(first))
-            nth = np.zeros(len(row), np.int64)
-            nth[some] = np.arange(len(some)) - np.searchsorted(row[some], row[some])
-            for kind in kinds:
-                a, b = units(w) if kind == UNIT else blocks(w) if kind == BLOCK else (first[some], first[some + 1])
-                doc = w.doc[a]
-                line = some if kind == LINE else np.searchsorted(edge, w.start[a], side="right") - 1
-                start, end = (edge[some], edge[some + 1]) if kind == LINE else (w.start[a], _ends(w, off, b))
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id").take(pa.array(doc)), pa.array(np.full(len(a), kind, np.int32)),
-                     pa.array(par[line]), pa.array(nth[line]), pa.array(a - w.first[doc]),
-                     pa.array(start - off[doc]), pa.array(end - off[doc]), pa.array(b - a),
-                     pa.array(ts.signed(sequence_hash(spans(w, a, b))))],
-                    ["doc_id", "kind", "par", "nth", "word", "start", "end", "n_words", "cls"])
-    return _input(docs).mapInArrow(
-        run, "doc_id long, kind int, par long, nth long, word long, start long, end long, n_words long, cls long")
-
-
-def signed_classes(docs: DataFrame) -> DataFrame:
-    """(id, n, sig) of the blocks and the lines of at least ``LEAST_WORDS`` words."""
+            parts = Parts(piece.column("text"))
+            at, pair = parts.pairs()
+            doc = np.concatenate([*parts.doc.values(), parts.doc[LINE][at]])
+            cls = np.concatenate([*parts.cls.values(), pair])
+            order = np.lexsort((cls, doc))
+            doc, cls = doc[order], cls[order]
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (cls[1:] != cls[:-1])
+            doc = pa.array(doc[new])
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("grp").take(doc), piece.column("key").take(doc), pa.array(ts.signed(cls[new]))],
+                ["grp", "key", "cls"])
+    return rows.select("grp", "key", "text").mapInArrow(run, f"{ROW}, cls long")
+
+
+def signed_classes(rows: DataFrame) -> DataFrame:
+    """(id, n, sig, grp, key) of the blocks and the lines of at least
+    ``LEAST_WORDS`` words."""
     def run(batches):
         for piece in ts.slices(batches, budget=1 << 20):
             buf, off = ts.text_buffer(piece.column("text"))
@@ -188,146 +234,257 @@ def signed_classes(docs: DataFrame) -> DataFrame:
             a, b = np.unique([np.append(first[long_], a), np.append(first[long_ + 1], b)], axis=1)
             own = spans(w, a, b)
             sets, edge = ts.shingle_sets(own, SHINGLE)
-            sig = minhash(sets, edge)
+            sig, doc = minhash(sets, edge), pa.array(w.doc[a])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ts.signed(sequence_hash(own))), pa.array(np.diff(edge)),
-                 pa.array([s.tobytes() for s in sig], pa.binary())], ["id", "n", "sig"])
-    return _input(docs).mapInArrow(run, "id long, n long, sig binary")
+                 pa.array([s.tobytes() for s in sig], pa.binary()), piece.column("grp").take(doc),
+                 piece.column("key").take(doc)], ["id", "n", "sig", "grp", "key"])
+    return rows.select("grp", "key", "text").mapInArrow(run, f"id long, n long, sig binary, {ROW}")
 
 
-def _input(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+_GROUPS = (UNNAMED, NAMED, CLASH)
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """The removed paragraphs, units and blocks, which may overlap: doc_id, par
-    (the number of the line where it begins), start, end (bytes), n_words,
-    component (of the cluster), first_doc_id (the document that keeps it).
+def _range(low: str = "key", high: str = "key"):
+    """Aggregates: the least and the greatest key of each group."""
+    if low == "key":
+        cases = [(g, F.when(F.col("grp") == g, F.col("key"))) for g in _GROUPS]
+        return [f(c).alias(f"{n}{g}") for g, c in cases for n, f in (("lo", F.min), ("hi", F.max))]
+    return [f(f"{n}{g}").alias(f"{n}{g}") for g in _GROUPS for n, f in (("lo", F.min), ("hi", F.max))]
 
-    Null and empty texts have no paragraphs. Rows that share a doc_id are one
-    document and don't repeat each other; rows without doc_id are one document
-    that comes first. Repeats inside the first document stay. Other columns
-    are ignored; an empty table gives no rows.
-    """
-    docs = docs.select("doc_id", "text")
-    pars = settle(split_paragraphs(docs, (LINE, BLOCK)), "paragraphs")
-    scratch = Scratch(docs.sparkSession, "signatures")
+
+def _several():
+    """Whether the keys are of more than one document."""
+    apart = F.greatest(*[F.coalesce(F.col(f"lo{g}") < F.col(f"hi{g}"), F.lit(False)) for g in _GROUPS])
+    kinds = sum((F.col(f"lo{g}").isNotNull().cast("int") for g in _GROUPS[1:]), F.col("lo0").isNotNull().cast("int"))
+    return apart | (kinds > 1)
+
+
+def _first(name: str):
+    """The first document's group and key."""
+    grp = F.when(F.col("lo0").isNotNull(), UNNAMED).when(F.col("lo1").isNotNull(), NAMED).otherwise(CLASH)
+    return grp.alias(f"{name}_grp"), F.coalesce("lo0", "lo1", "lo2").alias(f"{name}_key")
+
+
+def marks(rows: DataFrame) -> DataFrame:
+    """(grp, key, marks) of the documents that have repeats, of (grp, key,
+    text): for each class of theirs that begins in another document cls,
+    component, near (the cluster begins there), equal (the very words stand
+    there), and the doc_ids of the two."""
+    scratch = Scratch(rows.sparkSession, "signatures")
+    signed = scratch.settle(signed_classes(rows), "minhashes")
+    places = Scratch(rows.sparkSession, "places")
 
     def content(ids):
+        first = signed.join(ids, "id").groupBy("id").agg(*_range())
+        wanted = places.settle(first.select("id", *_first("at")).groupBy(
+            F.col("at_grp").alias("grp"), F.col("at_key").alias("key")).agg(F.collect_list("id").alias("ids")), "wanted")
         scratch.release()           # the bands are dealt; the few signatures still wanted come with the texts
-        first = pars.where(F.col("n_words") >= LEAST_WORDS) \
-            .join(ids, pars.cls == ids.id, "left_semi").groupBy("cls") \
-            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start", "end")).alias("at"))
-        spans = first.groupBy(F.col("at.doc_id").alias("at_doc")).agg(F.collect_list(F.struct("cls", "at.start", "at.end")).alias("spans"))
-        return docs.join(spans, F.col("doc_id").eqNullSafe(F.col("at_doc"))).select("text", "spans") \
+        return rows.join(wanted, ["grp", "key"]).select("text", "ids") \
             .mapInArrow(_texts, "id long, n long, sig binary, text string").dropDuplicates(["id"])
 
-    comp = near_components(scratch.settle(signed_classes(docs), "minhashes"), content, HASHES // ROWS, 2 * ROWS,
+    comp = near_components(signed.select("id", "n", "sig"), content, HASHES // ROWS, 2 * ROWS,
                            SHINGLE, ts.SPACED, same_share, PERCENT / 100 - 0.3, PERCENT, turns=8)
-    pars = pars.union(settle(split_paragraphs(docs, (UNIT,)), "units"))
-    scratch = Scratch(docs.sparkSession, "clusters")
-    # nearly all classes have one document and no link, and go before anything is joined to the paragraphs
-    linked = comp.select(F.col("id").alias("cls"), "component")
+    places.release()
+    scratch = Scratch(rows.sparkSession, "clusters")
+    members = scratch.settle(class_members(rows), "members")
+    # nearly all classes have one document and no link, and go here
     named = scratch.settle(
-        pars.groupBy("cls").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-                                F.max(F.col("doc_id").isNull()).alias("unnamed"))
-        .join(linked, "cls", "left")
-        .where(F.col("component").isNotNull() | (F.col("lo") < F.col("hi"))
-               | (F.col("unnamed") & F.col("lo").isNotNull()))
+        members.groupBy("cls").agg(*_range()).join(comp.withColumnRenamed("id", "cls"), "cls", "left")
+        .withColumn("several", _several()).where(F.col("component").isNotNull() | F.col("several"))
         .withColumn("component", F.coalesce("component", "cls")), "classes")
-    # a cluster with a second document: the others are of one document and drop out here
-    first = named.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-                                           F.max("unnamed").alias("unnamed")) \
-        .where((F.col("lo") < F.col("hi")) | (F.col("unnamed") & F.col("lo").isNotNull())) \
-        .select("component", F.when(~F.col("unnamed"), F.col("lo")).alias("first_doc_id"))
-    # a unit may have the words of a block, but is a repeat only where they are equal
-    several = (F.col("lo") < F.col("hi")) | (F.col("unnamed") & F.col("lo").isNotNull())
-    equal = named.where(several).select("cls", F.lit(True).alias("unit"), F.col("cls").alias("component"),
-                                        F.when(~F.col("unnamed"), F.col("lo")).alias("first_doc_id"))
-    near = named.select("cls", F.lit(False).alias("unit"), "component").join(first, "component") \
-        .select("cls", "unit", "component", "first_doc_id")
-    known = scratch.settle(near.union(equal), "repeated")
-    marked = scratch.settle(
-        pars.withColumn("unit", F.col("kind") == UNIT).join(known, ["cls", "unit"])
-        .where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id"))), "marked")
-    # neighbouring lines have the same difference of their number and their rank
-    run = F.col("nth") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("nth"))
-    lines = marked.where(F.col("kind") == LINE).withColumn("run", run) \
-        .withColumn("in_run", F.sum("n_words").over(Window.partitionBy("doc_id", "run"))) \
-        .where(F.col("in_run") >= LEAST_WORDS).select(marked.columns)
-    exact = marked.where((F.col("kind") == UNIT) | ((F.col("kind") == LINE) & (F.col("n_words") >= LEAST_WORDS)))
-    out = settle(lines.union(marked.where(F.col("kind") == UNIT)).union(_trimmed(marked, exact))
-                 .select("doc_id", "par", "start", "end", "n_words", "component", "first_doc_id").distinct(), "repeats")
+    first = named.groupBy("component").agg(*_range("lo", "hi")).where(_several()).select("component", *_first("near"))
+    known = named.join(first, "component").select("cls", "component", "several", "near_grp", "near_key", *_first("equal"))
+    here = members.join(known, "cls")
+
+    def other(name):
+        return (F.col("grp") != F.col(f"{name}_grp")) | (F.col("key") != F.col(f"{name}_key"))
+
+    def keeper(name):
+        return F.when(F.col(f"{name}_grp") == NAMED, F.col(f"{name}_key"))
+    mark = F.struct("cls", "component", other("near").alias("near"), (F.col("several") & other("equal")).alias("equal"),
+                    keeper("near").alias("near_doc"), keeper("equal").alias("equal_doc"))
+    lists = settle(here.select("grp", "key", mark.alias("m")).where("m.near or m.equal")
+                   .groupBy("grp", "key").agg(F.collect_list("m").alias("marks")), "marks")
     scratch.release()
-    return out
+    return lists
+
 
+class Found(NamedTuple):
+    """Removed places of a column of texts, by row and start."""
+    doc: np.ndarray
+    par: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    n_words: np.ndarray
+    mark: np.ndarray        # which of the marks, all rows' one after another
+    kind: np.ndarray
 
-def _trimmed(marked: DataFrame, inner: DataFrame) -> DataFrame:
+
+def _keyed(doc: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ts.mix(cls + ts.mix(doc.astype(np.uint64) + np.uint64(1)))
+
+
+def find(col: pa.Array, lists: pa.ListArray) -> Found:
+    """The places of the marks in their texts that are removed."""
+    parts = Parts(col)
+    size = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten()
+    value = {n: flat.field(n).to_numpy(zero_copy_only=False) for n in ("cls", "near", "equal")}
+    known = _keyed(np.repeat(np.arange(len(size)), size), value["cls"].astype(np.int64).view(np.uint64))
+    order = np.argsort(known)
+    known = known[order]
+
+    def marked(doc, cls, flag):
+        if not len(known) or not len(doc):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        k = _keyed(doc, cls)
+        at = np.minimum(np.searchsorted(known, k), len(known) - 1)
+        good = (known[at] == k) & value[flag].astype(bool)[order[at]]
+        return np.flatnonzero(good), order[at[good]]
+
+    i = {}
+    mark = {}
+    for kind, flag in ((LINE, "near"), (UNIT, "equal"), (BLOCK, "near")):
+        i[kind], mark[kind] = marked(parts.doc[kind], parts.cls[kind], flag)
+    words_ = {k: (parts.b[k] - parts.a[k])[i[k]] for k in i}
+    # Marked lines, one after another and a pair that an earlier document has, are a run.
+    at, pair = parts.pairs()
+    beside = np.zeros(len(parts.doc[LINE]), bool)
+    beside[at[marked(parts.doc[LINE][at], pair, "equal")[0]]] = True
+    lines = i[LINE]
+    goes_on = np.zeros(len(lines), bool)
+    goes_on[1:] = (np.diff(lines) == 1) & beside[lines[:-1]]
+    run = np.cumsum(~goes_on) - 1
+    keep = np.bincount(run, words_[LINE])[run] >= LEAST_WORDS if len(run) else goes_on
+    alone = words_[LINE] >= LEAST_WORDS
+    out = [_rows(parts, k, i[k][x], mark[k][x]) for k, x in ((LINE, keep | alone), (UNIT, slice(None)))]
+    inner = [_rows(parts, k, i[k][x], mark[k][x]) for k, x in ((LINE, alone), (UNIT, slice(None)))]
+    near = _trimmed(_rows(parts, BLOCK, i[BLOCK], mark[BLOCK]), Found(*map(np.concatenate, zip(*inner))), parts)
+    out = Found(*map(np.concatenate, zip(*out, near)))
+    order = np.lexsort((out.kind, out.end, out.start, out.doc))
+    return Found(*(x[order] for x in out))
+
+
+def _rows(parts: Parts, kind: int, i: np.ndarray, mark: np.ndarray) -> Found:
+    doc = parts.doc[kind][i]
+    return Found(doc, parts.par[kind][i], parts.start[kind][i], parts.end[kind][i],
+                 (parts.b[kind] - parts.a[kind])[i], mark, np.full(len(i), kind))
+
+
+def _trimmed(near: Found, inner: Found, parts: Parts) -> Found:
     """The repeated blocks, from where the first of ``inner`` in one begins to
     where the last ends: a block of a near copy may begin and end with words of
-    its own. Blocks without any stay as they are."""
-    both = marked.where(F.col("kind") == BLOCK).union(inner)
-    least = Window.partitionBy("doc_id").orderBy(F.desc("start"), "kind")
-    most = Window.partitionBy("doc_id").orderBy("end", "kind")
-    plain = F.col("kind") != BLOCK
-    near = both.withColumn("lo", F.last(F.when(plain, F.struct("start", "par", "word")), True).over(
-        least.rowsBetween(Window.unboundedPreceding, 0))) \
-        .withColumn("hi", F.last(
-            F.when(plain, F.struct("end", (F.col("word") + F.col("n_words")).alias("word"))), True).over(
-            most.rowsBetween(Window.unboundedPreceding, 0))) \
-        .where(~plain)
-    # one that reaches over an edge of the block covers that edge
-    lo = F.coalesce(F.col("lo.start") < F.col("end"), F.lit(False))
-    hi = F.coalesce(F.col("hi.end") > F.col("start"), F.lit(False))
-    whole = lo & hi & (F.col("lo.start") >= F.col("hi.end"))
-    near = near.withColumn("from_lo", lo & ~whole).withColumn("to_hi", hi & ~whole)
-    word = F.when(F.col("from_lo"), F.col("lo.word")).otherwise(F.col("word"))
-    last = F.when(F.col("to_hi"), F.col("hi.word")).otherwise(F.col("word") + F.col("n_words"))
-    return near.withColumn("n_words", last - word) \
-        .withColumn("par", F.when(F.col("from_lo"), F.col("lo.par")).otherwise(F.col("par"))) \
-        .withColumn("start", F.when(F.col("from_lo"), F.col("lo.start")).otherwise(F.col("start"))) \
-        .withColumn("end", F.when(F.col("to_hi"), F.col("hi.end")).otherwise(F.col("end"))).select(marked.columns)
+    its own. Blocks without any stay as they are. Positions are of the buffer,
+    so a row's places lie together."""
+    if not len(near.doc) or not len(inner.doc):
+        return near
+    starts, ends = np.argsort(inner.start), np.sort(inner.end)
+    lo_at = np.searchsorted(inner.start[starts], near.start)
+    hi_at = np.searchsorted(ends, near.end, side="right") - 1
+    lo = np.append(inner.start[starts], np.iinfo(np.int64).max)[lo_at]
+    hi = np.where(hi_at >= 0, ends[hi_at], -1)
+    has_lo, has_hi = lo < near.end, hi > near.start
+    whole = has_lo & has_hi & (lo >= hi)
+    from_lo, to_hi = has_lo & ~whole, has_hi & ~whole
+    start, end = np.where(from_lo, lo, near.start), np.where(to_hi, hi, near.end)
+    par = np.where(from_lo, inner.par[starts][np.minimum(lo_at, len(starts) - 1)], near.par)
+    n_words = np.searchsorted(parts.words.start, end) - np.searchsorted(parts.words.start, start)
+    return Found(near.doc, par, start, end, n_words, near.mark, near.kind)
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """The removed paragraphs, units and blocks, which may overlap: doc_id, par
+    (the number of the line where it begins), start, end (bytes), n_words,
+    component (of the cluster), first_doc_id (the document that keeps it).
+
+    Null and empty texts have no paragraphs. Rows of one doc_id and text are
+    one document and don't repeat each other (their places come once); rows of
+    one doc_id and several texts are documents of their own, judged by their
+    own words, as are rows without doc_id. Those without come first, then the
+    others by doc_id, and last what has another text than its doc_id's first;
+    first_doc_id is null for a keeper of either of these kinds. Repeats inside
+    the first document stay. Other columns are ignored; an empty table gives no
+    rows.
+    """
+    def run(batches):
+        for piece in ts.slices(batches, budget=1 << 20):
+            lists = piece.column("marks")
+            f = find(piece.column("text"), lists)
+            off, flat = ts.text_buffer(piece.column("text"))[1], lists.flatten()
+            unit = f.kind == UNIT
+            mark = flat.take(pa.array(f.mark))
+            keeper = pc.if_else(pa.array(unit), mark.field("equal_doc"), mark.field("near_doc"))
+            component = pc.if_else(pa.array(unit), mark.field("cls"), mark.field("component"))
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id").take(pa.array(f.doc)), pa.array(f.par), pa.array(f.start - off[f.doc]),
+                 pa.array(f.end - off[f.doc]), pa.array(f.n_words), component, keeper],
+                ["doc_id", "par", "start", "end", "n_words", "component", "first_doc_id"])
+    rows = identified(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                  F.col("text").cast("string").alias("text")))
+    once = rows.join(marks(rows), ["grp", "key"]).select("doc_id", "text", "marks")
+    return once.mapInArrow(run, "doc_id long, par long, start long, end long, n_words long, component long, "
+                                "first_doc_id long").distinct()
 
 
 def _texts(batches):
     """The wanted classes' size, signature and text, if they are in this text."""
     for batch in batches:
-        for piece in ts.slices([batch]):
-            ids, texts = [], []
-            for text, spans in zip(piece.column("text").to_pylist(), piece.column("spans").to_pylist()):
-                raw = (text or "").encode()
-                for s in spans:
-                    ids.append(s["cls"])
-                    texts.append(raw[s["start"]:s["end"]].decode("utf-8", "replace"))
-            col = pa.array(texts, pa.string())
-            w = ts.words(*ts.text_buffer(col), ts.SPACED)
-            own = ts.signed(sequence_hash(w)) == np.array(ids, np.int64)
-            sets, edge = ts.shingle_sets(w, SHINGLE)
+        for piece in ts.slices([batch], budget=1 << 20):
+            lists = piece.column("ids")
+            parts = Parts(piece.column("text"))
+            buf = ts.text_buffer(piece.column("text"))[0]
+            size = np.diff(lists.offsets.to_numpy())
+            known = np.sort(_keyed(np.repeat(np.arange(len(size)), size),
+                                   lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
+            a, b, ids = [], [], []
+            for kind in (LINE, BLOCK):
+                k = _keyed(parts.doc[kind], parts.cls[kind])
+                at = np.minimum(np.searchsorted(known, k), len(known) - 1)
+                good = np.flatnonzero(known[at] == k)
+                a.append(parts.start[kind][good])
+                b.append(parts.end[kind][good])
+                ids.append(parts.cls[kind][good])
+            ids, once = np.unique(np.concatenate(ids), return_index=True)
+            a, b = np.concatenate(a)[once], np.concatenate(b)[once]
+            raw = buf.tobytes()
+            col = pa.array([raw[x:y].decode("utf-8", "replace") for x, y in zip(a, b)], pa.string())
+            sets, edge = ts.shingle_sets(ts.words(*ts.text_buffer(col), ts.SPACED), SHINGLE)
             sig = pa.array([s.tobytes() for s in minhash(sets, edge)], pa.binary())
-            cols = [pa.array(ids, pa.int64()), pa.array(np.diff(edge)), sig, col]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(own)) for c in cols], ["id", "n", "sig", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(ts.signed(ids)), pa.array(np.diff(edge)), sig, col],
+                                             ["id", "n", "sig", "text"])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated passages; rows that had words and lose
     them all go. Texts that lose nothing are left as they are."""
-    spans_ = spare(docs, "_spans")
-    gone = repeats(docs).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(spans_))
+    grp, key, marks_ = spare(docs, "_grp"), spare(docs, "_key"), spare(docs, "_marks")
+    rows = identified(docs, grp, key)
+    lists = marks(rows.select(F.col(grp).alias("grp"), F.col(key).alias("key"), F.col("text").cast("string").alias("text")))
+    lists = lists.select(F.col("grp").alias(grp), F.col("key").alias(key), F.col("marks").alias(marks_))
+    both = rows.join(lists, [grp, key], "left").select(*docs.columns, marks_)
     text = docs.columns.index("text")
-    both = docs.join(gone, "doc_id", "left").select(*docs.columns, spans_)
 
     def run(batches):
-        for piece in ts.slices(batches):
+        for piece in ts.slices(batches, budget=1 << 20):
             cols = list(piece.columns[:-1])
-            texts, keep = cols[text].to_pylist(), []
-            for i, spans in enumerate(piece.column(piece.num_columns - 1).to_pylist()):
-                keep.append(True)
-                if spans and texts[i] is not None:
-                    texts[i] = _cut(texts[i], [(s["start"], s["end"]) for s in spans])
-                    keep[-1] = bool(texts[i].strip())
-            cols[text] = pa.array(texts, cols[text].type)
-            out = pa.RecordBatch.from_arrays(cols, list(piece.schema.names[:-1]))
-            yield out.filter(pa.array(keep, pa.bool_()))
+            had = np.flatnonzero(piece.column(piece.num_columns - 1).is_valid().to_numpy(zero_copy_only=False))
+            keep = np.ones(piece.num_rows, bool)
+            if len(had):
+                some = cols[text].take(pa.array(had))
+                f = find(some, piece.column(piece.num_columns - 1).take(pa.array(had)))
+                off = ts.text_buffer(some)[1]
+                edge = np.searchsorted(f.doc, np.arange(len(had) + 1))
+                texts = cols[text].to_pylist()
+                for i, row in enumerate(had.tolist()):
+                    places = slice(edge[i], edge[i + 1])
+                    if edge[i] < edge[i + 1]:
+                        texts[row] = _cut(texts[row], list(zip((f.start[places] - off[i]).tolist(),
+                                                               (f.end[places] - off[i]).tolist())))
+                        keep[row] = bool(texts[row].strip())
+                cols[text] = pa.array(texts, cols[text].type)
+            yield pa.RecordBatch.from_arrays(cols, list(piece.schema.names[:-1])).filter(pa.array(keep))
 
     return both.mapInArrow(run, docs.schema)
 

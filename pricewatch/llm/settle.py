@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pricewatch.session import scratch_path
+from pricewatch.sources import files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Spark deletes a query's shuffle files when the query ends, rather than when
+# the driver's collector finds its plan unused.
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` (or ``folder``) and read it
     back: its lineage ends there, a lost executor costs no recomputation, and a
-    second reader doesn't run it again."""
+    second reader doesn't run it again. Its shuffle files go."""
     spark = df.sparkSession
     path = f"{folder or scratch_path(spark, '').rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    was = spark.conf.get(FREE, "false")
+    spark.conf.set(FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -34,23 +44,10 @@ class Scratch:
         self.folder = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
 
     def settle(self, df: DataFrame, name: str) -> DataFrame:
-        written = settle(df, name, self.folder)
-        free_shuffles(self.spark)
-        return written
+        return settle(df, name, self.folder)
 
     def release(self) -> None:
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-        free_shuffles(self.spark)
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Spark deletes a finished query's shuffle files once the driver's
-    collector has found its plan unused, by default every half hour or when the
-    driver's heap fills. This asks for it now."""
-    gc.collect()                        # Python's handles keep the plans
-    spark.sparkContext._jvm.System.gc()
+        files.delete(self.spark, self.folder)
 
 
 def spare(df: DataFrame, name: str) -> str:

@@ -91,3 +91,31 @@ def test_near_copies_of_rows_without_doc_id(spark):
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
     whole = {(r.doc_id, r.first_doc_id) for r in paragraphs.repeats(docs).collect() if r.start == 0 and r.n_words == 60}
     assert whole == {(5, None), (7, None), (8, None)}
+
+
+def test_rows_of_one_doc_id(spark):
+    """A repeat of a row isn't cut out of another row of its doc_id."""
+    ship(spark)
+    rng = np.random.default_rng(8)
+    a, b, c, d = (own_words(rng, 80) for _ in range(4))
+    docs = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(a)), (2, " ".join(b)), (2, " ".join(b)),
+                                  (None, " ".join(c)), (None, " ".join(c[:40] + d[:40]))],
+                                 "doc_id long, text string")
+    left = sorted(((r.doc_id or 0, len(r.text.split())) for r in paragraphs.without_repeats(docs).collect()))
+    assert [x for x in left if x[0]] == [(1, 80), (2, 80), (2, 80)]
+    unnamed = [n for i, n in left if not i]                 # documents of their own
+    assert len(unnamed) == 2 and 40 <= unnamed[0] <= 60 and unnamed[1] == 80
+
+
+def test_short_lines_that_never_met(spark):
+    """Common short lines stay where they meet; a passage of short lines that
+    stood together before goes."""
+    ship(spark)
+    rng = np.random.default_rng(9)
+    x, y, z, p, q, r = (" ".join(own_words(rng, 9)) for _ in range(6))
+    own = [" ".join(own_words(rng, 30)) for _ in range(8)]
+    texts = [f"{own[0]}\n{x}\n{own[1]}", f"{own[2]}\n{y}", f"{z}\n{own[3]}", f"{own[4]}\n{x}\n{y}\n{z}",
+             f"{own[5]}\n{p}\n{q}\n{r}", f"{own[6]}\n{p}\n{q}\n{r}\n{own[7]}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {d.doc_id: d.text for d in paragraphs.without_repeats(docs).collect()}
+    assert [left[i] for i in range(5)] == texts[:5] and left[5] == f"{own[6]}\n{own[7]}"
