@@ -154,6 +154,36 @@ def test_neighbours(spark):
     assert hit >= 54 and [v for _, v in sorted(got[0])] == list(range(500, 510)) and 700 not in got
 
 
+def test_neighbours_of_skewed_vectors(spark, monkeypatch):
+    """A third near copies of one vector, six hundred equal ones, three
+    shards: each kind of query finds its nearest."""
+    ship(spark)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(6000, 32))
+    x[:2000] = x[0] * 0.1 + rng.normal(size=(2000, 32)) * 0.1
+    x[2000:2600] = rng.normal(size=32) + 2
+    monkeypatch.setattr(ann, "SHARD", 2000)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = [*range(0, 2000, 50), *range(2000, 2600, 30), *range(2600, 6000, 85)]
+    got = {}
+    for r in ann.search(d, d.where(f"vec_id in ({','.join(map(str, asked))})")).collect():
+        got.setdefault(r.query_id, set()).add((r.vec_id, r.score))
+    for lo, hi in ((0, 2000), (2000, 2600), (2600, 6000)):
+        hits = []
+        for q in (i for i in asked if lo <= i < hi):
+            dist = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+            dist[q] = np.inf
+            most = np.sort(dist)[9] * (1 + 1e-9)
+            hits.append(sum(s <= most for _, s in got[q]) / 10)
+        assert np.mean(hits) >= 0.95, (lo, np.mean(hits))
+    graph, start = ann.build(x[:3000])
+    assert ann.reached(graph, start).all()
+    assert ann.search(d.limit(0), d).count() == 0 and ann.search(d, d.limit(0)).count() == 0
+    twice = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 2.0]), (3, [1.0, 2.0, 3.0])],
+                                  "vec_id long, embedding array<double>")
+    assert {(r.query_id, r.vec_id, r.score) for r in ann.search(twice, twice).collect()} == {(1, 2, 1.0), (2, 1, 1.0)}
+
+
 def test_pages(spark):
     ship(spark)
     page = ("<title>t</title><style>.x{display:none}</style>a<p>b<p>c <b class=x>no</b><ul><li>d<li>e</ul>"
