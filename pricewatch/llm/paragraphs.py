@@ -7,8 +7,9 @@ wrapped; pieces from one cut on that together have ``LEAST_WORDS`` words are a
 unit, and units overlap. Blocks lie between the cuts that are the least of
 ``BLOCK_REACH`` words to either side.
 
-Equal paragraphs, units and blocks (by the hash of their word sequence) are one
-class. Lines of at least ``LEAST_WORDS`` words and blocks also get a MinHash
+Equal paragraphs and units (by the hash of their word sequence) are one class,
+as are equal blocks; lines and blocks are compared among themselves only, as
+every line resembles the block that it lies in. Lines of at least ``LEAST_WORDS`` words and blocks also get a MinHash
 signature of their shingles, whose bands are tuned for a wanted recall at the
 threshold. Colliding classes are joined, verified by exact Jaccard similarity
 on the full sets and clustered by components (``neardup``).
@@ -47,6 +48,7 @@ RECALL = 0.9995             # of pairs exactly at the threshold
 PIECE = 4                   # pieces have 9 words on average
 BLOCK_REACH = 32            # blocks have 65
 LONGEST = 32                # a longer piece, as of one repeated word, is cut every LONGEST // 2 words
+APART = np.uint16(0x5A5A)   # keeps blocks' signatures out of the lines' buckets
 LINE, UNIT, BLOCK = range(3)
 UNNAMED, NAMED, CLASH = range(3)       # documents without doc_id; with their own; with one that others have, too
 ROW = "grp int, key long"
@@ -63,6 +65,12 @@ def tune_bands(hashes: int, similarity: float, recall: float) -> int:
 ROWS = tune_bands(HASHES, PERCENT / 100, RECALL)
 _FACTORS = ts.stream(31, HASHES)
 _PAIR = ts.stream(37, 2)
+_BLOCK = ts.stream(41, 1)[0]
+
+
+def block_class(cls: np.ndarray) -> np.ndarray:
+    """The class of a block: another one than a line's of the same words."""
+    return ts.mix(cls ^ _BLOCK)
 
 
 def minhash(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -171,6 +179,7 @@ class Parts:
         self.a, self.b = a, b                       # first word, and the one after the last
         self.doc = {k: w.doc[a[k]] for k in a}
         self.cls = {k: sequence_hash(spans(w, a[k], b[k])) for k in a}
+        self.cls[BLOCK] = block_class(self.cls[BLOCK])
         line = {k: some if k == LINE else np.searchsorted(edge, w.start[a[k]], side="right") - 1 for k in a}
         self.par = {k: par[line[k]] for k in a}     # the number of the line where it begins
         self.start = {k: edge[some] if k == LINE else w.start[a[k]] for k in a}
@@ -231,12 +240,15 @@ def signed_classes(rows: DataFrame) -> DataFrame:
             first = np.searchsorted(w.start, _lines(buf, off)[0])
             long_ = np.flatnonzero(np.diff(first) >= LEAST_WORDS)
             a, b = blocks(w)
-            a, b = np.unique([np.append(first[long_], a), np.append(first[long_ + 1], b)], axis=1)
+            block = np.repeat([False, True], [len(long_), len(a)])
+            a, b = np.append(first[long_], a), np.append(first[long_ + 1], b)
             own = spans(w, a, b)
             sets, edge = ts.shingle_sets(own, SHINGLE)
-            sig, doc = minhash(sets, edge), pa.array(w.doc[a])
+            sig, doc, ids = minhash(sets, edge), pa.array(w.doc[a]), sequence_hash(own)
+            ids[block] = block_class(ids[block])
+            sig[block] ^= APART
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ts.signed(sequence_hash(own))), pa.array(np.diff(edge)),
+                [pa.array(ts.signed(ids)), pa.array(np.diff(edge)),
                  pa.array([s.tobytes() for s in sig], pa.binary()), piece.column("grp").take(doc),
                  piece.column("key").take(doc)], ["id", "n", "sig", "grp", "key"])
     return rows.select("grp", "key", "text").mapInArrow(run, f"id long, n long, sig binary, {ROW}")
@@ -438,7 +450,7 @@ def _texts(batches):
             size = np.diff(lists.offsets.to_numpy())
             known = np.sort(_keyed(np.repeat(np.arange(len(size)), size),
                                    lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
-            a, b, ids = [], [], []
+            a, b, ids, block = [], [], [], []
             for kind in (LINE, BLOCK):
                 k = _keyed(parts.doc[kind], parts.cls[kind])
                 at = np.minimum(np.searchsorted(known, k), len(known) - 1)
@@ -446,12 +458,15 @@ def _texts(batches):
                 a.append(parts.start[kind][good])
                 b.append(parts.end[kind][good])
                 ids.append(parts.cls[kind][good])
+                block.append(np.full(len(good), kind == BLOCK))
             ids, once = np.unique(np.concatenate(ids), return_index=True)
-            a, b = np.concatenate(a)[once], np.concatenate(b)[once]
+            a, b, block = (np.concatenate(x)[once] for x in (a, b, block))
             raw = buf.tobytes()
             col = pa.array([raw[x:y].decode("utf-8", "replace") for x, y in zip(a, b)], pa.string())
             sets, edge = ts.shingle_sets(ts.words(*ts.text_buffer(col), ts.SPACED), SHINGLE)
-            sig = pa.array([s.tobytes() for s in minhash(sets, edge)], pa.binary())
+            sig = minhash(sets, edge)
+            sig[block] ^= APART
+            sig = pa.array([s.tobytes() for s in sig], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(ts.signed(ids)), pa.array(np.diff(edge)), sig, col],
                                              ["id", "n", "sig", "text"])
 
