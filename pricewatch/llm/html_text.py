@@ -6,8 +6,9 @@ blank lines around paragraphs, headings, lists and tables, list items with
 their bullet or number, table cells aligned in columns, ``pre`` as it stands.
 All text is emitted that a reader would see: not what sits in scripts, styles,
 head, comments and templates, and not what ``hidden``, ``display: none`` or
-``visibility: hidden`` hides, inline or by simple rules of the page's own
-stylesheets.
+``visibility: hidden`` hides, inline or by the page's own stylesheets. These
+go through a small cascade (``css``): media blocks for a screen, source order,
+specificity, ``!important``, inline styles, descendant and child selectors.
 
 Pages are independent: one pass in Arrow batches, no shuffle. Walks use
 explicit stacks, so deep nesting is no problem; only tables inside table cells
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricewatch.llm import css
 from pricewatch.llm import textscan as ts
 from pricewatch.llm.settle import table
 
@@ -54,18 +56,15 @@ _TAG = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_HIDES = re.compile(r"(display)\s*:\s*none|(visibility)\s*:\s*(?:hidden|collapse)", re.I)
-_SHOWS = re.compile(r"visibility\s*:\s*visible", re.I)
-_SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "how")
 
     def __init__(self, tag, attrs=None):
         self.tag, self.attrs, self.children = tag, attrs or {}, []
+        self.how = None         # display: the subtree is gone; visibility: its text is, unless shown again; shown
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -158,42 +157,19 @@ def parse(page: str) -> tuple[Node, list[str]]:
     return root, sheets
 
 
-def hiding_rules(sheets: list[str]) -> list[tuple[str, frozenset, frozenset, str]]:
-    """(tag, classes, ids, display or visibility) of simple selectors."""
-    found = []
-    for sheet in sheets:
-        for m in _RULE.finditer(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            hides = _HIDES.search(m[2])
-            for s in m[1].split(",") if hides else ():
-                simple = _SIMPLE.fullmatch(s.strip())
-                if simple and simple[0]:
-                    parts = re.findall(r"([.#])([\w-]+)", simple[2])
-                    found.append(((simple[1] or "").lower(), frozenset(v for k, v in parts if k == "."),
-                                  frozenset(v for k, v in parts if k == "#"), "display" if hides[1] else "visibility"))
-    return found
-
-
-def visibility(node: Node, rules) -> str | None:
-    """display: the subtree is gone; visibility: its text is, unless shown
-    again; shown; or None."""
-    a = node.attrs
-    if node.tag in UNSEEN or "hidden" in a and a["hidden"].lower() != "until-found" \
-            or node.tag == "input" or node.tag == "dialog" and "open" not in a:
-        return "display"
-    found = None
-    if rules:
-        classes = frozenset(a.get("class", "").split())
-        for tag, want, ids, what in rules:
-            if (not tag or tag == node.tag) and want <= classes and (not ids or ids == {a.get("id")}):
-                found = "display" if what == "display" or found == "display" else what
-    style = a.get("style")
-    if style:
-        hides = _HIDES.search(style)
-        if hides:
-            return "display" if hides[1] else "visibility"
-        if found == "visibility" and _SHOWS.search(style) or not found and _SHOWS.search(style):
-            return "shown"
-    return found
+def mark_hidden(root: Node, sheets: list[str]) -> None:
+    """Sets ``how`` of all nodes by the cascade."""
+    styles = css.Styles(sheets)
+    todo = [(root, styles.begin())]
+    while todo:
+        node, above = todo.pop()
+        found, inside = styles.of(node.tag, node.attrs, above)
+        if node.tag in UNSEEN or node.tag == "input" or found.get("display") == "none":
+            node.how = "display"
+            continue
+        see = found.get("visibility")
+        node.how = {"hidden": "visibility", "collapse": "visibility", "visible": "shown"}.get(see)
+        todo.extend((c, inside) for c in node.children if isinstance(c, Node))
 
 
 class Page:
@@ -251,7 +227,7 @@ def _number(text: str | None, default: int, most: int = 1000) -> int:
     return max(-most, min(most, int(m[1]))) if m else default
 
 
-def render(node: Node, rules, depth: int = 0) -> list[str]:
+def render(node: Node, depth: int = 0) -> list[str]:
     """The lines of a tree."""
     page = Page()
     lists: list[list] = []              # (kind, next number)
@@ -283,7 +259,7 @@ def render(node: Node, rules, depth: int = 0) -> list[str]:
             elif tag in ("button", "select", "label"):
                 page.space = True
             continue
-        how = visibility(it, rules)
+        how = it.how
         if how == "display":
             continue
         hidden = True if how == "visibility" else False if how == "shown" else hidden
@@ -324,7 +300,7 @@ def render(node: Node, rules, depth: int = 0) -> list[str]:
         elif tag == "details" and "open" not in it.attrs:
             children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
         elif tag == "table" and depth < NESTED:
-            for line in _table(it, rules, depth, hidden):
+            for line in _table(it, depth, hidden):
                 page.line = line
                 page.flush()
             page.blank = True
@@ -337,7 +313,7 @@ def render(node: Node, rules, depth: int = 0) -> list[str]:
     return page.lines
 
 
-def _table(table_: Node, rules, depth: int, hidden: bool) -> list[str]:
+def _table(table_: Node, depth: int, hidden: bool) -> list[str]:
     """Caption, then rows with cells padded to their columns' widths."""
     before, rows = [], []
     todo = [(c, hidden) for c in reversed(table_.children)]
@@ -347,7 +323,7 @@ def _table(table_: Node, rules, depth: int, hidden: bool) -> list[str]:
             if it.strip() and not unseen:           # stray text stands before the table
                 before.append(" ".join(it.split()))
             continue
-        how = visibility(it, rules)
+        how = it.how
         if how == "display":
             continue
         unseen = how == "visibility" or unseen and how != "shown"
@@ -358,7 +334,7 @@ def _table(table_: Node, rules, depth: int, hidden: bool) -> list[str]:
         elif it.tag in ("td", "th"):                # a cell without its row
             rows.append((_inside("tr", [it]), unseen))
         elif it.tag not in ("colgroup", "col"):
-            before.extend(_cell(it, rules, depth, unseen))
+            before.extend(_cell(it, depth, unseen))
     grid: list[dict[int, list[str]]] = []
     taken: dict[int, int] = {}                      # column: rows that a cell from above still fills
     spans: list[tuple[int, int, int]] = []
@@ -370,14 +346,14 @@ def _table(table_: Node, rules, depth: int, hidden: bool) -> list[str]:
                 if cell.strip() and not unseen:
                     before.append(" ".join(cell.split()))
                 continue
-            how = visibility(cell, rules)
+            how = cell.how
             if how == "display":
                 continue
             while taken.get(at):
                 at += 1
             wide = max(1, _number(cell.attrs.get("colspan"), 1)) if cell.tag in ("td", "th") else 1
             high = max(1, _number(cell.attrs.get("rowspan"), 1)) if cell.tag in ("td", "th") else 1
-            line[at] = _cell(cell, rules, depth, how == "visibility" or unseen and how != "shown")
+            line[at] = _cell(cell, depth, how == "visibility" or unseen and how != "shown")
             if wide > 1:
                 spans.append((len(grid), at, wide))
             for c in range(at, at + wide):
@@ -410,11 +386,11 @@ def _table(table_: Node, rules, depth: int, hidden: bool) -> list[str]:
     return [line for line in out if line.strip()]
 
 
-def _cell(cell: Node, rules, depth: int, hidden: bool) -> list[str]:
+def _cell(cell: Node, depth: int, hidden: bool) -> list[str]:
     body = _inside("div", cell.children)
     if hidden:
-        body.attrs = {"style": "visibility:hidden"}
-    return [line for line in render(body, rules, depth + 1) if line]
+        body.how = "visibility"
+    return [line for line in render(body, depth + 1) if line]
 
 
 def _inside(tag: str, children: list) -> Node:
@@ -428,7 +404,8 @@ def page_text(page: str | None) -> str:
     if not page:
         return ""
     root, sheets = parse(page.replace("\r\n", "\n").replace("\0", ""))
-    return "\n".join(render(root, hiding_rules(sheets)))
+    mark_hidden(root, sheets)
+    return "\n".join(render(root))
 
 
 def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
