@@ -26,63 +26,80 @@ from pricewatch.llm import textscan as ts
 from pricewatch.llm.settle import settle, spare, table
 
 GRAM = 4                    # characters; a text's runs of non-letters read as one space
+LARGE = 0x2E80              # from here on alphabets have thousands of letters; their n-grams have SHORT
+SHORT = 2
 SHARE = 2e-5                # of a language's n-grams, to be held by it
 SLOTS = 1 << 20
 HASHES = 3
 UNKNOWN = "und"
-REJECT = 0.3                # documents with a lower score have no known language
-MOST_LANGUAGES = 512
+REJECT = 0.3                # documents with a lower score, less its margin, have no known language
 
 
 @functools.cache
-def _letters() -> np.ndarray:
-    """Lower-case code point of each letter or mark, 32 for all else."""
-    out = np.full(0x110000, 32, np.uint32)
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """Lower-case code point of each letter or mark, 32 for all else; and
+    whether it is a letter."""
+    out, letter = np.full(0x110000, 32, np.uint32), np.zeros(0x110000, bool)
     for c in range(0x110000):
-        if unicodedata.category(chr(c))[0] in "LM":
+        kind = unicodedata.category(chr(c))[0]
+        if kind in "LM":
             low = chr(c).lower()
             out[c] = ord(low) if len(low) == 1 else c
-    return out
+            letter[c] = kind == "L"
+    return out, letter
 
 
 def grams(texts: list[str | None], n: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all n-grams with at least one letter, the row of each, and the
     number of letters of each row. Every row is read as if it stood between
     spaces."""
-    fold = _letters()
+    fold, letter = _letters()
     raw = "\0".join(t or "" for t in texts)
     code = np.frombuffer(("\0" + raw + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
     size = np.array([len(t or "") for t in texts])
     row = np.repeat(np.arange(len(texts)), size + 1)
     row = np.append(row, len(texts) - 1) if len(texts) else row
-    low = fold[np.where(code < 0x110000, code, 0)]
+    code = np.where(code < 0x110000, code, 0)
+    low = fold[code]
     space = low == 32
-    letters = np.bincount(row[~space], minlength=len(texts))
+    letters = np.bincount(row[letter[code]], minlength=len(texts))
     edge = np.zeros(len(low), bool)                 # the separators between rows stay
     edge[np.concatenate([[0], np.cumsum(size + 1)])] = True
     keep = ~space | edge
     keep[1:] |= ~space[:-1]
     low, row, edge = low[keep].astype(np.uint64), row[keep], edge[keep]
-    m = len(low) - n + 1
-    if m <= 0:
+    large = (low >= LARGE) & (low < 0xA0000)
+    found, rows = [], []
+    for size_ in (n, SHORT):
+        m = len(low) - size_ + 1
+        if m <= 0:
+            continue
+        step = ts.stream(23 + (size_ != n), size_)
+        all_large = large[:m]
+        with np.errstate(over="ignore"):
+            h = low[:m] * step[0]
+            for j in range(1, size_):
+                h = h + low[j:m + j] * step[j]
+                all_large = all_large & large[j:m + j]
+        # not across rows: no separator inside
+        inner = np.concatenate([[0], np.cumsum(edge)])
+        ok = inner[size_ - 1:len(edge)][:m] - inner[1:m + 1] == 0 if size_ > 2 else np.ones(m, bool)
+        ok = ok & (all_large != (size_ == n))
+        last = row[size_ - 2:size_ - 2 + m]
+        found.append(ts.mix(h[ok]))
+        rows.append(last[ok])
+    if not found:
         return np.empty(0, np.uint64), np.empty(0, np.int64), letters
-    step = ts.stream(23, n)
-    with np.errstate(over="ignore"):
-        h = low[:m] * step[0]
-        for j in range(1, n):
-            h = h + low[j:m + j] * step[j]
-    # not across rows: no separator inside
-    inner = np.concatenate([[0], np.cumsum(edge)])
-    ok = inner[n - 1:len(edge)][:m] - inner[1:m + 1] == 0 if n > 2 else np.ones(m, bool)
-    last = row[n - 2:n - 2 + m]
-    return ts.mix(h[ok]), last[ok], letters
+    return np.concatenate(found), np.concatenate(rows), letters
 
 
 def learn(labelled: DataFrame, share: float = SHARE, slots: int = SLOTS, hashes: int = HASHES) -> dict:
     """The filter from (text, lang) rows; null texts and languages are left
     out. Counts cover all rows; a task adds up its n-grams before they are
-    shuffled. Returned: languages (sorted), masks (slots x words of 64 bits),
-    and the false positive share of each language."""
+    shuffled. Returned: languages (sorted), masks (slots x words of 64 bits, so
+    ``slots / 8`` bytes a language), the false positive share of each language,
+    and the part of its n-grams that it holds (few for a language of thousands
+    of letters)."""
     labelled = labelled.select("text", F.col("lang").cast("string").alias("lang")) \
         .where("text is not null and lang is not null")
 
@@ -108,11 +125,10 @@ def learn(labelled: DataFrame, share: float = SHARE, slots: int = SLOTS, hashes:
     counts = settle(labelled.mapInArrow(count, "lang string, gram long, n long")
                     .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    sizes = {r.lang: r.total for r in total.limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    names = sorted(sizes)
     held = counts.join(F.broadcast(total), "lang").where(F.col("n") >= F.col("total") * share)
+    own = {r.lang: (r.held or 0) / r.total for r in total.join(
+        held.groupBy("lang").agg(F.sum("n").alias("held")), "lang", "left").collect()}      # a row a language
+    names = sorted(own)
     # at most len(names) / share rows, so this fits the driver
     words = max(1, -(-len(names) // 64))
     masks = np.zeros((slots, words), np.uint64)
@@ -126,7 +142,8 @@ def learn(labelled: DataFrame, share: float = SHARE, slots: int = SLOTS, hashes:
             np.bitwise_or.at(masks, (p, lang // 64), bit)
         fill = np.array([((masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean()
                          for i in range(len(names))])
-    return {"names": names, "masks": masks, "false": np.minimum(fill ** hashes, 0.99), "hashes": hashes}
+    return {"names": names, "masks": masks, "false": np.minimum(fill ** hashes, 0.99), "hashes": hashes,
+            "own": np.array([own[n] for n in names])}
 
 
 def _counts(name, g, n) -> pa.RecordBatch:
@@ -141,9 +158,11 @@ def _places(h: np.ndarray, slots: int, hashes: int) -> list[np.ndarray]:
         return [((h + np.uint64(i) * step) & np.uint64(slots - 1)).astype(np.int64) for i in range(hashes)]
 
 
-def decide(texts: list[str | None], model: dict) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text. The score is the winner's corrected
-    share of hits; ties go to the language first in order."""
+def decide(texts: list[str | None], model: dict) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language and score of each text, and its n-grams. The winner has the
+    greatest corrected share of hits, ties go to the language first in order;
+    the score is that share in relation to what the language holds of its own
+    n-grams, at most 1."""
     h, row, letters = grams(texts)
     n = np.bincount(row, minlength=len(texts)).astype(float)
     masks = model["masks"]
@@ -156,15 +175,17 @@ def decide(texts: list[str | None], model: dict) -> tuple[list[str], np.ndarray]
         share[i] = (hits - n * f) / np.maximum(n * (1 - f), 1e-9)
     share = np.clip(share, 0, 1)
     if not len(share):
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), n
     best = share.argmax(axis=0)
+    score = np.minimum(1, share.max(axis=0) / np.maximum(model["own"][best], 1e-9))
     known = (letters > 0) & np.array([t is not None for t in texts], bool)
     names = [model["names"][b] if k else UNKNOWN for b, k in zip(best, known)]
-    return names, np.where(known, share.max(axis=0), 0.0)
+    return names, np.where(known, score, 0.0), n
 
 
 def identify(docs: DataFrame, model: dict, name: str = "_lang") -> DataFrame:
-    """``docs`` with its columns and the struct ``name``: name and score.
+    """``docs`` with its columns and the struct ``name``: name, score and
+    n_grams.
 
     Null texts and texts without a letter are ``und`` with score 0, as are all
     texts when nothing was learned. Repeated rows get equal results; other
@@ -173,14 +194,16 @@ def identify(docs: DataFrame, model: dict, name: str = "_lang") -> DataFrame:
     docs = docs.drop(name)          # a column of that name is replaced
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = docs.columns.index("text")
-    kind = T.StructType([T.StructField("name", T.StringType()), T.StructField("score", T.DoubleType())])
+    kind = T.StructType([T.StructField("name", T.StringType()), T.StructField("score", T.DoubleType()),
+                         T.StructField("n_grams", T.LongType())])
     schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
 
     def run(batches):
         for piece in ts.slices(batches, budget=1 << 20):
-            names, score = decide(piece.column(text).to_pylist(), shared.value)
-            found = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score, pa.float64())],
-                                               names=["name", "score"])
+            names, score, n = decide(piece.column(text).to_pylist(), shared.value)
+            found = pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(n.astype(np.int64))],
+                names=["name", "score", "n_grams"])
             yield pa.RecordBatch.from_arrays([*piece.columns, found], [*piece.schema.names, name])
 
     return docs.mapInArrow(run, schema)
@@ -198,10 +221,13 @@ def learned_from(docs: DataFrame) -> dict:
 
 def known_language(docs: DataFrame, least: float = REJECT) -> DataFrame:
     """``docs`` without the rows that are no text of a learned language: those
-    without a letter, and those whose score is below ``least``."""
+    without a letter, and those whose score is below ``least`` by more than the
+    margin that so few n-grams leave (one over the root of their number), so a
+    short text isn't judged by a handful of them."""
     name = spare(docs, "_lang")
     found, lang = identify(docs, learned_from(docs), name), F.col(name)
-    return found.where((lang["name"] != UNKNOWN) & (lang["score"] >= least)).select(docs.columns)
+    margin = 1 / F.sqrt(F.greatest(lang["n_grams"], F.lit(1)))
+    return found.where((lang["name"] != UNKNOWN) & (lang["score"] + margin >= least)).select(docs.columns)
 
 
 def op9(spark, sf_dir):
