@@ -7,10 +7,18 @@ of them is at 0 or 1, in the direction that keeps both expectations, so the
 source's words stay the same and one fraction goes on to the next pair. Groups
 of a source (a hash of doc_id deals it into groups of bounded size) are rounded
 in parallel and hand up one residual each; residuals are combined in a tree of
-a fixed fan-in until a source has one, which is rounded to the nearer side.
-Groups are walked from the largest document to the smallest, so residuals tend
-to be small. Random numbers are hashes of the doc_ids: reruns agree, however
-the input is dealt.
+a fixed fan-in until a source has one. Random numbers are hashes of the
+doc_ids: reruns agree, however the input is dealt.
+
+A source's last residual, often a large document, goes up with its own
+probability, else down. The words that this adds or takes are given back by
+smaller documents of the source, which move by one copy between the two numbers
+that their expectation lies between: up and down balance over the random
+numbers as the residual's own do. These come from a pool of ``POOL`` documents
+a source, those of the least hashes, so a hot source is no large group.
+
+Only ids, sources and sizes are shuffled; texts are joined to their copies at
+the end, in ``mix``.
 """
 
 from __future__ import annotations
@@ -20,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricewatch.llm.ordered import numbered
 from pricewatch.llm.settle import settle, spare, table
 
 WEIGHTS = (3, 1, 2)             # of the sources in code point order, repeating
@@ -29,28 +38,38 @@ GROUP = 1 << 16                 # documents in a first group, on average
 FAN_IN = 16
 WORD = "[^\\x20\\x09-\\x0D]+"
 EVEN = 1e-9
+POOL = 4096                     # documents of a source that can make up for its last residual
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST_COPIES) -> DataFrame:
     """(source, size, target) from (source, size), one row a source.
 
     Targets are proportional to the weights and stop at ``most`` times the
-    size; the excess is shared again. With sources ordered by size over
-    weight, the level ``(total - limits before) / weights from here on`` rises
-    while sources are at their limit and falls after, so its maximum is the
-    level at which nothing is above.
+    size; the excess is shared again. The level, words a unit of weight, rises
+    from that of no source at its limit: sources below it are set to their
+    limits, which gives the next level, until none is. That's a sum over the
+    sources a round, and the rounds are few as limits are passed in bulk.
     """
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    nth = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    rows = sizes.withColumn("w", F.get(cycle, (nth % len(weights)).cast("int"))) \
-        .withColumn("limit", F.col("size") * float(most))
-    before = Window.orderBy(F.col("limit") / F.col("w"), F.col("source")).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy(F.col("limit") / F.col("w"), F.col("source")).rowsBetween(0, Window.unboundedFollowing)
-    whole = Window.partitionBy()
-    rows = rows.withColumn("level", (F.sum("size").over(whole) * share
-                                     - F.coalesce(F.sum("limit").over(before), F.lit(0.0))) / F.sum("w").over(after))
-    return rows.select("source", "size",
-                       F.least("limit", F.col("w") * F.max("level").over(whole)).alias("target"))
+    rows = numbered(sizes, [F.col("source").asc_nulls_first()], "nth")
+    nulls = 1 if rows.where(F.col("source").isNull()).take(1) else 0      # null sorts first here, and counts last
+    last = rows.count() - 1
+    nth = F.when(F.col("source").isNull(), F.lit(last)).otherwise(F.col("nth") - nulls)
+    rows = settle(rows.select("source", "size", F.get(cycle, (nth % len(weights)).cast("int")).alias("w"),
+                              (F.col("size") * float(most)).alias("limit")), "weights")
+    total = share * (rows.agg(F.sum("size")).first()[0] or 0)
+    level = -1.0
+    while True:
+        full = F.col("limit") <= F.lit(level) * F.col("w")
+        r = rows.agg(F.sum(F.when(full, F.col("limit")).otherwise(0.0)).alias("given"),
+                     F.sum(F.when(~full, F.col("w"))).alias("w")).first()
+        if not r.w:
+            break
+        higher = (total - (r.given or 0.0)) / r.w
+        if higher <= level:
+            break
+        level = higher
+    return rows.select("source", "size", F.least(F.col("limit"), F.lit(level) * F.col("w")).alias("target"))
 
 
 def _unit(a: int, b: int) -> float:
@@ -81,9 +100,11 @@ def _round(at: dict[str, int], last: bool):
         held = None                             # the residual: (batch of one row, group, id, size, frac)
 
         def out(row, frac):
-            return _with(row, at, [int(row.column(at["copies"])[0].as_py()) + (frac >= 0.5)]
-                         if frac in (0.0, 1.0) or last else [row.column(at["copies"])[0].as_py()],
-                         [0.0 if frac in (0.0, 1.0) or last else frac])
+            copies = int(row.column(at["copies"])[0].as_py())
+            if frac in (0.0, 1.0) or last:
+                up = frac if frac in (0.0, 1.0) else _unit(row.column(at["id"])[0].as_py() or 0, -2) < frac
+                return _with(row, at, [copies + int(up)], [0.0])
+            return _with(row, at, [copies], [frac])
 
         for batch in batches:
             ids = [i or 0 for i in batch.column(at["id"]).to_pylist()]
@@ -100,7 +121,7 @@ def _round(at: dict[str, int], last: bool):
                     held = None
                 if here >= 0 and group[here] != group[i]:
                     if last:
-                        copies[here] += frac[here] >= 0.5
+                        copies[here] += int(_unit(ids[here], -2) < frac[here])
                         frac[here] = 0.0
                     now = here = None
                 if frac[i] in (0.0, 1.0):
@@ -150,55 +171,105 @@ def _with(batch, at, copies, frac) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, schema=batch.schema)
 
 
-def mixed(docs: DataFrame, name: str = "_mix") -> DataFrame:
-    """``docs`` with its columns and the struct ``name``: size (words),
-    source_size, target (both of the source) and copies.
-
-    A null source is a source of its own, the last in order; null, empty and
-    wordless texts have size 0. Repeated rows are documents of their own; a
-    row without doc_id counts as id 0. A source of size 0 has target 0. No
-    rows give no rows.
-    """
-    docs = docs.drop(name)          # a column of that name is replaced
-    sized = docs.withColumn(name, F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long"))
-    sums = docs.select(F.col("source").cast("string").alias("source"),
-                       F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")) \
-        .groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
-    sums = settle(sums, "sources")
+def decided(rows: DataFrame) -> DataFrame:
+    """(id, doc_id, of, size, total, target, copies) of (id, doc_id, of, size),
+    of being the source; written."""
+    sums = settle(rows.groupBy("of").agg(F.sum("size").alias("size"), F.count("*").alias("rows")), "sources")
     n = sums.agg(F.sum("rows")).first()[0] or 0
-    goal = settle(targets(sums.select("source", "size")), "targets")
+    goal = settle(targets(sums.select(F.col("of").alias("source"), "size")), "targets") \
+        .select(F.col("source").alias("source"), F.col("size").alias("total"), "target")
     groups = -(-n // GROUP) or 1
-    col = {c: spare(docs, f"_{c}") for c in ("of", "total", "target", "group", "copies", "frac")}
-    goal = goal.select(F.col("source").alias(col["of"]), F.col("size").alias(col["total"]),
-                       F.col("target").alias(col["target"]))
-    p = F.when(F.col(col["total"]) > 0, F.col(col["target"]) / F.col(col["total"])).otherwise(F.lit(0.0))
-    rows = sized.join(goal, F.col("source").cast("string").eqNullSafe(F.col(col["of"]))) \
-        .withColumn(col["copies"], F.floor(p).cast("int")).withColumn(col["frac"], p - F.floor(p)) \
-        .withColumn(col["group"], F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+    p = F.when(F.col("total") > 0, F.col("target") / F.col("total")).otherwise(F.lit(0.0))
+    rows = rows.join(goal, F.col("of").eqNullSafe(F.col("source"))).select(
+        "id", "doc_id", "of", "size", "total", "target", F.floor(p).cast("int").alias("copies"),
+        (p - F.floor(p)).alias("frac"), F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("group"))
     done = None
     while True:
-        rows = settle(_level(rows, docs, name, col, groups == 1), "level")
-        whole = rows.where(F.col(col["frac"]) == 0)
+        rows = settle(_level(rows, groups == 1), "level")
+        whole = rows.where(F.col("frac") == 0)
         done = whole if done is None else done.union(whole)
         if groups == 1:
             break
         groups = -(-groups // FAN_IN)
-        rows = rows.where(F.col(col["frac"]) > 0) \
-            .withColumn(col["group"], F.floor(F.col(col["group"]) / FAN_IN).cast("long"))
-    return done.select(*docs.columns, F.struct(
-        F.col(name).alias("size"), F.col(col["total"]).alias("source_size"),
-        F.col(col["target"]).alias("target"), F.col(col["copies"]).alias("copies")).alias(name))
+        rows = rows.where(F.col("frac") > 0).withColumn("group", F.floor(F.col("group") / FAN_IN).cast("long"))
+    return _evened(done.drop("frac", "group"))
+
+
+def _level(rows: DataFrame, last: bool) -> DataFrame:
+    key = F.struct("of", "group")
+    dealt = rows.withColumn("key", key).repartition("of", "group") \
+        .sortWithinPartitions("of", "group", F.col("size").desc(), "doc_id", "id")
+    names = dealt.columns
+    at = {"id": names.index("doc_id"), "size": names.index("size"), "group": names.index("key"),
+          "copies": names.index("copies"), "frac": names.index("frac")}
+    return dealt.mapInArrow(_round(at, last), dealt.schema).drop("key")
+
 
+def _evened(rows: DataFrame) -> DataFrame:
+    """``rows`` with the words of each source brought near its target by moving
+    documents of its pool between the two numbers of copies next to their
+    expectation."""
+    off = rows.groupBy("of").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("goal")) \
+        .select("of", (F.col("taken") - F.col("goal")).alias("off"))
+    p = F.col("target") / F.col("total")
+    least, most = F.floor(p), F.ceil(p)
+    step = F.when((F.col("off") > 0) & (F.col("copies") > least), -1) \
+        .when((F.col("off") < 0) & (F.col("copies") < most), 1)
+    apart = F.col("of").eqNullSafe(F.col("source"))
+    pool = rows.where("size > 0").join(off.withColumnRenamed("of", "source"), apart) \
+        .withColumn("step", step).where(F.col("step").isNotNull() & (F.col("size") < 2 * F.abs("off")))
+    nth = F.row_number().over(Window.partitionBy("of").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "id"))
+    pool = pool.withColumn("nth", nth).where(F.col("nth") <= POOL).select("id", "of", "size", "step", "off")
+    moved = settle(pool.groupBy("of").applyInArrow(_moves, "id long, step int"), "moved")
+    moved = moved.select(F.col("id").alias("moved"), "step")
+    return settle(rows.join(moved, F.col("id") == F.col("moved"), "left").withColumn(
+        "copies", F.col("copies") + F.coalesce("step", F.lit(0))).drop("moved", "step"), "copies")
 
-def _level(rows: DataFrame, docs: DataFrame, name: str, col: dict, last: bool) -> DataFrame:
-    of, group = F.col(col["of"]), F.col(col["group"])
-    key = spare(rows, "_key")
-    dealt = rows.withColumn(key, F.struct(of, group)).repartition(of, group) \
-        .sortWithinPartitions(of, group, F.col(name).desc(), "doc_id", F.xxhash64(*docs.columns))
-    at = {"id": dealt.columns.index("doc_id"), "size": dealt.columns.index(name),
-          "group": dealt.columns.index(key), "copies": dealt.columns.index(col["copies"]),
-          "frac": dealt.columns.index(col["frac"])}
-    return dealt.mapInArrow(_round(at, last), dealt.schema).drop(key)
+
+def _moves(t: pa.Table) -> pa.Table:
+    """Of a source's pool the documents that move: from the largest on, each
+    that isn't too large for what is left, then the one nearest to the rest."""
+    size, step = t.column("size").to_numpy(), t.column("step").to_numpy()
+    left, take, rest = abs(t.column("off")[0].as_py()) if t.num_rows else 0.0, [], []
+    for i in np.lexsort((t.column("id").to_numpy(), -size)):
+        if size[i] <= left:
+            take.append(i)
+            left -= size[i]
+        else:
+            rest.append(i)
+    if rest:
+        nearest = min(rest, key=lambda i: abs(size[i] - left))
+        if abs(size[nearest] - left) < left:
+            take.append(nearest)
+    take = np.array(take, np.int64)
+    return pa.table({"id": t.column("id").to_numpy()[take], "step": pa.array(step[take], pa.int32())})
+
+
+def _sized(docs: DataFrame, id: str, size: str) -> DataFrame:
+    words = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.withColumns({id: F.monotonically_increasing_id(), size: words})
+
+
+def _slim(rows: DataFrame, id: str, size: str) -> DataFrame:
+    return rows.select(F.col(id).alias("id"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("source").cast("string").alias("of"), F.col(size).alias("size"))
+
+
+def mixed(docs: DataFrame, name: str = "_mix") -> DataFrame:
+    """``docs`` with its columns and the struct ``name``: size (words),
+    source_size, target (both of the source) and copies.
+
+    A null source is a source of its own, the last in order; null, empty and
+    wordless texts have size 0. Repeated rows are documents of their own; a
+    row without doc_id counts as id 0. A source of size 0 has target 0. No
+    rows give no rows.
+    """
+    docs = docs.drop(name)          # a column of that name is replaced
+    id, size = spare(docs, "_id"), spare(docs, "_size")
+    rows = settle(_sized(docs, id, size), "numbered")       # ids must not change between the readers
+    found = decided(_slim(rows, id, size)).select(F.col("id").alias(id), F.struct(
+        "size", F.col("total").alias("source_size"), "target", "copies").alias(name))
+    return rows.join(found, id).select(*docs.columns, name)
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -210,7 +281,8 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def op10(spark, sf_dir):
-    m = F.col("_mix")
-    return mixed(table(spark, sf_dir, "documents")).select(
-        "doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"), m["target"].alias("target"),
-        (m["copies"] * m["size"]).alias("taken"), m["copies"].alias("copies"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    rows = settle(_slim(_sized(docs, "id", "size"), "id", "size"), "numbered")
+    return decided(rows).select(
+        "doc_id", "size", F.col("total").alias("source_size"), "target",
+        (F.col("copies") * F.col("size")).alias("taken"), "copies")
