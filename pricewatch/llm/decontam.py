@@ -1,8 +1,8 @@
 """Benchmark decontamination (operator 7).
 
 The windows of the benchmark items (13 words, or a shorter item's whole
-sequence) are hashed into a set that is broadcast while it is below a stated
-number; tasks slide the same windows over the documents and look them up. Every
+sequence) are hashed into a set that is broadcast while its words and ids stay
+below a stated number of bytes; tasks slide the same windows over the documents and look them up. Every
 hit is verified on the words themselves. A larger benchmark takes the other
 way: the hashes of the documents' windows meet the benchmark's in a join, and
 only documents with a meeting are scanned again, against the windows they met.
@@ -22,7 +22,7 @@ from pricewatch.llm import textscan as ts
 from pricewatch.llm.settle import settle, spare, table
 
 WINDOW = 13
-BROADCAST_WINDOWS = 2_000_000       # about 16 MB of hashes and at most 300 MB of words
+BROADCAST_BYTES = 48 << 20          # of words and ids, and 100 for each window's objects
 OVERLAP = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
     T.StructField("items", T.ArrayType(T.StringType())),
@@ -102,7 +102,7 @@ def _spans(w: ts.Words, hit: np.ndarray, row: int, offset: int) -> list[dict]:
 
 
 def overlap(docs: DataFrame, items: DataFrame, size: int = WINDOW,
-            most: int = BROADCAST_WINDOWS, name: str = "_overlap") -> DataFrame:
+            most: int = BROADCAST_BYTES, name: str = "_overlap") -> DataFrame:
     """``docs`` with its columns, and the struct ``name``: n_words, n_hit (words
     inside any occurrence of a window), items (ids of items with occurring
     windows, sorted as strings) and spans (bytes, end exclusive) of hit words.
@@ -111,10 +111,12 @@ def overlap(docs: DataFrame, items: DataFrame, size: int = WINDOW,
     words has no windows. Rows are judged one by one.
     """
     docs = docs.drop(name)          # a column of that name is replaced
+    spark = docs.sparkSession
     known = settle(item_windows(items, size), "windows")
-    if known.select("hash").count() <= most:
+    size = known.agg(F.sum(F.length("words") + F.length(F.col("item").cast("binary")) + 100)).first()[0] or 0
+    if size <= most:
         rows = [tuple(r) for r in known.collect()]
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
+        shared = spark.sparkContext.broadcast(rows)
         return _scanned(docs, name, lambda: Windows(shared.value).scan)
     return _joined_scan(docs, name, known, size)
 
