@@ -3,6 +3,8 @@ repeated rows, empty tables, clashing columns, brute force."""
 
 import hashlib
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -58,11 +60,13 @@ def test_decontamination(spark, docs):
     items = spark.createDataFrame([(1, " ".join(f"p{i}" for i in range(20))), (2, "one two"), (3, None), (4, "...")],
                                   "item_id long, text string")
     by = {}
-    for most in (decontam.BROADCAST_WINDOWS, 0):
+    for most in (decontam.BROADCAST_BYTES, 0):
         by[most] = {(r.doc_id, r._o.n_words, r._o.n_hit, tuple(r._o["items"]))
                     for r in decontam.overlap(docs, items, most=most, name="_o").collect()}
         assert {(0, 60, 20, ("1",)), (8, 2, 2, ("2",)), (3, 0, 0, ())} <= by[most]
     assert len(set(map(frozenset, by.values()))) == 1
+    nothing = {(r._o.n_hit, tuple(r._o["items"])) for r in decontam.overlap(docs, items.limit(0), name="_o").collect()}
+    assert nothing == {(0, ())}                             # an empty benchmark
     assert {r.doc_id for r in decontam.remove_documents(docs, items).collect()} == {3, 4, 5, 6, None}
     assert {r.doc_id: r.text for r in decontam.remove_spans(docs, items).collect()}[8] == ""
     assert decontam.items_digest(["10", "9"]) == hashlib.sha256(b"10,9").hexdigest()
@@ -80,6 +84,65 @@ def test_mixing(docs):
         assert abs(fa * 10 + fb * 4 - 5.4) < 1e-9 and {fa, fb} & {0.0, 1.0}
 
 
+def water(sizes, share=1.5, most=2):
+    """Targets by a plain loop: (source, size) in order, null last."""
+    order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    w = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    total, full = share * sum(sizes.values()), set()
+    while True:
+        rest = [s for s in order if s not in full]
+        if not rest:
+            return {s: most * sizes[s] for s in order}
+        level = (total - sum(most * sizes[s] for s in full)) / sum(w[s] for s in rest)
+        over = {s for s in rest if level * w[s] > most * sizes[s]}
+        if not over:
+            return {s: most * sizes[s] if s in full else level * w[s] for s in order}
+        full |= over
+
+
+def test_mixing_meets_targets(spark, monkeypatch):
+    """Few documents a source, some very large; several groups; targets by a
+    plain loop, taken words near them, reruns and other partitions alike."""
+    ship(spark)
+    rng = np.random.default_rng(6)
+    rows = []
+    for s, n in (("a", 60), ("b", 300), ("c", 40), (None, 25), ("z", 1)):
+        for j in range(n):
+            size = 6000 if j == 0 and n > 1 else int(rng.integers(1, 400))
+            rows.append((len(rows), "w " * size, s, "x"))
+    rows += [(None, None, "a", "x"), (5, "", "b", "x"), (7, "w w", "b", "x"), (7, "w w", "b", "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, _size string")
+    want = water({s: sum(len((r[1] or "").split()) for r in rows if r[2] == s) for s in ("a", "b", "c", "z", None)})
+    for groups in (1 << 16, 50):
+        monkeypatch.setattr(mixing, "GROUP", groups)
+        got = mixing.mixed(d, "_m").collect()
+        again = mixing.mixed(d.repartition(5), "_m").collect()
+        assert sorted(map(str, got)) == sorted(map(str, again)) and len(got) == len(rows)
+        for s, target in want.items():
+            mine = [r for r in got if r.source == s]
+            assert abs(mine[0]._m.target - target) < 1e-6 * target
+            taken = sum(r._m.copies * r._m.size for r in mine)
+            near = sorted(r._m.size for r in mine if r._m.size)
+            assert abs(taken - target) <= max(0.01 * target, near[len(near) // 2]), (s, taken, target)
+            p = target / max(1, mine[0]._m.source_size)
+            assert all(int(p) <= r._m.copies <= int(p) + 1 for r in mine)
+    out = mixing.mix(d)
+    assert out.columns == d.columns and out.count() == sum(r._m.copies for r in got)
+
+
+def test_mixing_keeps_expectations(spark):
+    """Over many seeds (ids) each document is taken as often as its share says."""
+    ship(spark)
+    sizes = [900, 300, 200, 100, 80, 50, 30, 20, 10, 5] * 2
+    rows = [(1000 * seed + i, "w " * n, f"s{seed:03d}") for seed in range(120) for i, n in enumerate(sizes)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mixed(d, "_m").collect()
+    for i, n in enumerate(sizes):
+        mine = [r._m for r in got if r.doc_id % 1000 == i]
+        want = np.mean([m.target / m.source_size for m in mine])
+        assert abs(np.mean([m.copies for m in mine]) - want) < 0.2, (n, want)
+
+
 def test_language(spark):
     ship(spark)
     words = {"en": "the cat sat on the mat and then ", "de": "der hund liegt auf dem boden und "}
@@ -92,6 +155,54 @@ def test_language(spark):
     assert langid.identify(d.limit(2), langid.learned_from(d.where("doc_id = 99"))).count() == 2
 
 
+def test_language_letters_and_alphabets(spark):
+    """Marks alone are no letters; many languages; a language of thousands of
+    letters and short texts stay in the pipeline, junk goes."""
+    ship(spark)
+    rng = np.random.default_rng(4)
+    rows = [(3 * i, " ".join("".join(chr(0x4E00 + c) for c in rng.zipf(1.5, 30) % 5000) for _ in range(4)), "zh")
+            for i in range(60)]
+    rows += [(3 * i + 1, "the cat sat on the mat and then it went out", "en") for i in range(60)]
+    rows += [(1000, "\u0301\u0302", None), (1001, "The mat.", None), (1002, "\u4e01", None),
+             (1003, "qzx vkj wqp " * 40, None), (1004, "the cat sat on the mat and then it went out " * 5_000, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r._lang for r in langid.identify(d, langid.learned_from(d)).collect()}
+    assert got[1000].name == "und" and got[1004].name == "en" and got[1004].score > 0.9
+    assert all(got[i].name == l for i, _, l in rows if l)
+    kept = {r.doc_id for r in langid.known_language(d).collect()}
+    assert kept == {i for i, _, _ in rows} - {1000, 1003}
+    many = spark.createDataFrame([(f"{chr(0x4E00 + i)}{chr(0x6000 + i % 200)} " * 9, f"l{i:03d}") for i in range(600)],
+                                 "text string, lang string")
+    model = langid.learn(many)
+    names, _, _ = langid.decide([r.text for r in many.collect()], model)
+    assert len(model["names"]) == 600 and names == [r.lang for r in many.collect()]
+
+
+def test_language_against_plain_counts(spark):
+    """The filters' decisions are those of counts without filters."""
+    ship(spark)
+    from conftest import SF_SMALL
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = d.select("doc_id", "text", "lang").collect()
+    learning = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    counts = {}
+    for r in learning:
+        if r.text is not None and r.lang is not None:
+            counts.setdefault(r.lang, Counter()).update(langid.grams([r.text])[0].tolist())
+    held = {l: {g for g, n in c.items() if n >= sum(c.values()) * langid.SHARE} for l, c in counts.items()}
+    got = {r.doc_id: r._lang.name for r in langid.identify(d, langid.learned_from(d)).collect()}
+    same = total = 0
+    for r in rows:
+        g, _, letters = langid.grams([r.text])
+        if r.text and letters[0] and len(g) >= 20:
+            share = {l: np.mean([x in h for x in g.tolist()]) for l, h in held.items()}
+            best = max(share.values())
+            total, same = total + 1, same + (share[got[r.doc_id]] >= best - 0.02)
+        elif not r.text or not letters[0]:
+            assert got[r.doc_id] == "und"
+    assert same == total > 100
+
+
 def test_toxicity(spark):
     ship(spark)
     rng = np.random.default_rng(0)
@@ -108,6 +219,26 @@ def test_toxicity(spark):
     assert {r._toxic.score for r in toxicity.tag(d, none).collect()} == {0.0}
 
 
+def test_toxicity_against_all_paths():
+    """Marginals of chains laid end to end, by adding up all state paths."""
+    rng = np.random.default_rng(2)
+    chain = toxicity.Chain()
+    chain.step, chain.start = rng.normal(size=(2, 2)), rng.normal(size=2)
+    sizes = [1, 2, 3, 5, 1, 7]
+    emission = rng.normal(size=sum(sizes)) * 2
+    first = np.zeros(len(emission), bool)
+    first[np.cumsum([0, *sizes[:-1]])] = True
+    want = []
+    for begin, n in zip(np.cumsum([0, *sizes[:-1]]), sizes):
+        total, at = 0.0, np.zeros(n)
+        for path in np.ndindex(*(2,) * n):
+            weight = np.exp(chain.start[path[0]] + sum(emission[begin + i] * s for i, s in enumerate(path))
+                            + sum(chain.step[a, b] for a, b in zip(path, path[1:])))
+            total, at = total + weight, at + weight * np.array(path)
+        want += (at / total).tolist()
+    assert np.allclose(chain.marginals(emission, first)[0], want)
+
+
 def test_chat(spark):
     ship(spark)
     rows = [(1, 0, "user", "<\\|a<|b"), (1, 1, "assistant", chat.TRICKY), (2, 0, "assistant", None),
