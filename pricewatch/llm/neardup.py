@@ -4,7 +4,7 @@ verified links, components.
 A node is a distinct shingle set. Nodes that agree on the bytes of a band
 collide; no bucket is capped and no bucket is expanded into all its pairs:
 
-1. Buckets with one node vanish in an aggregation (two longs a bucket).
+1. Buckets with one node vanish.
 2. Each remaining bucket proposes its members to one centre, the member with
    the fullest buckets, which is the text most others resemble. Verified
    links are joined to components. Further rounds take other centres and
@@ -28,13 +28,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewatch.llm import textscan as ts
 from pricewatch.llm.graph import connected_components
 from pricewatch.llm.settle import Scratch
 
+LARGE = 20_000              # rows of a large bucket
+SAMPLE = 32                 # of these rows that are looked at
 BITS = tuple(f"bits{i}" for i in range(16))
 Estimate = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
@@ -47,16 +49,25 @@ def band_keys(sig, bands: range, width: int):
 
 def open_buckets(nodes: DataFrame, bands: int, width: int, turns: int, settle) -> DataFrame:
     """(key, id, n) of the buckets with several nodes. The bands are dealt into
-    ``turns`` groups that are shuffled one after another, and the keys that stay
-    are written before the members are shuffled: nearly all keys have one node,
-    and only one group's keys or members fill the disks at a time."""
+    ``turns`` groups that are shuffled one after another, so only one group's
+    members fill the disks at a time. Nearly all buckets have one node: a window
+    over the bucket tells, in one shuffle. The few that a sample shows to be
+    large are told by an aggregation instead, which combines before the shuffle
+    and leaves no bucket to one task."""
     parts = []
     for turn in range(turns):
         members = nodes.select(F.explode(band_keys(F.col("sig"), range(turn, bands, turns), width)).alias("key"),
                                "id", "n")
-        full = settle(members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-                      .where("lo < hi").select("key"), "keys")
-        parts.append(settle(members.join(full, "key").distinct(), "buckets"))
+        sampled = nodes.sample(SAMPLE / LARGE, 5).select(
+            F.explode(band_keys(F.col("sig"), range(turn, bands, turns), width)).alias("key"))
+        large = settle(sampled.groupBy("key").count().where(F.col("count") > SAMPLE / 2).select("key"), "large")
+        bucket = Window.partitionBy("key")
+        small = members
+        if not large.isEmpty():
+            small = members.join(large, "key", "left_anti")
+            parts.append(settle(members.join(large, "key").distinct(), "buckets"))
+        parts.append(settle(small.withColumn("lo", F.min("id").over(bucket)).withColumn("hi", F.max("id").over(bucket))
+                            .where("lo < hi").select("key", "id", "n").distinct(), "buckets"))
     return functools.reduce(DataFrame.union, parts)
 
 
