@@ -1,14 +1,14 @@
-"""Plan properties of every registered query: JVM only, no cartesian or
+"""Plan properties of every registered core query: JVM only, no cartesian or
 nested-loop joins, and time windows pushed into the Parquet scan."""
 
 import re
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL, plan_text
+from pricewatch.plans.catalog import QUERIES
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 PYTHON = re.compile(r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas|PythonUDF")
 PAIRS = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin")
 TIME_WINDOWED = ["retention_filter", "price_history_recent", "price_history_recent_event",
@@ -17,7 +17,7 @@ TIME_WINDOWED = ["retention_filter", "price_history_recent", "price_history_rece
 
 
 def _plan(spark, name):
-    return plan_text(entry.queries()[name](spark, SF_SMALL))
+    return plan_text(QUERIES[name](spark, SF_SMALL))
 
 
 @pytest.mark.parametrize("name", NAMES)
