@@ -94,15 +94,22 @@ def source_summary(history: DataFrame) -> DataFrame:
                  F.max("price").alias("max_price")))
 
 
-def price_histogram(history: DataFrame, bins: int = fixed.HISTOGRAM_BINS, by: str = "source") -> DataFrame:
+def price_histogram(history: DataFrame, bins: int = fixed.HISTOGRAM_BINS, by: str = "source",
+                    top_k: bool = False) -> DataFrame:
     """``bins`` equal-width bins between the overall min and max price, counted
     per ``by``; the maximum falls in the last bin, empty bins are omitted.
 
     Both bounds come from one scalar subquery (a single small aggregation,
     no join, no collect). It is projected once as a column, so the table is
-    read once for the bounds and once for the counts."""
-    bounds = history.select(F.struct(F.min("price").alias("lo"),
-                                     F.max("price").alias("hi")).alias("b")).scalar()
+    read once for the bounds and once for the counts. ``top_k`` says that the
+    input is the result of an ordered limit, in one task anyway: the bounds are
+    taken there, and its plan runs once."""
+    both = F.struct(F.min("price").alias("lo"), F.max("price").alias("hi"))
+    if top_k:
+        whole = Window.partitionBy()
+        bounds = F.struct(F.min("price").over(whole).alias("lo"), F.max("price").over(whole).alias("hi"))
+    else:
+        bounds = history.select(both.alias("b")).scalar()
     lo, hi = F.col("_b.lo"), F.col("_b.hi")
     pos = F.try_divide(F.col("price") - lo, hi - lo) * bins
     b = F.least(F.coalesce(F.floor(pos) + 1, F.lit(1)), F.lit(bins)).cast("long")

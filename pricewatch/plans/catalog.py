@@ -621,6 +621,12 @@ def price_stats(spark, sf):
     return _round_avg(dashboard.price_stats(_history(spark, sf), 48, AS_OF))
 
 
+@register("price_stats_empty", _stats_sql().replace(AS_OF_SQL, "TIMESTAMP '2030-01-01 00:00:00'"))
+def price_stats_empty(spark, sf):
+    """No prices in the window: zeros, not nulls."""
+    return _round_avg(dashboard.price_stats(_history(spark, sf), 48, "2030-01-01 00:00:00"))
+
+
 @register("price_stats_event", _stats_sql(f"AND event_id = {ONE_EVENT}"))
 def price_stats_event(spark, sf):
     return _round_avg(dashboard.price_stats(_history(spark, sf), 48, AS_OF, ONE_EVENT))
@@ -713,7 +719,7 @@ SELECT source, bin, lo + (bin - 1) * ((hi - lo) / 30) AS bin_start,
 FROM binned GROUP BY source, bin, lo, hi""")
 def dashboard_price_histogram(spark, sf):
     """The dashboard histogram: 30 bins over the prices it shows."""
-    return dashboard.price_histogram(_recent_48h(spark, sf), 30, "source")
+    return dashboard.price_histogram(_recent_48h(spark, sf), 30, "source", top_k=True)
 
 
 @register("dashboard_alerts_chart", f"""

@@ -40,7 +40,7 @@ def dashboard_report(spark: SparkSession, store: str, hours: int = fixed.DEFAULT
         "recent_prices": recent,
         "price_series": dashboard.avg_price_by_time_source(recent),
         "source_table": dashboard.source_summary(recent),
-        "price_histogram": dashboard.price_histogram(recent),
+        "price_histogram": dashboard.price_histogram(recent, top_k=True),
         "recent_alerts": dashboard.alerts_display(shown_alerts),
         "alerts_chart": dashboard.alerts_per_hour(
             dashboard.recent_alerts(alerts, events, fixed.ALERTS_LIMIT)),
