@@ -66,6 +66,8 @@ ROWS = tune_bands(HASHES, PERCENT / 100, RECALL)
 _FACTORS = ts.stream(31, HASHES)
 _PAIR = ts.stream(37, 2)
 _BLOCK = ts.stream(41, 1)[0]
+_BASE = ts.stream(43, 1)[0]
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def block_class(cls: np.ndarray) -> np.ndarray:
@@ -73,16 +75,14 @@ def block_class(cls: np.ndarray) -> np.ndarray:
     return ts.mix(cls ^ _BLOCK)
 
 
-def minhash(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """16 bits of each of ``HASHES`` minima (rows x HASHES); empty sets' are 0."""
-    out = np.zeros((len(off) - 1, HASHES), np.uint16)
-    full = np.flatnonzero(np.diff(off))
-    if len(full):
+def minhash(run: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """16 bits of each of ``HASHES`` minima of each span's shingles."""
+    low = np.empty((len(begin), HASHES), np.uint64)
+    if len(begin):
         with np.errstate(over="ignore"):
             for i, factor in enumerate(_FACTORS):
-                low = np.minimum.reduceat(sets * factor, off[:-1][full])
-                out[full, i] = ts.mix(low) >> np.uint64(48)
-    return out
+                low[:, i] = np.minimum.reduceat(run * factor, begin)
+    return (ts.mix(low) >> np.uint64(48)).astype(np.uint16)
 
 
 def same_share(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -99,17 +99,40 @@ def _lines(buf: np.ndarray, off: np.ndarray):
     return edge, row, nth
 
 
-def sequence_hash(w: ts.Words) -> np.ndarray:
-    """Hash of each row's word sequence; 0 for a row without words."""
-    count = np.diff(w.first)
-    out = np.zeros(len(count), np.uint64)
-    full = np.flatnonzero(count)
-    if len(full):
-        place = np.arange(len(w.hash)) - np.repeat(w.first[:-1], count)
-        with np.errstate(over="ignore"):
-            out[full] = ts.mix(np.add.reduceat(w.hash * ts.stream(43, int(count.max()))[place], w.first[:-1][full])
-                               + count[full].astype(np.uint64))
-    return out
+def span_classes(w: ts.Words, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of the word sequence of each span: a polynomial in an odd base,
+    modulo 2 ** 64, from sums up to each word."""
+    n = len(w.hash)
+    power = np.full(n + 1, _BASE)
+    power[0] = 1
+    back = np.full(n + 1, _INVERSE)
+    back[0] = 1
+    with np.errstate(over="ignore"):
+        power, back = np.multiply.accumulate(power), np.multiply.accumulate(back)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ts.mix(w.hash) * power[:-1], dtype=np.uint64)])
+        return ts.mix((total[b] - total[a]) * back[a] + (b - a).astype(np.uint64) * _PAIR[0])
+
+
+def shingles(w: ts.Words, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles of each span, one after another, the first of each, and how
+    many different ones a span has. Spans have ``SHINGLE`` words at least."""
+    size = b - a - SHINGLE + 1
+    begin = np.cumsum(size) - size
+    at = np.arange(int(size.sum())) - np.repeat(begin, size) + np.repeat(a, size)
+    step, m = ts.stream(11, SHINGLE), len(w.hash) - SHINGLE + 1
+    if not len(size) or m <= 0:
+        return np.empty(0, np.uint64), begin, np.zeros(len(size), np.int64)
+    with np.errstate(over="ignore"):
+        run = w.hash[:m] * step[0]
+        for j in range(1, SHINGLE):
+            run = run + w.hash[j:m + j] * step[j]
+    run = ts.mix(run)[at]
+    # One sort tells them all apart: a span's number, then 40 bits of the hash.
+    row = np.repeat(np.arange(len(size), dtype=np.uint64) << np.uint64(40), size)
+    key = np.sort(row | (run >> np.uint64(24)))
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    return run, begin, np.bincount((key[new] >> np.uint64(40)).astype(np.int64), minlength=len(size))
 
 
 def cuts(w: ts.Words, reach: int) -> np.ndarray:
@@ -120,11 +143,16 @@ def cuts(w: ts.Words, reach: int) -> np.ndarray:
         after = np.append(w.hash[1:], w.hash[:1])
         after[w.first[1:][np.diff(w.first) > 0] - 1] = 0    # a row's last word has none after it
         rank = ts.mix(w.hash * _PAIR[0] + after * _PAIR[1])
-    least = np.ones(n, bool)
-    for j in range(1, min(reach, n - 1) + 1):
-        less, near = rank[j:] < rank[:-j], w.doc[j:] == w.doc[:-j]
-        least[j:] &= less | ~near               # of equal words the first
-        least[:-j] &= ~(less & near)
+    # Rows lie ``reach`` places apart, so no window sees two; minima of windows by doubling.
+    at = np.arange(n) + (w.doc + 1) * reach
+    low = np.full(n + (len(w.first) + 1) * reach, np.iinfo(np.uint64).max, np.uint64)
+    low[at] = rank
+    wide = 1
+    while wide < reach:
+        more = min(wide, reach - wide)
+        low = np.minimum(low[:len(low) - more], low[more:])
+        wide += more
+    least = (rank < low[at - reach]) & (rank <= low[np.minimum(at + 1, len(low) - 1)])     # of equal words the first
     least[w.first[:-1][np.diff(w.first) > 0]] = True
     return np.flatnonzero(least)
 
@@ -150,14 +178,6 @@ def blocks(w: ts.Words) -> tuple[np.ndarray, np.ndarray]:
     return a[b - a >= LEAST_WORDS], b[b - a >= LEAST_WORDS]
 
 
-def spans(w: ts.Words, a: np.ndarray, b: np.ndarray) -> ts.Words:
-    """The words of the spans, a row for each span."""
-    size = b - a
-    first = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    at = np.arange(first[-1]) - np.repeat(first[:-1], size) + np.repeat(a, size)
-    return ts.Words(w.start[at], w.end[at], np.repeat(np.arange(len(a)), size), w.hash[at], first)
-
-
 def _ends(w: ts.Words, off: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Where the next word of the row begins, or the row's end."""
     after = np.append(w.start, off[-1])[b]
@@ -178,7 +198,7 @@ class Parts:
         a = {LINE: a[LINE], UNIT: a[UNIT][0], BLOCK: a[BLOCK][0]}
         self.a, self.b = a, b                       # first word, and the one after the last
         self.doc = {k: w.doc[a[k]] for k in a}
-        self.cls = {k: sequence_hash(spans(w, a[k], b[k])) for k in a}
+        self.cls = {k: span_classes(w, a[k], b[k]) for k in a}
         self.cls[BLOCK] = block_class(self.cls[BLOCK])
         line = {k: some if k == LINE else np.searchsorted(edge, w.start[a[k]], side="right") - 1 for k in a}
         self.par = {k: par[line[k]] for k in a}     # the number of the line where it begins
@@ -242,14 +262,12 @@ def signed_classes(rows: DataFrame) -> DataFrame:
             a, b = blocks(w)
             block = np.repeat([False, True], [len(long_), len(a)])
             a, b = np.append(first[long_], a), np.append(first[long_ + 1], b)
-            own = spans(w, a, b)
-            sets, edge = ts.shingle_sets(own, SHINGLE)
-            sig, doc, ids = minhash(sets, edge), pa.array(w.doc[a]), sequence_hash(own)
+            run_, begin, size = shingles(w, a, b)
+            sig, doc, ids = minhash(run_, begin), pa.array(w.doc[a]), span_classes(w, a, b)
             ids[block] = block_class(ids[block])
             sig[block] ^= APART
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ts.signed(ids)), pa.array(np.diff(edge)),
-                 pa.array([s.tobytes() for s in sig], pa.binary()), piece.column("grp").take(doc),
+                [pa.array(ts.signed(ids)), pa.array(size), _binary(sig), piece.column("grp").take(doc),
                  piece.column("key").take(doc)], ["id", "n", "sig", "grp", "key"])
     return rows.select("grp", "key", "text").mapInArrow(run, f"id long, n long, sig binary, {ROW}")
 
@@ -450,27 +468,34 @@ def _texts(batches):
             size = np.diff(lists.offsets.to_numpy())
             known = np.sort(_keyed(np.repeat(np.arange(len(size)), size),
                                    lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
-            a, b, ids, block = [], [], [], []
+            a, b, ids, block, word = [], [], [], [], []
             for kind in (LINE, BLOCK):
                 k = _keyed(parts.doc[kind], parts.cls[kind])
                 at = np.minimum(np.searchsorted(known, k), len(known) - 1)
-                good = np.flatnonzero(known[at] == k)
+                good = np.flatnonzero((known[at] == k) & (parts.b[kind] - parts.a[kind] >= LEAST_WORDS))
                 a.append(parts.start[kind][good])
                 b.append(parts.end[kind][good])
                 ids.append(parts.cls[kind][good])
                 block.append(np.full(len(good), kind == BLOCK))
+                word.append((parts.a[kind][good], parts.b[kind][good]))
             ids, once = np.unique(np.concatenate(ids), return_index=True)
             a, b, block = (np.concatenate(x)[once] for x in (a, b, block))
             raw = buf.tobytes()
             col = pa.array([raw[x:y].decode("utf-8", "replace") for x, y in zip(a, b)], pa.string())
-            sets, edge = ts.shingle_sets(ts.words(*ts.text_buffer(col), ts.SPACED), SHINGLE)
-            sig = minhash(sets, edge)
+            run, begin, size = shingles(parts.words, *(np.concatenate(x)[once] for x in zip(*word)))
+            sig = minhash(run, begin)
             sig[block] ^= APART
-            sig = pa.array([s.tobytes() for s in sig], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(ts.signed(ids)), pa.array(np.diff(edge)), sig, col],
+            yield pa.RecordBatch.from_arrays([pa.array(ts.signed(ids)), pa.array(size), _binary(sig), col],
                                              ["id", "n", "sig", "text"])
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes as a binary value."""
+    wide = rows.shape[1] * rows.itemsize
+    off = pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * wide)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, off, pa.py_buffer(np.ascontiguousarray(rows))])
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated passages; rows that had words and lose
     them all go. Texts that lose nothing are left as they are."""
