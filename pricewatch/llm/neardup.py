@@ -43,12 +43,11 @@ Estimate = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray
 
 def band_keys(sig, bands: range, width: int):
     """Column: one 64-bit key for each of the bands, of ``width`` bytes of ``sig`` each."""
-    return F.transform(F.array(*[F.lit(i) for i in bands]),
-                       lambda i: F.xxhash64(i, F.substring(sig, i * width + 1, F.lit(width))))
+    return F.array(*[F.xxhash64(F.lit(i), F.substring(sig, i * width + 1, width)) for i in bands])
 
 
 def open_buckets(nodes: DataFrame, bands: int, width: int, turns: int, settle) -> DataFrame:
-    """(key, id, n) of the buckets with several nodes. The bands are dealt into
+    """(key, id) of the buckets with several nodes. The bands are dealt into
     ``turns`` groups that are shuffled one after another, so only one group's
     members fill the disks at a time. Nearly all buckets have one node: a window
     over the bucket tells, in one shuffle. The few that a sample shows to be
@@ -57,7 +56,7 @@ def open_buckets(nodes: DataFrame, bands: int, width: int, turns: int, settle) -
     parts = []
     for turn in range(turns):
         members = nodes.select(F.explode(band_keys(F.col("sig"), range(turn, bands, turns), width)).alias("key"),
-                               "id", "n")
+                               "id")
         sampled = nodes.sample(SAMPLE / LARGE, 5).select(
             F.explode(band_keys(F.col("sig"), range(turn, bands, turns), width)).alias("key"))
         large = settle(sampled.groupBy("key").count().where(F.col("count") > SAMPLE / 2).select("key"), "large")
@@ -67,7 +66,7 @@ def open_buckets(nodes: DataFrame, bands: int, width: int, turns: int, settle) -
             small = members.join(large, "key", "left_anti")
             parts.append(settle(members.join(large, "key").distinct(), "buckets"))
         parts.append(settle(small.withColumn("lo", F.min("id").over(bucket)).withColumn("hi", F.max("id").over(bucket))
-                            .where("lo < hi").select("key", "id", "n").distinct(), "buckets"))
+                            .where("lo < hi").select("key", "id").distinct(), "buckets"))
     return functools.reduce(DataFrame.union, parts)
 
 
@@ -92,6 +91,7 @@ def near_components(nodes: DataFrame, content: Callable[[DataFrame], DataFrame],
     if "sig" not in texts.columns:
         texts = ids.join(nodes.select("id", "n", "sig").dropDuplicates(["id"]), "id").join(texts, "id")
     cand = settle(texts, "candidates")
+    open_ = settle(open_.join(cand.select("id", "n"), "id"), "open")
 
     def check(pairs):
         return settle(_verify(pairs, cand, k, rule, estimate, least, percent), "links")

@@ -187,15 +187,15 @@ def _ends(w: ts.Words, off: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Parts:
     """The lines with words, units and blocks of a column of texts."""
 
-    def __init__(self, col: pa.Array):
+    def __init__(self, col: pa.Array, kinds=(LINE, UNIT, BLOCK)):
         buf, off = ts.text_buffer(col)
         self.off, (edge, row, par) = off, _lines(buf, off)
         w = self.words = ts.words(buf, off, ts.SPACED)
         first = np.searchsorted(w.start, edge)
         some = np.flatnonzero(np.diff(first))
-        a = {LINE: first[some], UNIT: units(w), BLOCK: blocks(w)}
-        b = {LINE: first[some + 1], UNIT: a[UNIT][1], BLOCK: a[BLOCK][1]}
-        a = {LINE: a[LINE], UNIT: a[UNIT][0], BLOCK: a[BLOCK][0]}
+        places = {LINE: lambda: (first[some], first[some + 1]), UNIT: lambda: units(w), BLOCK: lambda: blocks(w)}
+        both = {k: places[k]() for k in kinds}
+        a, b = {k: x[0] for k, x in both.items()}, {k: x[1] for k, x in both.items()}
         self.a, self.b = a, b                       # first word, and the one after the last
         self.doc = {k: w.doc[a[k]] for k in a}
         self.cls = {k: span_classes(w, a[k], b[k]) for k in a}
@@ -463,7 +463,7 @@ def _texts(batches):
     for batch in batches:
         for piece in ts.slices([batch], budget=1 << 20):
             lists = piece.column("ids")
-            parts = Parts(piece.column("text"))
+            parts = Parts(piece.column("text"), (LINE, BLOCK))
             buf = ts.text_buffer(piece.column("text"))[0]
             size = np.diff(lists.offsets.to_numpy())
             known = np.sort(_keyed(np.repeat(np.arange(len(size)), size),
