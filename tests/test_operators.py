@@ -33,7 +33,7 @@ def test_time_filter_reaches_scan(spark):
         F.col("value").alias("price"), F.col("ts").alias("timestamp"),
         F.col("event_id").alias("listing_id"))
     from conftest import plan_text
-    plan = plan_text(h.where(dashboard.since("timestamp", 48, "2024-01-31 00:00:00")))
+    plan = plan_text(dashboard.recent(h, "timestamp", 48, "2024-01-31 00:00:00"))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-29T00:00)]" in plan
 
 
