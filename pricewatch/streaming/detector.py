@@ -85,7 +85,8 @@ def _kinds(p, valid, before):
 def _finish(pdf, price, old, kind, raw_price):
     if raw_price is not None:
         raw = pdf[raw_price]
-        bad = (raw.notna() & pd.to_numeric(raw, errors="coerce").isna()).to_numpy()
+        number = pd.to_numeric(raw, errors="coerce").notna() | raw.astype(str).str.strip().str.lower().eq("nan")
+        bad = (raw.notna() & ~number).to_numpy()
         kind = np.where(bad, "error", kind)
     changed = np.isin(kind, ["drop", "increase"])
     p = pdf[price].to_numpy(dtype="float64", na_value=np.nan)
