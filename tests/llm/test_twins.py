@@ -9,11 +9,10 @@ from conftest import SF_SMALL  # noqa: E402
 from pricewatch.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 
-def _rows(pdf):
-    cols = sorted(pdf.columns)
-    plain = pdf[cols].astype(object).where(pdf[cols].notna(), None)
-    return cols, sorted((tuple(round(v, 6) if isinstance(v, float) and not v.is_integer() else v for v in r)
-                         for r in plain.itertuples(index=False)), key=repr)
+def _rows(names, found):
+    cols = sorted(names)
+    at = [names.index(c) for c in cols]
+    return cols, sorted((tuple(round(r[i], 6) if isinstance(r[i], float) else r[i] for i in at) for r in found), key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -21,6 +20,6 @@ def test_query_matches_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    got, want = _rows(QUERIES[name](spark, SF_SMALL).toPandas()), _rows(con.execute(ORACLE[name]).df())
-    assert got[0] == want[0]
-    assert [tuple(map(str, r)) for r in got[1]] == [tuple(map(str, r)) for r in want[1]]
+    df, found = QUERIES[name](spark, SF_SMALL), con.execute(ORACLE[name])
+    got, want = _rows(df.columns, df.collect()), _rows([d[0] for d in found.description], found.fetchall())
+    assert got == want
